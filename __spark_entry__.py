@@ -21,11 +21,23 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from query_params import DEFAULT_PARAMS, FILTER_PARAMS  # noqa: E402
+from query_params import (  # noqa: E402
+    AD_THRESHOLD,
+    DEFAULT_PARAMS,
+    FILTER_PARAMS,
+    LEVEL_OF_AREA,
+    SAMPLE_SEED,
+    SAMPLE_TOTAL,
+)
+from shoplens.operators import ads as A  # noqa: E402
+from shoplens.operators import categories as C  # noqa: E402
+from shoplens.operators import funnel as FN  # noqa: E402
+from shoplens.operators import products as P  # noqa: E402
+from shoplens.operators import sampling as SM  # noqa: E402
 from shoplens.operators import sessions as S  # noqa: E402
 from shoplens.params import TaskParams  # noqa: E402
 from shoplens.sources.adapters import DriverTables  # noqa: E402
-from shoplens.sources.tables import actions_in_range  # noqa: E402
+from shoplens.sources.tables import actions_in_range, city_dimension, click_product_pairs  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -76,6 +88,130 @@ def q_session_aggr_stat_filtered(spark, sf_dir):
     return S.session_aggr_stat(filt)
 
 
+def _filtered_actions(spark, sf_dir, p=DEFAULT_PARAMS):
+    t, filt = _filtered(spark, sf_dir, p)
+    return t, filt, S.actions_of_sessions(actions_in_range(t.actions(), p), filt)
+
+
+def _sample(spark, sf_dir):
+    t, filt = _filtered(spark, sf_dir, DEFAULT_PARAMS)
+    return t, SM.stratified_sample(filt, SAMPLE_TOTAL, SAMPLE_SEED)
+
+
+def q_session_random_extract(spark, sf_dir):
+    return SM.sample_output(_sample(spark, sf_dir)[1])
+
+
+def q_session_sample_detail(spark, sf_dir):
+    t, sample = _sample(spark, sf_dir)
+    acts = actions_in_range(t.actions(), DEFAULT_PARAMS)
+    # the sample has at most SAMPLE_TOTAL rows: a bounded broadcast
+    return S.detail_rows(acts.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi"))
+
+
+def q_session_detail_semi(spark, sf_dir):
+    return S.detail_rows(_filtered_actions(spark, sf_dir)[2])
+
+
+def q_category_counts(spark, sf_dir):
+    return C.category_counts(_filtered_actions(spark, sf_dir)[2])
+
+
+def q_top10_category(spark, sf_dir):
+    return C.top_categories(C.category_counts(_filtered_actions(spark, sf_dir)[2]))
+
+
+def _top_sessions(spark, sf_dir):
+    _, _, fa = _filtered_actions(spark, sf_dir)
+    return fa, C.top_sessions_per_category(fa, C.top_categories(C.category_counts(fa)))
+
+
+def q_top10_session(spark, sf_dir):
+    return _top_sessions(spark, sf_dir)[1]
+
+
+def q_top10_session_detail(spark, sf_dir):
+    fa, top = _top_sessions(spark, sf_dir)
+    return S.detail_rows(C.top_session_actions(fa, top))
+
+
+def _page_actions(spark, sf_dir):
+    _prep(spark)
+    return actions_in_range(DriverTables(spark, sf_dir).actions(), DEFAULT_PARAMS)
+
+
+def q_page_pairs(spark, sf_dir):
+    return FN.page_pair_counts(_page_actions(spark, sf_dir))
+
+
+def q_page_convert_rate(spark, sf_dir):
+    return FN.page_convert_rate(_page_actions(spark, sf_dir), DEFAULT_PARAMS)
+
+
+def _area_counts(spark, sf_dir):
+    _prep(spark)
+    t = DriverTables(spark, sf_dir)
+    clicks = click_product_pairs(t.lineitem_clicks(), DEFAULT_PARAMS)
+    return t, P.area_product_counts(clicks, t.cities())
+
+
+def q_area_product_count(spark, sf_dir):
+    return _area_counts(spark, sf_dir)[1]
+
+
+def q_area_top3_product(spark, sf_dir):
+    t, counts = _area_counts(spark, sf_dir)
+    return P.area_top3_products(counts, t.products(), levels=LEVEL_OF_AREA)
+
+
+def q_area_top3_product_inline_cities(spark, sf_dir):
+    _prep(spark)
+    t = DriverTables(spark, sf_dir)
+    clicks = click_product_pairs(t.actions(), DEFAULT_PARAMS)
+    counts = P.area_product_counts(clicks, city_dimension(spark), broadcast_cities=True)
+    return P.area_top3_products(counts, t.products())
+
+
+def _ad_clicks(spark, sf_dir):
+    _prep(spark)
+    good, _ = A.split_valid(A.decode_ad_log(DriverTables(spark, sf_dir).ad_log()))
+    return good
+
+
+def _ad_filtered(spark, sf_dir):
+    clicks = _ad_clicks(spark, sf_dir)
+    black = A.blacklist_users(A.user_ad_counts(clicks), AD_THRESHOLD)
+    return A.exclude_blacklisted(clicks, black)
+
+
+def q_ad_user_click_count(spark, sf_dir):
+    return A.user_ad_counts(_ad_clicks(spark, sf_dir))
+
+
+def q_ad_blacklist(spark, sf_dir):
+    return A.blacklist_users(A.user_ad_counts(_ad_clicks(spark, sf_dir)), AD_THRESHOLD)
+
+
+def q_ad_blacklist_filtered(spark, sf_dir):
+    return _ad_filtered(spark, sf_dir).select("timestamp_ms", "province", "city", "userid", "adid", "date")
+
+
+def q_ad_stat(spark, sf_dir):
+    return A.ad_stat(_ad_filtered(spark, sf_dir))
+
+
+def q_ad_province_top3(spark, sf_dir):
+    return A.province_top3(A.ad_stat(_ad_filtered(spark, sf_dir)))
+
+
+def q_ad_click_trend(spark, sf_dir):
+    return A.click_trend(_ad_clicks(spark, sf_dir))
+
+
+def q_ad_trailing_hour(spark, sf_dir):
+    return A.trailing_hour(A.minute_counts(_ad_clicks(spark, sf_dir)))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: ``session_aggr_stat`` over the sf0.001 tables (one row)."""
     return q_session_aggr_stat(spark, SF_SMOKE)
@@ -88,6 +224,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "session_task_filter": q_session_task_filter,
         "session_aggr_stat": q_session_aggr_stat,
         "session_aggr_stat_filtered": q_session_aggr_stat_filtered,
+        "session_random_extract": q_session_random_extract,
+        "session_sample_detail": q_session_sample_detail,
+        "session_detail_semi": q_session_detail_semi,
+        "category_counts": q_category_counts,
+        "top10_category": q_top10_category,
+        "top10_session": q_top10_session,
+        "top10_session_detail": q_top10_session_detail,
+        "page_pairs": q_page_pairs,
+        "page_convert_rate": q_page_convert_rate,
+        "area_product_count": q_area_product_count,
+        "area_top3_product": q_area_top3_product,
+        "area_top3_product_inline_cities": q_area_top3_product_inline_cities,
+        "ad_user_click_count": q_ad_user_click_count,
+        "ad_blacklist": q_ad_blacklist,
+        "ad_blacklist_filtered": q_ad_blacklist_filtered,
+        "ad_stat": q_ad_stat,
+        "ad_province_top3": q_ad_province_top3,
+        "ad_click_trend": q_ad_click_trend,
+        "ad_trailing_hour": q_ad_trailing_hour,
     }
 
 

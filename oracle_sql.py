@@ -195,6 +195,158 @@ def _aggr_stat(p) -> str:
     )
 
 
+DETAIL_COLS = (
+    "user_id AS userid, session_id AS sessionid, page_id AS pageid, action_time AS actionTime, "
+    "search_keyword AS searchKeyword, click_category_id AS clickCategoryId, click_product_id AS clickProductId, "
+    "order_category_ids AS orderCategoryIds, order_product_ids AS orderProductIds, "
+    "pay_category_ids AS payCategoryIds, pay_product_ids AS payProductIds"
+)
+
+
+def _sample(p) -> str:
+    return f"""
+sample_base AS (
+  SELECT *, strftime(start_ts, '%Y-%m-%d') AS sdate, strftime(start_ts, '%H') AS shour FROM filtered
+),
+hours AS (SELECT sdate, shour, count(*) AS hour_count FROM sample_base GROUP BY sdate, shour),
+q AS (
+  SELECT sdate, shour, hour_count, sum(hour_count) OVER (PARTITION BY sdate) AS day_count,
+         (SELECT count(DISTINCT sdate) FROM sample_base) AS days
+  FROM hours
+),
+quota AS (
+  SELECT sdate, shour,
+         least(CAST(floor(({SAMPLE_TOTAL} // days) * hour_count / day_count) AS BIGINT), hour_count) AS hour_quota
+  FROM q
+),
+ranked_s AS (
+  SELECT b.*, row_number() OVER (PARTITION BY sdate, shour ORDER BY md5(session_id || {_lit(SAMPLE_SEED)}), session_id)
+         AS rn
+  FROM sample_base b
+),
+sampled AS (SELECT r.* FROM ranked_s r JOIN quota USING (sdate, shour) WHERE rn <= hour_quota)"""
+
+
+def _categories() -> str:
+    return """
+fa AS (SELECT * FROM ranged WHERE session_id IN (SELECT session_id FROM filtered)),
+items AS (
+  SELECT click_category_id AS categoryid, 1 AS kind FROM fa
+   WHERE click_category_id IS NOT NULL AND click_category_id <> -1
+  UNION ALL
+  SELECT TRY_CAST(trim(x) AS BIGINT), 2 FROM (SELECT unnest(string_split(order_category_ids, ',')) AS x FROM fa
+   WHERE order_category_ids IS NOT NULL) WHERE trim(x) <> ''
+  UNION ALL
+  SELECT TRY_CAST(trim(x) AS BIGINT), 3 FROM (SELECT unnest(string_split(pay_category_ids, ',')) AS x FROM fa
+   WHERE pay_category_ids IS NOT NULL) WHERE trim(x) <> ''
+),
+ccounts AS (
+  SELECT categoryid, count(*) FILTER (WHERE kind = 1) AS clickCount, count(*) FILTER (WHERE kind = 2) AS orderCount,
+         count(*) FILTER (WHERE kind = 3) AS payCount
+  FROM items WHERE categoryid IS NOT NULL GROUP BY categoryid
+),
+top10 AS (SELECT * FROM ccounts ORDER BY clickCount DESC, orderCount DESC, payCount DESC, categoryid LIMIT 10),
+per_cs AS (
+  SELECT click_category_id AS categoryid, session_id AS sessionid, count(*) AS clickCount FROM fa
+  WHERE click_category_id IN (SELECT categoryid FROM top10) GROUP BY click_category_id, session_id
+),
+top10s AS (
+  SELECT categoryid, sessionid, clickCount FROM (
+    SELECT *, row_number() OVER (PARTITION BY categoryid ORDER BY clickCount DESC, sessionid) AS rn FROM per_cs
+  ) WHERE rn <= 10
+)"""
+
+
+def _pairs(p) -> str:
+    flow = p.page_pairs()
+    values = ", ".join(f"({s}, CAST({a} AS BIGINT), CAST({b} AS BIGINT))" for s, a, b in flow)
+    return f"""
+pseq AS (
+  SELECT page_id AS from_page,
+         lead(page_id) OVER (PARTITION BY session_id ORDER BY action_ts NULLS FIRST, tie) AS to_page
+  FROM ranged
+),
+pc AS (SELECT from_page, to_page, count(*) AS pair_count FROM pseq WHERE to_page IS NOT NULL GROUP BY ALL),
+flow(step, from_page, to_page) AS (VALUES {values}),
+sv AS (SELECT count(*) FILTER (WHERE page_id = {p.target_page_flow[0]}) AS n FROM ranged),
+st AS (
+  SELECT f.step, f.from_page, f.to_page, coalesce(pc.pair_count, 0) AS pair_count
+  FROM flow f LEFT JOIN pc USING (from_page, to_page)
+  UNION ALL SELECT 0, {p.target_page_flow[0]}, NULL, n FROM sv
+),
+rates AS (SELECT *, lag(pair_count) OVER (ORDER BY step) AS prev_count FROM st)"""
+
+
+LINEITEM_CLICKS = """
+buyer AS (SELECT o_orderkey, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey),
+li_clicks AS (
+  SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, CAST(c_nationkey AS BIGINT) AS city_id,
+         CAST(l_partkey AS BIGINT) AS product_id
+  FROM lineitem JOIN buyer ON l_orderkey = o_orderkey
+),
+nat_cities AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS city_id, n_name AS city_name, r_name AS area
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+)"""
+
+INLINE_CITIES = """
+inline_cities(city_id, city_name, area) AS (VALUES
+  (CAST(0 AS BIGINT), '北京', '华北'), (1, '上海', '华东'), (2, '南京', '华东'), (3, '广州', '华南'),
+  (4, '三亚', '华南'), (5, '武汉', '华中'), (6, '长沙', '华中'), (7, '西安', '西北'), (8, '成都', '西南'),
+  (9, '哈尔滨', '东北'))"""
+
+
+def _area(clicks: str, cities: str, levels: dict) -> str:
+    cases = " ".join(
+        f"WHEN area IN {_in_list(names)} THEN {_lit(level)}" for level, names in levels.items()
+    )
+    return f"""
+apc AS (
+  SELECT area, product_id, count(*) AS click_count,
+         array_to_string(list_sort(list_distinct(list(CAST(c.city_id AS VARCHAR) || '=' || city_name))), ',')
+           AS city_infos
+  FROM {clicks} k JOIN {cities} c USING (city_id) GROUP BY area, product_id
+),
+pinfo AS (
+  SELECT product_id, product_name,
+         CASE WHEN trim(json_extract_string(extend_info, '$.product_status')) = '0' THEN 'SELF'
+              ELSE 'Third Party' END AS product_status
+  FROM products
+),
+atop AS (
+  SELECT area, CASE {cases} ELSE 'D' END AS areaLevel, product_id AS productid, city_infos AS cityInfos,
+         click_count AS clickCount, product_name AS productName, product_status AS productStatus
+  FROM (
+    SELECT a.*, i.product_name, i.product_status,
+           row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) AS rn
+    FROM apc a JOIN pinfo i USING (product_id)
+  ) WHERE rn <= 3
+)"""
+
+
+AD_CLICKS = """
+ad_lines AS (
+  SELECT CAST(epoch_us(ts) // 1000 AS BIGINT) AS timestamp_ms, CAST(user_id % 10 AS VARCHAR) AS province,
+         CAST(user_id % 10 AS VARCHAR) AS city, CAST(user_id AS BIGINT) AS userid,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) % 20 AS adid
+  FROM events WHERE event_type = 'click'
+),
+clicks AS (
+  SELECT *, epoch_ms(timestamp_ms) AS ts, strftime(epoch_ms(timestamp_ms), '%Y-%m-%d') AS date FROM ad_lines
+),
+ucount AS (SELECT date, userid, adid, count(*) AS clickCount FROM clicks GROUP BY date, userid, adid),
+blacklist AS (SELECT DISTINCT userid FROM ucount WHERE clickCount > {th}),
+fclicks AS (SELECT * FROM clicks WHERE userid NOT IN (SELECT userid FROM blacklist)),
+astat AS (SELECT date, province, city, adid, count(*) AS clickCount FROM fclicks GROUP BY ALL),
+ptop AS (
+  SELECT date, province, adid, clickCount FROM (
+    SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY clickCount DESC, adid) AS rn
+    FROM (SELECT date, province, adid, CAST(sum(clickCount) AS BIGINT) AS clickCount FROM astat GROUP BY ALL)
+  ) WHERE rn <= 3
+),
+pminute AS (SELECT date_trunc('minute', ts) AS minute_ts, adid, count(*) AS clickCount FROM clicks GROUP BY ALL)"""
+
+
 def oracle_queries() -> dict[str, str]:
     d, f = DEFAULT_PARAMS, FILTER_PARAMS
     q: dict[str, str] = {}
@@ -206,4 +358,58 @@ def oracle_queries() -> dict[str, str]:
     q["session_task_filter"] = _session_base(f) + f"\nSELECT {ROLLUP_COLS}, age, professional, city, sex FROM filtered"
     q["session_aggr_stat"] = _aggr_stat(d)
     q["session_aggr_stat_filtered"] = _aggr_stat(f)
+    q["session_random_extract"] = (
+        _with(ACTIONS, USERS, _rollup(d), _filter(d), _sample(d))
+        + "\nSELECT session_id AS sessionid, start_time AS startTime, search_keywords AS searchKeywords, "
+        "click_category_ids AS clickCategoryIds FROM sampled"
+    )
+    q["session_sample_detail"] = (
+        _with(ACTIONS, USERS, _rollup(d), _filter(d), _sample(d))
+        + f"\nSELECT {DETAIL_COLS} FROM ranged WHERE session_id IN (SELECT session_id FROM sampled)"
+    )
+    q["session_detail_semi"] = (
+        _session_base(d) + f"\nSELECT {DETAIL_COLS} FROM ranged WHERE session_id IN (SELECT session_id FROM filtered)"
+    )
+    cat_base = _with(ACTIONS, USERS, _rollup(d), _filter(d), _categories())
+    q["category_counts"] = cat_base + "\nSELECT * FROM ccounts"
+    q["top10_category"] = cat_base + "\nSELECT * FROM top10"
+    q["top10_session"] = cat_base + "\nSELECT * FROM top10s"
+    q["top10_session_detail"] = cat_base + (
+        f"\nSELECT {DETAIL_COLS.replace('user_id AS', 'fa.user_id AS')} FROM fa JOIN top10s ON fa.session_id = top10s.sessionid"
+    )
+    page_base = _with(ACTIONS, f"\nranged AS (SELECT * FROM actions WHERE {_range(d)})", _pairs(d))
+    q["page_pairs"] = page_base + "\nSELECT from_page, to_page, pair_count FROM pc"
+    q["page_convert_rate"] = page_base + (
+        "\nSELECT step, CAST(from_page AS VARCHAR) || '_' || CAST(to_page AS VARCHAR) AS page_split, pair_count, "
+        "prev_count, CASE WHEN prev_count = 0 THEN NULL ELSE pair_count / prev_count END AS convert_rate "
+        "FROM rates WHERE step > 0"
+    )
+    area_li = _with(
+        PRODUCTS, LINEITEM_CLICKS,
+        f"\nranged_li AS (SELECT * FROM li_clicks WHERE {_range(d)})",
+        _area("ranged_li", "nat_cities", LEVEL_OF_AREA),
+    )
+    q["area_product_count"] = area_li + "\nSELECT * FROM apc"
+    q["area_top3_product"] = area_li + "\nSELECT * FROM atop"
+    q["area_top3_product_inline_cities"] = _with(
+        ACTIONS, PRODUCTS, INLINE_CITIES,
+        f"\nev_clicks AS (SELECT city_id, click_product_id AS product_id FROM actions WHERE {_range(d)} "
+        "AND click_product_id IS NOT NULL AND click_product_id <> -1)",
+        _area("ev_clicks", "inline_cities", {"A": ["华北", "华东"], "B": ["华南", "华中"], "C": ["西北", "西南"]}),
+    ) + "\nSELECT * FROM atop"
+    ads = "WITH " + AD_CLICKS.format(th=AD_THRESHOLD)
+    q["ad_user_click_count"] = ads + "\nSELECT date, userid, adid, clickCount FROM ucount"
+    q["ad_blacklist"] = ads + "\nSELECT userid FROM blacklist"
+    q["ad_blacklist_filtered"] = ads + "\nSELECT timestamp_ms, province, city, userid, adid, date FROM fclicks"
+    q["ad_stat"] = ads + "\nSELECT * FROM astat"
+    q["ad_province_top3"] = ads + "\nSELECT * FROM ptop"
+    q["ad_click_trend"] = ads + (
+        "\nSELECT strftime(minute_ts, '%Y-%m-%d') AS date, strftime(minute_ts, '%H') AS hour, "
+        "strftime(minute_ts, '%M') AS minute, adid, clickCount FROM pminute"
+    )
+    q["ad_trailing_hour"] = ads + (
+        "\nSELECT strftime(minute_ts, '%Y-%m-%d %H:%M') AS minute, adid, CAST(sum(clickCount) OVER (PARTITION BY adid "
+        "ORDER BY CAST(epoch(minute_ts) AS BIGINT) RANGE BETWEEN 3540 PRECEDING AND CURRENT ROW) AS BIGINT) "
+        "AS windowCount FROM pminute"
+    )
     return q
