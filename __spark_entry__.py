@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -38,6 +39,8 @@ from shoplens.operators import sessions as S  # noqa: E402
 from shoplens.params import TaskParams  # noqa: E402
 from shoplens.sources.adapters import DriverTables  # noqa: E402
 from shoplens.sources.tables import actions_in_range, city_dimension, click_product_pairs  # noqa: E402
+from shoplens.spark import ensure_checkpoint_dir  # noqa: E402
+from shoplens.streaming import ad_stream as ST  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -212,6 +215,36 @@ def q_ad_trailing_hour(spark, sf_dir):
     return A.trailing_hour(A.minute_counts(_ad_clicks(spark, sf_dir)))
 
 
+def _stream_tables(spark, sf_dir, names):
+    """Run the ad stream over the log Spark derives from ``events``.
+
+    The log is written into a fresh folder under the shared checkpoint
+    folder as one slice per week, oldest first (a live ad stream arrives in
+    time order), and consumed with ``availableNow`` one slice per
+    micro-batch: several micro-batches, state carried between them, and no
+    event arrives behind the watermarks.
+    """
+    _prep(spark)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens-stream-{uuid.uuid4().hex}"
+    ST.write_log_slices(DriverTables(spark, sf_dir).ad_log(), root + "/in", slice_seconds=7 * 86400)
+    return ST.run_available(
+        spark, root + "/in/*", root + "/out", root + "/ckpt", threshold=AD_THRESHOLD, max_files_per_trigger=1,
+        names=names,
+    )
+
+
+def q_stream_ad_stat(spark, sf_dir):
+    return _stream_tables(spark, sf_dir, ("ad_blacklist", "ad_stat")).stat.read()
+
+
+def q_stream_ad_trend(spark, sf_dir):
+    return _stream_tables(spark, sf_dir, ("ad_trend",)).click_trend.read()
+
+
+def q_stream_blacklist(spark, sf_dir):
+    return _stream_tables(spark, sf_dir, ("ad_blacklist",)).blacklist.read()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: ``session_aggr_stat`` over the sf0.001 tables (one row)."""
     return q_session_aggr_stat(spark, SF_SMOKE)
@@ -243,6 +276,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ad_province_top3": q_ad_province_top3,
         "ad_click_trend": q_ad_click_trend,
         "ad_trailing_hour": q_ad_trailing_hour,
+        "stream_ad_stat": q_stream_ad_stat,
+        "stream_ad_trend": q_stream_ad_trend,
+        "stream_blacklist": q_stream_blacklist,
     }
 
 

@@ -61,7 +61,7 @@ actions AS (
 USERS = """
 users AS (
   SELECT CAST(c_custkey AS BIGINT) AS user_id, c_name AS username, c_name AS name,
-         CAST(c_custkey % 60 AS INTEGER) AS age, c_mktsegment AS professional,
+         CAST((c_custkey * 37) % 60 AS INTEGER) AS age, c_mktsegment AS professional,
          'city' || CAST(c_nationkey AS VARCHAR) AS city,
          CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
   FROM customer
@@ -412,4 +412,8 @@ def oracle_queries() -> dict[str, str]:
         "ORDER BY CAST(epoch(minute_ts) AS BIGINT) RANGE BETWEEN 3540 PRECEDING AND CURRENT ROW) AS BIGINT) "
         "AS windowCount FROM pminute"
     )
+    # the streaming twins must equal the batch results
+    q["stream_ad_stat"] = q["ad_stat"]
+    q["stream_ad_trend"] = q["ad_click_trend"]
+    q["stream_blacklist"] = q["ad_blacklist"]
     return q

@@ -64,7 +64,8 @@ def users_from_customer(customer: DataFrame) -> DataFrame:
         key.cast("bigint").alias("user_id"),
         F.col("c_name").alias("username"),
         F.col("c_name").alias("name"),
-        (key % 60).cast("int").alias("age"),
+        # 37 is coprime to 60: ages spread over 0-59 for any id range
+        ((key * 37) % 60).cast("int").alias("age"),
         F.col("c_mktsegment").alias("professional"),
         F.concat(F.lit("city"), F.col("c_nationkey").cast("string")).alias("city"),
         F.when(key % 2 == 0, F.lit("male")).otherwise(F.lit("female")).alias("sex"),
