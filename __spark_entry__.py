@@ -125,8 +125,11 @@ def q_top10_category(spark, sf_dir):
 
 
 def _top_sessions(spark, sf_dir):
-    _, _, fa = _filtered_actions(spark, sf_dir)
-    return fa, C.top_sessions_per_category(fa, C.top_categories(C.category_counts(fa)))
+    t, filt = _filtered(spark, sf_dir, DEFAULT_PARAMS)
+    ranged = actions_in_range(t.actions(), DEFAULT_PARAMS)
+    top10 = C.top_categories(C.category_counts(S.actions_of_sessions(ranged, filt)))
+    # category filter (10 rows, broadcast) before the semi join with sessions
+    return ranged, C.top_sessions_per_category(ranged, top10, sessions=filt)
 
 
 def q_top10_session(spark, sf_dir):
@@ -134,8 +137,10 @@ def q_top10_session(spark, sf_dir):
 
 
 def q_top10_session_detail(spark, sf_dir):
-    fa, top = _top_sessions(spark, sf_dir)
-    return S.detail_rows(C.top_session_actions(fa, top))
+    # the top sessions are filtered sessions already: a broadcast of at most
+    # 100 session ids into the action scan, no second semi join
+    ranged, top = _top_sessions(spark, sf_dir)
+    return S.detail_rows(C.top_session_actions(ranged, top))
 
 
 def _page_actions(spark, sf_dir):

@@ -66,16 +66,22 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     ).limit(n)
 
 
-def top_sessions_per_category(actions: DataFrame, top10: DataFrame, n: int = 10) -> DataFrame:
+def top_sessions_per_category(
+    actions: DataFrame, top10: DataFrame, n: int = 10, sessions: DataFrame | None = None
+) -> DataFrame:
     """Per top category, the ``n`` sessions with most clicks on it.
 
     ``categoryid, sessionid, clickCount``; ties broken by session id.
     ``top10`` has at most ``n`` rows by construction, so broadcasting it is
-    bounded.  The ``row_number() <= n`` filter with a literal bound lets
-    Spark insert a partial per-group limit before the window's shuffle.
+    bounded; it is applied first, so only clicks on top categories reach
+    the (large) semi join with ``sessions`` when that is given.  The
+    ``row_number() <= n`` filter with a literal bound lets Spark insert a
+    partial per-group limit before the window's shuffle.
     """
     cats = F.broadcast(top10.select(F.col("categoryid").alias("click_category_id")))
     clicks = actions.select("session_id", "click_category_id").join(cats, "click_category_id", "left_semi")
+    if sessions is not None:
+        clicks = clicks.join(sessions.select("session_id"), "session_id", "left_semi")
     per_session = clicks.groupBy("click_category_id", "session_id").agg(F.count(F.lit(1)).alias("clickCount"))
     w = Window.partitionBy("click_category_id").orderBy(F.desc("clickCount"), F.asc("session_id"))
     return (

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shoplens.params import TaskParams
+from shoplens.spark import cut_lineage
 
 _OUT = StructType(
     [
@@ -100,7 +101,10 @@ def page_pair_counts(actions: DataFrame, num_partitions: int | None = None) -> D
         .sortWithinPartitions(*keys)
         .select("session_id", "page_id", F.spark_partition_id().cast("bigint").alias("part"))
     )
-    out = ordered.mapInPandas(_pairs_of_partition, _OUT)
+    # The per-task output is small (pair counts plus two border rows per
+    # task) but feeds two branches; materialising it once keeps the scan,
+    # the range shuffle and the Python pass from running twice.
+    out = cut_lineage(ordered.mapInPandas(_pairs_of_partition, _OUT))
     inner = out.where(F.col("kind") == "pair").select("from_page", "to_page", "n")
     # Border rows: 2 per non-empty partition, so this global window sees
     # 2 x partitions rows whatever the data size.  Ordered head, tail, head,

@@ -53,14 +53,14 @@ def build(
     # at most sample_total sessions: a bounded broadcast
     sample_actions = ranged.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi")
     top10 = C.top_categories(C.category_counts(filtered_actions, strict_reference))
-    top_sessions = C.top_sessions_per_category(filtered_actions, top10)
+    top_sessions = C.top_sessions_per_category(ranged, top10, sessions=filtered)
     result = SessionJobResult(
         aggr_stat=S.session_aggr_stat(filtered),
         random_extract=SM.sample_output(sample),
         sample_detail=S.detail_rows(sample_actions),
         top10_category=top10,
         top10_session=top_sessions,
-        top10_detail=S.detail_rows(C.top_session_actions(filtered_actions, top_sessions, dedupe_detail)),
+        top10_detail=S.detail_rows(C.top_session_actions(ranged, top_sessions, dedupe_detail)),
     )
     return result, filtered
 
