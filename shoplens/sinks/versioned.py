@@ -1,12 +1,12 @@
 """Parquet tables updated by whole-version replacement.
 
-Parquet has no ``MERGE``.  A :class:`VersionedTable` keeps each state of
-the table as an immutable snapshot folder ``<root>/v=<n>`` and a commit log
-``<root>/_commits`` (one small JSON file per version, holding the batch id
-that produced it).  A version is visible only once its commit record is
-written, so a reader never sees a half-written table, a new version never
-overwrites the folder it reads from, and a replayed micro-batch (same batch
-id) is recognised and skipped.
+Parquet has no ``MERGE``.  A :class:`VersionedTable` writes each change as
+an immutable folder ``<root>/v=<n>`` and records it in a commit log
+``<root>/_commits`` (small JSON files: version, batch id, partition).  A
+version is visible only once its commit records are written, so a reader
+never sees a half-written table, a new version never overwrites the folder
+it reads from, and a replayed micro-batch (same batch id) is recognised and
+skipped.  Superseded versions can be deleted by a periodic clean-up.
 
 Everything goes through the Spark reader/writer, so the root can be any
 file system the cluster mounts (HDFS, object stores).
@@ -21,93 +21,139 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from shoplens.spark import cut_lineage
 
 
+_LOG_SCHEMA = "version long, batch_id long, part string, tag string"
+
+
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, schema: StructType):
+    """Parquet table kept as immutable versions plus a commit log.
+
+    With ``partition_col`` (e.g. ``date``) a commit rewrites only the
+    partitions it touches: version ``n`` holds the new rows of those
+    partitions, and the log records, per partition, the version that holds
+    its current rows.  A micro-batch that touches today's data therefore
+    rewrites today's rows, not the table.  Without ``partition_col`` the
+    table is one partition.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, partition_col: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
-        # (version, batch id) of the head; read from the log once, then kept
-        # current by commit().  One writer per table (its streaming query).
-        self._cached_head: tuple[int, int | None] | None = None
+        self.partition_col = partition_col
+        # partition -> version, plus the last batch id; read from the log
+        # once, then kept current by commit().  One writer per table.
+        self._cache: tuple[dict[str, int], int | None, int] | None = None
 
     # ---- commit log ------------------------------------------------------
 
     def _log(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema("version long, batch_id long, tag string").json(self.root + "/_commits")
+            return self.spark.read.schema(_LOG_SCHEMA).json(self.root + "/_commits")
         except AnalysisException:
             return None
 
-    def _head(self) -> tuple[int, int | None]:
-        """(latest committed version, its batch id); (0, None) when empty."""
-        if self._cached_head is None:
-            self._cached_head = self._read_head()
-        return self._cached_head
+    def _state(self) -> tuple[dict[str, int], int | None, int]:
+        """(latest version per partition, last batch id, head version)."""
+        if self._cache is None:
+            log = self._log()
+            latest: dict[str, int] = {}
+            last_batch, head = None, 0
+            if log is not None:
+                # one row per partition: bounded by the number of partitions
+                for r in log.groupBy("part").agg(
+                    F.max("version").alias("v"), F.max("batch_id").alias("b")
+                ).collect():
+                    latest[r.part] = int(r.v)
+                    head = max(head, int(r.v))
+                    if r.b is not None:
+                        last_batch = int(r.b) if last_batch is None else max(last_batch, int(r.b))
+            self._cache = (latest, last_batch, head)
+        return self._cache
 
     def refresh(self) -> None:
-        """Forget the cached head (another writer may have committed)."""
-        self._cached_head = None
-
-    def _read_head(self) -> tuple[int, int | None]:
-        log = self._log()
-        if log is None:
-            return 0, None
-        row = log.orderBy(F.desc("version")).limit(1).collect()
-        if not row:
-            return 0, None
-        return int(row[0].version), (None if row[0].batch_id is None else int(row[0].batch_id))
+        """Forget the cached log state (another writer may have committed)."""
+        self._cache = None
 
     def version(self) -> int:
-        return self._head()[0]
+        return self._state()[2]
 
     def last_batch_id(self) -> int | None:
-        """Batch id of the latest version (batch ids only grow per writer)."""
-        return self._head()[1]
+        return self._state()[1]
 
     def seen(self, batch_id: int) -> bool:
         last = self.last_batch_id()
         return last is not None and batch_id <= last
 
+    def partitions(self) -> list[str]:
+        return sorted(self._state()[0])
+
     # ---- read / write ----------------------------------------------------
 
-    def read(self) -> DataFrame:
-        v = self.version()
-        if v == 0:
+    def read(self, parts: list[str] | None = None) -> DataFrame:
+        """Current rows (of the given partitions only, when ``parts`` is set)."""
+        latest = self._state()[0]
+        if parts is not None:
+            wanted = {str(p) for p in parts}
+            latest = {p: v for p, v in latest.items() if p in wanted}
+        if not latest:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/v={v}")
-
-    def commit(self, new_state: DataFrame, batch_id: int | None = None) -> bool:
-        """Write ``new_state`` as the next version.  False if ``batch_id`` was seen.
-
-        ``new_state`` is usually computed from :meth:`read`; it is written to
-        a new folder, so the version it reads stays intact until the commit
-        record of the new one exists.
+        if self.partition_col is None:
+            return self.spark.read.schema(self.schema).parquet(f"{self.root}/v={latest['']}")
+        # The version folders are discovered as a partition column ``v``:
+        # pruning on ``v`` lists only the needed versions, and each partition
+        # is taken from the version that holds its current rows.
+        keys = [f"{v}|{p}" for p, v in latest.items()]
+        full = StructType(self.schema.fields + [StructField("v", LongType())])
+        rows = self.spark.read.schema(full).option("basePath", self.root).parquet(self.root)
+        pc = F.col(self.partition_col).cast("string")
+        return rows.where(
+            F.col("v").isin(sorted(set(latest.values())))
+            & F.concat_ws("|", F.col("v").cast("string"), pc).isin(keys)
+        ).drop("v")
+
+    def commit(self, rows: DataFrame, batch_id: int | None = None, parts: list[str] | None = None) -> bool:
+        """Make ``rows`` the content of the partitions they (and ``parts``) cover.
+
+        Returns False, writing nothing, if ``batch_id`` was committed before.
+        ``rows`` is usually computed from :meth:`read`; it goes to a new
+        folder, so what it reads stays intact, and it becomes visible only
+        when the commit records are written.
         """
         if batch_id is not None and self.seen(batch_id):
             return False
-        v = self.version() + 1
-        target = f"{self.root}/v={v}"
+        rows = rows.select(*self.schema.fieldNames())
+        if self.partition_col is None:
+            touched = [""]
+        else:
+            # partition values of this commit: a handful of dates per batch
+            found = [str(r[0]) for r in rows.select(F.col(self.partition_col).cast("string")).distinct().collect()]
+            touched = sorted(set(found) | {str(p) for p in (parts or [])})
+        latest, last_batch, head = self._state()
+        v = head + 1
         # A failed earlier attempt may have left an uncommitted folder: it
         # is not visible to readers, so overwriting it is safe.
-        new_state.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(target)
-        record = self.spark.createDataFrame(
-            [(v, batch_id, uuid.uuid4().hex)], "version long, batch_id long, tag string"
-        )
-        record.coalesce(1).write.mode("append").json(self.root + "/_commits")
-        self._cached_head = (v, batch_id)
+        rows.write.mode("overwrite").parquet(f"{self.root}/v={v}")
+        tag = uuid.uuid4().hex
+        self.spark.createDataFrame([(v, batch_id, p, tag) for p in touched], _LOG_SCHEMA).coalesce(1).write.mode(
+            "append"
+        ).json(self.root + "/_commits")
+        latest = {**latest, **{p: v for p in touched}}
+        if batch_id is not None:
+            last_batch = batch_id if last_batch is None else max(last_batch, batch_id)
+        self._cache = (latest, last_batch, v)
         return True
 
-    def update(self, fn, batch_id: int | None = None) -> bool:
-        """Commit ``fn(current_state)``."""
+    def update(self, fn, batch_id: int | None = None, parts: list[str] | None = None) -> bool:
+        """Commit ``fn(current rows of parts)``; ``parts=None`` means the whole table."""
         if batch_id is not None and self.seen(batch_id):
             return False
-        return self.commit(fn(self.read()), batch_id)
+        return self.commit(fn(self.read(parts)), batch_id, parts)
 
 
 def upsert_partitions(

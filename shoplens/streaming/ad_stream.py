@@ -91,24 +91,38 @@ class AdTables:
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "AdTables":
         root = root.rstrip("/")
+        # Day-keyed tables are partitioned by date: a micro-batch rewrites
+        # the days it touches (normally today), not the history.
         return cls(
-            VersionedTable(spark, f"{root}/ad_user_click_count", AD_USER_CLICK_COUNT),
+            VersionedTable(spark, f"{root}/ad_user_click_count", AD_USER_CLICK_COUNT, "date"),
             VersionedTable(spark, f"{root}/ad_blacklist", AD_BLACKLIST),
-            VersionedTable(spark, f"{root}/ad_stat", AD_STAT),
-            VersionedTable(spark, f"{root}/ad_province_top3", AD_PROVINCE_TOP3),
-            VersionedTable(spark, f"{root}/ad_click_trend", AD_CLICK_TREND),
+            VersionedTable(spark, f"{root}/ad_stat", AD_STAT, "date"),
+            VersionedTable(spark, f"{root}/ad_province_top3", AD_PROVINCE_TOP3, "date"),
+            VersionedTable(spark, f"{root}/ad_click_trend", AD_CLICK_TREND, "date"),
         )
 
 
 # ---- foreachBatch handlers (plain DataFrame functions, testable alone) ----
 
 
+def _dates(df: DataFrame) -> list[str]:
+    """Dates present in a micro-batch (a handful; only these reach the driver)."""
+    return sorted(str(r[0]) for r in df.select("date").distinct().collect() if r[0] is not None)
+
+
 def handle_user_counts(tables: AdTables, threshold: int):
     def handler(batch: DataFrame, batch_id: int) -> None:
         totals = batch.select("date", "userid", "adid", F.col("count").alias("clickCount"))
-        tables.user_click_count.update(lambda old: merge_overwrite(old, totals, ["date", "userid", "adid"]), batch_id)
+        dates = _dates(totals)
+        tables.user_click_count.update(
+            lambda old: merge_overwrite(old, totals, ["date", "userid", "adid"]), batch_id, dates
+        )
+        # append_new is idempotent, so a replay cannot list a user twice;
+        # a version is written only when there is somebody new
         offenders = A.blacklist_users(totals, threshold)
-        tables.blacklist.update(lambda old: append_new(old, offenders, ["userid"]), batch_id)
+        fresh = offenders.join(tables.blacklist.read(), "userid", "left_anti")
+        if not fresh.isEmpty():
+            tables.blacklist.update(lambda old: append_new(old, fresh, ["userid"]))
 
     return handler
 
@@ -116,25 +130,29 @@ def handle_user_counts(tables: AdTables, threshold: int):
 def handle_stats(tables: AdTables):
     def handler(batch: DataFrame, batch_id: int) -> None:
         keys = ["date", "province", "city", "adid"]
+        dates = _dates(batch)
         if not tables.stat.seen(batch_id):
             clicks = A.exclude_blacklisted(batch, tables.blacklist.read())
-            tables.stat.commit(merge_add(tables.stat.read(), A.ad_stat(clicks), keys, "clickCount"), batch_id)
+            delta = A.ad_stat(clicks)
+            tables.stat.update(lambda old: merge_add(old, delta, keys, "clickCount"), batch_id, dates)
         # Re-rank every (date, province) the batch touched, from the stored
         # totals.  Runs again on a replay that crashed between the commits.
         if not tables.province_top3.seen(batch_id):
             touched = batch.select("date", "province").distinct()
-            top = A.province_top3(tables.stat.read().join(touched, ["date", "province"], "left_semi"))
-            tables.province_top3.commit(
-                replace_groups(tables.province_top3.read(), top, ["date", "province"]), batch_id
-            )
+            top = A.province_top3(tables.stat.read(dates).join(touched, ["date", "province"], "left_semi"))
+            tables.province_top3.update(lambda old: replace_groups(old, top, ["date", "province"]), batch_id, dates)
 
     return handler
 
 
 def handle_trend(tables: AdTables):
     def handler(batch: DataFrame, batch_id: int) -> None:
-        rows = A.trend_rows(batch.select(F.col("window.start").alias("minute_ts"), "adid", F.col("count").alias("clickCount")))
-        tables.click_trend.update(lambda old: merge_overwrite(old, rows, ["date", "hour", "minute", "adid"]), batch_id)
+        per_minute = batch.select(F.col("window.start").alias("minute_ts"), "adid", F.col("count").alias("clickCount"))
+        rows = A.trend_rows(per_minute)
+        dates = _dates(rows)
+        tables.click_trend.update(
+            lambda old: merge_overwrite(old, rows, ["date", "hour", "minute", "adid"]), batch_id, dates
+        )
 
     return handler
 
