@@ -1,7 +1,7 @@
 """Parquet tables updated by whole-version replacement.
 
 Parquet has no ``MERGE``.  A :class:`VersionedTable` writes each change as
-an immutable folder ``<root>/v=<n>`` and records it in a commit log
+an immutable folder ``<root>/shoplens_version=<n>`` and records it in a commit log
 ``<root>/_commits`` (small JSON files: version, batch id, partition).  A
 version is visible only once its commit records are written, so a reader
 never sees a half-written table, a new version never overwrites the folder
@@ -28,6 +28,9 @@ from shoplens.spark import cut_lineage
 
 
 _LOG_SCHEMA = "version long, batch_id long, part string, tag string"
+# Version folders are ``<root>/shoplens_version=<n>``; read back as a
+# partition column of that (unlikely to clash) name.
+_VCOL = "shoplens_version"
 
 
 class VersionedTable:
@@ -104,18 +107,18 @@ class VersionedTable:
         if not latest:
             return self.spark.createDataFrame([], self.schema)
         if self.partition_col is None:
-            return self.spark.read.schema(self.schema).parquet(f"{self.root}/v={latest['']}")
-        # The version folders are discovered as a partition column ``v``:
-        # pruning on ``v`` lists only the needed versions, and each partition
-        # is taken from the version that holds its current rows.
+            return self.spark.read.schema(self.schema).parquet(f"{self.root}/{_VCOL}={latest['']}")
+        # The version folders are discovered as a partition column: pruning
+        # on it lists only the needed versions, and each partition is taken
+        # from the version that holds its current rows.
         keys = [f"{v}|{p}" for p, v in latest.items()]
-        full = StructType(self.schema.fields + [StructField("v", LongType())])
+        full = StructType(self.schema.fields + [StructField(_VCOL, LongType())])
         rows = self.spark.read.schema(full).option("basePath", self.root).parquet(self.root)
         pc = F.col(self.partition_col).cast("string")
         return rows.where(
-            F.col("v").isin(sorted(set(latest.values())))
-            & F.concat_ws("|", F.col("v").cast("string"), pc).isin(keys)
-        ).drop("v")
+            F.col(_VCOL).isin(sorted(set(latest.values())))
+            & F.concat_ws("|", F.col(_VCOL).cast("string"), pc).isin(keys)
+        ).drop(_VCOL)
 
     def commit(self, rows: DataFrame, batch_id: int | None = None, parts: list[str] | None = None) -> bool:
         """Make ``rows`` the content of the partitions they (and ``parts``) cover.
@@ -138,7 +141,7 @@ class VersionedTable:
         v = head + 1
         # A failed earlier attempt may have left an uncommitted folder: it
         # is not visible to readers, so overwriting it is safe.
-        rows.write.mode("overwrite").parquet(f"{self.root}/v={v}")
+        rows.write.mode("overwrite").parquet(f"{self.root}/{_VCOL}={v}")
         tag = uuid.uuid4().hex
         self.spark.createDataFrame([(v, batch_id, p, tag) for p in touched], _LOG_SCHEMA).coalesce(1).write.mode(
             "append"

@@ -40,7 +40,7 @@ def test_versioned_table_versions_and_replay(spark, tmp_path):
     assert sorted_rows(t.read()) == [("a", 2)]
     assert t.version() == 2 and t.last_batch_id() == 1
     # an older version is still intact (never overwritten in place)
-    assert sorted_rows(spark.read.parquet(str(tmp_path / "t" / "v=1"))) == [("a", 1)]
+    assert sorted_rows(spark.read.parquet(str(tmp_path / "t" / "shoplens_version=1"))) == [("a", 1)]
 
 
 def test_upsert_partitions_rewrites_touched_only(spark, tmp_path):
@@ -103,7 +103,7 @@ def test_partitioned_versioned_table_rewrites_touched_partitions_only(spark, tmp
     assert sorted_rows(t.read(), "date", "k", "v") == [("d1", "a", 6), ("d1", "b", 1), ("d2", "a", 2)]
     assert sorted_rows(t.read(["d2"]), "date", "k", "v") == [("d2", "a", 2)]
     # version 2 holds only d1's rows; d2 is still served from version 1
-    assert sorted_rows(spark.read.parquet(str(tmp_path / "pt" / "v=2")), "date") == [("d1",), ("d1",)]
+    assert sorted_rows(spark.read.parquet(str(tmp_path / "pt" / "shoplens_version=2")), "date") == [("d1",), ("d1",)]
     # a fresh reader (e.g. after a restart) sees the same state from the log
     again = VersionedTable(spark, str(tmp_path / "pt"), t.schema, partition_col="date")
     assert sorted_rows(again.read(), "date", "k", "v") == sorted_rows(t.read(), "date", "k", "v")
