@@ -180,6 +180,21 @@ def q_area_top3_product_inline_cities(spark, sf_dir):
     return P.area_top3_products(counts, t.products())
 
 
+def q_area_top3_product_sql(spark, sf_dir):
+    """The product job in Spark SQL over temp views."""
+    from shoplens.functions.sql import register_sql_functions
+    from shoplens.plans.product_job import build_sql
+    from shoplens.sources.views import register_views
+
+    _prep(spark)
+    t = DriverTables(spark, sf_dir)
+    register_sql_functions(spark)
+    register_views(
+        {"user_visit_action": t.actions(), "city_info": city_dimension(spark), "product_info": t.products()}
+    )
+    return build_sql(spark, DEFAULT_PARAMS)
+
+
 def _ad_clicks(spark, sf_dir):
     _prep(spark)
     good, _ = A.split_valid(A.decode_ad_log(DriverTables(spark, sf_dir).ad_log()))
@@ -274,6 +289,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "area_product_count": q_area_product_count,
         "area_top3_product": q_area_top3_product,
         "area_top3_product_inline_cities": q_area_top3_product_inline_cities,
+        "area_top3_product_sql": q_area_top3_product_sql,
         "ad_user_click_count": q_ad_user_click_count,
         "ad_blacklist": q_ad_blacklist,
         "ad_blacklist_filtered": q_ad_blacklist_filtered,

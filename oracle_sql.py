@@ -397,6 +397,8 @@ def oracle_queries() -> dict[str, str]:
         "AND click_product_id IS NOT NULL AND click_product_id <> -1)",
         _area("ev_clicks", "inline_cities", {"A": ["华北", "华东"], "B": ["华南", "华中"], "C": ["西北", "西南"]}),
     ) + "\nSELECT * FROM atop"
+    # the Spark SQL form of the same job must give the same rows
+    q["area_top3_product_sql"] = q["area_top3_product_inline_cities"]
     ads = "WITH " + AD_CLICKS.format(th=AD_THRESHOLD)
     q["ad_user_click_count"] = ads + "\nSELECT date, userid, adid, clickCount FROM ucount"
     q["ad_blacklist"] = ads + "\nSELECT userid FROM blacklist"

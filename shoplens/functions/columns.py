@@ -147,6 +147,31 @@ def distinct_joined(col: Column, sep: str = ",") -> Column:
     return F.array_join(F.array_sort(F.collect_set(col)), sep)
 
 
+def before(a: Column, b: Column) -> Column:
+    """``a`` earlier than ``b``."""
+    return a < b
+
+
+def after(a: Column, b: Column) -> Column:
+    """``a`` later than ``b``."""
+    return a > b
+
+
+def today() -> Column:
+    """current date as ``yyyy-MM-dd`` (for default parameters)."""
+    return F.date_format(F.current_date(), "yyyy-MM-dd")
+
+
+def yesterday() -> Column:
+    """previous day as ``yyyy-MM-dd``."""
+    return F.date_format(F.date_sub(F.current_date(), 1), "yyyy-MM-dd")
+
+
+def trim_comma(col: Column) -> Column:
+    """strip leading/trailing commas."""
+    return F.regexp_replace(col, r"^,+|,+$", "")
+
+
 def is_blank(col: Column) -> Column:
     """F12."""
     return col.isNull() | (col == F.lit(""))
