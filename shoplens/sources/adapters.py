@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.functions.columns import parse_action_time
 from shoplens.sources.tables import load_table
 
 
@@ -24,20 +23,28 @@ def actions_from_events(events: DataFrame) -> DataFrame:
     One session per user and day.  The time of day is compressed 40-fold
     (a day becomes 36 minutes) so that every visit-length bucket fills; the
     hour is written unpadded, as the reference's generator does.
+
+    ``k``, the day and the compressed second are computed once in an inner
+    projection (the optimiser keeps a non-trivial expression that is used
+    several times in its own projection); ``action_ts`` is plain arithmetic
+    on them, equal to parsing ``action_time``.
     """
-    k = _k()
-    et = F.col("event_type")
-    day = F.date_format(F.col("ts"), "yyyy-MM-dd")
-    sod = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
-    sec = F.floor(sod / 40).cast("int")
+    base = events.select(
+        F.col("event_id"),
+        F.col("user_id").cast("bigint").alias("user_id"),
+        F.col("event_type"),
+        _k().alias("k"),
+        F.to_date(F.col("ts")).alias("day"),
+        F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")) / 40).cast("int").alias("sec"),
+    ).select("*", F.date_format(F.col("day"), "yyyy-MM-dd").alias("date"))
+    k, et, eid, sec = F.col("k"), F.col("event_type"), F.col("event_id"), F.col("sec")
     action_time = F.format_string(
-        "%s %d:%02d:%02d", day, (sec / 3600).cast("int"), ((sec % 3600) / 60).cast("int"), sec % 60
+        "%s %d:%02d:%02d", F.col("date"), (sec / 3600).cast("int"), ((sec % 3600) / 60).cast("int"), sec % 60
     )
-    eid = F.col("event_id")
-    out = events.select(
-        day.alias("date"),
-        F.col("user_id").cast("bigint").alias("user_id"),
-        F.concat_ws("_", F.col("user_id").cast("string"), day).alias("session_id"),
+    return base.select(
+        "date",
+        "user_id",
+        F.concat_ws("_", F.col("user_id").cast("string"), F.col("date")).alias("session_id"),
         (k % 10).alias("page_id"),
         action_time.alias("action_time"),
         F.when(et == "view", F.concat(F.lit("kw"), (k % 10).cast("string"))).alias("search_keyword"),
@@ -53,8 +60,8 @@ def actions_from_events(events: DataFrame) -> DataFrame:
         F.when(et == "signup", (eid % 100).cast("string")).alias("pay_product_ids"),
         (F.col("user_id") % 10).cast("bigint").alias("city_id"),
         eid.alias("tie"),
+        F.timestamp_seconds(F.unix_date(F.col("day")).cast("bigint") * 86400 + sec).alias("action_ts"),
     )
-    return out.withColumn("action_ts", parse_action_time(F.col("action_time")))
 
 
 def users_from_customer(customer: DataFrame) -> DataFrame:
