@@ -51,14 +51,14 @@ def _prep(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
-def _rolled(spark, sf_dir, p: TaskParams):
+def _rolled(spark, sf_dir, p: TaskParams, with_lists: bool = True):
     _prep(spark)
     t = DriverTables(spark, sf_dir)
-    return t, S.session_rollup(actions_in_range(t.actions(), p))
+    return t, S.session_rollup(actions_in_range(t.actions(), p), with_lists)
 
 
-def _filtered(spark, sf_dir, p: TaskParams):
-    t, rolled = _rolled(spark, sf_dir, p)
+def _filtered(spark, sf_dir, p: TaskParams, with_lists: bool = True):
+    t, rolled = _rolled(spark, sf_dir, p, with_lists)
     return t, S.filter_sessions(S.session_profile(rolled, t.users()), p)
 
 
@@ -82,17 +82,18 @@ def q_session_task_filter(spark, sf_dir):
 
 
 def q_session_aggr_stat(spark, sf_dir):
-    _, filt = _filtered(spark, sf_dir, DEFAULT_PARAMS)
+    # the statistics need the lists only if the filter reads them
+    _, filt = _filtered(spark, sf_dir, DEFAULT_PARAMS, DEFAULT_PARAMS.uses_session_lists())
     return S.session_aggr_stat(filt)
 
 
 def q_session_aggr_stat_filtered(spark, sf_dir):
-    _, filt = _filtered(spark, sf_dir, FILTER_PARAMS)
+    _, filt = _filtered(spark, sf_dir, FILTER_PARAMS, FILTER_PARAMS.uses_session_lists())
     return S.session_aggr_stat(filt)
 
 
 def _filtered_actions(spark, sf_dir, p=DEFAULT_PARAMS):
-    t, filt = _filtered(spark, sf_dir, p)
+    t, filt = _filtered(spark, sf_dir, p, p.uses_session_lists())
     return t, filt, S.actions_of_sessions(actions_in_range(t.actions(), p), filt)
 
 
@@ -125,7 +126,7 @@ def q_top10_category(spark, sf_dir):
 
 
 def _top_sessions(spark, sf_dir):
-    t, filt = _filtered(spark, sf_dir, DEFAULT_PARAMS)
+    t, filt = _filtered(spark, sf_dir, DEFAULT_PARAMS, DEFAULT_PARAMS.uses_session_lists())
     ranged = actions_in_range(t.actions(), DEFAULT_PARAMS)
     top10 = C.top_categories(C.category_counts(S.actions_of_sessions(ranged, filt)))
     # category filter (10 rows, broadcast) before the semi join with sessions

@@ -20,7 +20,7 @@ from shoplens.params import TaskParams
 from shoplens.sources.tables import present_id, user_dimension
 
 
-def session_rollup(actions: DataFrame) -> DataFrame:
+def session_rollup(actions: DataFrame, with_lists: bool = True) -> DataFrame:
     """A1: one row per session.
 
     Columns: ``session_id, user_id, start_ts, end_ts, start_time,
@@ -33,7 +33,22 @@ def session_rollup(actions: DataFrame) -> DataFrame:
     a session holding a large share of all actions is reduced to one row per
     distinct item before any shuffle; level 2 then handles at most
     "vocabulary size" rows per session.
+
+    ``with_lists=False`` (when neither the filter nor the output needs the
+    lists) is one combinable aggregation by session: one shuffle less.
     """
+    if not with_lists:
+        return (
+            actions.groupBy("session_id")
+            .agg(
+                F.min("user_id").alias("user_id"),
+                F.min("action_ts").alias("start_ts"),
+                F.max("action_ts").alias("end_ts"),
+                F.count(F.lit(1)).alias("step_length"),
+            )
+            .withColumn("visit_length", seconds_between(F.col("end_ts"), F.col("start_ts")))
+            .withColumn("start_time", format_time(F.col("start_ts")))
+        )
     kw = F.col("search_keyword")
     cat = F.col("click_category_id")
     kw_item = F.when(kw.isNotNull() & (kw != ""), F.struct(kw.alias("kw"), F.lit(None).cast("bigint").alias("cat")))

@@ -172,3 +172,18 @@ def test_detail_of_filtered_sessions(spark, profiled):
     got = S.detail_rows(S.actions_of_sessions(acts, profiled)).collect()
     assert [r.sessionid for r in got] == ["a"]
     assert got[0].clickCategoryId == -1
+
+
+def test_rollup_without_lists_agrees(spark):
+    rows = []
+    for n in LENGTHS:
+        rows += _session_of_length(f"s{n}", n)
+    rows += [{"session_id": "s0", "search_keyword": "a", "click_category_id": 3}]
+    acts = make_actions(spark, rows)
+    cols = ["session_id", "user_id", "start_time", "visit_length", "step_length"]
+    full = S.session_rollup(acts).select(*cols).orderBy("session_id").collect()
+    lean = S.session_rollup(acts, with_lists=False).select(*cols).orderBy("session_id").collect()
+    assert full == lean
+    assert S.session_aggr_stat(S.session_rollup(acts)).collect() == S.session_aggr_stat(
+        S.session_rollup(acts, with_lists=False)
+    ).collect()
