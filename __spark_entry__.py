@@ -39,6 +39,7 @@ from shoplens.operators import sessions as S  # noqa: E402
 from shoplens.params import TaskParams  # noqa: E402
 from shoplens.sources.adapters import DriverTables  # noqa: E402
 from shoplens.sources.tables import actions_in_range, city_dimension, click_product_pairs  # noqa: E402
+from shoplens.sinks.merge import append_new, merge_add, replace_groups  # noqa: E402
 from shoplens.spark import ensure_checkpoint_dir  # noqa: E402
 from shoplens.streaming import ad_stream as ST  # noqa: E402
 
@@ -236,6 +237,35 @@ def q_ad_trailing_hour(spark, sf_dir):
     return A.trailing_hour(A.minute_counts(_ad_clicks(spark, sf_dir)))
 
 
+def _click_halves(spark, sf_dir):
+    """All clicks, split by day of month into a stored part and a new part."""
+    clicks = _ad_clicks(spark, sf_dir)
+    early = F.dayofmonth("ts") <= 15
+    return clicks.where(early), clicks.where(~early)
+
+
+def q_upsert_merge(spark, sf_dir):
+    """K9: stored totals (days 1-15) + additive merge of days 16-31 = totals of all days."""
+    stored, new = _click_halves(spark, sf_dir)
+    keys = ["date", "province", "city", "adid"]
+    return merge_add(A.ad_stat(stored), A.ad_stat(new), keys, "clickCount")
+
+
+def q_replace_groups(spark, sf_dir):
+    """Top-3 of the stored days, groups touched by new days replaced by their new top-3."""
+    stored, new = _click_halves(spark, sf_dir)
+    touched = new.select("date", "province").distinct()
+    fresh = A.province_top3(A.ad_stat(stored.unionByName(new)).join(touched, ["date", "province"], "left_semi"))
+    return replace_groups(A.province_top3(A.ad_stat(stored)), fresh, ["date", "province"])
+
+
+def q_append_new(spark, sf_dir):
+    """Blacklist of the stored days, then offenders of the new days appended once."""
+    stored, new = _click_halves(spark, sf_dir)
+    old = A.blacklist_users(A.user_ad_counts(stored), AD_THRESHOLD)
+    return append_new(old, A.blacklist_users(A.user_ad_counts(new), AD_THRESHOLD), ["userid"])
+
+
 def _stream_tables(spark, sf_dir, names):
     """Run the ad stream over the log Spark derives from ``events``.
 
@@ -298,6 +328,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ad_province_top3": q_ad_province_top3,
         "ad_click_trend": q_ad_click_trend,
         "ad_trailing_hour": q_ad_trailing_hour,
+        "upsert_merge": q_upsert_merge,
+        "replace_groups": q_replace_groups,
+        "append_new": q_append_new,
         "stream_ad_stat": q_stream_ad_stat,
         "stream_ad_trend": q_stream_ad_trend,
         "stream_blacklist": q_stream_blacklist,

@@ -414,6 +414,14 @@ def oracle_queries() -> dict[str, str]:
         "ORDER BY CAST(epoch(minute_ts) AS BIGINT) RANGE BETWEEN 3540 PRECEDING AND CURRENT ROW) AS BIGINT) "
         "AS windowCount FROM pminute"
     )
+    # merges of a stored part and a new part equal the whole-log results
+    q["upsert_merge"] = ads + "\nSELECT date, province, city, adid, count(*) AS clickCount FROM clicks GROUP BY ALL"
+    q["replace_groups"] = ads + """
+, allstat AS (SELECT date, province, adid, count(*) AS clickCount FROM clicks GROUP BY ALL)
+SELECT date, province, adid, clickCount FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY clickCount DESC, adid) AS rn FROM allstat
+) WHERE rn <= 3"""
+    q["append_new"] = q["ad_blacklist"]
     # the streaming twins must equal the batch results
     q["stream_ad_stat"] = q["ad_stat"]
     q["stream_ad_trend"] = q["ad_click_trend"]
