@@ -131,17 +131,22 @@ class VersionedTable:
         if batch_id is not None and self.seen(batch_id):
             return False
         rows = rows.select(*self.schema.fieldNames())
-        if self.partition_col is None:
-            touched = [""]
-        else:
-            # partition values of this commit: a handful of dates per batch
-            found = [str(r[0]) for r in rows.select(F.col(self.partition_col).cast("string")).distinct().collect()]
-            touched = sorted(set(found) | {str(p) for p in (parts or [])})
         latest, last_batch, head = self._state()
         v = head + 1
+        target = f"{self.root}/{_VCOL}={v}"
         # A failed earlier attempt may have left an uncommitted folder: it
         # is not visible to readers, so overwriting it is safe.
-        rows.write.mode("overwrite").parquet(f"{self.root}/{_VCOL}={v}")
+        rows.write.mode("overwrite").parquet(target)
+        if self.partition_col is None:
+            touched = [""]
+        elif parts is not None:
+            # the caller names the partitions (rows must lie inside them)
+            touched = sorted({str(p) for p in parts})
+        else:
+            # read the partition values back from what was just written:
+            # one column of the new files, not a second run of ``rows``
+            written = self.spark.read.parquet(target).select(F.col(self.partition_col).cast("string")).distinct()
+            touched = sorted(str(r[0]) for r in written.collect())
         tag = uuid.uuid4().hex
         self.spark.createDataFrame([(v, batch_id, p, tag) for p in touched], _LOG_SCHEMA).coalesce(1).write.mode(
             "append"

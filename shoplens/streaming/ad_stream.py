@@ -68,13 +68,17 @@ def write_log_slices(lines: DataFrame, folder: str, slice_seconds: int = 86400)
     order.  Only the list of slice numbers reaches the driver.
     """
     ms = F.split(F.trim(F.col("value")), " +").getItem(0).try_cast("bigint")
-    sliced = lines.withColumn("_slice", F.floor(ms / F.lit(slice_seconds * 1000)).cast("bigint"))
-    slices = sorted(r[0] for r in sliced.select("_slice").distinct().collect() if r[0] is not None)
-    paths = []
-    for n in slices:
-        path = f"{folder.rstrip('/')}/{n:012d}"
-        sliced.where(F.col("_slice") == n).select("value").coalesce(1).write.mode("overwrite").text(path)
-        paths.append(path)
+    # computed once, then cut into slices (one write per slice)
+    sliced = lines.withColumn("_slice", F.floor(ms / F.lit(slice_seconds * 1000)).cast("bigint")).persist()
+    try:
+        slices = sorted(r[0] for r in sliced.select("_slice").distinct().collect() if r[0] is not None)
+        paths = []
+        for n in slices:
+            path = f"{folder.rstrip('/')}/{n:012d}"
+            sliced.where(F.col("_slice") == n).select("value").coalesce(1).write.mode("overwrite").text(path)
+            paths.append(path)
+    finally:
+        sliced.unpersist()
     return paths
 
 
@@ -110,7 +114,21 @@ def _dates(df: DataFrame) -> list[str]:
     return sorted(str(r[0]) for r in df.select("date").distinct().collect() if r[0] is not None)
 
 
+def _persisted(handler):
+    """Keep the micro-batch cached while the handler runs several actions on it."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            handler(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
 def handle_user_counts(tables: AdTables, threshold: int):
+    @_persisted
     def handler(batch: DataFrame, batch_id: int) -> None:
         totals = batch.select("date", "userid", "adid", F.col("count").alias("clickCount"))
         dates = _dates(totals)
@@ -128,6 +146,7 @@ def handle_user_counts(tables: AdTables, threshold: int):
 
 
 def handle_stats(tables: AdTables):
+    @_persisted
     def handler(batch: DataFrame, batch_id: int) -> None:
         keys = ["date", "province", "city", "adid"]
         dates = _dates(batch)
@@ -146,6 +165,7 @@ def handle_stats(tables: AdTables):
 
 
 def handle_trend(tables: AdTables):
+    @_persisted
     def handler(batch: DataFrame, batch_id: int) -> None:
         per_minute = batch.select(F.col("window.start").alias("minute_ts"), "adid", F.col("count").alias("clickCount"))
         rows = A.trend_rows(per_minute)
