@@ -31,11 +31,14 @@ def hour_quotas(sessions: DataFrame, total: int = 100) -> DataFrame:
     hours = sessions.groupBy("date", "hour").agg(F.count(F.lit(1)).alias("hour_count"))
     by_day = Window.partitionBy("date")
     # one row per (date, hour): the global window below sees at most
-    # 24 x days rows, however many sessions there are
+    # 24 x days rows, however many sessions there are; the number of days is
+    # a sum of "first hour of its day" flags (constant memory per row)
     all_rows = Window.partitionBy()
     return (
         hours.withColumn("day_count", F.sum("hour_count").over(by_day))
-        .withColumn("days", F.size(F.collect_set("date").over(all_rows)))
+        .withColumn("_first_hour", (F.col("hour") == F.min("hour").over(by_day)).cast("int"))
+        .withColumn("days", F.sum("_first_hour").over(all_rows))
+        .drop("_first_hour")
         .withColumn("day_quota", (F.lit(total) / F.col("days")).cast("bigint"))
         .withColumn(
             "hour_quota",
