@@ -82,29 +82,40 @@ def q_session_task_filter(spark, sf_dir):
     return S.session_output(filt).join(filt.select("session_id", *PROFILE_COLS), "session_id")
 
 
+def _lean_filtered(spark, sf_dir, p: TaskParams):
+    """Filtered sessions without lists: the any-match filters are flags."""
+    _prep(spark)
+    t = DriverTables(spark, sf_dir)
+    rolled = S.session_rollup(
+        actions_in_range(t.actions(), p), with_lists=False, keywords=p.keywords, category_ids=p.category_ids
+    )
+    return t, S.filter_sessions(S.session_profile(rolled, t.users()), p)
+
+
 def q_session_aggr_stat(spark, sf_dir):
-    # the statistics need the lists only if the filter reads them
-    _, filt = _filtered(spark, sf_dir, DEFAULT_PARAMS, DEFAULT_PARAMS.uses_session_lists())
-    return S.session_aggr_stat(filt)
+    return S.session_aggr_stat(_lean_filtered(spark, sf_dir, DEFAULT_PARAMS)[1])
 
 
 def q_session_aggr_stat_filtered(spark, sf_dir):
-    _, filt = _filtered(spark, sf_dir, FILTER_PARAMS, FILTER_PARAMS.uses_session_lists())
-    return S.session_aggr_stat(filt)
+    return S.session_aggr_stat(_lean_filtered(spark, sf_dir, FILTER_PARAMS)[1])
 
 
 def _filtered_actions(spark, sf_dir, p=DEFAULT_PARAMS):
-    t, filt = _filtered(spark, sf_dir, p, p.uses_session_lists())
+    t, filt = _lean_filtered(spark, sf_dir, p)
     return t, filt, S.actions_of_sessions(actions_in_range(t.actions(), p), filt)
 
 
 def _sample(spark, sf_dir):
-    t, filt = _filtered(spark, sf_dir, DEFAULT_PARAMS)
+    t, filt = _lean_filtered(spark, sf_dir, DEFAULT_PARAMS)
     return t, SM.stratified_sample(filt, SAMPLE_TOTAL, SAMPLE_SEED)
 
 
 def q_session_random_extract(spark, sf_dir):
-    return SM.sample_output(_sample(spark, sf_dir)[1])
+    # lists only for the sampled sessions (at most SAMPLE_TOTAL: a bounded broadcast)
+    t, sample = _sample(spark, sf_dir)
+    acts = actions_in_range(t.actions(), DEFAULT_PARAMS)
+    lists = S.session_lists(acts.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi"))
+    return SM.sample_output(sample.join(lists, "session_id"))
 
 
 def q_session_sample_detail(spark, sf_dir):
@@ -127,7 +138,7 @@ def q_top10_category(spark, sf_dir):
 
 
 def _top_sessions(spark, sf_dir):
-    t, filt = _filtered(spark, sf_dir, DEFAULT_PARAMS, DEFAULT_PARAMS.uses_session_lists())
+    t, filt = _lean_filtered(spark, sf_dir, DEFAULT_PARAMS)
     ranged = actions_in_range(t.actions(), DEFAULT_PARAMS)
     top10 = C.top_categories(C.category_counts(S.actions_of_sessions(ranged, filt)))
     # category filter (10 rows, broadcast) before the semi join with sessions

@@ -20,7 +20,12 @@ from shoplens.params import TaskParams
 from shoplens.sources.tables import present_id, user_dimension
 
 
-def session_rollup(actions: DataFrame, with_lists: bool = True) -> DataFrame:
+def session_rollup(
+    actions: DataFrame,
+    with_lists: bool = True,
+    keywords: list[str] | None = None,
+    category_ids: list[int] | None = None,
+) -> DataFrame:
     """A1: one row per session.
 
     Columns: ``session_id, user_id, start_ts, end_ts, start_time,
@@ -34,10 +39,22 @@ def session_rollup(actions: DataFrame, with_lists: bool = True) -> DataFrame:
     distinct item before any shuffle; level 2 then handles at most
     "vocabulary size" rows per session.
 
-    ``with_lists=False`` (when neither the filter nor the output needs the
-    lists) is one combinable aggregation by session: one shuffle less.
+    ``with_lists=False`` is one combinable aggregation by session (one
+    shuffle less) and carries no arrays.  The any-match filters then come
+    from ``keywords`` / ``category_ids``: boolean aggregates
+    ``keyword_match`` / ``category_match`` (did any action of the session
+    search one of the keywords / click one of the categories), which is what
+    the filter asks of the lists.
     """
     if not with_lists:
+        flags = []
+        if keywords:
+            flags.append(F.bool_or(F.coalesce(F.col("search_keyword").isin(list(keywords)), F.lit(False)))
+                         .alias("keyword_match"))
+        if category_ids:
+            ids = [int(c) for c in category_ids]
+            flags.append(F.bool_or(F.coalesce(F.col("click_category_id").isin(ids), F.lit(False)))
+                         .alias("category_match"))
         return (
             actions.groupBy("session_id")
             .agg(
@@ -45,6 +62,7 @@ def session_rollup(actions: DataFrame, with_lists: bool = True) -> DataFrame:
                 F.min("action_ts").alias("start_ts"),
                 F.max("action_ts").alias("end_ts"),
                 F.count(F.lit(1)).alias("step_length"),
+                *flags,
             )
             .withColumn("visit_length", seconds_between(F.col("end_ts"), F.col("start_ts")))
             .withColumn("start_time", format_time(F.col("start_ts")))
@@ -106,8 +124,22 @@ def session_profile(sessions: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def filter_sessions(profiled: DataFrame, params: TaskParams) -> DataFrame:
-    """Keep sessions that pass every task filter that is set."""
-    return profiled.where(params.session_predicate())
+    """Keep sessions that pass every task filter that is set.
+
+    Uses the ``keyword_match`` / ``category_match`` flags when the roll-up
+    computed them, the lists otherwise.
+    """
+    flags = "keyword_match" in profiled.columns or "category_match" in profiled.columns
+    return profiled.where(params.session_predicate(use_flags=flags))
+
+
+def session_lists(actions: DataFrame) -> DataFrame:
+    """``session_id, search_keywords, click_category_ids`` for the given actions.
+
+    Used for the few sessions whose lists are output (the sample): callers
+    pass only those sessions' actions.
+    """
+    return session_rollup(actions).select("session_id", "search_keywords", "click_category_ids")
 
 
 def session_aggr_stat(filtered: DataFrame) -> DataFrame:

@@ -81,12 +81,14 @@ class TaskParams:
         """Inclusive on both ends."""
         return F.col(date_col).between(F.lit(self.start_date), F.lit(self.end_date))
 
-    def session_predicate(self) -> Column:
+    def session_predicate(self, use_flags: bool = False) -> Column:
         """AND of the optional session filters (P1-P4) over a profiled session.
 
-        Expects columns ``age``, ``professional``, ``city``, ``sex``,
-        ``search_keywords`` (array<string>), ``click_category_ids``
-        (array<bigint>).  A null data value fails a filter that is set.
+        Expects columns ``age``, ``professional``, ``city``, ``sex`` and
+        either the lists ``search_keywords`` (array<string>) and
+        ``click_category_ids`` (array<bigint>) or, with ``use_flags``, the
+        booleans ``keyword_match`` / ``category_match`` computed by the
+        roll-up.  A null data value fails a filter that is set.
         """
         preds: list[Column] = []
         # The range applies only when both bounds are given.
@@ -100,13 +102,15 @@ class TaskParams:
             preds.append(F.col("sex") == F.lit(self.sex))
         if self.keywords:
             preds.append(
-                F.arrays_overlap(
-                    F.col("search_keywords"), F.array(*[F.lit(k) for k in self.keywords])
-                )
+                F.col("keyword_match")
+                if use_flags
+                else F.arrays_overlap(F.col("search_keywords"), F.array(*[F.lit(k) for k in self.keywords]))
             )
         if self.category_ids:
             preds.append(
-                F.arrays_overlap(
+                F.col("category_match")
+                if use_flags
+                else F.arrays_overlap(
                     F.col("click_category_ids"),
                     F.array(*[F.lit(c).cast("bigint") for c in self.category_ids]),
                 )

@@ -43,15 +43,25 @@ def build(
     strict_reference: bool = False,
     dedupe_detail: bool = False,
 ) -> tuple[SessionJobResult, DataFrame]:
-    """Lazy outputs plus the materialised filtered-session table (to release)."""
+    """Lazy outputs plus the materialised filtered-session table (to release).
+
+    The session table carries no lists: the keyword / category filters are
+    boolean aggregates, and lists are built only for the sampled sessions.
+    """
     ranged = actions_in_range(actions, params)
-    filtered = S.filter_sessions(S.session_profile(S.session_rollup(ranged), users), params)
-    filtered = cut_lineage(filtered)
+    rolled = S.session_rollup(ranged, with_lists=False, keywords=params.keywords, category_ids=params.category_ids)
+    filtered = cut_lineage(S.filter_sessions(S.session_profile(rolled, users), params))
     filtered_actions = S.actions_of_sessions(ranged, filtered)
 
     sample = SM.stratified_sample(filtered, sample_total, seed)
     # at most sample_total sessions: a bounded broadcast
     sample_actions = ranged.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi")
+    sample = sample.join(S.session_lists(sample_actions), "session_id", "left").select(
+        "session_id",
+        "start_time",
+        F.coalesce("search_keywords", F.array().cast("array<string>")).alias("search_keywords"),
+        F.coalesce("click_category_ids", F.array().cast("array<bigint>")).alias("click_category_ids"),
+    )
     top10 = C.top_categories(C.category_counts(filtered_actions, strict_reference))
     top_sessions = C.top_sessions_per_category(ranged, top10, sessions=filtered)
     result = SessionJobResult(

@@ -187,3 +187,21 @@ def test_rollup_without_lists_agrees(spark):
     assert S.session_aggr_stat(S.session_rollup(acts)).collect() == S.session_aggr_stat(
         S.session_rollup(acts, with_lists=False)
     ).collect()
+
+
+def test_flag_filters_equal_list_filters(spark):
+    rows = [
+        {"session_id": "a", "user_id": 1, "search_keyword": "hotpot"},
+        {"session_id": "a", "user_id": 1, "click_category_id": 5},
+        {"session_id": "b", "user_id": 2, "search_keyword": "cake"},
+        {"session_id": "c", "user_id": 3},
+        {"session_id": "d", "user_id": 4, "click_category_id": 0},
+    ]
+    acts = make_actions(spark, rows)
+    users = make_users(spark, [(u, 30, "it", "c1", "male") for u in (1, 2, 3, 4)])
+    for kw in ({"keywords": ["cake", "x"]}, {"category_ids": [0, 5]}, {"keywords": ["hotpot"], "category_ids": [5]}):
+        p = TaskParams(start_date="2024-01-01", end_date="2024-12-31", **kw)
+        with_lists = S.filter_sessions(S.session_profile(S.session_rollup(acts), users), p)
+        lean = S.session_rollup(acts, with_lists=False, keywords=p.keywords, category_ids=p.category_ids)
+        with_flags = S.filter_sessions(S.session_profile(lean, users), p)
+        assert sorted(r.session_id for r in with_lists.collect()) == sorted(r.session_id for r in with_flags.collect())
