@@ -86,8 +86,8 @@ def _pairs_of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
     yield out
 
 
-def page_pair_counts(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """``from_page, to_page, pair_count`` over consecutive actions per session.
+def partition_pair_rows(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Per range partition: pair counts (``kind='pair'``) plus its head and tail rows.
 
     Order inside a session: action time (nulls first), then ``tie``.
     """
@@ -101,10 +101,15 @@ def page_pair_counts(actions: DataFrame, num_partitions: int | None = None) -> D
         .sortWithinPartitions(*keys)
         .select("session_id", "page_id", F.spark_partition_id().cast("bigint").alias("part"))
     )
+    return ordered.mapInPandas(_pairs_of_partition, _OUT)
+
+
+def page_pair_counts(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """``from_page, to_page, pair_count`` over consecutive actions per session."""
     # The per-task output is small (pair counts plus two border rows per
     # task) but feeds two branches; materialising it once keeps the scan,
     # the range shuffle and the Python pass from running twice.
-    out = cut_lineage(ordered.mapInPandas(_pairs_of_partition, _OUT))
+    out = cut_lineage(partition_pair_rows(actions, num_partitions))
     inner = out.where(F.col("kind") == "pair").select("from_page", "to_page", "n")
     # Border rows: 2 per non-empty partition, so this global window sees
     # 2 x partitions rows whatever the data size.  Ordered head, tail, head,
