@@ -6,7 +6,9 @@ an immutable folder ``<root>/shoplens_version=<n>`` and records it in a commit l
 version is visible only once its commit records are written, so a reader
 never sees a half-written table, a new version never overwrites the folder
 it reads from, and a replayed micro-batch (same batch id) is recognised and
-skipped.  Superseded versions can be deleted by a periodic clean-up.
+skipped.  The log is kept in epochs that start with a snapshot, so reading
+it costs at most one epoch; :meth:`VersionedTable.expire_versions` deletes
+folders no partition reads any more.
 
 Everything goes through the Spark reader/writer, so the root can be any
 file system the cluster mounts (HDFS, object stores).
@@ -44,20 +46,64 @@ class VersionedTable:
     table is one partition.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, partition_col: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: StructType,
+        partition_col: str | None = None,
+        epoch_size: int = 1000,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.partition_col = partition_col
+        # The log is kept in epochs of ``epoch_size`` versions; an epoch
+        # starts with a snapshot of the state, so a reader needs only the
+        # newest epoch, however long the table has lived.
+        self.epoch_size = epoch_size
         # partition -> version, plus the last batch id; read from the log
         # once, then kept current by commit().  One writer per table.
         self._cache: tuple[dict[str, int], int | None, int] | None = None
 
+    # ---- file system (Hadoop API: works on any cluster file system) ------
+
+    def _fs_path(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _children(self, path: str) -> list[str]:
+        """Names of the sub-folders of ``path`` (empty when it does not exist)."""
+        p, fs = self._fs_path(path)
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+    def _exists(self, path: str) -> bool:
+        p, fs = self._fs_path(path)
+        return bool(fs.exists(p))
+
+    def _delete(self, path: str) -> None:
+        p, fs = self._fs_path(path)
+        fs.delete(p, True)
+
     # ---- commit log ------------------------------------------------------
 
+    def _epochs(self) -> list[int]:
+        """Committed log epochs (a ``_SUCCESS`` marker shows the write finished)."""
+        out = []
+        for name in self._children(self.root + "/_commits"):
+            if name.startswith("epoch=") and self._exists(f"{self.root}/_commits/{name}/_SUCCESS"):
+                out.append(int(name.split("=", 1)[1]))
+        return sorted(out)
+
     def _log(self) -> DataFrame | None:
+        epochs = self._epochs()
+        if not epochs:
+            return None
         try:
-            return self.spark.read.schema(_LOG_SCHEMA).json(self.root + "/_commits")
+            return self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_commits/epoch={epochs[-1]}")
         except AnalysisException:
             return None
 
@@ -113,7 +159,9 @@ class VersionedTable:
         # from the version that holds its current rows.
         keys = [f"{v}|{p}" for p, v in latest.items()]
         full = StructType(self.schema.fields + [StructField(_VCOL, LongType())])
-        rows = self.spark.read.schema(full).option("basePath", self.root).parquet(self.root)
+        # only the folders holding current rows are listed, not every version
+        paths = [f"{self.root}/{_VCOL}={v}" for v in sorted(set(latest.values()))]
+        rows = self.spark.read.schema(full).option("basePath", self.root).parquet(*paths)
         pc = F.col(self.partition_col).cast("string")
         return rows.where(
             F.col(_VCOL).isin(sorted(set(latest.values())))
@@ -148,15 +196,42 @@ class VersionedTable:
             written = self.spark.read.parquet(target).select(F.col(self.partition_col).cast("string")).distinct()
             touched = sorted(str(r[0]) for r in written.collect())
         tag = uuid.uuid4().hex
-        self.spark.createDataFrame([(v, batch_id, p, tag) for p in touched], _LOG_SCHEMA).coalesce(1).write.mode(
-            "append"
-        ).json(self.root + "/_commits")
+        records = [(v, batch_id, p, tag) for p in touched]
+        epoch = v // self.epoch_size
+        if (v - 1) // self.epoch_size != epoch or v == 1:
+            # first version of an epoch: carry the state over in the same write
+            records += [(pv, last_batch, p, "snapshot") for p, pv in latest.items() if p not in touched]
+        self.spark.createDataFrame(records, _LOG_SCHEMA).coalesce(1).write.mode("append").json(
+            f"{self.root}/_commits/epoch={epoch}"
+        )
         latest = {**latest, **{p: v for p in touched}}
         if batch_id is not None:
             last_batch = batch_id if last_batch is None else max(last_batch, batch_id)
         self._cache = (latest, last_batch, v)
         return True
 
+    def expire_versions(self, keep_last: int = 10) -> list[int]:
+        """Delete version folders no partition reads any more, and old log epochs.
+
+        The newest ``keep_last`` versions are kept whatever they hold, so a
+        reader that planned against a slightly older state still finds its
+        files.  Returns the deleted version numbers.
+        """
+        latest, _, head = self._state()
+        live = set(latest.values())
+        deleted = []
+        for name in self._children(self.root):
+            if not name.startswith(_VCOL + "="):
+                continue
+            v = int(name.split("=", 1)[1])
+            if v not in live and v <= head - keep_last:
+                self._delete(f"{self.root}/{name}")
+                deleted.append(v)
+        epochs = self._epochs()
+        for e in epochs[:-1]:
+            self._delete(f"{self.root}/_commits/epoch={e}")
+        return sorted(deleted)
+
     def update(self, fn, batch_id: int | None = None, parts: list[str] | None = None) -> bool:
         """Commit ``fn(current rows of parts)``; ``parts=None`` means the whole table."""
         if batch_id is not None and self.seen(batch_id):

@@ -106,6 +106,21 @@ class AdTables:
         )
 
 
+    def tables(self) -> list[VersionedTable]:
+        return [self.user_click_count, self.blacklist, self.stat, self.province_top3, self.click_trend]
+
+
+# Every this many micro-batches a handler deletes the versions of its tables
+# that no partition reads any more (retention of the versioned parquet).
+EXPIRE_EVERY = 100
+
+
+def _expire(tables: list[VersionedTable], batch_id: int) -> None:
+    if batch_id % EXPIRE_EVERY == EXPIRE_EVERY - 1:
+        for t in tables:
+            t.expire_versions()
+
+
 # ---- foreachBatch handlers (plain DataFrame functions, testable alone) ----
 
 
@@ -141,6 +156,7 @@ def handle_user_counts(tables: AdTables, threshold: int):
         fresh = offenders.join(tables.blacklist.read(), "userid", "left_anti")
         if not fresh.isEmpty():
             tables.blacklist.update(lambda old: append_new(old, fresh, ["userid"]))
+        _expire([tables.user_click_count, tables.blacklist], batch_id)
 
     return handler
 
@@ -160,6 +176,7 @@ def handle_stats(tables: AdTables):
             touched = batch.select("date", "province").distinct()
             top = A.province_top3(tables.stat.read(dates).join(touched, ["date", "province"], "left_semi"))
             tables.province_top3.update(lambda old: replace_groups(old, top, ["date", "province"]), batch_id, dates)
+        _expire([tables.stat, tables.province_top3], batch_id)
 
     return handler
 
@@ -173,6 +190,7 @@ def handle_trend(tables: AdTables):
         tables.click_trend.update(
             lambda old: merge_overwrite(old, rows, ["date", "hour", "minute", "adid"]), batch_id, dates
         )
+        _expire([tables.click_trend], batch_id)
 
     return handler
 

@@ -108,3 +108,25 @@ def test_partitioned_versioned_table_rewrites_touched_partitions_only(spark, tmp
     again = VersionedTable(spark, str(tmp_path / "pt"), t.schema, partition_col="date")
     assert sorted_rows(again.read(), "date", "k", "v") == sorted_rows(t.read(), "date", "k", "v")
     assert again.last_batch_id() == 1 and again.partitions() == ["d1", "d2"]
+
+
+def test_log_epochs_and_version_expiry(spark, tmp_path):
+    import os
+
+    schema = spark.createDataFrame([], "date string, k string, v long").schema
+    root = str(tmp_path / "ep")
+    t = VersionedTable(spark, root, schema, partition_col="date", epoch_size=2)
+    for i, day in enumerate(["d1", "d2", "d1", "d3", "d1", "d2"]):
+        delta = spark.createDataFrame([(day, "a", 1)], "date string, k string, v long")
+        assert t.update(lambda old: merge_add(old, delta, ["date", "k"], "v"), batch_id=i, parts=[day])
+    want = [("d1", "a", 3), ("d2", "a", 2), ("d3", "a", 1)]
+    assert sorted_rows(t.read(), "date", "k", "v") == want
+    # a fresh reader needs only the newest epoch (it starts with a snapshot)
+    fresh = VersionedTable(spark, root, schema, partition_col="date", epoch_size=2)
+    assert sorted_rows(fresh.read(), "date", "k", "v") == want and fresh.last_batch_id() == 5
+    deleted = fresh.expire_versions(keep_last=0)
+    # live: d1 -> v5, d2 -> v6, d3 -> v4
+    assert deleted == [1, 2, 3]
+    assert sorted(os.listdir(os.path.join(root, "_commits"))) == ["epoch=3"]
+    again = VersionedTable(spark, root, schema, partition_col="date", epoch_size=2)
+    assert sorted_rows(again.read(), "date", "k", "v") == want and again.version() == 6
