@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from shoplens.spark import cut_lineage
+from shoplens.spark import ensure_checkpoint_dir
 
 
 _LOG_SCHEMA = "version long, batch_id long, part string, tag string"
@@ -255,7 +255,9 @@ def upsert_partitions(
         merged = old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.select(*old.columns))
     except AnalysisException:
         merged = new
-    merged = cut_lineage(merged)
+    # always a real checkpoint here: the rewrite must not read its own target
+    ensure_checkpoint_dir(spark)
+    merged = merged.checkpoint(eager=True)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
