@@ -57,7 +57,16 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str, starti
     )
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load().selectExpr("CAST(value AS STRING) AS value")
+    try:
+        stream = reader.load()
+    except Exception as exc:  # the connector is a separate package
+        if "kafka" in str(exc).lower():
+            raise RuntimeError(
+                "the Kafka source needs the spark-sql-kafka package on the classpath "
+                "(spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_<scala>:<spark version>)"
+            ) from exc
+        raise
+    return stream.selectExpr("CAST(value AS STRING) AS value")
 
 
 def write_log_slices(lines: DataFrame, folder: str, slice_seconds: int = 86400) -> list[str]:

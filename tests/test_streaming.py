@@ -89,3 +89,12 @@ def test_driver_stream_queries_match_batch(spark):
         assert sorted(got.columns) == sorted(want.columns)
         cols = sorted(want.columns)
         assert sorted_rows(got, *cols) == sorted_rows(want, *cols)
+
+
+def test_kafka_source_reports_a_missing_connector(spark):
+    try:
+        df = ST.kafka_source(spark, "localhost:9", "AdRealTimeLog")
+    except RuntimeError as exc:
+        assert "spark-sql-kafka" in str(exc)
+    else:  # connector present: the source is defined lazily, nothing connects yet
+        assert df.columns == ["value"] and df.isStreaming
