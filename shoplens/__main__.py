@@ -87,7 +87,10 @@ def main(argv: list[str] | None = None) -> int:
     else:
         raise SystemExit("--kafka or --log is required")
     trigger = {"availableNow": True} if args.available_now else None
-    queries = ad_stream.start_ad_queries(spark, lines, args.out, args.checkpoint, args.threshold, trigger)
+    queries = ad_stream.start_ad_queries(
+        spark, lines, args.out, args.checkpoint, args.threshold, trigger,
+        names=ad_stream.QUERY_NAMES + (ad_stream.REJECTS,),
+    )
     for q in queries.values():
         q.awaitTermination()
     return 0

@@ -205,6 +205,8 @@ def handle_trend(tables: AdTables):
 
 
 QUERY_NAMES = ("ad_blacklist", "ad_stat", "ad_trend")
+# optional: malformed log lines appended to <output_root>/ad_rejects
+REJECTS = "ad_rejects"
 
 
 def _query(clicks: DataFrame, tables: AdTables, name: str, threshold: int, day_watermark: str,
@@ -244,9 +246,19 @@ def start_ad_queries(
     checkpoint_root = (checkpoint_root or os.path.join(ensure_checkpoint_dir(spark), "ad-stream")).rstrip("/")
     trigger = trigger or {"processingTime": "5 seconds"}
     tables = AdTables.at(spark, output_root)
-    clicks, _ = A.split_valid(A.decode_ad_log(lines))
+    clicks, rejected = A.split_valid(A.decode_ad_log(lines))
     started = {}
-    for name in names:
+    if REJECTS in names:
+        # plain file sink: exactly-once appends through its own checkpoint
+        started[REJECTS] = (
+            rejected.writeStream.queryName(REJECTS)
+            .format("parquet")
+            .option("path", f"{output_root.rstrip('/')}/{REJECTS}")
+            .option("checkpointLocation", f"{checkpoint_root}/{REJECTS}")
+            .trigger(**trigger)
+            .start()
+        )
+    for name in [n for n in names if n != REJECTS]:
         df, mode, handler = _query(clicks, tables, name, threshold, day_watermark, minute_watermark)
         started[name] = (
             df.writeStream.queryName(name)
@@ -267,7 +279,7 @@ def run_available(spark: SparkSession, source_path: str, output_root: str, check
     The blacklist query runs to completion first, so the stats query sees
     the final blacklist -- the same result as the batch twin.
     """
-    for name in [n for n in QUERY_NAMES if n in names]:
+    for name in [n for n in QUERY_NAMES + (REJECTS,) if n in names]:
         lines = file_source(spark, source_path, max_files_per_trigger)
         start_ad_queries(
             spark, lines, output_root, checkpoint_root, threshold, {"availableNow": True}, (name,)

@@ -98,3 +98,11 @@ def test_kafka_source_reports_a_missing_connector(spark):
         assert "spark-sql-kafka" in str(exc)
     else:  # connector present: the source is defined lazily, nothing connects yet
         assert df.columns == ["value"] and df.isStreaming
+
+
+def test_rejected_lines_are_kept(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    lines = [f"{DAY1} p c 1 1", "garbage", f"{DAY1} p c x 1"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(src)
+    ST.run_available(spark, src, out, ckpt, names=(ST.REJECTS,))
+    assert sorted(r.raw for r in spark.read.parquet(out + "/ad_rejects").collect()) == [f"{DAY1} p c x 1", "garbage"]
