@@ -55,7 +55,7 @@ def _prep(spark: SparkSession) -> None:
 def _rolled(spark, sf_dir, p: TaskParams, with_lists: bool = True):
     _prep(spark)
     t = DriverTables(spark, sf_dir)
-    return t, S.session_rollup(actions_in_range(t.actions(), p), with_lists)
+    return t, S.session_rollup(actions_in_range(t.actions(p), p), with_lists)
 
 
 def _filtered(spark, sf_dir, p: TaskParams, with_lists: bool = True):
@@ -87,7 +87,7 @@ def _lean_filtered(spark, sf_dir, p: TaskParams):
     _prep(spark)
     t = DriverTables(spark, sf_dir)
     rolled = S.session_rollup(
-        actions_in_range(t.actions(), p), with_lists=False, keywords=p.keywords, category_ids=p.category_ids
+        actions_in_range(t.actions(p), p), with_lists=False, keywords=p.keywords, category_ids=p.category_ids
     )
     return t, S.filter_sessions(S.session_profile(rolled, t.users()), p)
 
@@ -102,7 +102,7 @@ def q_session_aggr_stat_filtered(spark, sf_dir):
 
 def _filtered_actions(spark, sf_dir, p=DEFAULT_PARAMS):
     t, filt = _lean_filtered(spark, sf_dir, p)
-    return t, filt, S.actions_of_sessions(actions_in_range(t.actions(), p), filt)
+    return t, filt, S.actions_of_sessions(actions_in_range(t.actions(p), p), filt)
 
 
 def _sample(spark, sf_dir):
@@ -113,14 +113,14 @@ def _sample(spark, sf_dir):
 def q_session_random_extract(spark, sf_dir):
     # lists only for the sampled sessions (at most SAMPLE_TOTAL: a bounded broadcast)
     t, sample = _sample(spark, sf_dir)
-    acts = actions_in_range(t.actions(), DEFAULT_PARAMS)
+    acts = actions_in_range(t.actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
     lists = S.session_lists(acts.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi"))
     return SM.sample_output(sample.join(lists, "session_id"))
 
 
 def q_session_sample_detail(spark, sf_dir):
     t, sample = _sample(spark, sf_dir)
-    acts = actions_in_range(t.actions(), DEFAULT_PARAMS)
+    acts = actions_in_range(t.actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
     # the sample has at most SAMPLE_TOTAL rows: a bounded broadcast
     return S.detail_rows(acts.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi"))
 
@@ -139,7 +139,7 @@ def q_top10_category(spark, sf_dir):
 
 def _top_sessions(spark, sf_dir):
     t, filt = _lean_filtered(spark, sf_dir, DEFAULT_PARAMS)
-    ranged = actions_in_range(t.actions(), DEFAULT_PARAMS)
+    ranged = actions_in_range(t.actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
     top10 = C.top_categories(C.category_counts(S.actions_of_sessions(ranged, filt)))
     # category filter (10 rows, broadcast) before the semi join with sessions
     return ranged, C.top_sessions_per_category(ranged, top10, sessions=filt)
@@ -158,7 +158,7 @@ def q_top10_session_detail(spark, sf_dir):
 
 def _page_actions(spark, sf_dir):
     _prep(spark)
-    return actions_in_range(DriverTables(spark, sf_dir).actions(), DEFAULT_PARAMS)
+    return actions_in_range(DriverTables(spark, sf_dir).actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
 
 
 def q_page_pairs(spark, sf_dir):
@@ -172,7 +172,7 @@ def q_page_convert_rate(spark, sf_dir):
 def _area_counts(spark, sf_dir):
     _prep(spark)
     t = DriverTables(spark, sf_dir)
-    clicks = click_product_pairs(t.lineitem_clicks(), DEFAULT_PARAMS)
+    clicks = click_product_pairs(t.lineitem_clicks(DEFAULT_PARAMS), DEFAULT_PARAMS)
     return t, P.area_product_counts(clicks, t.cities())
 
 
@@ -188,7 +188,7 @@ def q_area_top3_product(spark, sf_dir):
 def q_area_top3_product_inline_cities(spark, sf_dir):
     _prep(spark)
     t = DriverTables(spark, sf_dir)
-    clicks = click_product_pairs(t.actions(), DEFAULT_PARAMS)
+    clicks = click_product_pairs(t.actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
     counts = P.area_product_counts(clicks, city_dimension(spark), broadcast_cities=True)
     return P.area_top3_products(counts, t.products())
 
@@ -203,7 +203,11 @@ def q_area_top3_product_sql(spark, sf_dir):
     t = DriverTables(spark, sf_dir)
     register_sql_functions(spark)
     register_views(
-        {"user_visit_action": t.actions(), "city_info": city_dimension(spark), "product_info": t.products()}
+        {
+            "user_visit_action": t.actions(DEFAULT_PARAMS),
+            "city_info": city_dimension(spark),
+            "product_info": t.products(),
+        }
     )
     return build_sql(spark, DEFAULT_PARAMS)
 

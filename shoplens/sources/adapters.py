@@ -129,6 +129,17 @@ def clicks_from_lineitem(lineitem: DataFrame, orders: DataFrame, customer: DataF
     )
 
 
+def ts_in_dates(ts_col: str, start_date: str, end_date: str):
+    """``ts`` inside the inclusive date range, on the raw column.
+
+    Same rows as filtering the derived ``date`` string, but the predicate is
+    on a scan column, so the parquet reader skips row groups outside it.
+    """
+    lo = F.lit(start_date).cast("date").cast("timestamp_ntz")
+    hi = F.date_add(F.lit(end_date).cast("date"), 1).cast("timestamp_ntz")
+    return (F.col(ts_col) >= lo) & (F.col(ts_col) < hi)
+
+
 class DriverTables:
     """Lazy access to the adapted tables of one scale-factor folder."""
 
@@ -139,8 +150,12 @@ class DriverTables:
     def raw(self, name: str) -> DataFrame:
         return load_table(self.spark, self.root, name)
 
-    def actions(self) -> DataFrame:
-        return actions_from_events(self.raw("events"))
+    def actions(self, params=None) -> DataFrame:
+        """Adapted actions; with ``params`` the date range is also pushed to the scan."""
+        events = self.raw("events")
+        if params is not None:
+            events = events.where(ts_in_dates("ts", params.start_date, params.end_date))
+        return actions_from_events(events)
 
     def users(self) -> DataFrame:
         return users_from_customer(self.raw("customer"))
@@ -154,5 +169,9 @@ class DriverTables:
     def cities(self) -> DataFrame:
         return cities_from_nation(self.raw("nation"), self.raw("region"))
 
-    def lineitem_clicks(self) -> DataFrame:
-        return clicks_from_lineitem(self.raw("lineitem"), self.raw("orders"), self.raw("customer"))
+    def lineitem_clicks(self, params=None) -> DataFrame:
+        """Line-item clicks; with ``params`` the ship-date range is pushed to the scan."""
+        lineitem = self.raw("lineitem")
+        if params is not None:
+            lineitem = lineitem.where(ts_in_dates("l_shipdate", params.start_date, params.end_date))
+        return clicks_from_lineitem(lineitem, self.raw("orders"), self.raw("customer"))

@@ -53,3 +53,20 @@ def test_bounded_sides_are_broadcast(spark):
     assert "BroadcastHashJoin" in plan
     plan = _plan(spark, "session_sample_detail")
     assert "BroadcastHashJoin" in plan
+
+
+def test_adapter_date_range_reaches_the_scan_and_keeps_the_same_rows(spark):
+    from shoplens.params import TaskParams
+    from shoplens.sources.adapters import DriverTables
+    from shoplens.sources.tables import actions_in_range
+    from tests.conftest import sorted_rows
+
+    t = DriverTables(spark, SF_SMALL)
+    p = TaskParams(start_date="2024-01-05", end_date="2024-01-09")
+    pushed = actions_in_range(t.actions(p), p).select("session_id", "tie")
+    derived = actions_in_range(t.actions(), p).select("session_id", "tie")
+    assert sorted_rows(pushed) == sorted_rows(derived) and pushed.count() > 0
+    plan = pushed._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(ts," in plan and "GreaterThanOrEqual(ts," in plan
+    li = t.lineitem_clicks(p)
+    assert li.count() == t.lineitem_clicks().where("date between '2024-01-05' and '2024-01-09'").count()
