@@ -63,7 +63,7 @@ def _filtered(spark, sf_dir, p: TaskParams, with_lists: bool = True):
     return t, S.filter_sessions(S.session_profile(rolled, t.users()), p)
 
 
-PROFILE_COLS = ["age", "professional", "city", "sex"]
+PROFILE_COLS = ("age", "professional", "city", "sex")
 
 
 def q_session_rollup(spark, sf_dir):
@@ -73,13 +73,12 @@ def q_session_rollup(spark, sf_dir):
 
 def q_session_user_profile(spark, sf_dir):
     t, rolled = _rolled(spark, sf_dir, DEFAULT_PARAMS)
-    prof = S.session_profile(rolled, t.users())
-    return S.session_output(prof).join(prof.select("session_id", *PROFILE_COLS), "session_id")
+    return S.session_output(S.session_profile(rolled, t.users()), PROFILE_COLS)
 
 
 def q_session_task_filter(spark, sf_dir):
     _, filt = _filtered(spark, sf_dir, FILTER_PARAMS)
-    return S.session_output(filt).join(filt.select("session_id", *PROFILE_COLS), "session_id")
+    return S.session_output(filt, PROFILE_COLS)
 
 
 def _lean_filtered(spark, sf_dir, p: TaskParams):

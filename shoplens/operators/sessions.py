@@ -186,9 +186,10 @@ def detail_rows(actions: DataFrame) -> DataFrame:
     )
 
 
-def session_output(sessions: DataFrame) -> DataFrame:
+def session_output(sessions: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Flatten a rolled-up session for output: lists joined with ','."""
     return sessions.select(
+        *extra,
         "session_id",
         "user_id",
         "start_time",
