@@ -40,7 +40,7 @@ from shoplens.params import TaskParams  # noqa: E402
 from shoplens.sources.adapters import DriverTables  # noqa: E402
 from shoplens.sources.tables import actions_in_range, city_dimension, click_product_pairs  # noqa: E402
 from shoplens.sinks.merge import append_new, merge_add, replace_groups  # noqa: E402
-from shoplens.spark import ensure_checkpoint_dir  # noqa: E402
+from shoplens.spark import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from shoplens.streaming import ad_stream as ST  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -138,6 +138,10 @@ def q_top10_category(spark, sf_dir):
 
 def _top_sessions(spark, sf_dir):
     t, filt = _lean_filtered(spark, sf_dir, DEFAULT_PARAMS)
+    # the filtered sessions feed two branches: materialise them once, as the
+    # session job does (shared checkpoint folder; set only where unset)
+    ensure_checkpoint_dir(spark)
+    filt = cut_lineage(filt)
     ranged = actions_in_range(t.actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
     top10 = C.top_categories(C.category_counts(S.actions_of_sessions(ranged, filt)))
     # category filter (10 rows, broadcast) before the semi join with sessions
