@@ -26,6 +26,7 @@ def spark(tmp_path_factory):
         .appName("shoplens-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.local.dir", str(tmp_path_factory.mktemp("spark-local")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     )
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)

@@ -8,7 +8,7 @@ from shoplens.plans import page_job, product_job, session_job
 from shoplens.params import TaskParams
 from shoplens.sinks.merge import append_new, merge_add, merge_overwrite, replace_groups
 from shoplens.sinks.versioned import VersionedTable, upsert_partitions
-from shoplens.sinks.writers import JdbcSink, MemorySink, ParquetSink, read_jdbc
+from shoplens.sinks.writers import JdbcSink, MemorySink, ParquetSink, TableSink, read_jdbc
 from shoplens.sources.adapters import DriverTables
 from tests.conftest import SF_SMALL, sorted_rows
 
@@ -130,3 +130,11 @@ def test_log_epochs_and_version_expiry(spark, tmp_path):
     assert sorted(os.listdir(os.path.join(root, "_commits"))) == ["epoch=3"]
     again = VersionedTable(spark, root, schema, partition_col="date", epoch_size=2)
     assert sorted_rows(again.read(), "date", "k", "v") == want and again.version() == 6
+
+
+def test_table_sink_replaces_a_managed_table(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], KV)
+    sink = TableSink(mode="overwrite", prefix="shoplens_test_")
+    sink.write("kv", df)
+    sink.write("kv", df)  # K8: drop + save, not append
+    assert sorted_rows(spark.table("shoplens_test_kv")) == [("a", 1), ("b", 2)]
