@@ -25,6 +25,7 @@ checkpoint (offsets and state survive restarts and lost executors, Q18):
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -237,6 +238,7 @@ def start_ad_queries(
     names: tuple[str, ...] = QUERY_NAMES,
     day_watermark: str = "25 hours",
     minute_watermark: str = "1 hour",
+    name_suffix: str = "",
 ) -> dict[str, StreamingQuery]:
     """Start the named queries; ``trigger`` defaults to the reference's 5 s batches.
 
@@ -251,7 +253,7 @@ def start_ad_queries(
     if REJECTS in names:
         # plain file sink: exactly-once appends through its own checkpoint
         started[REJECTS] = (
-            rejected.writeStream.queryName(REJECTS)
+            rejected.writeStream.queryName(REJECTS + name_suffix)
             .format("parquet")
             .option("path", f"{output_root.rstrip('/')}/{REJECTS}")
             .option("checkpointLocation", f"{checkpoint_root}/{REJECTS}")
@@ -261,7 +263,7 @@ def start_ad_queries(
     for name in [n for n in names if n != REJECTS]:
         df, mode, handler = _query(clicks, tables, name, threshold, day_watermark, minute_watermark)
         started[name] = (
-            df.writeStream.queryName(name)
+            df.writeStream.queryName(name + name_suffix)
             .outputMode(mode)
             .option("checkpointLocation", f"{checkpoint_root}/{name}")
             .foreachBatch(handler)
@@ -279,9 +281,12 @@ def run_available(spark: SparkSession, source_path: str, output_root: str, check
     The blacklist query runs to completion first, so the stats query sees
     the final blacklist -- the same result as the batch twin.
     """
+    # active query names must be unique in a session: one suffix per run
+    suffix = "_" + uuid.uuid4().hex[:8]
     for name in [n for n in QUERY_NAMES + (REJECTS,) if n in names]:
         lines = file_source(spark, source_path, max_files_per_trigger)
         start_ad_queries(
-            spark, lines, output_root, checkpoint_root, threshold, {"availableNow": True}, (name,)
+            spark, lines, output_root, checkpoint_root, threshold, {"availableNow": True}, (name,),
+            name_suffix=suffix,
         )[name].awaitTermination()
     return AdTables.at(spark, output_root)
