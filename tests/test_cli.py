@@ -30,3 +30,18 @@ def test_cli_runs_batch_jobs(spark, tmp_path):
     assert spark.read.parquet(out + "/page_split_convert_rate").count() == 1
     assert spark.read.parquet(out + "/area_top3_product").count() > 0
     assert spark.read.parquet(out + "/ad_blacklist").count() > 0
+
+
+def test_cli_ad_stream_available_now(spark, tmp_path):
+    day = 1704067200000
+    lines = [f"{day + i * 1000} p c 7 1" for i in range(3)] + ["junk"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / "log"))
+    out = str(tmp_path / "out")
+    args = ["ad-stream", "--log", str(tmp_path / "log"), "--out", out, "--checkpoint", str(tmp_path / "ckpt"),
+            "--threshold", "2", "--available-now"]
+    assert main(args) == 0
+    from shoplens.streaming.ad_stream import AdTables
+
+    tables = AdTables.at(spark, out)
+    assert [r.userid for r in tables.blacklist.read().collect()] == [7]
+    assert spark.read.parquet(out + "/ad_rejects").count() == 1
