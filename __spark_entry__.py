@@ -43,6 +43,12 @@ from shoplens.sinks.merge import append_new, merge_add, replace_groups  # noqa:
 from shoplens.spark import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from shoplens.streaming import ad_stream as ST  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline
+    from shoplens.llm import queries as LLM
+except ImportError:
+    corpus_pipeline = LLM = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -352,10 +358,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ad_stat": q_stream_ad_stat,
         "stream_ad_trend": q_stream_ad_trend,
         "stream_blacklist": q_stream_blacklist,
+        **(LLM.queries() if LLM else {}),
+        **({"pipeline": corpus_pipeline.run} if LLM else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_sql import oracle_queries
 
-    return oracle_queries()
+    own = oracle_queries()
+    if LLM:
+        own |= LLM.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own
