@@ -16,6 +16,7 @@ from shoplens.llm.bpe_trie import decode_documents, encode_documents
 from shoplens.llm.common import load, materialise, prepare
 from shoplens.llm.exact_dedup import drop_duplicates
 from shoplens.llm.mixing import mix
+from shoplens.llm.near_dedup import drop_near_duplicates
 from shoplens.llm.quality_classifier import keep_good
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,6 +33,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) the document with the smallest id."""
+    prepare(spark)
+    return drop_near_duplicates(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per epoch of each document the mix takes."""
     prepare(spark)
@@ -48,6 +55,7 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality_classifier),
     ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
     ("source mix", source_mix),
     ("bpe encoding", bpe_encoding),
 ]
