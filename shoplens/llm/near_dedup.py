@@ -14,8 +14,9 @@ concentrated about their similarity as T independent samples would be.
    member; those pairs are confirmed on full sets, and links are contracted.
 4. In buckets that still hold several components, every member outside the
    bucket's largest component is compared with all members of other
-   components, block by block, so no pair inside a component is ever made.
-   Pairs whose estimate could reach the threshold are confirmed on full sets.
+   components, block by block, so no pair inside a component is ever looked
+   at.  The blocks carry the texts: pairs whose estimate could reach the
+   threshold are confirmed on full sets in place, and only links leave.
 5. Components of all confirmed links.
 
 A pair at the threshold shares no bucket with probability below 4e-6, and is
@@ -51,6 +52,8 @@ BINS = BANDS * ROWS
 #: Pairs with fewer equal bins are not worth a look: 3.8 standard deviations below the threshold.
 CUT = 109
 BLOCK_ROWS = 1024
+#: Blocks that carry texts are smaller.
+TEXT_BLOCK_ROWS = 256
 _SEEDS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 2 * BINS, dtype=np.uint64)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _FRACTION = np.uint64((1 << 48) - 1)
@@ -170,32 +173,67 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _pairs(first, second)
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components between a block of members and a block of outsiders.
+def _across(size: int, threshold: int):
+    """Links of different components between a block of members and a block of outsiders.
 
-    A pair is made in the first band it agrees on, and only there.
+    A pair is looked at in the first band it agrees on, and only there; one
+    link of an outsider to a component settles the others of that component.
     """
-    for group in _groups(batches, ["bucket", "block", "out_block"]):
+
+    def links(group: pa.Table) -> pa.RecordBatch:
         band = group.column("band")[0].as_py()
         side = np.array(group.column("as_outsider").to_pylist())
         outsider = np.array(group.column("outsider").to_pylist())
-        cls = np.array(group.column("cls").to_pylist(), object)
-        comp = np.array(group.column("component").to_pylist(), object)
+        cls, comp = group.column("cls").to_pylist(), group.column("component").to_pylist()
+        number = {c: i for i, c in enumerate(dict.fromkeys(comp))}
+        own = np.array([number[c] for c in comp])
         sketch = _matrix(group.column("sketch"))
+        texts = group.column("text").combine_chunks()
         members = np.flatnonzero(~side)
+        sets = _Sets(texts, size)
         first, second = [], []
         for o in np.flatnonzero(side):
-            near = members[(sketch[members] == sketch[o]).sum(1) >= CUT]
-            near = near[comp[near] != comp[o]]
-            for x in near:
+            equal = (sketch[members] == sketch[o]).sum(1)
+            near = np.flatnonzero((equal >= CUT) & (own[members] != own[o]))
+            linked: set[int] = set()
+            for x in members[near[np.argsort(-equal[near], kind="stable")]]:
                 # two outsiders meet twice; one meeting is enough
-                if outsider[x] and cls[x] > cls[o]:
+                if own[x] in linked or outsider[x] and cls[x] > cls[o]:
                     continue
                 agree = (sketch[x] == sketch[o]).reshape(BANDS, ROWS).all(1)
-                if int(np.argmax(agree)) == band:
+                if int(np.argmax(agree)) == band and similar(sets[x], sets[o], threshold):
+                    linked.add(own[x])
                     first.append(max(cls[x], cls[o]))
                     second.append(min(cls[x], cls[o]))
-        yield _pairs(first, second)
+        return _pairs(first, second)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["bucket", "block", "out_block"]):
+            yield links(group)
+
+    return run
+
+
+class _Sets:
+    """Sets of a block's texts, made when asked for; a bounded number of shingles is held."""
+
+    def __init__(self, texts: pa.Array, size: int, most: int = 4_000_000):
+        self.texts, self.size, self.most, self.held, self.n = texts, size, most, {}, 0
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if i not in self.held:
+            found, _ = shingle_sets(self.texts.slice(i, 1), self.size)
+            if self.n + len(found) > self.most:
+                self.held, self.n = {}, 0
+            self.held[i] = found
+            self.n += len(found)
+        return self.held[i]
+
+
+def similar(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
+    """Does the similarity of two sorted sets reach ``threshold`` per cent?"""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both > 0 and 100 * both >= threshold * (len(a) + len(b) - both)
 
 
 def _confirm(size: int, threshold: int):
@@ -206,11 +244,10 @@ def _confirm(size: int, threshold: int):
             for part in slices(batch, "text_a", 1 << 19):
                 sets_a, ptr_a = shingle_sets(column(part, "text_a"), size)
                 sets_b, ptr_b = shingle_sets(column(part, "text_b"), size)
-                keep = []
-                for i in range(part.num_rows):
-                    a, b = sets_a[ptr_a[i] : ptr_a[i + 1]], sets_b[ptr_b[i] : ptr_b[i + 1]]
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    keep.append(both > 0 and 100 * both >= threshold * (len(a) + len(b) - both))
+                keep = [
+                    similar(sets_a[ptr_a[i] : ptr_a[i + 1]], sets_b[ptr_b[i] : ptr_b[i + 1]], threshold)
+                    for i in range(part.num_rows)
+                ]
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -256,15 +293,19 @@ class NearDuplicates:
             "near-members",
         )
 
-    def confirmed(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs that are links; texts travel only for classes that are in a pair."""
-        named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    def texts(self, named: DataFrame, classes: DataFrame) -> DataFrame:
+        """(cls, text) of the classes in ``named`` (distinct)."""
         named = materialise(named.join(classes.select("cls", "id", "print"), "cls"), "near-named")
         here = named.select("cls", F.col("id").alias("c_id"), F.col("print").alias("c_print"))
         rows = self.rows.join(
             sized(here, 64), (F.col("print") == F.col("c_print")) & F.col("id").eqNullSafe(F.col("c_id"))
         )
-        texts = materialise(rows.select("cls", "text").dropDuplicates(["cls"]), "near-texts")
+        return materialise(rows.select("cls", "text").dropDuplicates(["cls"]), "near-texts")
+
+    def confirmed(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs that are links; texts travel only for classes that are in a pair."""
+        named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+        texts = self.texts(named, classes)
         both = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
         both = both.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
         both = both.select("a", "b", "text_a", "text_b")
@@ -279,43 +320,52 @@ class NearDuplicates:
         pairs = self._dealt(rows, "bucket", "block").mapInArrow(_forest, "a binary, b binary")
         return materialise(pairs.distinct(), "near-pairs")
 
-    def remaining_pairs(self, members: DataFrame, classes: DataFrame, of: DataFrame, tested: DataFrame) -> DataFrame:
-        """Untested pairs across components that share a bucket and whose estimate reaches the cut."""
-        placed = members.join(of, F.col("cls") == F.col("node"), "left").drop("node")
+    def remaining_links(self, members: DataFrame, classes: DataFrame, of: DataFrame) -> DataFrame:
+        """Links across components that share a bucket, confirmed in blocks."""
+        placed = members.drop("block", "blocks").join(of, F.col("cls") == F.col("node"), "left").drop("node")
         placed = materialise(placed.withColumn("component", F.coalesce("component", "cls")), "near-placed")
         sizes = placed.groupBy("bucket", "component").count().groupBy("bucket")
         sizes = sizes.agg(
             F.max_by("component", F.struct("count", "component")).alias("largest"),
+            F.sum("count").alias("all"),
             (F.sum("count") - F.max("count")).alias("outside"),
         )
-        unresolved = sizes.where("outside > 0").withColumn("out_blocks", F.ceil(F.col("outside") / BLOCK_ROWS).cast("int"))
+
+        def parts(n: str):
+            return F.ceil(F.col(n) / TEXT_BLOCK_ROWS).cast("int")
+
+        # the only pair of a bucket of two has been confirmed or lies below the cut
+        unresolved = sizes.where("outside > 0 and all > 2").select(
+            "bucket", "largest", parts("all").alias("blocks"), parts("outside").alias("out_blocks")
+        )
         unresolved = materialise(unresolved, "near-unresolved")
         rows = placed.join(sized(unresolved, 64), "bucket")
-        rows = rows.withColumn("outsider", F.col("component") != F.col("largest"))
-        rows = rows.join(classes.select("cls", "sketch"), "cls")
-        own = F.pmod(F.xxhash64("cls"), "out_blocks").cast("int")
+        rows = materialise(rows.withColumn("outsider", F.col("component") != F.col("largest")), "near-unplaced")
+        texts = self.texts(rows.select("cls").distinct(), classes)
+        rows = rows.join(classes.select("cls", "sketch").join(texts, "cls"), "cls")
+
+        def own(n: str):
+            return F.pmod(F.xxhash64("cls", F.lit(n)), n).cast("int")
 
         def each(n: str):
             return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-        columns = ["bucket", "block", "out_block", "band", "cls", "component", "sketch", "outsider", "as_outsider"]
-        as_member = rows.withColumn("out_block", each("out_blocks")).withColumn("as_outsider", F.lit(False))
-        as_outsider = rows.where("outsider").withColumn("out_block", own).drop("block")
-        as_outsider = as_outsider.withColumn("block", each("blocks")).withColumn("as_outsider", F.lit(True))
-        both = as_member.select(*columns).unionByName(as_outsider.select(*columns))
-        pairs = self._dealt(both, "bucket", "block", "out_block").mapInArrow(_across, "a binary, b binary")
-        return materialise(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        columns = ["bucket", "block", "out_block", "band", "cls", "component", "sketch", "text", "outsider", "as_outsider"]
+        as_member = rows.withColumn("block", own("blocks")).withColumn("out_block", each("out_blocks"))
+        as_outsider = rows.where("outsider").withColumn("out_block", own("out_blocks")).withColumn("block", each("blocks"))
+        both = as_member.withColumn("as_outsider", F.lit(False)).select(*columns)
+        both = both.unionByName(as_outsider.withColumn("as_outsider", F.lit(True)).select(*columns))
+        dealt = self._dealt(both, "bucket", "block", "out_block")
+        return materialise(dealt.mapInArrow(_across(self.size, self.threshold), "a binary, b binary"), "near-links")
 
     def find(self) -> DataFrame:
         """(id, print, n_shingles, component_id): one row per document."""
         signatures = self.signatures()
         classes = self.classes(signatures)
         members = self.members(classes)
-        tested = self.forest_pairs(members, classes)
-        links = self.confirmed(tested, classes)
-        rest = self.remaining_pairs(members, classes, materialise(components(links), "near-of"), tested)
-        links = links.unionByName(self.confirmed(rest, classes))
-        of = components(links)
+        links = self.confirmed(self.forest_pairs(members, classes), classes)
+        rest = self.remaining_links(members, classes, materialise(components(links), "near-of"))
+        of = components(links.unionByName(rest))
         # the smallest id of every component of several classes, then of every class
         named = classes.select("cls", "id").join(of, F.col("cls") == F.col("node"), "left")
         named = named.withColumn("component", F.coalesce("component", "cls")).drop("node")
