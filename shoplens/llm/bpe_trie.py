@@ -28,17 +28,19 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from shoplens.llm.common import column, slices, text_of
-from shoplens.llm.tokenizing import PieceCache, broadcast_tokenizer, library_tokenizer
+from shoplens.llm.common import column, slices, text_of, utf8_buffers
+from shoplens.llm.piece_table import PieceTable, Ragged
+from shoplens.llm.tokenizing import Units, broadcast_tokenizer, id_type, library_tokenizer
 
 MAX_NODES = 500_000
 MAX_PAIRS = 500_000
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 1_000_000
 #: Longer words are merged directly instead of growing the trie.
 LONGEST_IN_TRIE = 64
 
@@ -63,7 +65,7 @@ class TrieEncoder:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
         self.text_of_id = {i: t for t, i in self.vocab.items()}
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
+        self.inner, self.final = self._suffixes(False), self._suffixes(True)
         self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
         self._clear()
@@ -73,6 +75,18 @@ class TrieEncoder:
         self.last: list[int] = [-1]
         self.span: list[int] = [0]
 
+    def _suffixes(self, final: bool) -> dict:
+        """Tokens spelled backwards as nested dicts, with (``final``) or without the word end; "" holds the id."""
+        root: dict = {}
+        for token, i in self.vocab.items():
+            ends = bool(self.end) and token.endswith(self.end) and len(token) > len(self.end)
+            if ends == final:
+                node = root
+                for c in reversed(token[: -len(self.end)] if ends else token):
+                    node = node.setdefault(c, {})
+                node[""] = i
+        return root
+
     def symbols(self, token: str) -> list[int]:
         """Ids of the characters; the last one carries the word end if the token has it."""
         if self.end and token.endswith(self.end) and len(token) > len(self.end):
@@ -107,19 +121,30 @@ class TrieEncoder:
             self.pairs[key] = self.merge(self.symbols(self.text_of_id[a]) + self.symbols(self.text_of_id[b])) == [a, b]
         return self.pairs[key]
 
-    def _state(self, word: str, depth: int, path: list[int], suffix: str) -> tuple[int, int]:
-        """Last token of ``word[:depth] + suffix`` and its length; ``path[d]``: node of ``word[:d]``."""
-        vocab, last, whole, pairs = self.vocab, self.last, self.whole, self.pairs
-        for n in range(min(depth, self.longest), 0, -1):
-            token = vocab.get(word[depth - n : depth] + suffix)
-            if token is None or not (whole.get(token) or self._is_whole(token)):
+    def _state(self, word: str, depth: int, path: list[int], final: bool) -> tuple[int, int]:
+        """Last token of ``word[:depth]`` (as a word's end if ``final``) and its length.
+
+        ``path[d]`` is the node of ``word[:d]``.  Exactly one candidate is whole
+        and compatible with what stands before it.
+        """
+        last, pairs, node = self.last, self.pairs, self.final if final else self.inner
+        for at in range(depth - 1, -1, -1):
+            node = node.get(word[at])
+            if node is None:
+                break
+            token = node.get("")
+            if token is None:
                 continue
-            if n == depth:
-                return token, n
-            before = last[path[depth - n]]
+            if at == 0:
+                if self._is_whole(token):
+                    return token, depth
+                continue
+            before = last[path[at]]
             ok = pairs.get(before << 20 | token)
-            if ok or ok is None and self._compatible(before, token):
-                return token, n
+            if ok is None:
+                ok = self._compatible(before, token)
+            if ok:
+                return token, depth - at
         raise ValueError(f"no token ends {word[:depth]!r}")
 
     def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
@@ -143,7 +168,7 @@ class TrieEncoder:
             for depth in range(shared + 1, len(word) + (not self.end)):
                 node = self.children[path[-1]].get(word[depth - 1])
                 if node is None:
-                    token, n = self._state(word, depth, path, "")
+                    token, n = self._state(word, depth, path, False)
                     node = len(self.last)
                     self.children[path[-1]][word[depth - 1]] = node
                     self.children.append({})
@@ -152,7 +177,7 @@ class TrieEncoder:
                 path.append(node)
             # the end node's state: read at once, it has no children
             if self.end:
-                token, n = self._state(word, len(word), path, self.end)
+                token, n = self._state(word, len(word), path, True)
             else:
                 token, n = self.last[path[len(word)]], self.span[path[len(word)]]
             ids, at = [token], len(word) - n
@@ -165,17 +190,12 @@ class TrieEncoder:
         return out
 
 
-#: Pieces of Latin letters followed by ASCII punctuation split without the library:
-#: composed letters stay as they are and lower-case one to one.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\\[-`{-~]*)")
-
-
-class PieceEncoder:
-    """Ids of pieces: the library normalises and splits, the trie encodes."""
+class UnitEncoder:
+    """Ids of units: the library normalises and splits odd ones, the trie encodes all."""
 
     def __init__(self, text: str):
         spec = json.loads(text)
-        self.trie = TrieEncoder(text)
+        self.trie, self.dtype = TrieEncoder(text), id_type(text)
         tok = library_tokenizer(text)
         self.normalize = tok.normalizer.normalize_str if tok.normalizer else str
         self.pre_tokenize = tok.pre_tokenizer.pre_tokenize_str
@@ -184,15 +204,10 @@ class PieceEncoder:
         self.find_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
         self.alphabet = str.maketrans({chr(b): c for b, c in enumerate(byte_alphabet())})
 
-    def _level(self, text: str) -> str:
-        return text if text.isascii() else text.encode().decode("latin-1").translate(self.alphabet)
-
-    def _split(self, piece: bytes) -> list[str | int]:
+    def _split(self, text: str, odd: bool) -> list[str | int]:
         """Words, and the ids of special strings."""
-        text = piece.decode("utf-8")
-        simple = _SIMPLE.fullmatch(text)
-        if simple and not (self.find_special and self.find_special.search(text)):
-            return [self._level(x) for x in (simple[1].lower(), simple[2]) if x]
+        if not odd:
+            return [text if text.isascii() else text.encode().decode("latin-1").translate(self.alphabet)]
         out: list[str | int] = []
         for part in self.find_special.split(text) if self.find_special else [text]:
             if part in self.special:
@@ -201,11 +216,15 @@ class PieceEncoder:
                 out += [w for w, _ in self.pre_tokenize(self.normalize(part))]
         return out
 
-    def encode(self, pieces: list[bytes]) -> Iterator[list[int]]:
-        split = [self._split(p) for p in pieces]
+    def encode(self, units: list[str], odd) -> Iterator[list[int]]:
+        split = [self._split(u, o) for u, o in zip(units, odd)]
         ids = self.trie.encode_words(list({w for ws in split for w in ws if isinstance(w, str)}))
         for ws in split:
-            yield [i for w in ws for i in (ids[w] if isinstance(w, str) else (w,))]
+            yield ids[ws[0]] if len(ws) == 1 and isinstance(ws[0], str) else [i for w in ws for i in (ids[w] if isinstance(w, str) else (w,))]
+
+    def __call__(self, units: list[str], odd) -> list[tuple[np.ndarray, np.ndarray]]:
+        found = list(self.encode(units, odd))
+        return [(np.array([i for x in found for i in x], self.dtype), np.array(list(map(len, found)), np.int64))]
 
 
 def id_texts(text: str) -> dict[int, str]:
@@ -221,30 +240,48 @@ def decode(ids: list[int], texts: dict[int, str]) -> str:
     return " ".join(texts[i] for i in ids if i in texts)
 
 
-_workers: dict[str, tuple[PieceCache, dict[int, str]]] = {}
+class Worker:
+    """What a worker process keeps: the table of units, and what is written for each id."""
 
+    def __init__(self, text: str):
+        encoder = UnitEncoder(text)
+        self.table, self.texts = PieceTable(encoder, [encoder.dtype], CACHE_ENTRIES), id_texts(text)
+        top = max(self.texts) + 1
+        self.decimal = self._spaced([str(i) for i in range(top)])
+        self.decoded = self._spaced([self.texts.get(i, "") for i in range(top)])
+
+    @staticmethod
+    def _spaced(texts: list[str]) -> Ragged:
+        """Each text with a space behind it."""
+        raw = [f"{t} ".encode() for t in texts]
+        out = Ragged(np.uint8)
+        out.extend(np.frombuffer(b"".join(raw), np.uint8), np.array(list(map(len, raw))))
+        return out
 
-def _worker(text: str) -> tuple[PieceCache, dict[int, str]]:
-    """(cache of (n, ids joined by spaces, decoded text), texts of ids) of this process."""
-    key = hashlib.sha1(text.encode()).hexdigest()
-    if key not in _workers:
-        encoder, texts = PieceEncoder(text), id_texts(text)
 
-        def compute(pieces: list[bytes]):
-            for ids in encoder.encode(pieces):
-                yield len(ids), " ".join(map(str, ids)).encode(), decode(ids, texts).encode()
+_workers: dict[str, Worker] = {}
+
 
-        _workers[key] = (PieceCache(compute, CACHE_ENTRIES), texts)
+def _worker(text: str) -> Worker:
+    key = hashlib.sha1(text.encode()).hexdigest()
+    if key not in _workers:
+        _workers[key] = Worker(text)
     return _workers[key]
 
 
-def _encoded(batch: pa.RecordBatch, vocabulary: str) -> Iterator[tuple[pa.RecordBatch, list[list[tuple]]]]:
-    """Slices and, per document, the (n, ids, decoded) of its pieces with ids."""
-    cache, _ = _worker(vocabulary)
+def _encoded(batch: pa.RecordBatch, own: Worker) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices, the ids of their documents end to end, and where each document's ids begin and the last end."""
     for part in slices(batch, "text"):
-        split = [t.as_py().split() for t in column(part, "text").cast(pa.large_binary())]
-        known = cache.values(set().union(*split))
-        yield part, [[v for v in map(known.__getitem__, pieces) if v[0]] for pieces in split]
+        units = Units(*utf8_buffers(column(part, "text")))
+        rows = own.table.lookup(units)
+        ids, ends = own.table.payloads[0].gather(rows)
+        yield part, ids, ends[units.ptr]
+
+
+def _digests(flat: np.ndarray, ends: np.ndarray, ptr: np.ndarray) -> pa.Array:
+    """SHA-256 of each document's texts joined by one space (each text has one behind it)."""
+    raw, at = memoryview(flat), ends[ptr].tolist()
+    return pa.array([hashlib.sha256(raw[lo : max(lo, hi - 1)]).hexdigest() for lo, hi in zip(at[:-1], at[1:])], pa.string())
 
 
 def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,13 +290,14 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, values in _encoded(batch, vocabulary.value):
+            own = _worker(vocabulary.value)
+            for part, ids, ptr in _encoded(batch, own):
                 yield pa.RecordBatch.from_arrays(
                     [
                         column(part, "id"),
-                        pa.array([sum(v[0] for v in doc) for doc in values], pa.int64()),
-                        pa.array([hashlib.sha256(b" ".join([v[1] for v in doc])).hexdigest() for doc in values], pa.string()),
-                        pa.array([hashlib.sha256(b" ".join([v[2] for v in doc])).hexdigest() for doc in values], pa.string()),
+                        pa.array(np.diff(ptr)),
+                        _digests(*own.decimal.gather(ids), ptr),
+                        _digests(*own.decoded.gather(ids), ptr),
                     ],
                     ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
@@ -278,9 +316,9 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, values in _encoded(batch, vocabulary.value):
-                ids = pa.array([[int(i) for v in doc for i in v[1].split()] for doc in values], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([column(part, "row"), ids], ["row", "ids"])
+            for part, ids, ptr in _encoded(batch, _worker(vocabulary.value)):
+                lists = pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([column(part, "row"), lists], ["row", "ids"])
 
     schema = StructType([StructField("row", row), StructField("ids", ArrayType(IntegerType()))])
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), text_of(text_col).alias("text"))
@@ -295,7 +333,7 @@ def decode_documents(docs: DataFrame, tokenizer_path: str, ids_col: str = "token
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, texts = _worker(vocabulary.value)
+            texts = _worker(vocabulary.value).texts
             out = [decode(ids or [], texts) for ids in column(batch, "ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([column(batch, "row"), pa.array(out, pa.string())], ["row", "decoded"])
 

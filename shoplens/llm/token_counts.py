@@ -1,19 +1,18 @@
 """Token counts by a map-side two-tier lookup.
 
-Tier 1 is a compact hash table, piece -> number of tokens, of the most
-frequent pieces of the whole corpus; it has a fixed number of entries and is
-broadcast.  Tier 2 is a cache in each worker process: pieces that miss the
+Tier 1 is a compact hash table, unit hash -> number of tokens, of the most
+frequent units of the whole corpus; it has a fixed number of entries and is
+broadcast.  Tier 2 is a cache in each worker process: units that miss the
 table are encoded by the library once and remembered, up to a fixed number of
-entries.  Documents are counted where they are read; no document's pieces are
-shuffled.
+entries.  Documents are counted where they are read, a slice at a time with
+array operations; no document's units are shuffled.
 
 The table is found by one pass in which every task keeps a bounded summary of
-its frequent pieces (counts below the pruning line are dropped when the
-summary is full) and sends only its top entries.  The table decides speed
+its frequent units and sends only its top entries.  The table decides speed
 alone: counts come out the same with any table.
 
 Defined results: null text counts as empty (0 bytes, 0 tokens); null and
-repeated ids each give their own row; a piece of any length is counted whole;
+repeated ids each give their own row; a unit of any length is counted whole;
 an empty table gives an empty table; other columns are ignored.
 """
 
@@ -23,48 +22,86 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import byte_lengths, column, slices, text_of
-from shoplens.llm.tokenizing import PieceCache, broadcast_tokenizer, library_ids, library_tokenizer, tokenizer_json
+from shoplens.llm.common import column, slices, text_of, utf8_buffers
+from shoplens.llm.piece_table import PieceTable
+from shoplens.llm.tokenizing import LibraryEncoder, Units, broadcast_tokenizer, tokenizer_json
 
-TABLE_ENTRIES = 32_768
-SUMMARY_ENTRIES = 150_000
+TABLE_ENTRIES = 65_536
+SLOTS = 1 << 18
+SUMMARY_ENTRIES = 100_000
 SUMMARY_SENT = 8_192
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_500_000
 LONGEST_IN_TABLE = 48
 TOKEN_LIMIT = 2048
+SLICE = 4 << 20
 
-_caches: dict[int, PieceCache] = {}
+_caches: dict[int, PieceTable] = {}
 
 
-def _pieces(texts: pa.Array) -> Iterator[list[bytes]]:
-    for t in texts.cast(pa.large_binary()):
-        yield t.as_py().split()
+def _units(part: pa.RecordBatch) -> Units:
+    return Units(*utf8_buffers(column(part, "text")))
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
+
+    def top(n: int) -> list[tuple[bytes, int]]:
+        return heapq.nlargest(n, counts.items(), key=lambda x: (x[1], x[0]))
+
     for batch in batches:
-        for part in slices(batch, "text", 4 << 20):
-            for pieces in _pieces(column(part, "text")):
-                counts.update(pieces)
+        for part in slices(batch, "text", SLICE):
+            units = _units(part)
+            _, first, n = np.unique(units.hashes(), return_index=True, return_counts=True)
+            often = np.argsort(-n, kind="stable")[:SUMMARY_SENT]
+            often = often[(units.ends - units.starts)[first[often]] <= LONGEST_IN_TABLE]
+            for i, k in zip(first[often], n[often].tolist()):
+                counts[units.data[units.starts[i] : units.ends[i]].tobytes()] += k
             if len(counts) > SUMMARY_ENTRIES:
-                top = heapq.nlargest(SUMMARY_ENTRIES // 2, counts.items(), key=lambda x: (x[1], x[0]))
-                counts = Counter(dict(top))
-    top = heapq.nlargest(SUMMARY_SENT, ((p, n) for p, n in counts.items() if len(p) <= LONGEST_IN_TABLE), key=lambda x: (x[1], x[0]))
+                counts = Counter(dict(top(SUMMARY_ENTRIES // 2)))
+    sent = top(SUMMARY_SENT)
     yield pa.RecordBatch.from_arrays(
-        [pa.array([p for p, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())], ["piece", "n"]
+        [pa.array([p for p, _ in sent], pa.binary()), pa.array([n for _, n in sent], pa.int64())], ["unit", "n"]
     )
 
 
-def frequent_pieces(docs: DataFrame, text_col: str = "text", entries: int = TABLE_ENTRIES) -> list[bytes]:
-    """The most frequent pieces of all documents, at most ``entries``."""
-    summaries = docs.select(text_of(text_col).alias("text")).mapInArrow(_summaries, "piece binary, n long")
-    top = summaries.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(entries)
-    return [bytes(r.piece) for r in top.collect()]
+class HashTable:
+    """Open addressing over two arrays; looked up for whole arrays of hashes."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, slots: int = SLOTS):
+        self.keys, self.values = np.zeros(slots, np.uint64), np.full(slots, -1, np.int32)
+        self.probes, self.mask = 0, np.uint64(slots - 1)
+        for key, value in zip(keys.tolist(), values.tolist()):
+            at, steps = key & (slots - 1), 1
+            while self.values[at] >= 0:
+                at, steps = (at + 1) & (slots - 1), steps + 1
+            self.keys[at], self.values[at] = key, value
+            self.probes = max(self.probes, steps)
+
+    def get(self, hashes: np.ndarray) -> np.ndarray:
+        """Values, -1 for unknown hashes."""
+        out = np.full(len(hashes), -1, np.int32)
+        left = np.arange(len(hashes))
+        at = hashes & self.mask
+        for _ in range(self.probes):
+            found = (self.keys[at] == hashes[left]) & (self.values[at] >= 0)
+            out[left[found]] = self.values[at[found]]
+            more = ~found & (self.values[at] >= 0)
+            left, at = left[more], (at[more] + np.uint64(1)) & self.mask
+            if not len(left):
+                break
+        return out
+
+
+def frequent_units(docs: DataFrame, text_col: str = "text", entries: int = TABLE_ENTRIES) -> list[bytes]:
+    """The most frequent units of all documents, at most ``entries``."""
+    summaries = docs.select(text_of(text_col).alias("text")).mapInArrow(_summaries, "unit binary, n long")
+    top = summaries.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(entries)
+    return [bytes(r.unit) for r in top.collect()]
 
 
 def count_tokens(
@@ -77,30 +114,34 @@ def count_tokens(
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_tokens, over_limit."""
     spark = docs.sparkSession
-    pieces = frequent_pieces(docs, text_col, entries)
-    lengths = [len(ids) for ids in library_ids(library_tokenizer(tokenizer_json(tokenizer_path)), pieces)]
-    table = spark.sparkContext.broadcast(dict(zip(pieces, lengths, strict=True)))
+    own = Units(*utf8_buffers(pa.array([u.decode() for u in frequent_units(docs, text_col, entries)], pa.string())))
+    # a table of one part for each frequent unit, encoded once here
+    known = PieceTable(LibraryEncoder(tokenizer_json(tokenizer_path)), [np.uint32], 2 * entries + 1)
+    rows = known.lookup(own)
+    table = spark.sparkContext.broadcast(HashTable(own.hashes(), known.payloads[0].lengths[rows]))
     vocabulary = broadcast_tokenizer(spark, tokenizer_path)
     key = hash(tokenizer_path) & 0xFFFFFFFF
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = table.value
         if key not in _caches:
-            tok = library_tokenizer(vocabulary.value)
-            _caches[key] = PieceCache(lambda misses: map(len, library_ids(tok, misses)), CACHE_ENTRIES)
+            encoder = LibraryEncoder(vocabulary.value)
+            _caches[key] = PieceTable(encoder, [encoder.dtype], CACHE_ENTRIES)
         cache = _caches[key]
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
-                texts = column(part, "text")
-                counts, rare = [], []
-                for split in _pieces(texts):
-                    found = list(map(frequent.get, split))
-                    counts.append(sum(filter(None, found)))
-                    rare.append([p for p, n in zip(split, found) if n is None])
-                known = cache.values(set().union(*rare))
-                counts = [n + sum(map(known.__getitem__, r)) for n, r in zip(counts, rare)]
+            for part in slices(batch, "text", SLICE):
+                units = _units(part)
+                n = frequent.get(units.hashes())
+                rare = np.flatnonzero(n < 0)
+                rows = cache.lookup(units, rare)
+                n[rare] = cache.payloads[0].lengths[rows]
+                total = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [column(part, "id"), pa.array(byte_lengths(texts), pa.int64()), pa.array(counts, pa.int64())],
+                    [
+                        column(part, "id"),
+                        pa.array(np.diff(units.offsets)),
+                        pa.array(total[units.ptr[1:]] - total[units.ptr[:-1]]),
+                    ],
                     ["id", "n_bytes", "n_tokens"],
                 )
 

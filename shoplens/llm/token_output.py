@@ -25,7 +25,6 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import json
 import os
 import uuid
 import zlib
@@ -38,22 +37,16 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import column, materialise, shared_folder, sized, slices, text_of
-from shoplens.llm.tokenizing import PieceCache, broadcast_tokenizer, library_ids, library_tokenizer, tokenizer_json
+from shoplens.llm.common import column, materialise, shared_folder, slices, text_of, utf8_buffers
+from shoplens.llm.piece_table import PieceTable
+from shoplens.llm.tokenizing import LibraryEncoder, Units, broadcast_tokenizer, id_type, tokenizer_json
 
 SEQUENCE_LENGTH = 2048
 SEQUENCES_PER_BATCH = 64
 END_ID = 1
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 1_500_000
 
-_caches: dict[str, PieceCache] = {}
-
-
-def id_type(vocabulary: str) -> np.dtype:
-    """The narrowest of 16 and 32 bits that holds every id, and the end id."""
-    spec = json.loads(vocabulary)
-    ids = [*spec["model"]["vocab"].values(), *(t["id"] for t in spec.get("added_tokens", [])), END_ID]
-    return np.dtype("<u2" if max(ids) < 1 << 16 else "<u4")
+_caches: dict[str, PieceTable] = {}
 
 
 def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -70,7 +63,7 @@ def encode_shards(
     """Rows (shard, id, ids as little-endian bytes with the end id), encoded where they are read."""
     spark = docs.sparkSession
     vocabulary = broadcast_tokenizer(spark, tokenizer_path)
-    dtype = id_type(tokenizer_json(tokenizer_path))
+    dtype = id_type(tokenizer_json(tokenizer_path), END_ID)
     steps = [i / shards for i in range(1, shards)]
     bounds = docs.select(F.percentile_approx(id_col, steps, 10_000).alias("b")).first()["b"] if steps else []
     bounds = np.array(sorted(set(bounds or [])))
@@ -79,16 +72,15 @@ def encode_shards(
         text = vocabulary.value
         key = hashlib.sha1(text.encode()).hexdigest()
         if key not in _caches:
-            tok = library_tokenizer(text)
-            _caches[key] = PieceCache(
-                lambda misses: (np.asarray(ids, dtype).tobytes() for ids in library_ids(tok, misses)), CACHE_ENTRIES
-            )
+            _caches[key] = PieceTable(LibraryEncoder(text), [dtype], CACHE_ENTRIES)
         cache, end = _caches[key], np.asarray([END_ID], dtype).tobytes()
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                split = [t.as_py().split() for t in column(part, "text").cast(pa.large_binary())]
-                known = cache.values(set().union(*split))
-                ids = [b"".join(map(known.__getitem__, pieces)) + end for pieces in split]
+                units = Units(*utf8_buffers(column(part, "text")))
+                rows = cache.lookup(units)
+                flat, ends = cache.payloads[0].gather(rows)
+                bounds_of = ends[units.ptr]
+                ids = [flat[lo:hi].tobytes() + end for lo, hi in zip(bounds_of[:-1], bounds_of[1:])]
                 own = column(part, "id")
                 shard = [0 if i is None else int(np.searchsorted(bounds, i, "left")) for i in own.to_pylist()]
                 yield pa.RecordBatch.from_arrays(
@@ -223,7 +215,7 @@ def write_token_files(
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = folder or shared_folder(spark, "token-files")
-    dtype = id_type(tokenizer_json(tokenizer_path))
+    dtype = id_type(tokenizer_json(tokenizer_path), END_ID)
     rows = encode_shards(docs, tokenizer_path, shards, id_col, text_col)
     dealt = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", F.asc_nulls_first("id"), "ids")
 

@@ -69,6 +69,8 @@ class Words:
         self.ends = np.flatnonzero(inside & (~after | first[1:])) + 1
         self.ptr = np.searchsorted(self.starts, offsets)
 
+        self._hashes: np.ndarray | None = None
+
     def __len__(self) -> int:
         return len(self.starts)
 
@@ -82,6 +84,11 @@ class Words:
 
     def hashes(self, block: int = 1 << 20) -> np.ndarray:
         """64-bit hash of each word, in blocks of about ``block`` bytes."""
+        if self._hashes is None:
+            self._hashes = self._hash(block)
+        return self._hashes
+
+    def _hash(self, block: int) -> np.ndarray:
         out = np.empty(len(self.starts), np.uint64)
         lo = 0
         while lo < len(out):
