@@ -4,8 +4,8 @@ Format of a shard (two Arrow IPC files in the shared folder):
 
 * ``*.tokens.arrow``: record batches with two columns, ``tokens``
   (fixed-size list of ``sequence_length`` unsigned integers, 16 bits if the
-  vocabulary fits) and ``mask`` (fixed-size list of uint8: 1 for a token, 0
-  for padding).  Documents follow each other without gaps, the last sequence
+  vocabulary fits) and ``mask`` (fixed-size list of booleans, a bit each: true
+  for a token, false for padding).  Documents follow each other without gaps, the last sequence
   is padded.  Sequence ``i`` of a shard is a slice of a memory-mapped batch, so
   reading it copies nothing.
 * ``*.index.arrow``: ``doc_id``, ``start`` (ids of the shard before it), ``n``.
@@ -100,7 +100,7 @@ class ShardWriter:
         self.dtype, self.length = dtype, length
         self.fs.create_dir(os.path.dirname(self.base), recursive=True)
         self.kind = pa.list_(pa.from_numpy_dtype(dtype), length)
-        self.mask_kind = pa.list_(pa.uint8(), length)
+        self.mask_kind = pa.list_(pa.bool_(), length)
         self.schema = pa.schema([("tokens", self.kind), ("mask", self.mask_kind)])
         self.index_schema = pa.schema([("doc_id", id_kind), ("start", pa.int64()), ("n", pa.int64())])
         self.out = self.fs.open_output_stream(self.base + ".tokens.arrow")
@@ -126,10 +126,10 @@ class ShardWriter:
         flat = np.frombuffer(b"".join(self.waiting), self.dtype)
         whole = len(flat) // self.length * self.length
         rest = flat[whole:]
-        mask = np.ones(whole, np.uint8)
+        mask = np.ones(whole, bool)
         if final and len(rest):
             pad = self.length - len(rest)
-            mask = np.concatenate((mask, np.ones(len(rest), np.uint8), np.zeros(pad, np.uint8)))
+            mask = np.concatenate((mask, np.ones(len(rest), bool), np.zeros(pad, bool)))
             flat, whole = np.concatenate((flat, np.zeros(pad, self.dtype))), whole + self.length
             rest = flat[whole:]
         if whole:
@@ -160,16 +160,16 @@ class ShardReader:
         self.length = self.tokens.schema.field("tokens").type.list_size
         self._ends: list[int] | None = None
 
-    def batches(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def batches(self) -> Iterator[tuple[np.ndarray, pa.BooleanArray]]:
         """(ids, mask) of each record batch, flat views of the file."""
         for i in range(self.tokens.num_record_batches):
             yield self._flat(i)
 
-    def _flat(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def _flat(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         batch = self.tokens.get_batch(i)
-        return tuple(batch.column(c).flatten().to_numpy(zero_copy_only=True) for c in (0, 1))
+        return batch.column(0).flatten().to_numpy(zero_copy_only=True), batch.column(1).flatten()
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """Tokens and mask of sequence ``i``: views of the mapped file."""
         if self._ends is None:
             self._ends = list(np.cumsum([self.tokens.get_batch(k).num_rows for k in range(self.tokens.num_record_batches)]))
@@ -194,7 +194,7 @@ class ShardReader:
                 while left:
                     if at == len(flat):
                         tokens, mask = next(source)
-                        flat, at = tokens[: int(mask.sum())], 0
+                        flat, at = tokens[: mask.true_count], 0
                     take = flat[at : at + left]
                     crc = zlib.crc32(take.astype("<u4").tobytes(), crc)
                     at, left = at + len(take), left - len(take)
