@@ -53,27 +53,39 @@ def with_statistics(rows: DataFrame, *carried: str) -> DataFrame:
     pushes no filter: a filter on a score would otherwise repeat every scan of
     the text for every rule that uses its result.
     """
-    words = F.split("text", r"[\x20\x09-\x0D]+")
-    lines = F.split("text", "\n")
+    def sizes(pieces: Column) -> Column:
+        # bound by a lambda, so that the text is split once
+        found = F.transform(F.array(pieces), lambda p: F.struct(F.size(p).alias("n"), F.size(F.array_distinct(p)).alias("kinds")))
+        return F.element_at(found, 1)
 
     def count(pattern: str) -> Column:
         return F.regexp_count("text", F.lit(pattern))
 
-    n, n_lines = F.size(words), F.size(lines)
+    counts = {
+        "words": sizes(F.split("text", r"[\x20\x09-\x0D]+")),
+        "lines": sizes(F.split("text", "\n")),
+        "chars": F.length("text"),
+        "symbols": count(r"[#*$%&|<>]"),
+        "digits": count(r"[0-9]"),
+        "shouts": count(r"\p{Lu}{2,}"),
+        "exclaims": count(r"[!?]"),
+        "stops": count(r"[.,;:]"),
+    }
+    counted = rows.select(*carried, F.inline(F.array(F.struct(F.struct(*[e.alias(k) for k, e in counts.items()]).alias("s")))))
+    n, n_lines = F.col("s.words.n"), F.col("s.lines.n")
     values = (
         n,
-        F.length("text") / n,
-        count(r"[#*$%&|<>]") / n,
-        count(r"[0-9]") / n,
-        count(r"\p{Lu}{2,}") / n,
-        count(r"[!?]") / n,
-        count(r"[.,;:]") / n,
-        F.size(F.array_distinct(words)) / n,
-        F.size(F.array_distinct(lines)) / n_lines,
+        F.col("s.chars") / n,
+        F.col("s.symbols") / n,
+        F.col("s.digits") / n,
+        F.col("s.shouts") / n,
+        F.col("s.exclaims") / n,
+        F.col("s.stops") / n,
+        F.col("s.words.kinds") / n,
+        F.col("s.lines.kinds") / n_lines,
         n / n_lines,
     )
-    row = F.struct(*[e.cast("double").alias(name) for name, e in zip(STATISTICS, values, strict=True)])
-    return rows.select(*carried, F.inline(F.array(row)))
+    return counted.select(*carried, *[e.cast("double").alias(name) for name, e in zip(STATISTICS, values, strict=True)])
 
 
 @dataclass(frozen=True)
