@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from shoplens.llm.common import column, slices, text_of, utf8_buffers
 from shoplens.llm.piece_table import PieceTable, Ragged
@@ -337,6 +337,6 @@ def decode_documents(docs: DataFrame, tokenizer_path: str, ids_col: str = "token
             out = [decode(ids or [], texts) for ids in column(batch, "ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([column(batch, "row"), pa.array(out, pa.string())], ["row", "decoded"])
 
-    schema = StructType([StructField("row", row), StructField("decoded", "string")])
+    schema = StructType([StructField("row", row), StructField("decoded", StringType())])
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{ids_col}`").alias("ids"))
     return rows.mapInArrow(run, schema).select("row.*", F.col("decoded").alias(out_col))
