@@ -1,6 +1,6 @@
 """Quality rules with cross-document line frequency.
 
-Lines are normalised (lower case, white space collapsed and trimmed) and
+Lines are normalised (A-Z lower-cased, white space collapsed and trimmed) and
 hashed.  For every host the distinct documents that contain a line are counted;
 copies of a text count as one document.  Lines in more documents than the limit
 are removed, and a document of which too little is left is rejected.  The
@@ -28,9 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from shoplens.llm.common import column, materialise, sized, slices, text_of, utf8_buffers
-from shoplens.llm.words import NON_SPACE, Words, mix, windows
+from shoplens.llm.words import NON_SPACE, Words, mix, powers, windows
 
 #: A line is frequent in more documents of its host than this ...
 MIN_DOCUMENTS = 50
@@ -40,6 +41,7 @@ MAX_SHARE = 0.02
 MIN_LEFT_SHARE = 0.3
 MIN_LEFT_WORDS = 10
 MIN_WORDS = 10
+SLICE = 1 << 18
 MAX_REPEATED_PERCENT = 20
 WINDOW = 5
 
@@ -48,23 +50,22 @@ _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 _CHARACTER = (np.arange(256) & 0xC0) != 0x80
 
 
-def normal_lines(text: Column) -> Column:
-    """The normalised lines of a text, empty ones too."""
-    return F.transform(
-        F.split(text, "\n"), lambda x: F.lower(F.trim(F.regexp_replace(x, r"[\x20\x09-\x0D]+", " ")))
-    )
-
+def line_table(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lines that have words: hash of the normalised line, its words, pointer per document.
 
-def _line_rows(text: Column) -> Column:
-    """Lines with words: hash and number of words."""
-    rows = F.transform(
-        normal_lines(text),
-        lambda x: F.struct(
-            F.when(x != "", F.xxhash64(x)).alias("line"),
-            (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("words"),
-        ),
-    )
-    return F.filter(rows, lambda r: r.line.isNotNull())
+    ``words`` are lower-cased; a line is the sequence of its words.
+    """
+    if not len(words):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(words.ptr), np.int64)
+    breaks = np.searchsorted(np.flatnonzero(words.data == 0x0A), words.starts)
+    begins = np.ones(len(words), bool)
+    begins[1:] = breaks[1:] != breaks[:-1]
+    begins[words.ptr[:-1][words.counts > 0]] = True
+    first = np.flatnonzero(begins)
+    lengths = np.diff(np.append(first, len(words)))
+    place = np.arange(len(words)) - np.repeat(first, lengths)
+    hashes = np.add.reduceat(words.hashes() * powers(int(place.max()) + 1)[place], first)
+    return mix(hashes + lengths.astype(np.uint64)), lengths, np.searchsorted(first, words.ptr)
 
 
 def _per_document(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -88,17 +89,20 @@ def _repeated_words(words: Words) -> np.ndarray:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             texts = column(part, "text")
             offsets, data = utf8_buffers(texts)
             words = Words(offsets, data, NON_SPACE, lower=False)
+            line, line_words, ptr = line_table(Words(offsets, data, NON_SPACE, lower=True))
+            rows = pa.StructArray.from_arrays([pa.array(line.view(np.int64)), pa.array(line_words, pa.int32())], ["line", "words"])
             repeated = []
             for t in texts.cast(pa.large_binary()):
                 lines = [x for x in t.as_py().split(b"\n") if x.strip()]
                 repeated.append(len(lines) - len(set(lines)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(column(part, c) for c in ("id", "host", "print", "lines")),
+                    *(column(part, c) for c in ("id", "host", "print")),
+                    pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), rows),
                     pa.array(words.counts, pa.int64()),
                     pa.array(_per_document(NON_SPACE[data] & _CHARACTER[data], offsets), pa.int64()),
                     pa.array(_per_document(_SYMBOL[data], offsets), pa.int64()),
@@ -116,7 +120,6 @@ def measure(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataF
         F.col(id_col).alias("id"),
         _host(host_col).alias("host"),
         F.xxhash64(text).alias("print"),
-        _line_rows(text).alias("lines"),
         text.alias("text"),
     )
     kind = docs.schema[id_col].dataType.simpleString()
@@ -190,18 +193,29 @@ def remove_frequent_lines(
     by_host = materialise(frequent.groupBy(F.col("host").alias("f_host")).agg(F.collect_set("line").alias("bad")), "line-lists")
     text = text_of(text_col)
     rows = docs.select(F.struct("*").alias("row"), text.alias("text"), _host(host_col).alias("host"))
-    rows = rows.join(sized(by_host, 4096), F.col("host") == F.col("f_host"), "left")
-    pairs = F.arrays_zip(F.split("text", "\n").alias("raw"), normal_lines(F.col("text")).alias("normal"))
-    good = F.filter(pairs, lambda x: ~F.array_contains("bad", F.xxhash64(x.normal)) | (x.normal == ""))
-    clean = F.when(F.col("bad").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(good, lambda x: x.raw), "\n")
+    rows = rows.join(sized(by_host, 4096), F.col("host") == F.col("f_host"), "left").select("row", "text", "bad")
+    schema = StructType(
+        [StructField("row", docs.select(F.struct("*").alias("row")).schema["row"].dataType), StructField("clean", StringType()), StructField("depleted", BooleanType())]
     )
+    rows = rows.mapInArrow(_clean, schema).where("not depleted")
+    return rows.select(*[F.col("clean").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
-    def n_words(x: Column) -> Column:
-        return F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+"))
 
-    rows = rows.withColumn("clean", clean)
-    rows = rows.where(
-        (n_words(F.col("clean")) >= MIN_LEFT_WORDS) & (n_words(F.col("clean")) >= MIN_LEFT_SHARE * n_words(F.col("text")))
-    )
-    return rows.select(*[F.col("clean").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            texts = column(part, "text")
+            words = Words(*utf8_buffers(texts), NON_SPACE, lower=True)
+            line, line_words, ptr = line_table(words)
+            clean, depleted = [], []
+            for d, (text, bad) in enumerate(zip(texts.cast(pa.large_binary()), column(part, "bad"))):
+                own = slice(ptr[d], ptr[d + 1])
+                drop = np.isin(line[own].view(np.int64), bad.as_py() or [])
+                left, total = int(line_words[own][~drop].sum()), int(words.counts[d])
+                flags = iter(drop.tolist())
+                kept = [x for x in text.as_py().split(b"\n") if not (x.strip() and next(flags))]
+                clean.append(b"\n".join(kept).decode("utf-8"))
+                depleted.append(left < MIN_LEFT_WORDS or left < MIN_LEFT_SHARE * total)
+            yield pa.RecordBatch.from_arrays(
+                [column(part, "row"), pa.array(clean, pa.string()), pa.array(depleted, pa.bool_())], ["row", "clean", "depleted"]
+            )
