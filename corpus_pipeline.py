@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm.bpe_trie import decode_documents, encode_documents
+from shoplens.llm.bpe_trie import encode_documents
 from shoplens.llm.common import load, materialise, prepare
 from shoplens.llm.exact_dedup import drop_duplicates
 from shoplens.llm.mixing import mix
@@ -48,8 +48,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of documents, the ids of each text and what they decode to."""
     prepare(spark)
-    path = public_tokenizers.path("word_bpe_49k.json")
-    return decode_documents(encode_documents(docs, path), path)
+    return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), decoded_col="decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [
