@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from shoplens.llm.common import column, slices, text_of, utf8_buffers
+from shoplens.llm.common import column, slices, text_of, utf8_buffers, worker_state
 from shoplens.llm.piece_table import PieceTable, Ragged
 from shoplens.llm.tokenizing import Units, broadcast_tokenizer, id_type, library_tokenizer
 
-MAX_NODES = 500_000
-MAX_PAIRS = 500_000
-CACHE_ENTRIES = 1_000_000
+MAX_NODES = 100_000
+MAX_PAIRS = 100_000
+CACHE_ENTRIES = 250_000
 #: Longer words are merged directly instead of growing the trie.
 LONGEST_IN_TRIE = 64
 
@@ -245,10 +245,11 @@ class Worker:
 
     def __init__(self, text: str):
         encoder = UnitEncoder(text)
-        self.table, self.texts = PieceTable(encoder, [encoder.dtype], CACHE_ENTRIES), id_texts(text)
-        top = max(self.texts) + 1
+        self.table = PieceTable(encoder, [encoder.dtype], CACHE_ENTRIES)
+        texts = id_texts(text)
+        top = max(texts) + 1
         self.decimal = self._spaced([str(i) for i in range(top)])
-        self.decoded = self._spaced([self.texts.get(i, "") for i in range(top)])
+        self.decoded = self._spaced([texts.get(i, "") for i in range(top)])
 
     @staticmethod
     def _spaced(texts: list[str]) -> Ragged:
@@ -259,14 +260,8 @@ class Worker:
         return out
 
 
-_workers: dict[str, Worker] = {}
-
-
 def _worker(text: str) -> Worker:
-    key = hashlib.sha1(text.encode()).hexdigest()
-    if key not in _workers:
-        _workers[key] = Worker(text)
-    return _workers[key]
+    return worker_state(("bpe", hashlib.sha1(text.encode()).hexdigest()), lambda: Worker(text))
 
 
 def _encoded(batch: pa.RecordBatch, own: Worker) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -308,21 +303,32 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     return rows.withColumnRenamed("id", id_col)
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
-    """``docs`` with a further column ``ids_col`` (replaced if it exists): the ids of each text."""
+def encode_documents(
+    docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "token_ids", decoded_col: str | None = None
+) -> DataFrame:
+    """``docs`` with further columns (replaced if they exist): the ids of each text and, if named, what they decode to."""
     vocabulary = broadcast_tokenizer(docs.sparkSession, tokenizer_path)
-    kept = [c for c in docs.columns if c != ids_col]
+    kept = [c for c in docs.columns if c not in (ids_col, decoded_col)]
     row = StructType([docs.schema[c] for c in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, ids, ptr in _encoded(batch, _worker(vocabulary.value)):
+            own = _worker(vocabulary.value)
+            for part, ids, ptr in _encoded(batch, own):
                 lists = pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([column(part, "row"), lists], ["row", "ids"])
-
-    schema = StructType([StructField("row", row), StructField("ids", ArrayType(IntegerType()))])
+                decoded = pa.nulls(part.num_rows, pa.string())
+                if decoded_col:
+                    flat, ends = own.decoded.gather(ids)
+                    raw, at = memoryview(flat), ends[ptr].tolist()
+                    decoded = pa.array([bytes(raw[lo : max(lo, hi - 1)]).decode() for lo, hi in zip(at[:-1], at[1:])], pa.string())
+                yield pa.RecordBatch.from_arrays([column(part, "row"), lists, decoded], ["row", "ids", "decoded"])
+
+    schema = StructType(
+        [StructField("row", row), StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
+    )
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, schema).select("row.*", F.col("ids").alias(ids_col))
+    more = [F.col("decoded").alias(decoded_col)] if decoded_col else []
+    return rows.mapInArrow(run, schema).select("row.*", F.col("ids").alias(ids_col), *more)
 
 
 def decode_documents(docs: DataFrame, tokenizer_path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
@@ -332,8 +338,8 @@ def decode_documents(docs: DataFrame, tokenizer_path: str, ids_col: str = "token
     row = StructType([docs.schema[c] for c in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = id_texts(vocabulary.value)
         for batch in batches:
-            texts = _worker(vocabulary.value).texts
             out = [decode(ids or [], texts) for ids in column(batch, "ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([column(batch, "row"), pa.array(out, pa.string())], ["row", "decoded"])
 

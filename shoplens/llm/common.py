@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import tempfile
@@ -29,7 +30,7 @@ from shoplens.spark import ensure_checkpoint_dir
 BROADCAST_BYTES = 32 << 20
 
 #: Python operators work on slices of about this many text bytes.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _shipped: weakref.WeakSet = weakref.WeakSet()
 
@@ -130,5 +131,23 @@ def utf8_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], raw[offsets[0] : offsets[-1]]
 
 
+_held: dict = {}
+
+
+def worker_state(key, build):
+    """What a worker process keeps between tasks: the state of one operator at a time."""
+    if key not in _held:
+        release_state()
+        _held[key] = build()
+    return _held[key]
+
+
+def release_state() -> None:
+    """Operators without state free what an earlier one left in a reused worker."""
+    if _held:
+        _held.clear()
+        gc.collect()
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import column, materialise, sized, slices, text_of, utf8_buffers
+from shoplens.llm.common import column, materialise, release_state, sized, slices, text_of, utf8_buffers
 from shoplens.llm.components import components
 from shoplens.llm.words import NON_SPACE, Words, mix, windows
 
@@ -102,6 +102,7 @@ def sketches(elements: np.ndarray, ptr: np.ndarray, bins: int = BINS, seeds: np.
 
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_state()
         for batch in batches:
             for part in slices(batch, "text"):
                 elements, ptr = shingle_sets(column(part, "text"), size)
@@ -151,6 +152,7 @@ def _pairs(first: list, second: list) -> pa.RecordBatch:
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each block, the pairs of a maximum spanning forest over the estimates that reach the cut."""
+    release_state()
     first: list[bytes] = []
     second: list[bytes] = []
     for group in _groups(batches, ["bucket", "block"]):
@@ -208,6 +210,7 @@ def _across(size: int, threshold: int):
         return _pairs(first, second)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_state()
         for group in _groups(batches, ["bucket", "block", "out_block"]):
             yield links(group)
 
@@ -240,6 +243,7 @@ def _confirm(size: int, threshold: int):
     """Keep the pairs whose full sets reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_state()
         for batch in batches:
             for part in slices(batch, "text_a", 1 << 19):
                 sets_a, ptr_a = shingle_sets(column(part, "text_a"), size)

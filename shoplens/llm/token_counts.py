@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import column, slices, text_of, utf8_buffers
+from shoplens.llm.common import column, slices, text_of, utf8_buffers, worker_state
 from shoplens.llm.piece_table import PieceTable
 from shoplens.llm.tokenizing import LibraryEncoder, Units, broadcast_tokenizer, tokenizer_json
 
@@ -40,8 +40,6 @@ LONGEST_IN_TABLE = 48
 TOKEN_LIMIT = 2048
 SLICE = 4 << 20
 
-_caches: dict[int, PieceTable] = {}
-
 
 def _units(part: pa.RecordBatch) -> Units:
     return Units(*utf8_buffers(column(part, "text")))
@@ -120,14 +118,16 @@ def count_tokens(
     rows = known.lookup(own)
     table = spark.sparkContext.broadcast(HashTable(own.hashes(), known.payloads[0].lengths[rows]))
     vocabulary = broadcast_tokenizer(spark, tokenizer_path)
-    key = hash(tokenizer_path) & 0xFFFFFFFF
+    key = tokenizer_path
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = table.value
-        if key not in _caches:
+
+        def build() -> PieceTable:
             encoder = LibraryEncoder(vocabulary.value)
-            _caches[key] = PieceTable(encoder, [encoder.dtype], CACHE_ENTRIES)
-        cache = _caches[key]
+            return PieceTable(encoder, [encoder.dtype], CACHE_ENTRIES)
+
+        cache = worker_state(("counts", key), build)
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 units = _units(part)

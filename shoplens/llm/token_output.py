@@ -37,7 +37,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import column, materialise, shared_folder, slices, text_of, utf8_buffers
+from shoplens.llm.common import column, materialise, shared_folder, slices, text_of, utf8_buffers, worker_state
 from shoplens.llm.piece_table import PieceTable
 from shoplens.llm.tokenizing import LibraryEncoder, Units, broadcast_tokenizer, id_type, tokenizer_json
 
@@ -46,8 +46,6 @@ SEQUENCES_PER_BATCH = 64
 END_ID = 1
 CACHE_ENTRIES = 1_500_000
 
-_caches: dict[str, PieceTable] = {}
-
 
 def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """Local (mounted) folders and every store Arrow knows by its scheme."""
@@ -71,9 +69,8 @@ def encode_shards(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = vocabulary.value
         key = hashlib.sha1(text.encode()).hexdigest()
-        if key not in _caches:
-            _caches[key] = PieceTable(LibraryEncoder(text), [dtype], CACHE_ENTRIES)
-        cache, end = _caches[key], np.asarray([END_ID], dtype).tobytes()
+        cache = worker_state(("files", key), lambda: PieceTable(LibraryEncoder(text), [dtype], CACHE_ENTRIES))
+        end = np.asarray([END_ID], dtype).tobytes()
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 units = Units(*utf8_buffers(column(part, "text")))

@@ -13,7 +13,6 @@ punctuation, so a text's ids are its units' ids in order:
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 from collections.abc import Iterator
@@ -24,8 +23,6 @@ from pyspark.sql import SparkSession
 
 from shoplens.llm.words import LOWER, NON_SPACE, Words
 
-_tokenizers: dict[str, object] = {}
-
 _BYTES = np.arange(256)
 _LETTER = ((_BYTES | 0x20) >= 0x61) & ((_BYTES | 0x20) <= 0x7A) & (_BYTES < 0x80) | (_BYTES >= 0x80)
 #: ASCII that makes a piece odd: digits, the apostrophe, control characters.
@@ -43,18 +40,15 @@ def broadcast_tokenizer(spark: SparkSession, path: str) -> Broadcast:
 
 
 def library_tokenizer(text: str):
-    """The library's tokenizer of a worker process; truncation and padding off."""
-    key = hashlib.sha1(text.encode()).hexdigest()
-    if key not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_str(text)
-        tok.no_truncation()
-        tok.no_padding()
-        _check(tok, json.loads(text))
-        _tokenizers[key] = tok
-    return _tokenizers[key]
+    """The library's tokenizer; truncation and padding off.  Its user keeps it."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_str(text)
+    tok.no_truncation()
+    tok.no_padding()
+    _check(tok, json.loads(text))
+    return tok
 
 
 def _check(tok, spec: dict) -> None:
