@@ -57,11 +57,14 @@ def build_sql(
           WHERE click_product_id IS NOT NULL AND click_product_id != -1
             AND date >= :start_date AND date <= :end_date
         ),
+        city_product AS (
+          SELECT city_id, product_id, count(*) AS n FROM clicks GROUP BY city_id, product_id
+        ),
         area_product AS (
-          SELECT ci.area, c.product_id, count(*) AS click_count,
+          SELECT ci.area, c.product_id, sum(c.n) AS click_count,
                  array_join(array_sort(collect_set(concat_cid_cname(c.city_id, ci.city_name, '='))), ',')
                    AS city_infos
-          FROM clicks c JOIN {cities_view} ci ON c.city_id = ci.city_id
+          FROM city_product c JOIN {cities_view} ci ON c.city_id = ci.city_id
           GROUP BY ci.area, c.product_id
         ),
         with_info AS (
