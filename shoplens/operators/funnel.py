@@ -1,134 +1,79 @@
 """Page-flow conversion.
 
 Consecutive page pairs need the actions of a session in time order.  A
-``lead()`` window partitioned by session would put a whole session into
-one task, and one session may hold a large share of all actions.  Instead
-the actions are range-partitioned on (session, time, tie) -- Spark samples
-the key distribution, so a huge session is split across many tasks -- and
-each task pairs neighbours inside its sorted partition with vectorised
-numpy.  Only the first and last row of every partition (2 rows per task)
-are stitched afterwards, to catch pairs that straddle a partition border.
+``lead()`` window by session alone would put a whole session into one task,
+and one session may hold a large share of all actions.  So the window runs
+by session and time bucket, and a second one over the first and last action
+of each bucket joins the pieces.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shoplens.params import TaskParams
-from shoplens.spark import cut_lineage
-
-_OUT = StructType(
-    [
-        StructField("kind", StringType()),  # 'pair' | 'head' | 'tail'
-        StructField("part", LongType()),
-        StructField("session_id", StringType()),
-        StructField("from_page", LongType()),
-        StructField("to_page", LongType()),
-        StructField("n", LongType()),
-    ]
-)
-
-_NO_PAGE = -1  # stands in for a null page id inside the numpy kernel
-
-
-def _pairs_of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pair counts of one sorted partition, plus its head and tail rows."""
-    acc: list[pd.DataFrame] = []
-    head = tail = None
-    part = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        part = int(pdf["part"].iloc[0])
-        sess = pdf["session_id"].to_numpy(dtype=object)
-        page = pdf["page_id"].fillna(_NO_PAGE).to_numpy(dtype=np.int64)
-        if head is None:
-            head = (sess[0], page[0])
-        elif tail is not None and tail[0] == sess[0]:
-            acc.append(pd.DataFrame({"from_page": [tail[1]], "to_page": [page[0]]}))
-        same = sess[1:] == sess[:-1]
-        if same.any():
-            acc.append(pd.DataFrame({"from_page": page[:-1][same], "to_page": page[1:][same]}))
-        tail = (sess[-1], page[-1])
-    if head is None:
-        return
-    frames = []
-    if acc:
-        pairs = pd.concat(acc, ignore_index=True)
-        counts = pairs.groupby(["from_page", "to_page"], sort=False).size().reset_index(name="n")
-        counts["kind"] = "pair"
-        counts["part"] = part
-        counts["session_id"] = None
-        frames.append(counts)
-    frames.append(
-        pd.DataFrame(
-            {
-                "kind": ["head", "tail"],
-                "part": [part, part],
-                "session_id": [head[0], tail[0]],
-                "from_page": [head[1], tail[1]],
-                "to_page": [None, None],
-                "n": [None, None],
-            }
-        )
+
+# Width of the time buckets a session is cut into.
+BUCKET_SECONDS = 300
+
+
+def _steps(actions: DataFrame, bucket_seconds: int) -> DataFrame:
+    """Each action with its neighbours inside its (session, time bucket).
+
+    ``next`` and ``prev`` are structs, so that "no neighbour" (null) and "a
+    neighbour without a page" differ.  Order: action time (nulls first), tie.
+    """
+    bucket = F.floor(F.unix_seconds("action_ts") / bucket_seconds).alias("bucket")
+    w = Window.partitionBy("session_id", "bucket").orderBy(F.col("action_ts").asc_nulls_first(), "tie")
+    page = F.struct("page_id")
+    return actions.select("session_id", bucket, "action_ts", "tie", "page_id").select(
+        "session_id", "bucket", "page_id", F.lead(page).over(w).alias("next"), F.lag(page).over(w).alias("prev")
     )
-    out = pd.concat(frames, ignore_index=True)[[f.name for f in _OUT.fields]]
-    out["from_page"] = out["from_page"].astype("Int64")
-    out["to_page"] = out["to_page"].astype("Int64")
-    out["n"] = out["n"].astype("Int64")
-    out["part"] = out["part"].astype("int64")
-    yield out
 
 
-def partition_pair_rows(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Per range partition: pair counts (``kind='pair'``) plus its head and tail rows.
+def step_counts(actions: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """``kind, from_page, to_page, n``: views of each page and pairs of consecutive pages.
 
-    Order inside a session: action time (nulls first), then ``tie``.
+    Both branches read the same exchange by (session, bucket), so actions
+    are scanned and shuffled once.  An action without a session is viewed
+    but has no successor.  The second window sees at most two rows per
+    session and bucket.
     """
-    spark = actions.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col("session_id"), F.col("action_ts").asc_nulls_first(), F.col("tie")]
-    ordered = (
-        actions.where(F.col("session_id").isNotNull())
-        .select("session_id", "action_ts", "tie", "page_id")
-        .repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .select("session_id", "page_id", F.spark_partition_id().cast("bigint").alias("part"))
+    steps = _steps(actions, bucket_seconds)
+    in_session = F.col("session_id").isNotNull()
+    inner = steps.groupBy(
+        F.col("page_id").alias("from_page"),
+        F.when(in_session, F.col("next.page_id")).alias("to_page"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+    is_last = F.col("next").isNull()
+    border = steps.where(in_session & (is_last | F.col("prev").isNull())).select(
+        "session_id", "bucket", "page_id", is_last.alias("is_last")
     )
-    return ordered.mapInPandas(_pairs_of_partition, _OUT)
-
-
-def page_pair_counts(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """``from_page, to_page, pair_count`` over consecutive actions per session."""
-    # The per-task output is small (pair counts plus two border rows per
-    # task) but feeds two branches; materialising it once keeps the scan,
-    # the range shuffle and the Python pass from running twice.
-    out = cut_lineage(partition_pair_rows(actions, num_partitions))
-    inner = out.where(F.col("kind") == "pair").select("from_page", "to_page", "n")
-    # Border rows: 2 per non-empty partition, so this global window sees
-    # 2 x partitions rows whatever the data size.  Ordered head, tail, head,
-    # tail, ...: the row after a tail is the next partition's head.
-    edges = out.where(F.col("kind") != "pair").select("kind", "part", "session_id", "from_page")
-    w = Window.orderBy("part", F.when(F.col("kind") == "head", 0).otherwise(1))
-    stitched = (
-        edges.withColumn("next_kind", F.lead("kind").over(w))
-        .withColumn("next_session", F.lead("session_id").over(w))
-        .withColumn("next_page", F.lead("from_page").over(w))
-        .where(
-            (F.col("kind") == "tail")
-            & (F.col("next_kind") == "head")
-            & (F.col("next_session") == F.col("session_id"))
-        )
-        .select("from_page", F.col("next_page").alias("to_page"), F.lit(1).cast("bigint").alias("n"))
+    w = Window.partitionBy("session_id").orderBy(F.col("bucket").asc_nulls_first(), "is_last")
+    across = (
+        border.withColumn("to_page", F.lead("page_id").over(w))
+        .where(F.col("is_last") & F.col("to_page").isNotNull())
+        .groupBy(F.col("page_id").alias("from_page"), "to_page")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    kind = F.when(F.col("to_page").isNull(), "end").otherwise("inner")
+    return inner.select(kind.alias("kind"), "from_page", "to_page", "n").unionByName(
+        across.select(F.lit("across").alias("kind"), "from_page", "to_page", "n")
     )
+
+
+def page_pair_counts(actions: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """``from_page, to_page, pair_count`` over consecutive actions per session.
+
+    A pair needs a target page; an unknown page (null) may start one.
+    """
+    return _pairs(step_counts(actions, bucket_seconds))
+
+
+def _pairs(counts: DataFrame) -> DataFrame:
     return (
-        inner.unionByName(stitched)
+        counts.where(F.col("kind") != "end")
         .groupBy("from_page", "to_page")
         .agg(F.sum("n").cast("bigint").alias("pair_count"))
     )
@@ -140,7 +85,7 @@ def flow_frame(spark: SparkSession, params: TaskParams) -> DataFrame:
     return spark.createDataFrame(rows, "step int, from_page bigint, to_page bigint")
 
 
-def page_convert_rate(actions: DataFrame, params: TaskParams, pair_counts: DataFrame | None = None) -> DataFrame:
+def page_convert_rate(actions: DataFrame, params: TaskParams) -> DataFrame:
     """Conversion per step of the target flow, in flow order.
 
     ``step, page_split, pair_count, prev_count, convert_rate``.  Step 1 is
@@ -149,23 +94,33 @@ def page_convert_rate(actions: DataFrame, params: TaskParams, pair_counts: DataF
     zero divisor gives null (Q11).
     """
     spark = actions.sparkSession
-    if pair_counts is None:
-        pair_counts = page_pair_counts(actions)
-    flow = flow_frame(spark, params)  # len(flow) - 1 rows: bounded broadcast
+    # every action is in one row that is not "across": its page's views and
+    # the pairs come from the same counts
+    flow = flow_frame(spark, params)
     start_page = params.target_page_flow[0]
-    start_views = actions.agg(F.count_if(F.col("page_id") == start_page).cast("bigint").alias("pair_count"))
-    start_row = start_views.select(F.lit(0).alias("step"), "pair_count")
-    steps = (
-        pair_counts.join(F.broadcast(flow), ["from_page", "to_page"])
-        .select("step", "pair_count")
-        .unionByName(start_row)
+    counts = step_counts(actions).select(
+        "kind", "from_page", "to_page", "n", F.col("from_page").eqNullSafe(F.lit(start_page)).alias("at_start")
+    )
+    start = F.col("at_start") & (F.col("kind") != "across")
+    hit = F.array(
+        F.when(start, F.struct(F.lit(start_page).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("b"))),
+        F.when(
+            F.col("kind") != "end", F.struct(F.col("from_page").alias("a"), F.col("to_page").alias("b"))
+        ),
+    )
+    totals = (
+        counts.select("n", F.explode(F.filter(hit, lambda h: h.isNotNull())).alias("hit"))
+        .groupBy("hit.a", "hit.b")
+        .agg(F.sum("n").cast("bigint").alias("pair_count"))
     )
     full = flow.unionByName(
         spark.createDataFrame([(0, start_page, None)], "step int, from_page bigint, to_page bigint")
     )
     w = Window.orderBy("step")  # one row per flow step
     return (
-        full.join(steps, "step", "left")
+        full.join(
+            totals, F.col("from_page").eqNullSafe(F.col("a")) & F.col("to_page").eqNullSafe(F.col("b")), "left"
+        )
         .withColumn("pair_count", F.coalesce(F.col("pair_count"), F.lit(0).cast("bigint")))
         .withColumn("prev_count", F.lag("pair_count").over(w))
         .where(F.col("step") > 0)

@@ -40,23 +40,33 @@ def _rows(n_sessions, seed, hot=None):
     return rows
 
 
-@pytest.mark.parametrize("parts", [1, 3, 8, 29])
-def test_pairs_equal_brute_force_for_any_partitioning(spark, parts):
-    rows = _rows(40, seed=parts)
+@pytest.mark.parametrize("width", [1, 60, 300, 7200])
+def test_pairs_equal_brute_force_for_any_partitioning(spark, width):
+    rows = _rows(40, seed=width)
     got = {
         (r.from_page, r.to_page): r.pair_count
-        for r in FN.page_pair_counts(make_actions(spark, rows), num_partitions=parts).collect()
+        for r in FN.page_pair_counts(make_actions(spark, rows), bucket_seconds=width).collect()
     }
     assert got == _brute_pairs(rows)
 
 
-def test_hot_session_split_across_partitions(spark):
-    # one session holds most rows: range partitioning cuts through it and the
-    # border rows must be stitched back together
+def test_null_pages_start_pairs_but_end_none(spark):
+    rows = _flow_rows([1, None, 2]) + _flow_rows([None, 2], session="t")
+    for width in (1, 300):
+        got = {
+            (r.from_page, r.to_page): r.pair_count
+            for r in FN.page_pair_counts(make_actions(spark, rows), bucket_seconds=width).collect()
+        }
+        assert got == {(None, 2): 2}
+
+
+def test_hot_session_split_across_buckets(spark):
+    # one session holds most rows: time buckets cut through it and the
+    # border rows must be joined again
     rows = _rows(5, seed=7, hot=400)
     got = {
         (r.from_page, r.to_page): r.pair_count
-        for r in FN.page_pair_counts(make_actions(spark, rows), num_partitions=16).collect()
+        for r in FN.page_pair_counts(make_actions(spark, rows), bucket_seconds=60).collect()
     }
     assert got == _brute_pairs(rows)
     assert sum(got.values()) == len(rows) - len({r["session_id"] for r in rows})

@@ -15,7 +15,7 @@ def _plan(spark, name: str) -> str:
 
 
 @pytest.mark.parametrize(
-    "name", ["top10_session", "area_top3_product", "ad_province_top3", "session_random_extract"]
+    "name", ["top10_session", "area_top3_product", "ad_province_top3"]
 )
 def test_per_group_top_k_is_limited_before_the_shuffle(spark, name):
     plan = _plan(spark, name)
@@ -26,17 +26,19 @@ def test_global_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(spark, "top10_category")
 
 
-def test_page_pairs_range_partition_instead_of_session_window(spark):
-    from shoplens.operators.funnel import partition_pair_rows
-    from shoplens.sources.adapters import DriverTables
+def test_page_pairs_stay_in_the_jvm_and_cut_sessions_by_time(spark):
+    df = E.queries()["page_convert_rate"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(session_id" in plan and "bucket" in plan
+    assert "MapInPandas" not in plan and "rangepartitioning" not in plan
+    # scanned and shuffled by (session, bucket) once, for both branches
+    assert plan.count("ReusedExchange") >= 1, plan
+
 
-    df = partition_pair_rows(DriverTables(spark, SF_SMALL).actions())
-    df.write.format("noop").mode("overwrite").save()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning(session_id" in plan
-    assert "MapInPandas" in plan
-    # the pairing itself uses no window (only the 2-rows-per-task stitch does)
-    assert "Window" not in plan
+def test_area_clicks_are_counted_before_the_city_join(spark):
+    plan = _plan(spark, "area_product_count").split("== Initial Plan ==")[0]
+    assert "keys=[city_id" in plan and "partial_count(1)" in plan
 
 
 def test_stats_scan_reads_only_needed_columns(spark):
