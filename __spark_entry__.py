@@ -38,7 +38,12 @@ from shoplens.operators import sampling as SM  # noqa: E402
 from shoplens.operators import sessions as S  # noqa: E402
 from shoplens.params import TaskParams  # noqa: E402
 from shoplens.sources.adapters import DriverTables  # noqa: E402
-from shoplens.sources.tables import actions_in_range, city_dimension, click_product_pairs  # noqa: E402
+from shoplens.sources.tables import (  # noqa: E402
+    actions_in_range,
+    city_dimension,
+    click_product_pairs,
+    prepare_actions,
+)
 from shoplens.sinks.merge import append_new, merge_add, replace_groups  # noqa: E402
 from shoplens.spark import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from shoplens.streaming import ad_stream as ST  # noqa: E402
@@ -130,6 +135,27 @@ def q_session_sample_detail(spark, sf_dir):
     return S.detail_rows(acts.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi"))
 
 
+def _day_sample(spark, sf_dir):
+    """The sample over sessions of all 24 hours, whose times are the data model's text."""
+    _prep(spark)
+    t = DriverTables(spark, sf_dir)
+    p = DEFAULT_PARAMS
+    acts = actions_in_range(prepare_actions(t.text_actions(p)), p)
+    filt = S.filter_sessions(S.session_profile(S.session_rollup(acts, with_lists=False), t.users()), p)
+    return acts, SM.stratified_sample(filt, SAMPLE_TOTAL, SAMPLE_SEED)
+
+
+def q_session_random_extract_day(spark, sf_dir):
+    acts, sample = _day_sample(spark, sf_dir)
+    lists = S.session_lists(acts.join(sample.select("session_id"), "session_id", "left_semi"))
+    return SM.sample_output(sample.join(lists, "session_id"))
+
+
+def q_session_sample_detail_day(spark, sf_dir):
+    acts, sample = _day_sample(spark, sf_dir)
+    return S.detail_rows(acts.join(sample.select("session_id"), "session_id", "left_semi"))
+
+
 def q_session_detail_semi(spark, sf_dir):
     return S.detail_rows(_filtered_actions(spark, sf_dir)[2])
 
@@ -178,6 +204,10 @@ def q_page_convert_rate(spark, sf_dir):
     return FN.page_convert_rate(_page_actions(spark, sf_dir), DEFAULT_PARAMS)
 
 
+def q_page_convert_rate_packed(spark, sf_dir):
+    return FN.packed_convert_rate(q_page_convert_rate(spark, sf_dir))
+
+
 def _area_counts(spark, sf_dir):
     _prep(spark)
     t = DriverTables(spark, sf_dir)
@@ -334,6 +364,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "session_aggr_stat_filtered": q_session_aggr_stat_filtered,
         "session_random_extract": q_session_random_extract,
         "session_sample_detail": q_session_sample_detail,
+        "session_random_extract_day": q_session_random_extract_day,
+        "session_sample_detail_day": q_session_sample_detail_day,
         "session_detail_semi": q_session_detail_semi,
         "category_counts": q_category_counts,
         "top10_category": q_top10_category,
@@ -341,6 +373,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top10_session_detail": q_top10_session_detail,
         "page_pairs": q_page_pairs,
         "page_convert_rate": q_page_convert_rate,
+        "page_convert_rate_packed": q_page_convert_rate_packed,
         "area_product_count": q_area_product_count,
         "area_top3_product": q_area_top3_product,
         "area_top3_product_inline_cities": q_area_top3_product_inline_cities,

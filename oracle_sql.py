@@ -209,15 +209,25 @@ sample_base AS (
   SELECT *, strftime(start_ts, '%Y-%m-%d') AS sdate, strftime(start_ts, '%H') AS shour FROM filtered
 ),
 hours AS (SELECT sdate, shour, count(*) AS hour_count FROM sample_base GROUP BY sdate, shour),
-q AS (
-  SELECT sdate, shour, hour_count, sum(hour_count) OVER (PARTITION BY sdate) AS day_count,
-         (SELECT count(DISTINCT sdate) FROM sample_base) AS days
-  FROM hours
+days AS (SELECT sdate, CAST(sum(hour_count) AS BIGINT) AS day_count FROM hours GROUP BY sdate),
+turns AS (SELECT sdate, day_count, unnest(range(1, least(day_count, {SAMPLE_TOTAL}) + 1)) AS turn FROM days),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY turn, md5(sdate || {_lit(SAMPLE_SEED)}), sdate) AS place FROM turns
+),
+day_quotas AS (
+  SELECT sdate, day_count, count(*) AS day_quota FROM placed WHERE place <= {SAMPLE_TOTAL} GROUP BY ALL
+),
+shares AS (
+  SELECT sdate, shour, day_quota, (day_quota * hour_count) // day_count AS base,
+         (day_quota * hour_count) % day_count AS rest
+  FROM hours JOIN day_quotas USING (sdate)
 ),
 quota AS (
   SELECT sdate, shour,
-         least(CAST(floor(({SAMPLE_TOTAL} // days) * hour_count / day_count) AS BIGINT), hour_count) AS hour_quota
-  FROM q
+         base + CASE WHEN row_number() OVER (PARTITION BY sdate
+                                             ORDER BY rest DESC, md5(sdate || shour || {_lit(SAMPLE_SEED)}), shour)
+                          <= day_quota - sum(base) OVER (PARTITION BY sdate) THEN 1 ELSE 0 END AS hour_quota
+  FROM shares
 ),
 ranked_s AS (
   SELECT b.*, row_number() OVER (PARTITION BY sdate, shour ORDER BY md5(session_id || {_lit(SAMPLE_SEED)}), session_id)
@@ -367,6 +377,15 @@ def oracle_queries() -> dict[str, str]:
         _with(ACTIONS, USERS, _rollup(d), _filter(d), _sample(d))
         + f"\nSELECT {DETAIL_COLS} FROM ranged WHERE session_id IN (SELECT session_id FROM sampled)"
     )
+    # sessions at their own time of day
+    day = _with(ACTIONS.replace("/ 40)", "/ 1)"), USERS, _rollup(d), _filter(d), _sample(d))
+    q["session_random_extract_day"] = day + (
+        "\nSELECT session_id AS sessionid, start_time AS startTime, search_keywords AS searchKeywords, "
+        "click_category_ids AS clickCategoryIds FROM sampled"
+    )
+    q["session_sample_detail_day"] = (
+        day + f"\nSELECT {DETAIL_COLS} FROM ranged WHERE session_id IN (SELECT session_id FROM sampled)"
+    )
     q["session_detail_semi"] = (
         _session_base(d) + f"\nSELECT {DETAIL_COLS} FROM ranged WHERE session_id IN (SELECT session_id FROM filtered)"
     )
@@ -384,6 +403,12 @@ def oracle_queries() -> dict[str, str]:
         "prev_count, CASE WHEN prev_count = 0 THEN NULL ELSE pair_count / prev_count END AS convert_rate "
         "FROM rates WHERE step > 0"
     )
+    # Spark and DuckDB print doubles alike here except 0 and 1, which both write with ".0"
+    q["page_convert_rate_packed"] = page_base + (
+        "\nSELECT string_agg(CAST(from_page AS VARCHAR) || '_' || CAST(to_page AS VARCHAR) || '=' || "
+        "coalesce(CAST(CASE WHEN prev_count = 0 THEN NULL ELSE pair_count / prev_count END AS VARCHAR), 'null'), '|' "
+        "ORDER BY step) AS convertRate FROM rates WHERE step > 0"
+    )
     area_li = _with(
         PRODUCTS, LINEITEM_CLICKS,
         f"\nranged_li AS (SELECT * FROM li_clicks WHERE {_range(d)})",

@@ -1,9 +1,9 @@
 """Stratified random sample of sessions per (date, hour).
 
 The reference counts sessions per hour on the driver, draws indexes with
-an unseeded ``Random`` and broadcasts them.  Here the quota is computed on
-the (date, hour) count table (at most 24 rows per day) and the draw is a
-window ranking by a seeded hash, so the result is reproducible and no
+an unseeded ``Random`` and broadcasts them.  Here the quotas are integer
+arithmetic on the (date, hour) count table (at most 24 rows per day) and
+the draw follows a seeded hash, so the result is reproducible and no
 session list ever reaches the driver.
 """
 
@@ -20,55 +20,81 @@ def sample_key(session_id, seed: str):
     return F.md5(F.concat(session_id, F.lit(seed)))
 
 
-def hour_quotas(sessions: DataFrame, total: int = 100) -> DataFrame:
-    """Sessions and sample quota per (date, hour).
+def hour_quotas(sessions: DataFrame, total: int = 100, seed: str = "shoplens") -> DataFrame:
+    """``date, hour, hour_count, day_count, day_quota, hour_quota`` per (date, hour).
 
-    ``quota_day = total // days``; an hour gets its share of the day,
-    ``floor(quota_day * hour_count / day_count)``, never more than it holds
-    (Q6: the reference's integer division gives 0 for almost every hour).
-    The input here is the small (date, hour) count table.
+    The quotas sum to ``min(total, sessions)``:
+
+    * days share evenly, as in the reference: the sample's places go round
+      the days, one each, a day leaving the round when all its sessions have
+      a place.  With more days than places, the last round serves the days
+      of smallest hash;
+    * hours share their day's places by their sessions, by largest remainder
+      (equal remainders by hash).
+
+    The input of all this is the (date, hour) count table; the places are at
+    most ``total`` per day.
     """
     hours = sessions.groupBy("date", "hour").agg(F.count(F.lit(1)).alias("hour_count"))
+    places = (
+        hours.groupBy("date")
+        .agg(F.sum("hour_count").alias("day_count"))
+        .select(
+            "date", "day_count",
+            F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("day_count", F.lit(total)))).alias("turn"),
+        )
+    )
+    by_turn = ["turn", F.md5(F.concat("date", F.lit(seed))), "date"]
+    days = (
+        places.orderBy(*by_turn).limit(total)
+        .groupBy("date", "day_count").agg(F.count(F.lit(1)).alias("day_quota"))
+    )
     by_day = Window.partitionBy("date")
-    # one row per (date, hour): the global window below sees at most
-    # 24 x days rows, however many sessions there are; the number of days is
-    # a sum of "first hour of its day" flags (constant memory per row)
-    all_rows = Window.partitionBy()
+    share = F.col("day_quota") * F.col("hour_count")
+    by_rest = by_day.orderBy(F.desc("rest"), F.md5(F.concat("date", "hour", F.lit(seed))), "hour")
     return (
-        hours.withColumn("day_count", F.sum("hour_count").over(by_day))
-        .withColumn("_first_hour", (F.col("hour") == F.min("hour").over(by_day)).cast("int"))
-        .withColumn("days", F.sum("_first_hour").over(all_rows))
-        .drop("_first_hour")
-        .withColumn("day_quota", (F.lit(total) / F.col("days")).cast("bigint"))
-        .withColumn(
-            "hour_quota",
-            F.least(
-                F.floor(F.col("day_quota") * F.col("hour_count") / F.col("day_count")).cast("bigint"),
-                F.col("hour_count"),
-            ),
-        )
+        hours.join(days, "date")
+        .withColumn("whole", F.expr("(day_quota * hour_count) div day_count"))
+        .withColumn("rest", share % F.col("day_count"))
+        .withColumn("left_over", F.col("day_quota") - F.sum("whole").over(by_day))
+        .withColumn("turn", F.row_number().over(by_rest))
+        .withColumn("hour_quota", F.col("whole") + (F.col("turn") <= F.col("left_over")).cast("bigint"))
+        .select("date", "hour", "hour_count", "day_count", "day_quota", "hour_quota")
     )
 
 
 def stratified_sample(sessions: DataFrame, total: int = 100, seed: str = "shoplens") -> DataFrame:
-    """Sample of filtered sessions, ``hour_quota`` per (date, hour).
+    """Sample of filtered sessions, the ``hour_quota`` smallest hashes per (date, hour).
 
-    Expects ``session_id, start_ts`` plus the list columns.  No session can
-    be in the sample beyond rank ``total`` in its hour, so a literal
-    ``rn <= total`` is applied first: Spark turns it into a partial
-    per-group limit below the window's shuffle, which keeps a crowded hour
-    from reaching one task whole.
+    Expects ``session_id, start_ts`` plus the list columns.  Sessions are
+    counted per (date, hour, hash bucket); the running count over an hour's
+    buckets shows which buckets are in the sample whole and which one holds
+    the cut.  Only sessions of those few buckets are ranked, each bucket by
+    itself, so a crowded hour never meets in one task, whatever ``total`` is.
     """
-    keyed = sessions.withColumn("date", F.date_format("start_ts", "yyyy-MM-dd")).withColumn(
-        "hour", F.date_format("start_ts", "HH")
+    keyed = (
+        sessions.withColumn("date", F.date_format("start_ts", "yyyy-MM-dd"))
+        .withColumn("hour", F.date_format("start_ts", "HH"))
+        .withColumn("draw", sample_key(F.col("session_id"), seed))
+        .withColumn("bucket", F.substring("draw", 1, 3))
+    )
+    stratum = ["date", "hour"]
+    # at most 4096 rows per (date, hour)
+    buckets = keyed.groupBy(*stratum, "bucket").agg(F.count(F.lit(1)).alias("n"))
+    running = Window.partitionBy(*stratum).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    quotas = hour_quotas(keyed, total, seed).select(*stratum, "hour_quota")
+    needed = (
+        buckets.withColumn("before", F.sum("n").over(running) - F.col("n"))
+        .join(quotas, stratum)
+        .where(F.col("before") < F.col("hour_quota"))
+        .select(*stratum, "bucket", (F.col("hour_quota") - F.col("before")).alias("places"))
     )
-    w = Window.partitionBy("date", "hour").orderBy(sample_key(F.col("session_id"), seed), F.col("session_id"))
-    ranked = keyed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= total)
-    quotas = hour_quotas(keyed, total).select("date", "hour", "hour_quota")
+    in_bucket = Window.partitionBy(*stratum, "bucket").orderBy("draw", "session_id")
     return (
-        ranked.join(quotas, ["date", "hour"])
-        .where(F.col("rn") <= F.col("hour_quota"))
-        .drop("rn", "hour_quota")
+        keyed.join(needed, [*stratum, "bucket"])
+        .withColumn("rn", F.row_number().over(in_bucket))
+        .where(F.col("rn") <= F.col("places"))
+        .drop("rn", "places", "draw", "bucket")
     )
 
 

@@ -17,11 +17,12 @@ def _k():
     return F.get_json_object(F.col("props"), "$.k").try_cast("bigint")
 
 
-def actions_from_events(events: DataFrame) -> DataFrame:
+def actions_from_events(events: DataFrame, compress: int = 40) -> DataFrame:
     """``events`` -> ``user_visit_action`` (+ ``action_ts`` and ``tie``).
 
     One session per user and day.  The time of day is compressed 40-fold
-    (a day becomes 36 minutes) so that every visit-length bucket fills; the
+    (a day becomes 36 minutes) so that every visit-length bucket fills;
+    ``compress=1`` keeps the time, so that sessions start at all hours.  The
     hour is written unpadded, as the reference's generator does.
 
     ``k``, the day and the compressed second are computed once in an inner
@@ -35,7 +36,7 @@ def actions_from_events(events: DataFrame) -> DataFrame:
         F.col("event_type"),
         _k().alias("k"),
         F.to_date(F.col("ts")).alias("day"),
-        F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")) / 40).cast("int").alias("sec"),
+        F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")) / compress).cast("int").alias("sec"),
     ).select("*", F.date_format(F.col("day"), "yyyy-MM-dd").alias("date"))
     k, et, eid, sec = F.col("k"), F.col("event_type"), F.col("event_id"), F.col("sec")
     action_time = F.format_string(
@@ -157,6 +158,11 @@ class DriverTables:
             events = events.where(ts_in_dates("ts", params.start_date, params.end_date))
         return actions_from_events(events)
 
+    def text_actions(self, params) -> DataFrame:
+        """Actions at their own time of day, with the time only as the model's text."""
+        events = self.raw("events").where(ts_in_dates("ts", params.start_date, params.end_date))
+        return actions_from_events(events, compress=1).drop("action_ts")
+
     def users(self) -> DataFrame:
         return users_from_customer(self.raw("customer"))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pytest
 from pyspark.sql import functions as F
 
 from shoplens.operators import sampling as SM
@@ -18,24 +21,41 @@ def _sessions(spark, spec):
     return S.session_rollup(make_actions(spark, rows))
 
 
+def _quotas(sess, total):
+    keyed = sess.withColumn("date", F.date_format("start_ts", "yyyy-MM-dd")).withColumn(
+        "hour", F.date_format("start_ts", "HH")
+    )
+    return {(r.date, r.hour): r.hour_quota for r in SM.hour_quotas(keyed, total).collect()}
+
+
 def test_quota_follows_hour_share(spark):
     sess = _sessions(spark, [("2024-01-01", 1, 30), ("2024-01-01", 2, 10), ("2024-01-02", 5, 8)])
-    q = {(r.date, r.hour): r.hour_quota for r in SM.hour_quotas(
-        sess.withColumn("date", F.date_format("start_ts", "yyyy-MM-dd")).withColumn("hour", F.date_format("start_ts", "HH")),
-        total=100,
-    ).collect()}
-    # 2 days -> 50 per day; day 1 hours get 30/40 and 10/40 of 50 (37, 12),
-    # each capped at the sessions the hour holds; day 2 capped at its 8
-    assert q == {("2024-01-01", "01"): 30, ("2024-01-01", "02"): 10, ("2024-01-02", "05"): 8}
+    # 48 sessions: all fit
+    assert _quotas(sess, 100) == {("2024-01-01", "01"): 30, ("2024-01-01", "02"): 10, ("2024-01-02", "05"): 8}
     sample = SM.stratified_sample(sess, 100, "seed").collect()
-    assert len(sample) == 30 + 10 + 8
-    small = {(r.date, r.hour): r.hour_quota for r in SM.hour_quotas(
-        sess.withColumn("date", F.date_format("start_ts", "yyyy-MM-dd")).withColumn("hour", F.date_format("start_ts", "HH")),
-        total=40,
-    ).collect()}
-    # 20 per day: 20 * 30 / 40 = 15, 20 * 10 / 40 = 5, day 2 capped at 8
-    assert small == {("2024-01-01", "01"): 15, ("2024-01-01", "02"): 5, ("2024-01-02", "05"): 8}
-    assert len({r.session_id for r in sample}) == len(sample)
+    assert len(sample) == len({r.session_id for r in sample}) == 48
+    # 20 per day; day 2 holds 8, so day 1 gets the other 32: 24 and 8 by its hours
+    assert _quotas(sess, 40) == {("2024-01-01", "01"): 24, ("2024-01-01", "02"): 8, ("2024-01-02", "05"): 8}
+
+
+@pytest.mark.parametrize("days, hours, each", [(7, 24, 2), (30, 24, 1), (101, 1, 2), (150, 2, 1)])
+def test_sample_fills_its_total_for_many_days_and_hours(spark, days, hours, each):
+    sess = (
+        spark.range(days * hours * each)
+        .withColumn("start_ts", F.timestamp_seconds(F.lit(1704067200) + F.col("id") % (days * hours) * (86400 // hours)))
+        .select(F.col("id").cast("string").alias("session_id"), "start_ts")
+    )
+    assert SM.stratified_sample(sess, 100, "s").count() == 100
+    per_day = SM.stratified_sample(sess, 100, "s").groupBy("date").count().collect()
+    assert len(per_day) == min(days, 100)
+    assert max(r["count"] for r in per_day) - min(r["count"] for r in per_day) <= 1
+
+
+def test_total_above_the_window_limit(spark):
+    sess = spark.range(9000).select(F.col("id").cast("string").alias("session_id"), F.timestamp_seconds("id").alias("start_ts"))
+    got = {r.session_id for r in SM.stratified_sample(sess.where("id < 3600"), 2500, "s").collect()}
+    keys = sorted((hashlib.md5((str(i) + "s").encode()).hexdigest(), str(i)) for i in range(3600))
+    assert got == {k for _, k in keys[:2500]}
 
 
 def test_sample_is_deterministic_and_seeded(spark):
