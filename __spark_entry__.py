@@ -324,14 +324,15 @@ def _stream_tables(spark, sf_dir, names):
     """Run the ad stream over the log Spark derives from ``events``.
 
     The log is written into a fresh folder under the shared checkpoint
-    folder as one slice per week, oldest first (a live ad stream arrives in
-    time order), and consumed with ``availableNow`` one slice per
-    micro-batch: several micro-batches, state carried between them, and no
-    event arrives behind the watermarks.
+    folder as slices of somewhat less than a week, oldest first (a live ad
+    stream arrives in time order), and consumed with ``availableNow`` one
+    slice per micro-batch.  Slices end inside days and minutes, so stored
+    totals and states of a key are updated by several micro-batches; no event
+    arrives behind the watermarks.
     """
     _prep(spark)
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens-stream-{uuid.uuid4().hex}"
-    ST.write_log_slices(DriverTables(spark, sf_dir).ad_log(), root + "/in", slice_seconds=7 * 86400)
+    ST.write_log_slices(DriverTables(spark, sf_dir).ad_log(), root + "/in", slice_seconds=590_123)
     return ST.run_available(
         spark, root + "/in/*", root + "/out", root + "/ckpt", threshold=AD_THRESHOLD, max_files_per_trigger=1,
         names=names,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def merge_overwrite(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new`` replace rows of ``old`` with the same key."""
-    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
+    return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
 def merge_add(old: DataFrame, delta: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -2,11 +2,11 @@
 
 Parquet has no ``MERGE``.  A :class:`VersionedTable` writes each change as
 an immutable folder ``<root>/shoplens_version=<n>`` and records it in a commit log
-``<root>/_commits`` (small JSON files: version, batch id, partition).  A
+``<root>/_commits`` (small JSON files: version, writer and batch id, partition).  A
 version is visible only once its commit records are written, so a reader
 never sees a half-written table, a new version never overwrites the folder
-it reads from, and a replayed micro-batch (same batch id) is recognised and
-skipped.  The log is kept in epochs that start with a snapshot, so reading
+it reads from, and a replayed micro-batch (same writer and batch id) is
+recognised and skipped.  The log is kept in epochs that start with a snapshot, so reading
 it costs at most one epoch; :meth:`VersionedTable.expire_versions` deletes
 folders no partition reads any more.
 
@@ -24,17 +24,30 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
-from pyspark.sql.utils import AnalysisException
-
 from shoplens.spark import ensure_checkpoint_dir
 
 
-_LOG_SCHEMA = "version long, batch_id long, part string, tag string"
+_LOG_SCHEMA = "version long, batch_id long, part string, tag string, writer string"
 # Version folders are ``<root>/shoplens_version=<n>``; read back as a
 # partition column of that (unlikely to clash) name.
 _VCOL = "shoplens_version"
 
 
+def _fs_path(spark: SparkSession, path: str):
+    """Hadoop path and its file system: works on any cluster file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files in ``path`` (empty when it does not exist)."""
+    p, fs = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()]
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
 class VersionedTable:
     """Parquet table kept as immutable versions plus a commit log.
 
@@ -62,39 +75,35 @@ class VersionedTable:
         # starts with a snapshot of the state, so a reader needs only the
         # newest epoch, however long the table has lived.
         self.epoch_size = epoch_size
-        # partition -> version, plus the last batch id; read from the log
-        # once, then kept current by commit().  One writer per table.
-        self._cache: tuple[dict[str, int], int | None, int] | None = None
+        # partition -> version, plus the last batch id of each writer; read
+        # from the log once, then kept current by commit().  One writer at a
+        # time per table.
+        self._cache: tuple[dict[str, int], dict[str, int], int] | None = None
 
-    # ---- file system (Hadoop API: works on any cluster file system) ------
-
-    def _fs_path(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    # ---- file system -----------------------------------------------------
 
     def _children(self, path: str) -> list[str]:
         """Names of the sub-folders of ``path`` (empty when it does not exist)."""
-        p, fs = self._fs_path(path)
+        p, fs = _fs_path(self.spark, path)
         if not fs.exists(p):
             return []
         return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
-    def _exists(self, path: str) -> bool:
-        p, fs = self._fs_path(path)
-        return bool(fs.exists(p))
-
     def _delete(self, path: str) -> None:
-        p, fs = self._fs_path(path)
+        p, fs = _fs_path(self.spark, path)
         fs.delete(p, True)
 
     # ---- commit log ------------------------------------------------------
 
     def _epochs(self) -> list[int]:
-        """Committed log epochs (a ``_SUCCESS`` marker shows the write finished)."""
+        """Log epochs with records.
+
+        A commit writes one file, which the committer moves into place whole;
+        no marker file is needed to believe it.
+        """
         out = []
         for name in self._children(self.root + "/_commits"):
-            if name.startswith("epoch=") and self._exists(f"{self.root}/_commits/{name}/_SUCCESS"):
+            if name.startswith("epoch=") and _files(self.spark, f"{self.root}/_commits/{name}"):
                 out.append(int(name.split("=", 1)[1]))
         return sorted(out)
 
@@ -102,27 +111,27 @@ class VersionedTable:
         epochs = self._epochs()
         if not epochs:
             return None
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_commits/epoch={epochs[-1]}")
-        except AnalysisException:
-            return None
+        return self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_commits/epoch={epochs[-1]}")
 
-    def _state(self) -> tuple[dict[str, int], int | None, int]:
-        """(latest version per partition, last batch id, head version)."""
+    def _state(self) -> tuple[dict[str, int], dict[str, int], int]:
+        """(latest version per partition, last batch id per writer, head version)."""
         if self._cache is None:
             log = self._log()
             latest: dict[str, int] = {}
-            last_batch, head = None, 0
+            batches: dict[str, int] = {}
+            head = 0
             if log is not None:
-                # one row per partition: bounded by the number of partitions
-                for r in log.groupBy("part").agg(
+                # one row per partition and writer
+                for r in log.groupBy("part", "writer").agg(
                     F.max("version").alias("v"), F.max("batch_id").alias("b")
                 ).collect():
-                    latest[r.part] = int(r.v)
-                    head = max(head, int(r.v))
+                    head = max(head, r.v)
+                    if r.part is not None:
+                        latest[r.part] = max(latest.get(r.part, 0), r.v)
                     if r.b is not None:
-                        last_batch = int(r.b) if last_batch is None else max(last_batch, int(r.b))
-            self._cache = (latest, last_batch, head)
+                        writer = r.writer or ""
+                        batches[writer] = max(batches.get(writer, r.b), r.b)
+            self._cache = (latest, batches, head)
         return self._cache
 
     def refresh(self) -> None:
@@ -132,11 +141,13 @@ class VersionedTable:
     def version(self) -> int:
         return self._state()[2]
 
-    def last_batch_id(self) -> int | None:
-        return self._state()[1]
+    def last_batch_id(self, writer: str = "") -> int | None:
+        return self._state()[1].get(writer)
 
-    def seen(self, batch_id: int) -> bool:
-        last = self.last_batch_id()
+    def seen(self, batch_id: int, writer: str = "") -> bool:
+        """Was the batch committed?  Batch ids count per ``writer``: a stream
+        with a new checkpoint starts at 0 again and is another writer."""
+        last = self.last_batch_id(writer)
         return last is not None and batch_id <= last
 
     def partitions(self) -> list[str]:
@@ -168,18 +179,20 @@ class VersionedTable:
             & F.concat_ws("|", F.col(_VCOL).cast("string"), pc).isin(keys)
         ).drop(_VCOL)
 
-    def commit(self, rows: DataFrame, batch_id: int | None = None, parts: list[str] | None = None) -> bool:
+    def commit(
+        self, rows: DataFrame, batch_id: int | None = None, parts: list[str] | None = None, writer: str = ""
+    ) -> bool:
         """Make ``rows`` the content of the partitions they (and ``parts``) cover.
 
-        Returns False, writing nothing, if ``batch_id`` was committed before.
+        Returns False, writing nothing, if ``writer`` committed ``batch_id`` before.
         ``rows`` is usually computed from :meth:`read`; it goes to a new
         folder, so what it reads stays intact, and it becomes visible only
         when the commit records are written.
         """
-        if batch_id is not None and self.seen(batch_id):
+        if batch_id is not None and self.seen(batch_id, writer):
             return False
         rows = rows.select(*self.schema.fieldNames())
-        latest, last_batch, head = self._state()
+        latest, batches, head = self._state()
         v = head + 1
         target = f"{self.root}/{_VCOL}={v}"
         # A failed earlier attempt may have left an uncommitted folder: it
@@ -196,18 +209,20 @@ class VersionedTable:
             written = self.spark.read.parquet(target).select(F.col(self.partition_col).cast("string")).distinct()
             touched = sorted(str(r[0]) for r in written.collect())
         tag = uuid.uuid4().hex
-        records = [(v, batch_id, p, tag) for p in touched]
+        # a batch that touched nothing is recorded too
+        records = [(v, batch_id, p, tag, writer) for p in touched or [None]]
         epoch = v // self.epoch_size
         if (v - 1) // self.epoch_size != epoch or v == 1:
             # first version of an epoch: carry the state over in the same write
-            records += [(pv, last_batch, p, "snapshot") for p, pv in latest.items() if p not in touched]
+            records += [(pv, None, p, "snapshot", None) for p, pv in latest.items() if p not in touched]
+            records += [(v, b, None, "snapshot", w) for w, b in batches.items()]
         self.spark.createDataFrame(records, _LOG_SCHEMA).coalesce(1).write.mode("append").json(
             f"{self.root}/_commits/epoch={epoch}"
         )
         latest = {**latest, **{p: v for p in touched}}
         if batch_id is not None:
-            last_batch = batch_id if last_batch is None else max(last_batch, batch_id)
-        self._cache = (latest, last_batch, v)
+            batches = {**batches, writer: batch_id}
+        self._cache = (latest, batches, v)
         return True
 
     def expire_versions(self, keep_last: int = 10) -> list[int]:
@@ -232,11 +247,11 @@ class VersionedTable:
             self._delete(f"{self.root}/_commits/epoch={e}")
         return sorted(deleted)
 
-    def update(self, fn, batch_id: int | None = None, parts: list[str] | None = None) -> bool:
+    def update(self, fn, batch_id: int | None = None, parts: list[str] | None = None, writer: str = "") -> bool:
         """Commit ``fn(current rows of parts)``; ``parts=None`` means the whole table."""
-        if batch_id is not None and self.seen(batch_id):
+        if batch_id is not None and self.seen(batch_id, writer):
             return False
-        return self.commit(fn(self.read(parts)), batch_id, parts)
+        return self.commit(fn(self.read(parts)), batch_id, parts, writer)
 
 
 def upsert_partitions(
@@ -248,19 +263,16 @@ def upsert_partitions(
     (dynamic partition overwrite).  The merged rows are first materialised in
     the shared checkpoint folder, so the rewrite never reads the files it is
     replacing.  Idempotent: replaying the same rows gives the same table.
+    Only a missing folder counts as "no table yet"; stored rows that do not
+    fit ``new`` raise.
     """
     touched = [r[0] for r in new.select(partition_col).distinct().collect()]
-    try:
+    p, fs = _fs_path(spark, path)
+    merged = new
+    if fs.exists(p):
         old = spark.read.parquet(path).where(F.col(partition_col).isin(touched))
-        merged = old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.select(*old.columns))
-    except AnalysisException:
-        merged = new
+        merged = old.join(new.select(*keys), keys, "left_anti").unionByName(new)
     # always a real checkpoint here: the rewrite must not read its own target
     ensure_checkpoint_dir(spark)
     merged = merged.checkpoint(eager=True)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        merged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)

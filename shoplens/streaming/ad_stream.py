@@ -75,17 +75,19 @@ def write_log_slices(lines: DataFrame, folder: str, slice_seconds: int = 86400)
 
     Each slice is its own write, so file modification times follow event
     time and a file source with ``maxFilesPerTrigger`` replays the log in
-    order.  Only the list of slice numbers reaches the driver.
+    order.  Lines without a readable time come first, as a slice of their
+    own.  Only the list of slice numbers reaches the driver.
     """
     ms = F.split(F.trim(F.col("value")), " +").getItem(0).try_cast("bigint")
     # computed once, then cut into slices (one write per slice)
     sliced = lines.withColumn("_slice", F.floor(ms / F.lit(slice_seconds * 1000)).cast("bigint")).persist()
     try:
-        slices = sorted(r[0] for r in sliced.select("_slice").distinct().collect() if r[0] is not None)
+        found = [r[0] for r in sliced.select("_slice").distinct().collect()]
+        slices = [None] * (None in found) + sorted(n for n in found if n is not None)
         paths = []
         for n in slices:
-            path = f"{folder.rstrip('/')}/{n:012d}"
-            sliced.where(F.col("_slice") == n).select("value").coalesce(1).write.mode("overwrite").text(path)
+            path = f"{folder.rstrip('/')}/{'untimed' if n is None else format(n, '012d')}"
+            sliced.where(F.col("_slice").eqNullSafe(F.lit(n))).select("value").coalesce(1).write.mode("overwrite").text(path)
             paths.append(path)
     finally:
         sliced.unpersist()
@@ -140,12 +142,17 @@ def _dates(df: DataFrame) -> list[str]:
 
 
 def _persisted(handler):
-    """Keep the micro-batch cached while the handler runs several actions on it."""
+    """Keep the micro-batch cached while the handler runs several actions on it.
+
+    The handler also gets the id of its streaming query, which lives in the
+    query's checkpoint: batch ids count per query.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            handler(batch, batch_id)
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            handler(batch, batch_id, query or "")
         finally:
             batch.unpersist()
 
@@ -154,11 +161,11 @@ def _persisted(handler):
 
 def handle_user_counts(tables: AdTables, threshold: int):
     @_persisted
-    def handler(batch: DataFrame, batch_id: int) -> None:
+    def handler(batch: DataFrame, batch_id: int, query: str) -> None:
         totals = batch.select("date", "userid", "adid", F.col("count").alias("clickCount"))
         dates = _dates(totals)
         tables.user_click_count.update(
-            lambda old: merge_overwrite(old, totals, ["date", "userid", "adid"]), batch_id, dates
+            lambda old: merge_overwrite(old, totals, ["date", "userid", "adid"]), batch_id, dates, query
         )
         # append_new is idempotent, so a replay cannot list a user twice;
         # a version is written only when there is somebody new
@@ -173,19 +180,19 @@ def handle_user_counts(tables: AdTables, threshold: int):
 
 def handle_stats(tables: AdTables):
     @_persisted
-    def handler(batch: DataFrame, batch_id: int) -> None:
+    def handler(batch: DataFrame, batch_id: int, query: str) -> None:
         keys = ["date", "province", "city", "adid"]
         dates = _dates(batch)
-        if not tables.stat.seen(batch_id):
+        if not tables.stat.seen(batch_id, query):
             clicks = A.exclude_blacklisted(batch, tables.blacklist.read())
             delta = A.ad_stat(clicks)
-            tables.stat.update(lambda old: merge_add(old, delta, keys, "clickCount"), batch_id, dates)
+            tables.stat.update(lambda old: merge_add(old, delta, keys, "clickCount"), batch_id, dates, query)
         # Re-rank every (date, province) the batch touched, from the stored
         # totals.  Runs again on a replay that crashed between the commits.
-        if not tables.province_top3.seen(batch_id):
+        if not tables.province_top3.seen(batch_id, query):
             touched = batch.select("date", "province").distinct()
             top = A.province_top3(tables.stat.read(dates).join(touched, ["date", "province"], "left_semi"))
-            tables.province_top3.update(lambda old: replace_groups(old, top, ["date", "province"]), batch_id, dates)
+            tables.province_top3.update(lambda old: replace_groups(old, top, ["date", "province"]), batch_id, dates, query)
         _expire([tables.stat, tables.province_top3], batch_id)
 
     return handler
@@ -193,12 +200,12 @@ def handle_stats(tables: AdTables):
 
 def handle_trend(tables: AdTables):
     @_persisted
-    def handler(batch: DataFrame, batch_id: int) -> None:
+    def handler(batch: DataFrame, batch_id: int, query: str) -> None:
         per_minute = batch.select(F.col("window.start").alias("minute_ts"), "adid", F.col("count").alias("clickCount"))
         rows = A.trend_rows(per_minute)
         dates = _dates(rows)
         tables.click_trend.update(
-            lambda old: merge_overwrite(old, rows, ["date", "hour", "minute", "adid"]), batch_id, dates
+            lambda old: merge_overwrite(old, rows, ["date", "hour", "minute", "adid"]), batch_id, dates, query
         )
         _expire([tables.click_trend], batch_id)
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from shoplens.plans import page_job, product_job, session_job
 from shoplens.params import TaskParams
 from shoplens.sinks.merge import append_new, merge_add, merge_overwrite, replace_groups
@@ -138,3 +141,37 @@ def test_table_sink_replaces_a_managed_table(spark):
     sink.write("kv", df)
     sink.write("kv", df)  # K8: drop + save, not append
     assert sorted_rows(spark.table("shoplens_test_kv")) == [("a", 1), ("b", 2)]
+
+
+def test_table_is_read_without_success_markers(spark, tmp_path):
+    schema = spark.createDataFrame([], KV).schema
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        VersionedTable(spark, str(tmp_path / "t"), schema).commit(spark.createDataFrame([("a", 1)], schema), 0)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    again = VersionedTable(spark, str(tmp_path / "t"), schema)
+    assert again.version() == 1 and sorted_rows(again.read()) == [("a", 1)]
+
+
+def test_batch_ids_count_per_writer_over_epochs(spark, tmp_path):
+    schema = spark.createDataFrame([], KV).schema
+    t = VersionedTable(spark, str(tmp_path / "t"), schema, epoch_size=2)
+    one = spark.createDataFrame([("a", 1)], schema)
+    for batch_id, writer in [(0, "x"), (1, "x"), (2, "x"), (0, "y")]:
+        assert t.update(lambda old: merge_add(old, one, ["k"], "v"), batch_id, writer=writer)
+        assert not t.update(lambda old: merge_add(old, one, ["k"], "v"), batch_id, writer=writer)
+    again = VersionedTable(spark, str(tmp_path / "t"), schema, epoch_size=2)
+    assert sorted_rows(again.read()) == [("a", 4)]
+    assert (again.last_batch_id("x"), again.last_batch_id("y"), again.last_batch_id("z")) == (2, 0, None)
+
+
+def test_upsert_of_other_columns_raises_and_keeps_the_stored_rows(spark, tmp_path):
+    path = str(tmp_path / "p")
+    old = spark.createDataFrame([("d1", "a", 1)], "date string, k string, v long")
+    upsert_partitions(spark, path, old, ["date", "k"], "date")
+    other = spark.createDataFrame([("d1", "b", 1)], "date string, k string, w long")
+    with pytest.raises(AnalysisException):
+        upsert_partitions(spark, path, other, ["date", "k"], "date")
+    assert sorted_rows(spark.read.parquet(path), "date", "k", "v") == [("d1", "a", 1)]

@@ -106,3 +106,23 @@ def test_rejected_lines_are_kept(spark, tmp_path):
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(src)
     ST.run_available(spark, src, out, ckpt, names=(ST.REJECTS,))
     assert sorted(r.raw for r in spark.read.parquet(out + "/ad_rejects").collect()) == [f"{DAY1} p c x 1", "garbage"]
+
+
+def test_new_checkpoint_over_an_old_output_adds_its_batches(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    lines = _lines()
+    spark.createDataFrame([(x,) for x in lines[:10]], "value string").coalesce(1).write.text(src + "/a")
+    ST.run_available(spark, src + "/a", out, str(tmp_path / "ckpt1"), threshold=100, names=("ad_stat",))
+    spark.createDataFrame([(x,) for x in lines[10:]], "value string").coalesce(1).write.text(src + "/b")
+    tables = ST.run_available(spark, src + "/b", out, str(tmp_path / "ckpt2"), threshold=100, names=("ad_stat",))
+    clicks, _ = A.split_valid(A.decode_ad_log(spark.read.text(src + "/*")))
+    assert sorted_rows(tables.stat.read()) == sorted_rows(A.ad_stat(clicks))
+
+
+def test_malformed_lines_reach_the_rejects(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    lines = spark.createDataFrame([(x,) for x in _lines()], "value string")
+    ST.write_log_slices(lines, src, 600)
+    ST.run_available(spark, src + "/*", out, str(tmp_path / "ckpt"), names=(ST.REJECTS,))
+    _, rejected = A.split_valid(A.decode_ad_log(lines))
+    assert spark.read.parquet(f"{out}/{ST.REJECTS}").count() == rejected.count() == 1
