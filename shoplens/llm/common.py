@@ -59,11 +59,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Adaptive plans, UTC and small Arrow batches (documents may be long)."""
+    """Adaptive plans, UTC and Arrow batches small in rows and in bytes (documents may be long)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
     ship_package(spark)
 
 
