@@ -24,12 +24,15 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from query_params import (  # noqa: E402
     AD_THRESHOLD,
+    CUT_TIME,
     DEFAULT_PARAMS,
     FILTER_PARAMS,
     LEVEL_OF_AREA,
+    PAGE_BANDS,
     SAMPLE_SEED,
     SAMPLE_TOTAL,
 )
+from shoplens.functions import columns as K  # noqa: E402
 from shoplens.operators import ads as A  # noqa: E402
 from shoplens.operators import categories as C  # noqa: E402
 from shoplens.operators import funnel as FN  # noqa: E402
@@ -44,7 +47,7 @@ from shoplens.sources.tables import (  # noqa: E402
     click_product_pairs,
     prepare_actions,
 )
-from shoplens.sinks.merge import append_new, merge_add, replace_groups  # noqa: E402
+from shoplens.sinks.merge import append_new, merge_add, merge_overwrite, replace_groups  # noqa: E402
 from shoplens.spark import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from shoplens.streaming import ad_stream as ST  # noqa: E402
 
@@ -164,6 +167,11 @@ def q_category_counts(spark, sf_dir):
     return C.category_counts(_filtered_actions(spark, sf_dir)[2])
 
 
+def q_category_counts_strict(spark, sf_dir):
+    """Q5: only categories that the reference's own filter lets in."""
+    return C.category_counts(_filtered_actions(spark, sf_dir)[2], strict_reference=True)
+
+
 def q_top10_category(spark, sf_dir):
     return C.top_categories(C.category_counts(_filtered_actions(spark, sf_dir)[2]))
 
@@ -191,6 +199,36 @@ def q_top10_session_detail(spark, sf_dir):
     return S.detail_rows(C.top_session_actions(ranged, top))
 
 
+def q_top10_session_detail_dedupe(spark, sf_dir):
+    """Q8: a session on the list of several categories has its actions once."""
+    ranged, top = _top_sessions(spark, sf_dir)
+    return S.detail_rows(C.top_session_actions(ranged, top, True))
+
+
+def q_action_keys(spark, sf_dir):
+    """F1, F3, F6-F8, F12-F16 and P11 over every action."""
+    acts = _page_actions(spark, sf_dir)
+    day, cut = K.date_key("action_ts"), K.parse_action_time(F.concat("date", F.lit(" " + CUT_TIME)))
+    info = F.concat(
+        F.lit("page="), F.col("page_id"), F.lit("|session="), F.col("session_id"), F.lit("|city="), F.col("city_id")
+    )
+    return acts.select(
+        "tie",
+        K.date_hour_key("action_ts").alias("date_hour"),
+        day.alias("day_key"),
+        K.parse_date_key(day).cast("string").alias("day"),
+        K.minute_key("action_ts").alias("minute_key"),
+        K.before(F.col("action_ts"), cut).alias("is_before"),
+        K.after(F.col("action_ts"), cut).alias("is_after"),
+        K.is_blank(F.col("search_keyword")).alias("no_keyword"),
+        K.trim_comma(F.concat(F.lit(","), F.col("order_category_ids"), F.lit(",,"))).alias("ordered"),
+        K.zero_pad2(F.col("page_id")).alias("page2"),
+        K.bucket_label(F.col("page_id"), PAGE_BANDS).alias("page_band"),
+        K.field_from_concat(info, "city").alias("city"),
+        K.set_field_in_concat(info, "page", F.col("page_id") + 1).alias("next_page"),
+    )
+
+
 def _page_actions(spark, sf_dir):
     _prep(spark)
     return actions_in_range(DriverTables(spark, sf_dir).actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
@@ -305,6 +343,14 @@ def q_upsert_merge(spark, sf_dir):
     return merge_add(A.ad_stat(stored), A.ad_stat(new), keys, "clickCount")
 
 
+def q_upsert_overwrite(spark, sf_dir):
+    """Totals stored at noon (days 1-20), then final totals of days 11-31 over them."""
+    clicks = _ad_clicks(spark, sf_dir)
+    stored = clicks.where((F.dayofmonth("ts") <= 20) & (F.hour("ts") < 12))
+    final = clicks.where(F.dayofmonth("ts") > 10)
+    return merge_overwrite(A.ad_stat(stored), A.ad_stat(final), ["date", "province", "city", "adid"])
+
+
 def q_replace_groups(spark, sf_dir):
     """Top-3 of the stored days, groups touched by new days replaced by their new top-3."""
     stored, new = _click_halves(spark, sf_dir)
@@ -369,9 +415,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "session_sample_detail_day": q_session_sample_detail_day,
         "session_detail_semi": q_session_detail_semi,
         "category_counts": q_category_counts,
+        "category_counts_strict": q_category_counts_strict,
         "top10_category": q_top10_category,
         "top10_session": q_top10_session,
         "top10_session_detail": q_top10_session_detail,
+        "top10_session_detail_dedupe": q_top10_session_detail_dedupe,
+        "action_keys": q_action_keys,
         "page_pairs": q_page_pairs,
         "page_convert_rate": q_page_convert_rate,
         "page_convert_rate_packed": q_page_convert_rate_packed,
@@ -387,6 +436,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ad_click_trend": q_ad_click_trend,
         "ad_trailing_hour": q_ad_trailing_hour,
         "upsert_merge": q_upsert_merge,
+        "upsert_overwrite": q_upsert_overwrite,
         "replace_groups": q_replace_groups,
         "append_new": q_append_new,
         "stream_ad_stat": q_stream_ad_stat,

@@ -391,11 +391,35 @@ def oracle_queries() -> dict[str, str]:
     )
     cat_base = _with(ACTIONS, USERS, _rollup(d), _filter(d), _categories())
     q["category_counts"] = cat_base + "\nSELECT * FROM ccounts"
+    q["category_counts_strict"] = cat_base + """,
+gated AS (SELECT * FROM fa WHERE click_category_id > 0),
+members AS (
+  SELECT click_category_id AS c FROM gated
+  UNION SELECT TRY_CAST(x AS BIGINT) FROM (SELECT unnest(string_split(order_category_ids, ',')) AS x FROM gated)
+  UNION SELECT TRY_CAST(x AS BIGINT) FROM (SELECT unnest(string_split(pay_category_ids, ',')) AS x FROM gated)
+)
+SELECT * FROM ccounts WHERE categoryid IN (SELECT c FROM members WHERE c IS NOT NULL)"""
     q["top10_category"] = cat_base + "\nSELECT * FROM top10"
     q["top10_session"] = cat_base + "\nSELECT * FROM top10s"
     q["top10_session_detail"] = cat_base + (
         f"\nSELECT {DETAIL_COLS.replace('user_id AS', 'fa.user_id AS')} FROM fa JOIN top10s ON fa.session_id = top10s.sessionid"
     )
+    q["top10_session_detail_dedupe"] = cat_base + (
+        f"\nSELECT {DETAIL_COLS} FROM fa WHERE session_id IN (SELECT sessionid FROM top10s)"
+    )
+    q["action_keys"] = _with(ACTIONS, f"\nranged AS (SELECT * FROM actions WHERE {_range(d)})") + """
+SELECT tie, strftime(action_ts, '%Y-%m-%d_%H') AS date_hour, strftime(action_ts, '%Y%m%d') AS day_key, date AS day,
+       strftime(action_ts, '%Y%m%d%H%M') AS minute_key,
+       action_ts < CAST(date AS TIMESTAMP) + INTERVAL 18 MINUTE AS is_before,
+       action_ts > CAST(date AS TIMESTAMP) + INTERVAL 18 MINUTE AS is_after,
+       coalesce(search_keyword, '') = '' AS no_keyword, order_category_ids AS ordered,
+       lpad(CAST(page_id AS VARCHAR), 2, '0') AS page2,
+       CASE WHEN page_id BETWEEN 0 AND 3 THEN 'low' WHEN page_id BETWEEN 4 AND 6 THEN 'mid' WHEN page_id >= 7 THEN 'high' END
+         AS page_band,
+       CAST(city_id AS VARCHAR) AS city,
+       'page=' || CAST(page_id + 1 AS VARCHAR) || '|session=' || session_id || '|city=' || CAST(city_id AS VARCHAR)
+         AS next_page
+FROM ranged"""
     page_base = _with(ACTIONS, f"\nranged AS (SELECT * FROM actions WHERE {_range(d)})", _pairs(d))
     q["page_pairs"] = page_base + "\nSELECT from_page, to_page, pair_count FROM pc"
     q["page_convert_rate"] = page_base + (
@@ -441,6 +465,9 @@ def oracle_queries() -> dict[str, str]:
     )
     # merges of a stored part and a new part equal the whole-log results
     q["upsert_merge"] = ads + "\nSELECT date, province, city, adid, count(*) AS clickCount FROM clicks GROUP BY ALL"
+    q["upsert_overwrite"] = ads + (
+        "\nSELECT date, province, city, adid, count(*) AS clickCount FROM clicks WHERE day(ts) > 10 OR hour(ts) < 12 GROUP BY ALL"
+    )
     q["replace_groups"] = ads + """
 , allstat AS (SELECT date, province, adid, count(*) AS clickCount FROM clicks GROUP BY ALL)
 SELECT date, province, adid, clickCount FROM (

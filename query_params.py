@@ -38,3 +38,7 @@ AD_THRESHOLD = 1
 # Area -> level mapping for regions of the test data (the reference's own
 # mapping for its Chinese area names is the default in the operator).
 LEVEL_OF_AREA = {"A": ["AMERICA", "EUROPE"], "B": ["ASIA"], "C": ["MIDDLE EAST"]}
+
+# Time of day (unpadded hour) and page bands of the row on scalar functions.
+CUT_TIME = "0:18:00"
+PAGE_BANDS = [("low", 0, 3), ("mid", 4, 6), ("high", 7, None)]

@@ -126,10 +126,15 @@ def field_from_concat(col: Column, key: str, sep: str = "|") -> Column:
 
 
 def set_field_in_concat(col: Column, key: str, value: Column, sep: str = "|") -> Column:
-    """F16: replace (or add) ``key`` in a ``k=v|k=v`` string."""
-    m = F.str_to_map(col, F.lit("[" + sep + "]"), F.lit("="))
-    m = F.map_concat(F.map_filter(m, lambda k, v: k != F.lit(key)), F.create_map(F.lit(key), value.cast("string")))
-    return F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), sep)
+    """F16: set ``key`` of a ``k=v|k=v`` string in its place (at the end if it is new)."""
+
+    def own(piece: Column) -> Column:
+        return F.substring_index(piece, "=", 1) == key
+
+    new = F.concat(F.lit(key + "="), value.cast("string"))
+    pieces = F.filter(F.split(col, "[" + sep + "]"), lambda p: p != "")
+    done = F.transform(pieces, lambda p: F.when(own(p), new).otherwise(p))
+    return F.array_join(F.when(F.exists(pieces, own), done).otherwise(F.concat(pieces, F.array(new))), sep)
 
 
 def json_field(col: Column, field: str) -> Column:

@@ -33,6 +33,8 @@ def test_string_helpers(spark):
         C.trim_comma(F.col("s")).alias("tc"),
         C.field_from_concat(F.col("kv"), "k2").alias("fv"),
         C.set_field_in_concat(F.col("kv"), "k1", F.lit("x")).alias("sv"),
+        C.set_field_in_concat(F.col("kv"), "k3", F.lit(3)).alias("av"),
+        C.set_field_in_concat(F.col("e"), "k", F.lit("v")).alias("ev"),
         C.zero_pad2(F.col("n")).alias("zp"),
         C.is_blank(F.col("e")).alias("blank"),
         C.json_field(F.lit('{"product_status": 1}'), "product_status").alias("js"),
@@ -40,7 +42,7 @@ def test_string_helpers(spark):
         C.bucket_label(F.lit(45), C.VISIT_BUCKETS).alias("bucket"),
     ).collect()[0]
     assert r.tc == "a,b" and r.fv == "v2" and r.zp == "07" and r.blank
-    assert sorted(r.sv.split("|")) == ["k1=x", "k2=v2"]
+    assert (r.sv, r.av, r.ev) == ("k1=x|k2=v2", "k1=v1|k2=v2|k3=3", "k=v")
     assert r.js == "1" and r.cn == "3=X" and r.bucket == "visit_length_30s_60s"
 
 
