@@ -389,6 +389,14 @@ def q_stream_ad_stat(spark, sf_dir):
     return _stream_tables(spark, sf_dir, ("ad_blacklist", "ad_stat")).stat.read()
 
 
+def q_stream_province_top3(spark, sf_dir):
+    return _stream_tables(spark, sf_dir, ("ad_blacklist", "ad_stat")).province_top3.read()
+
+
+def q_stream_user_click_count(spark, sf_dir):
+    return _stream_tables(spark, sf_dir, ("ad_blacklist",)).user_click_count.read()
+
+
 def q_stream_ad_trend(spark, sf_dir):
     return _stream_tables(spark, sf_dir, ("ad_trend",)).click_trend.read()
 
@@ -440,6 +448,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_groups": q_replace_groups,
         "append_new": q_append_new,
         "stream_ad_stat": q_stream_ad_stat,
+        "stream_province_top3": q_stream_province_top3,
+        "stream_user_click_count": q_stream_user_click_count,
         "stream_ad_trend": q_stream_ad_trend,
         "stream_blacklist": q_stream_blacklist,
         **(LLM.queries() if LLM else {}),

@@ -476,6 +476,8 @@ SELECT date, province, adid, clickCount FROM (
     q["append_new"] = q["ad_blacklist"]
     # the streaming twins must equal the batch results
     q["stream_ad_stat"] = q["ad_stat"]
+    q["stream_province_top3"] = q["ad_province_top3"]
+    q["stream_user_click_count"] = q["ad_user_click_count"]
     q["stream_ad_trend"] = q["ad_click_trend"]
     q["stream_blacklist"] = q["ad_blacklist"]
     return q
