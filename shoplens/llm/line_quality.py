@@ -4,8 +4,8 @@ Lines are normalised (A-Z lower-cased, white space collapsed and trimmed) and
 hashed.  For every host the distinct documents that contain a line are counted;
 copies of a text count as one document.  Lines in more documents than the limit
 are removed, and a document of which too little is left is rejected.  The
-limit is a share of the host's distinct documents with a floor, so small hosts
-and small groups of related documents are left alone.
+limit is a number of documents, so a line has the same verdict whatever else its
+host holds; small groups of related documents are left alone.
 
 One scan measures the documents and hashes their lines; everything after it
 works on that narrow table.  A document contributes each of its lines once,
@@ -33,10 +33,8 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 from shoplens.llm.common import column, materialise, sized, slices, text_of, utf8_buffers
 from shoplens.llm.words import NON_SPACE, Words, mix, powers, windows
 
-#: A line is frequent in more documents of its host than this ...
-MIN_DOCUMENTS = 50
-#: ... and in more than this share of them.
-MAX_SHARE = 0.02
+#: A line is frequent in more documents of its host than this.
+MIN_DOCUMENTS = 5
 #: A document is depleted below this share of its words, or below this many words.
 MIN_LEFT_SHARE = 0.3
 MIN_LEFT_WORDS = 10
@@ -136,13 +134,20 @@ def _host(host_col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit(""))
 
 
-def frequent_lines(measured: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(host, line) above the host's limit."""
-    contents = measured.select("host", "print").distinct().groupBy("host").agg(F.count("*").alias("documents"))
+def _distinct_lines(measured: DataFrame) -> DataFrame:
+    """(host, print, line), each once."""
     lines = measured.select("host", "print", F.explode(F.array_distinct(F.transform("lines", lambda x: x.line))).alias("line"))
-    counts = lines.distinct().groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > min_documents)
-    contents = materialise(contents, "line-hosts")
-    above = counts.join(sized(contents, 64), "host").where(F.col("n") > max_share * F.col("documents"))
+    return lines.distinct()
+
+
+def frequent_lines(measured: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float | None = None) -> DataFrame:
+    """(host, line) above the limit; ``max_share`` also asks for more than this share of the host's documents."""
+    lines = _distinct_lines(measured)
+    above = lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > min_documents)
+    if max_share is not None:
+        contents = measured.select("host", "print").distinct().groupBy("host").agg(F.count("*").alias("documents"))
+        contents = materialise(contents, "line-hosts")
+        above = above.join(sized(contents, 64), "host").where(F.col("n") > max_share * F.col("documents"))
     return materialise(above.select("host", "line"), "line-frequent")
 
 
@@ -152,7 +157,7 @@ def line_quality(
     text_col: str = "text",
     host_col: str = "source",
     min_documents: int = MIN_DOCUMENTS,
-    max_share: float = MAX_SHARE,
+    max_share: float | None = None,
 ) -> DataFrame:
     """One row per document: id, measures, base_failed, words_left, kept."""
     measured = measure(docs, id_col, text_col, host_col)
@@ -182,18 +187,21 @@ def remove_frequent_lines(
     text_col: str = "text",
     host_col: str = "source",
     min_documents: int = MIN_DOCUMENTS,
-    max_share: float = MAX_SHARE,
+    max_share: float | None = None,
 ) -> DataFrame:
     """``docs`` without frequent lines; depleted documents are dropped.
 
-    A host's frequent lines number at most its lines over its limit, which is
-    a share of its documents: a bounded list per host.
+    A host's frequent lines grow with the host, so every text meets only its own.
     """
-    frequent = frequent_lines(measure(docs, id_col, text_col, host_col), min_documents, max_share)
-    by_host = materialise(frequent.groupBy(F.col("host").alias("f_host")).agg(F.collect_set("line").alias("bad")), "line-lists")
+    measured = measure(docs, id_col, text_col, host_col)
+    frequent = frequent_lines(measured, min_documents, max_share)
+    found = _distinct_lines(measured).join(sized(frequent, 64), ["host", "line"], "left_semi")
+    by_text = found.groupBy(F.col("host").alias("f_host"), F.col("print").alias("f_print")).agg(F.collect_set("line").alias("bad"))
+    by_text = materialise(by_text, "line-lists")
     text = text_of(text_col)
-    rows = docs.select(F.struct("*").alias("row"), text.alias("text"), _host(host_col).alias("host"))
-    rows = rows.join(sized(by_host, 4096), F.col("host") == F.col("f_host"), "left").select("row", "text", "bad")
+    rows = docs.select(F.struct("*").alias("row"), text.alias("text"), _host(host_col).alias("host"), F.xxhash64(text).alias("print"))
+    own = (F.col("host") == F.col("f_host")) & (F.col("print") == F.col("f_print"))
+    rows = rows.join(sized(by_text, 4096), own, "left").select("row", "text", "bad")
     schema = StructType(
         [StructField("row", docs.select(F.struct("*").alias("row")).schema["row"].dataType), StructField("clean", StringType()), StructField("depleted", BooleanType())]
     )

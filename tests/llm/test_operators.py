@@ -247,6 +247,22 @@ def test_frequent_lines_go(spark):
     assert left[3] == (36, True) and left[21] == (42, True) and left[20][1] is False
 
 
+def test_a_line_has_one_verdict_in_small_and_hot_hosts(spark):
+    """The same lines in as many documents of a host of 10 and of one of 600."""
+    rows = []
+    for host, n in (("small", 10), ("hot", 600), (None, 12)):
+        for i in range(n):
+            own = " ".join(f"{host}{i}word{k}" for k in range(12))
+            rows.append((len(rows), own + "\nfooter of six" * (i < 6) + "\nfooter of five" * (i < 5), host))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = {r.doc_id: (r.n_words, r.words_left) for r in line_quality(docs).collect()}
+    clean = {r.doc_id: r.text for r in remove_frequent_lines(docs).collect()}
+    assert len(left) == len(clean) == len(rows)
+    for i, text, _ in rows:
+        n = len(text.split())
+        assert left[i] == (n, n - 3 * ("six" in text)) and clean[i] == text.replace("\nfooter of six", "")
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rows, labels = [], []
