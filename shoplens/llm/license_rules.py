@@ -33,11 +33,16 @@ class Rule:
 
 def compile_phrase(phrase: str) -> re.Pattern:
     out = b""
+    begun = False  # a word that every match contains has been written
     for word in phrase.split():
         optional = word.endswith("?")
-        choices = b"|".join(re.escape(w.encode()) for w in word.rstrip("?").split("|"))
-        gap = GAP if out else b""
-        out += b"(?:" + gap + b"(?:" + choices + b"))?" if optional else gap + b"(?:" + choices + b")"
+        choices = b"(?:" + b"|".join(re.escape(w.encode()) for w in word.rstrip("?").split("|")) + b")"
+        if not begun:
+            # an optional word before it brings the gap behind it along
+            out += b"(?:" + choices + GAP + b")?" if optional else choices
+            begun = not optional
+        else:
+            out += b"(?:" + GAP + choices + b")?" if optional else GAP + choices
     return re.compile(b"(?<!" + WORD + b")" + out + b"(?!" + WORD + b")")
 
 
@@ -54,11 +59,12 @@ BASE_PHRASES = (
     ("general public license", "gpl"),
 )
 
-#: (label, how the name is written, versions)
+#: (label, how the name is written, versions).  The names of lgpl and agpl end in gpl's, so they have all
+#: versions of gpl: the longer signature must explain what the shorter one finds in it.
 FAMILIES = (
     ("gpl", ("gnu? general public license", "gnu gpl", "gpl"), ("1 0", "2 0", "2", "3 0", "3")),
-    ("lgpl", ("gnu? lesser general public license", "gnu? library general public license", "lgpl"), ("2 0", "2 1", "2", "3 0", "3")),
-    ("agpl", ("gnu? affero general public license", "agpl"), ("1 0", "3 0", "3")),
+    ("lgpl", ("gnu? lesser general public license", "gnu? library general public license", "lgpl"), ("1 0", "2 0", "2 1", "2", "3 0", "3")),
+    ("agpl", ("gnu? affero general public license", "agpl"), ("1 0", "2 0", "2", "3 0", "3")),
     ("gfdl", ("gnu? free documentation license", "gfdl"), ("1 1", "1 2", "1 3")),
     ("apache", ("apache software? license", "asl"), ("1 0", "1 1", "2 0", "2")),
     ("mpl", ("mozilla public license", "mpl"), ("1 0", "1 1", "2 0")),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.bpe_trie import decode_documents, encode_digests, encode_documents
 from shoplens.llm.exact_dedup import drop_duplicates, exact_duplicates
+from shoplens.llm.license_rules import build_rules, compile_phrase
 from shoplens.llm.license_scan import license_digest, scan_licenses
 from shoplens.llm.line_quality import line_quality, remove_frequent_lines
 from shoplens.llm.mixing import mix, mixed_sizes
@@ -222,6 +224,35 @@ def test_contained_detections_are_suppressed(spark):
     assert any(d.rule == "base apache license" and not d.kept for d in found)
 
 
+def test_optional_words_present_and_absent():
+    phrases = [(r, r.name.removeprefix("base ").split()) for r in build_rules()]
+    for rule, words in phrases:
+        optional = [k for k, w in enumerate(words) if w.endswith("?")]
+        for present in itertools.product([False, True], repeat=len(optional)):
+            out = {k for k, p in zip(optional, present) if not p}
+            text = " ".join(w.rstrip("?").split("|")[0] for k, w in enumerate(words) if k not in out).encode()
+            for around in (b"%s", b"the %s of", b"(%s)", b"a\n%s."):
+                low = around % text
+                assert rule.pattern.search(low).group() == text and rule.keyword in low, (rule.name, low)
+    assert not compile_phrase("gnu? general public license").search(b"gnugeneral public license")
+
+
+def test_long_names_without_their_first_word(spark):
+    texts = {
+        "under the lesser general public license version 2.1": "lgpl",
+        "The Affero General Public License": "agpl",
+        "Affero General Public License, version 2": "agpl",
+        "library general public license 1.0 or later": "lgpl",
+        "the free documentation license": "gfdl",
+        "Open Font License 1.1": "ofl",
+        "the general public license version 3": "gpl",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for (text, label), row in zip(texts.items(), scan_licenses(docs).orderBy("doc_id").collect()):
+        assert {d.label for d in row.detections if d.kept} == {label}, text
+        assert row.score > 0
+
+
 def test_line_quality_measures(docs):
     want = Counter()
     for i, t, _ in TEXTS:
