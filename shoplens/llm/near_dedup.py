@@ -20,8 +20,9 @@ concentrated about their similarity as T independent samples would be.
 5. Components of all confirmed links.
 
 A pair at the threshold shares no bucket with probability below 4e-6, and is
-estimated below the cut with probability below 1e-4; both fall quickly above
-the threshold.  Everything else is exact: links are only made by full sets.
+estimated below the cut with probability below 1e-7 (by the binomial); both
+fall quickly above the threshold.  Everything else is exact: links are only
+made by full sets.
 
 Defined results: null text counts as empty; documents without words have an
 empty set, are linked with nothing and are kept; fewer words than a shingle
@@ -49,8 +50,9 @@ SHINGLE_WORDS = 5
 THRESHOLD = 80  # per cent
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
-#: Pairs with fewer equal bins are not worth a look: 3.8 standard deviations below the threshold.
-CUT = 109
+#: Pairs with fewer equal bins are not worth a look: 5.5 standard deviations below the threshold, which
+#: loses fewer pairs than the bands do.
+CUT = 100
 BLOCK_ROWS = 1024
 #: Blocks that carry texts are smaller.
 TEXT_BLOCK_ROWS = 256

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +164,25 @@ def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     assert {r.component_id for r in got} == {89}
 
 
+def test_the_estimate_loses_fewer_pairs_than_the_bands():
+    from shoplens.llm import near_dedup as N
+
+    p = N.THRESHOLD / 100
+    lost = sum(math.comb(N.BINS, k) * p**k * (1 - p) ** (N.BINS - k) for k in range(N.CUT))
+    assert lost < (1 - p**N.ROWS) ** N.BANDS
+    # sketches that agree on 104 bins, the first band among them, of sets at exactly 0.8
+    one = np.arange(N.BINS, dtype="<u2")
+    two = np.where(one < 104, one, one + 1000).astype("<u2")
+    texts = [" ".join(f"w{i}" for i in range(94)), " ".join(f"w{i}" if i < 84 else f"n{i}" for i in range(94))]
+    ids = [b"a", b"b"]
+    fixed = {"bucket": [1, 1], "block": [0, 0], "cls": ids, "sketch": [one.tobytes(), two.tobytes()]}
+    (found,) = N._forest(iter([pa.RecordBatch.from_pydict(fixed)]))
+    assert found.to_pylist() == [{"a": b"b", "b": b"a"}]
+    more = {"out_block": [0, 0], "band": [0, 0], "component": ids, "text": texts, "outsider": [False, True], "as_outsider": [False, True]}
+    (found,) = N._across(5, N.THRESHOLD)(iter([pa.RecordBatch.from_pydict(fixed | more)]))
+    assert found.to_pylist() == [{"a": b"b", "b": b"a"}]
+
+
 def test_drop_near_duplicates(docs):
     got = drop_near_duplicates(docs).collect()
     ids = sorted((r.doc_id for r in got if r.doc_id is not None))
