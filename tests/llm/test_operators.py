@@ -351,6 +351,20 @@ def test_toxicity_in_blocks(labelled):
     assert one == many
 
 
+def test_large_toxicity_weights_stay_off_the_driver(labelled, monkeypatch):
+    docs, labels = labelled
+    docs = docs.withColumn("text", F.expr("if(doc_id % 5 = 0, concat(text, ' snarly gruesome'), text)"))
+    docs = docs.unionByName(docs.where("doc_id is null or doc_id in (5, 6)"))
+    one = Counter((r.doc_id, round(r.score, 9)) for r in score_toxicity(docs, labels).collect())
+
+    def refuse(self):
+        raise AssertionError("the weights came to the driver")
+
+    monkeypatch.setattr(type(docs), "toPandas", refuse)
+    many = Counter((r.doc_id, round(r.score, 9)) for r in score_toxicity(docs, labels, block_steps=1).collect())
+    assert one == many and sum(one.values()) == 405
+
+
 def test_single_class_gives_the_smoothed_share(labelled):
     docs, labels = labelled
     good = labels.where(F.col("quality") == 1).withColumn("toxic", F.lit(0))
