@@ -26,7 +26,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ from shoplens.llm.tokenizing import Units, broadcast_tokenizer, id_type, library
 MAX_NODES = 100_000
 MAX_PAIRS = 100_000
 CACHE_ENTRIES = 250_000
-#: Longer words are merged directly instead of growing the trie.
+#: Longer words walk a path of their own that is thrown away, instead of growing the trie.
 LONGEST_IN_TRIE = 64
 
 
@@ -121,13 +121,14 @@ class TrieEncoder:
             self.pairs[key] = self.merge(self.symbols(self.text_of_id[a]) + self.symbols(self.text_of_id[b])) == [a, b]
         return self.pairs[key]
 
-    def _state(self, word: str, depth: int, path: list[int], final: bool) -> tuple[int, int]:
+    def _state(self, word: str, depth: int, path: Sequence[int], final: bool, last: list[int]) -> tuple[int, int]:
         """Last token of ``word[:depth]`` (as a word's end if ``final``) and its length.
 
-        ``path[d]`` is the node of ``word[:d]``.  Exactly one candidate is whole
-        and compatible with what stands before it.
+        ``path[d]`` is the node of ``word[:d]``, ``last`` the last token of each
+        node.  Exactly one candidate is whole and compatible with what stands
+        before it.
         """
-        last, pairs, node = self.last, self.pairs, self.final if final else self.inner
+        pairs, node = self.pairs, self.final if final else self.inner
         for at in range(depth - 1, -1, -1):
             node = node.get(word[at])
             if node is None:
@@ -147,13 +148,30 @@ class TrieEncoder:
                 return token, depth - at
         raise ValueError(f"no token ends {word[:depth]!r}")
 
+    def _long(self, word: str) -> tuple[int, ...]:
+        """Ids of a long word, a state per character: time and memory grow with its length alone."""
+        last, span, nodes = [-1], [0], range(len(word) + 1)
+        for depth in range(1, len(word) + (not self.end)):
+            token, n = self._state(word, depth, nodes, False, last)
+            last.append(token)
+            span.append(n)
+        if self.end:
+            token, n = self._state(word, len(word), nodes, True, last)
+            last.append(token)
+            span.append(n)
+        ids, at = [], len(word)
+        while at > 0:
+            ids.append(last[at])
+            at -= span[at]
+        return tuple(reversed(ids))
+
     def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words, visited in sorted order."""
         out: dict[str, tuple[int, ...]] = {}
         path, previous = [0], ""
         for word in sorted(words):
             if len(word) > LONGEST_IN_TRIE:
-                out[word] = tuple(self.merge(self.symbols(word + self.end)))
+                out[word] = self._long(word)
                 continue
             if len(self.last) > MAX_NODES:
                 self._clear()
@@ -168,7 +186,7 @@ class TrieEncoder:
             for depth in range(shared + 1, len(word) + (not self.end)):
                 node = self.children[path[-1]].get(word[depth - 1])
                 if node is None:
-                    token, n = self._state(word, depth, path, False)
+                    token, n = self._state(word, depth, path, False, self.last)
                     node = len(self.last)
                     self.children[path[-1]][word[depth - 1]] = node
                     self.children.append({})
@@ -177,7 +195,7 @@ class TrieEncoder:
                 path.append(node)
             # the end node's state: read at once, it has no children
             if self.end:
-                token, n = self._state(word, len(word), path, True)
+                token, n = self._state(word, len(word), path, True, self.last)
             else:
                 token, n = self.last[path[len(word)]], self.span[path[len(word)]]
             ids, at = [token], len(word) - n

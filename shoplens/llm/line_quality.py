@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from shoplens.llm.common import column, materialise, sized, slices, text_of, utf8_buffers
-from shoplens.llm.words import NON_SPACE, Words, mix, powers, windows
+from shoplens.llm.words import NON_SPACE, Words, mix, windows
 
 #: A line is frequent in more documents of its host than this.
 MIN_DOCUMENTS = 5
@@ -62,7 +62,8 @@ def line_table(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(begins)
     lengths = np.diff(np.append(first, len(words)))
     place = np.arange(len(words)) - np.repeat(first, lengths)
-    hashes = np.add.reduceat(words.hashes() * powers(int(place.max()) + 1)[place], first)
+    # each word is mixed with its place before the sum, so no pattern of words cancels out
+    hashes = np.add.reduceat(mix(words.hashes() ^ mix(place.astype(np.uint64))), first)
     return mix(hashes + lengths.astype(np.uint64)), lengths, np.searchsorted(first, words.ptr)
 
 

@@ -6,12 +6,17 @@ Two word classes are used: runs of anything but ASCII white space
 unions of ASCII bytes and all bytes of multi-byte characters, so working on
 bytes gives the words that working on characters gives.
 
-A word's hash is ``sum(T[byte] * B**i) mod 2**64``, mixed: 64 bits, equal on
-every machine and in every run.
+A word's hash has 64 bits and is equal on every machine and in every run: the
+word's bytes are taken eight at a time and chained through a bijection that is
+not linear, beginning with the word's length; words over ``LONG`` bytes take a
+cryptographic digest instead.  Different words share a hash with probability
+2**-64, whatever pattern their letters follow.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _BYTES = np.arange(256)
@@ -20,10 +25,12 @@ ALNUM = ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x61) & (_BYTES <= 0
 LOWER = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 32, _BYTES).astype(np.uint8)
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
-BYTE_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 STEP = [np.uint64(int(x) | 1) for x in _rng.integers(1, 1 << 63, 8, dtype=np.uint64)]
-_powers = np.ones(1, np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG = 128
+_LENGTH_SEED = np.uint64(0x9E3779B97F4A7C15)
+#: Keeps the first n bytes of a block of eight.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,15 +42,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(n: int) -> np.ndarray:
-    """BASE**0 .. BASE**(n-1)."""
-    global _powers
-    if n > len(_powers):
-        size = max(n, 2 * len(_powers))
-        grown = np.full(size, BASE, np.uint64)
-        grown[0] = 1
-        _powers = np.multiply.accumulate(grown)
-    return _powers[:n]
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes ``data[start:end]`` of each run."""
+    lengths = ends - starts
+    out = mix((lengths.astype(np.uint64) + np.uint64(1)) * _LENGTH_SEED)
+    short = lengths <= LONG
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    # the eight bytes from each place on, as one number
+    blocks = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+    left, done = np.flatnonzero(short & (lengths > 0)), 0
+    while len(left):
+        kept = _FIRST[np.minimum(lengths[left] - done, 8)]
+        out[left] = mix(out[left] ^ (blocks[starts[left] + done] & kept))
+        done += 8
+        left = left[lengths[left] > done]
+    for i in np.flatnonzero(~short):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest()
+        out[i] ^= np.uint64(int.from_bytes(digest, "little"))
+    return out
 
 
 class Words:
@@ -82,36 +98,15 @@ class Words:
         """The document of each word."""
         return np.repeat(np.arange(len(self.ptr) - 1), self.counts)
 
-    def hashes(self, block: int = 1 << 20) -> np.ndarray:
-        """64-bit hash of each word, in blocks of about ``block`` bytes."""
+    def hashes(self) -> np.ndarray:
+        """64-bit hash of each word."""
         if self._hashes is None:
-            self._hashes = self._hash(block)
+            self._hashes = hash_runs(self.data, self.starts, self.ends)
         return self._hashes
 
-    def _hash(self, block: int) -> np.ndarray:
-        out = np.empty(len(self.starts), np.uint64)
-        lo = 0
-        while lo < len(out):
-            hi = max(lo + 1, int(np.searchsorted(self.ends, self.starts[lo] + block, "right")))
-            begin, end = self.starts[lo], self.ends[hi - 1]
-            starts, lengths = self.starts[lo:hi] - begin, self.ends[lo:hi] - self.starts[lo:hi]
-            origin = np.repeat(starts, np.diff(np.append(starts, end - begin)))
-            inside = np.arange(end - begin) - origin
-            # bytes after a word's end (up to the next word) count nothing
-            codes = BYTE_CODE[self.data[begin:end]] * powers(int(inside.max()) + 1)[inside]
-            codes[inside >= np.repeat(lengths, np.diff(np.append(starts, end - begin)))] = 0
-            out[lo:hi] = np.add.reduceat(codes, starts)
-            lo = hi
-        return mix(out)
-
     def prefix_hashes(self, length: int) -> np.ndarray:
         """Hash of the first ``length`` bytes of each word (all of a shorter word)."""
-        out = np.zeros(len(self.starts), np.uint64)
-        last = max(len(self.data) - 1, 0)
-        for i in range(length):
-            at = self.starts + i
-            out += np.where(at < self.ends, BYTE_CODE[self.data[np.minimum(at, last)]] * powers(i + 1)[i], np.uint64(0))
-        return mix(out)
+        return hash_runs(self.data, self.starts, np.minimum(self.ends, self.starts + length))
 
 
 def windows(hashes: np.ndarray, ptr: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
