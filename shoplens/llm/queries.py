@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shoplens.llm import oracle
 from shoplens.llm.bpe_trie import encode_digests
 from shoplens.llm.common import load
+from shoplens.llm.conversation_repair import damage, repair_conversations, repair_digests
 from shoplens.llm.exact_dedup import exact_duplicates
 from shoplens.llm.license_scan import license_digest, scan_licenses
 from shoplens.llm.line_quality import line_quality
@@ -63,10 +64,15 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations")
+    return repair_digests(rows, repair_conversations(damage(rows), "conv", "turn").withColumnRenamed("conv", "conv_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_toxicity, op2_token_counts, op3_exact_dedup, op4_license_scan, op5_token_files, op6_line_quality,
-        op7_near_dedup, op8_bpe_round_trip, op9_source_mix, op10_quality_classifier,
+        op7_near_dedup, op8_bpe_round_trip, op9_source_mix, op10_quality_classifier, op11_conversation_repair,
     )
     return {f.__name__: f for f in own}
 
