@@ -17,6 +17,7 @@ from shoplens.llm.line_quality import line_quality
 from shoplens.llm.mixing import mixed_sizes
 from shoplens.llm.near_dedup import near_duplicates
 from shoplens.llm.quality_classifier import score_quality
+from shoplens.llm.spelling_variants import LOSES, spelling_variants, vocabulary
 from shoplens.llm.token_counts import count_tokens
 from shoplens.llm.token_output import token_positions
 from shoplens.llm.toxicity import score_toxicity
@@ -69,10 +70,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digests(rows, repair_conversations(damage(rows), "conv", "turn").withColumnRenamed("conv", "conv_id"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(vocabulary(load(spark, sf_dir, "documents"), loses=LOSES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_toxicity, op2_token_counts, op3_exact_dedup, op4_license_scan, op5_token_files, op6_line_quality,
         op7_near_dedup, op8_bpe_round_trip, op9_source_mix, op10_quality_classifier, op11_conversation_repair,
+        op12_spelling_variants,
     )
     return {f.__name__: f for f in own}
 
