@@ -16,6 +16,7 @@ from shoplens.llm.license_scan import license_digest, scan_licenses
 from shoplens.llm.line_quality import line_quality
 from shoplens.llm.mixing import mixed_sizes
 from shoplens.llm.near_dedup import near_duplicates
+from shoplens.llm.ngram_join import ngram_components
 from shoplens.llm.quality_classifier import score_quality
 from shoplens.llm.spelling_variants import LOSES, spelling_variants, vocabulary
 from shoplens.llm.token_counts import count_tokens
@@ -74,11 +75,15 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(vocabulary(load(spark, sf_dir, "documents"), loses=LOSES))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_toxicity, op2_token_counts, op3_exact_dedup, op4_license_scan, op5_token_files, op6_line_quality,
         op7_near_dedup, op8_bpe_round_trip, op9_source_mix, op10_quality_classifier, op11_conversation_repair,
-        op12_spelling_variants,
+        op12_spelling_variants, op13_ngram_join,
     )
     return {f.__name__: f for f in own}
 
