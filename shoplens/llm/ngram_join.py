@@ -8,7 +8,7 @@ join on those prefixes.  The order here puts rare n-grams first, so that what
 many documents share (templates, passages) is joined on only by documents that
 have little else.
 
-1. One pass makes the sets (64-bit hashes), a histogram of each, and counts
+1. One pass makes the sets (64-bit hashes), a parity vector of each, and counts
    all n-grams of all documents in a fixed number of counters.  A counter far
    above the average holds a frequent n-gram; its level is the logarithm of the
    surplus.  N-grams are ordered by (level, hash).  Levels decide speed alone:
@@ -18,16 +18,17 @@ have little else.
    are dropped, and of n-grams with the same classes one is kept.
 4. The classes of an n-gram are dealt into blocks.  A pair passes if its sizes
    agree (length filter), if the n-grams before and after the shared one can
-   still make up ``need`` (positional filter), and if the histograms leave room
-   for it (suffix filter: the n-grams are parted at 63 fixed pivots, and what
-   the parts differ by can't be shared).  Small blocks send all such pairs;
-   large ones the pairs of a maximum spanning forest over the bound that the
-   histograms give.
+   still make up ``need`` (positional filter), and if the rest leaves room for
+   it (suffix filter: both sets are parted into the same many small parts; a
+   part that is odd in one and even in the other holds an n-gram that is not
+   shared).  Small blocks send all such pairs; large ones the pairs of a
+   maximum spanning forest over the bound that the last filter gives.
 5. Pairs are checked on full sets: first the best of each class, then those
    whose classes are not connected yet.
 6. N-grams with many classes that are not connected by then: classes outside
-   the largest component meet all classes of other components, block by block,
-   and every pair that passes the filters is checked once.
+   the largest component meet all classes of other components, block by block.
+   First the best pair of a class with each component is checked, then every
+   pair that passes the filters and is not connected yet; each pair once.
 
 No pair inside a component is looked at again, so a group of n near copies
 costs about n checks.  Every link between classes of different components is
@@ -56,10 +57,11 @@ from shoplens.llm.near_dedup import shingle_sets, similar
 
 NGRAM_WORDS = 5
 THRESHOLD = 80  # per cent
-COUNTER_BITS, PARTS = 22, 64
+COUNTER_BITS, PARTS = 22, 1024
 #: Partial counters are summed in so many groups, then over the groups.
 SUM_GROUPS = 32
-PIVOTS = 64
+#: Bits of a parity vector: for each n-gram this many, rounded up to a power of two between the limits.
+BITS_EACH, LEAST_BITS, MOST_BITS = 4, 512, 1 << 17
 #: Up to so many classes all pairs that pass the filters are sent at once.
 SMALL = 16
 BLOCK = 1024
@@ -82,11 +84,25 @@ def classes_of(elements: np.ndarray, ptr: np.ndarray) -> list[bytes | None]:
     return [hashlib.blake2b(elements[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(ptr[:-1], ptr[1:])]
 
 
-def histograms(elements: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-    """How many n-grams of each set fall between the pivots (at most 65535 are told apart)."""
-    n = len(ptr) - 1
-    at = np.repeat(np.arange(n), np.diff(ptr)) * PIVOTS + (elements % np.uint64(PIVOTS)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=n * PIVOTS), 65535).astype("<u2").reshape(n, PIVOTS)
+def parities(elements: np.ndarray, ptr: np.ndarray) -> list[bytes | None]:
+    """For each set, which of its parts hold an odd number of n-grams, a bit for each part.
+
+    Parts are by the lowest bits of the hash, so a longer vector folds into a shorter one.
+    """
+    out: list[bytes | None] = []
+    for lo, hi in zip(ptr[:-1].tolist(), ptr[1:].tolist()):
+        if lo == hi:
+            out.append(None)
+            continue
+        bits = min(max(1 << (BITS_EACH * (hi - lo) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+        at = (elements[lo:hi] & np.uint64(bits - 1)).astype(np.int64)
+        out.append(np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes())
+    return out
+
+
+def folded(rows: np.ndarray, width: int) -> np.ndarray:
+    """Parity vectors (rows of 64-bit numbers) of fewer parts."""
+    return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, width), 1)
 
 
 class Counters:
@@ -125,7 +141,7 @@ def unpacked(raw: bytes) -> np.ndarray:
 
 
 def _measure(size: int):
-    names = ["id", "print", "n_shingles", "cls", "histogram", "part", "counts"]
+    names = ["id", "print", "n_shingles", "cls", "parity", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_state()
@@ -136,11 +152,10 @@ def _measure(size: int):
                 elements, ptr = shingle_sets(column(part, "text"), size)
                 counters.add(elements)
                 own = classes_of(elements, ptr)
-                rows = [h.tobytes() if c else None for c, h in zip(own, histograms(elements, ptr))]
                 yield pa.RecordBatch.from_arrays(
                     [
                         column(part, "id"), column(part, "print"), pa.array(np.diff(ptr), pa.int64()), pa.array(own, pa.binary()),
-                        pa.array(rows, pa.binary()), pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary()),
+                        pa.array(parities(elements, ptr), pa.binary()), pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary()),
                     ],
                     names,
                 )
@@ -223,27 +238,46 @@ def _prefixes(size: int, threshold: int, levels: Broadcast):
 
 
 class Members:
-    """Classes that share an n-gram: sizes, places of the n-gram, histograms."""
+    """Classes that share an n-gram: sizes, places of the n-gram, parity vectors."""
 
     def __init__(self, table: pa.Table):
         self.cls = table.column("cls").to_pylist()
         self.n = table.column("n").to_numpy()
-        self.place = table.column("place").to_numpy()
-        self.parts = np.frombuffer(b"".join(table.column("histogram").to_pylist()), "<u2").reshape(-1, PIVOTS).astype(np.int32)
-
-
-def bounds(a: Members, i: np.ndarray, b: Members, j: np.ndarray, threshold: int) -> np.ndarray:
+        self.place = table.column("place").to_numpy().astype(np.int64)
+        raw = table.column("parity").to_pylist()
+        self.width = np.array([len(r) // 8 for r in raw], np.int64)
+        # vectors of one length lie together; ``row``: where a class's vector is among them
+        self.row = np.zeros(len(raw), np.int64)
+        self.vectors: dict[tuple[int, int], np.ndarray] = {}
+        for width in set(self.width.tolist()):
+            own = np.flatnonzero(self.width == width)
+            self.row[own] = np.arange(len(own))
+            self.vectors[width, width] = np.frombuffer(b"".join(raw[i] for i in own), "<u8").reshape(len(own), width)
+
+    def parity(self, which: np.ndarray, width: int, to: int) -> np.ndarray:
+        if (width, to) not in self.vectors:
+            self.vectors[width, to] = folded(self.vectors[width, width], to)
+        return self.vectors[width, to][self.row[which]]
+
+
+def bounds(m: Members, i: np.ndarray, j: np.ndarray, threshold: int) -> np.ndarray:
     """How much pairs can share at most, in thousandths of what they need; 0 for pairs that a filter drops."""
-    x, y, p, q = a.n[i], b.n[j], a.place[i].astype(np.int64), b.place[j].astype(np.int64)
+    x, y, p, q = m.n[i], m.n[j], m.place[i], m.place[j]
     need = needed(x, y, threshold)
     out = np.zeros(len(x), np.int64)
     # length and positional filters: at most min(p, q) shared before, the rest behind
     left = np.flatnonzero((np.minimum(x, y) >= need) & (np.minimum(p, q) + 1 + np.minimum(x - p - 1, y - q - 1) >= need))
-    for lo in range(0, len(left), 1 << 14):
-        own = left[lo : lo + (1 << 14)]
-        apart = np.abs(a.parts[i[own]] - b.parts[j[own]]).sum(1)
-        most = (x[own] + y[own] - apart) // 2
-        out[own] = np.where(most >= need[own], 1000 * most // need[own], 0)
+    widths = m.width[i[left]] << 32 | m.width[j[left]]
+    for both in set(widths.tolist()):
+        mine, yours = both >> 32, both & 0xFFFFFFFF
+        to = min(mine, yours)
+        same = left[widths == both]
+        step = max(1, (1 << 20) // to)
+        for lo in range(0, len(same), step):
+            own = same[lo : lo + step]
+            apart = np.bitwise_count(m.parity(i[own], mine, to) ^ m.parity(j[own], yours, to)).sum(1, dtype=np.int64)
+            most = (x[own] + y[own] - apart) // 2
+            out[own] = np.where(most >= need[own], 1000 * most // need[own], 0)
     return out
 
 
@@ -299,7 +333,7 @@ def _blocks(threshold: int):
         out = []
         for step in range(1, min(SMALL, int(sizes.max()))):
             i = np.flatnonzero((of[:-step] == of[step:]) & fits[:-step])
-            bound = bounds(m, i, m, i + step, threshold)
+            bound = bounds(m, i, i + step, threshold)
             out += [_ordered_pair(m.cls[a], m.cls[a + step], b) for a, b in zip(i[bound > 0].tolist(), bound[bound > 0].tolist())]
         return out
 
@@ -312,7 +346,7 @@ def _blocks(threshold: int):
             open_[v] = False
             if best[v] > 0:
                 out.append(_ordered_pair(m.cls[lo + v], m.cls[lo + parent[v]], int(best[v])))
-            bound = bounds(m, np.full(n, lo + v), m, rows, threshold)
+            bound = bounds(m, np.full(n, lo + v), rows, threshold)
             closer = (bound > best) & open_
             best[closer], parent[closer] = bound[closer], v
         return out
@@ -330,32 +364,42 @@ def _blocks(threshold: int):
     return run
 
 
-def _across(threshold: int):
-    """Pairs between a block of outsiders and a block of members of other components."""
+def _across(threshold: int, best: bool):
+    """Pairs between a block of outsiders and a block of members of other components.
+
+    ``best``: of an outsider and a component only the pair with the highest bound.
+    """
+
+    def pairs(m: Members, group: pa.Table) -> Iterator[tuple[bytes, bytes, int]]:
+        outsider = np.array(group.column("outsider").to_pylist(), bool)
+        guest = np.array(group.column("as_outsider").to_pylist(), bool)
+        number = {c: i for i, c in enumerate(dict.fromkeys(group.column("component").to_pylist()))}
+        component = np.array([number[c] for c in group.column("component").to_pylist()])
+        rows = np.flatnonzero(~guest)
+        for o in np.flatnonzero(guest).tolist():
+            j = rows[component[rows] != component[o]]
+            bound = bounds(m, np.full(len(j), o), j, threshold)
+            order = np.argsort(-bound, kind="stable")
+            order = order[bound[order] > 0]
+            if best:
+                order = order[np.sort(np.unique(component[j[order]], return_index=True)[1])]
+            for k, b in zip(j[order].tolist(), bound[order].tolist()):
+                # two outsiders meet twice; one meeting is enough
+                if best or not outsider[k] or m.cls[k] < m.cls[o]:
+                    yield _ordered_pair(m.cls[k], m.cls[o], b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_state()
+        out: set[tuple] = set()
         for table, at in _runs(batches, ["gram", "block", "out_block"], 1):
             for lo, hi in zip(at[:-1], at[1:]):
                 group = table.slice(lo, hi - lo)
-                m = Members(group)
-                outsider = np.array(group.column("outsider").to_pylist(), bool)
-                guest = np.array(group.column("as_outsider").to_pylist(), bool)
-                number = {c: i for i, c in enumerate(dict.fromkeys(group.column("component").to_pylist()))}
-                component = np.array([number[c] for c in group.column("component").to_pylist()])
-                rows = np.flatnonzero(~guest)
-                out = []
-                for o in np.flatnonzero(guest).tolist():
-                    j = rows[component[rows] != component[o]]
-                    bound = bounds(m, np.full(len(j), o), m, j, threshold)
-                    for k, b in zip(j[bound > 0].tolist(), bound[bound > 0].tolist()):
-                        # two outsiders meet twice; one meeting is enough
-                        if not outsider[k] or m.cls[k] < m.cls[o]:
-                            out.append(_ordered_pair(m.cls[k], m.cls[o], b))
+                for pair in pairs(Members(group), group):
+                    out.add(pair)
                     if len(out) > 20_000:
-                        yield _pairs(out)
-                        out = []
-                yield _pairs(out)
+                        yield _pairs(list(out))
+                        out.clear()
+        yield _pairs(list(out))
 
     return run
 
@@ -375,6 +419,33 @@ def _check(size: int, threshold: int):
     return run
 
 
+class _Links:
+    """Links found so far; a pair is checked once."""
+
+    def __init__(self, join: NgramJoin, classes: DataFrame):
+        self.join, self.classes = join, classes
+        self.checked: DataFrame | None = None
+        self.links: DataFrame | None = None
+        self.of: DataFrame | None = None
+
+    def check(self, pairs: DataFrame) -> None:
+        pairs = pairs.select("a", "b")
+        if self.checked is not None:
+            pairs = pairs.join(self.checked, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "ngram-to-check")
+        if pairs.isEmpty() and self.links is not None:
+            return
+        links = self.join.links(pairs, self.classes)
+        self.checked = pairs if self.checked is None else self.checked.unionByName(pairs)
+        if self.of is not None and links.isEmpty():
+            return
+        self.links = links if self.links is None else self.links.unionByName(links)
+        self.of = materialise(components(self.links), "ngram-of")
+
+    def components(self) -> DataFrame:
+        return self.of
+
+
 class NgramJoin:
     """The stages over one table; every intermediate is a table in the shared folder."""
 
@@ -386,7 +457,7 @@ class NgramJoin:
         self.rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"))
 
     def measured(self) -> DataFrame:
-        schema = f"id {self.kind}, print long, n_shingles long, cls binary, histogram binary, part int, counts binary"
+        schema = f"id {self.kind}, print long, n_shingles long, cls binary, parity binary, part int, counts binary"
         return materialise(self.rows.mapInArrow(_measure(self.size), schema), "ngram-measured")
 
     @staticmethod
@@ -407,25 +478,24 @@ class NgramJoin:
         """One row per distinct set: its size, histogram and first document."""
         first = F.struct(F.col("id").isNull().alias("no_id"), "id", "print")
         own = measured.where("cls is not null").groupBy("cls")
-        own = own.agg(F.any_value("n_shingles").alias("n"), F.any_value("histogram").alias("histogram"), F.min(first).alias("first"))
-        return materialise(own.select("cls", "n", "histogram", "first.id", "first.print"), "ngram-classes")
+        own = own.agg(F.any_value("n_shingles").alias("n"), F.any_value("parity").alias("parity"), F.min(first).alias("first"))
+        return materialise(own.select("cls", "n", "parity", "first.id", "first.print"), "ngram-classes")
 
     def members(self, classes: DataFrame, levels: np.ndarray) -> DataFrame:
-        """(gram, count, cls, place, n, histogram) of n-grams in the prefixes of several classes."""
+        """(gram, count, cls, place, n, parity) of n-grams in the prefixes of several classes."""
         table = self.spark.sparkContext.broadcast(levels)
         found = self.rows.select("text").mapInArrow(_prefixes(self.size, self.threshold, table), "gram long, cls binary, place int")
         found = materialise(found, "ngram-prefixes")
-        short = F.xxhash64("cls").alias("short")
-        several = found.select("gram", short).groupBy("gram").agg(F.min("short").alias("low"), F.max("short").alias("high"))
-        several = materialise(several.where("low != high").select(F.col("gram").alias("s_gram")), "ngram-several")
+        several = found.groupBy("gram").count().where("count > 1")
+        several = materialise(several.select(F.col("gram").alias("s_gram")), "ngram-several")
         rows = found.join(sized(several, 16), F.col("gram") == F.col("s_gram")).select("gram", "cls", "place")
         rows = materialise(rows.dropDuplicates(["gram", "cls"]), "ngram-shared")
-        # of n-grams with the same classes one is enough
+        # n-grams that only copies share are out now; of those with the same classes one is enough
         sets = rows.groupBy("gram").agg(F.count("*").alias("count"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sum"))
-        sets = sets.groupBy("count", "sum").agg(F.min("gram").alias("k_gram"))
+        sets = sets.where("count > 1").groupBy("count", "sum").agg(F.min("gram").alias("k_gram"))
         sets = materialise(sets.select("k_gram", "count"), "ngram-kept")
         rows = rows.join(sized(sets, 24), F.col("gram") == F.col("k_gram")).select("gram", "count", "cls", "place")
-        return materialise(rows.join(classes.select("cls", "n", "histogram"), "cls"), "ngram-members")
+        return materialise(rows.join(classes.select("cls", "n", "parity"), "cls"), "ngram-members")
 
     @staticmethod
     def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
@@ -465,7 +535,7 @@ class NgramJoin:
         where = F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
         return pairs.where(where).select("a", "b")
 
-    def pairs_across(self, members: DataFrame, of: DataFrame) -> DataFrame:
+    def pairs_across(self, members: DataFrame, of: DataFrame, best: bool) -> DataFrame:
         """Pairs across components that large blocks have left."""
         large = members.where(F.col("count") > SMALL)
         placed = large.join(sized(of, 48), F.col("cls") == F.col("node"), "left").drop("node")
@@ -486,11 +556,11 @@ class NgramJoin:
         def each(n: str):
             return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-        columns = ["gram", "block", "out_block", "cls", "component", "n", "place", "histogram", "outsider", "as_outsider"]
+        columns = ["gram", "block", "out_block", "cls", "component", "n", "place", "parity", "outsider", "as_outsider"]
         at_home = rows.withColumn("block", own("blocks")).withColumn("out_block", each("out_blocks")).withColumn("as_outsider", F.lit(False))
         guests = rows.where("outsider").withColumn("out_block", own("out_blocks")).withColumn("block", each("blocks")).withColumn("as_outsider", F.lit(True))
         dealt = self._dealt(at_home.select(*columns).unionByName(guests.select(*columns)), "gram", "block", "out_block")
-        return dealt.mapInArrow(_across(self.threshold), "a binary, b binary, bound long").select("a", "b").distinct()
+        return dealt.mapInArrow(_across(self.threshold, best), "a binary, b binary, bound long").select("a", "b").distinct()
 
     def find(self) -> DataFrame:
         """(id, n_shingles, component_id): one row per document."""
@@ -498,17 +568,13 @@ class NgramJoin:
         classes = self.classes(measured)
         members = self.members(classes, self.levels(measured))
         pairs = self.block_pairs(members)
-        first = materialise(self.best(pairs), "ngram-first")
-        links = self.links(first, classes)
-        of = materialise(components(links), "ngram-of")
-        # what the first pairs have not connected; a pair is checked once
-        second = materialise(self.apart(pairs.join(first, ["a", "b"], "left_anti"), of), "ngram-second")
-        checked = first.unionByName(second)
-        links = links.unionByName(self.links(second, classes))
-        of = materialise(components(links), "ngram-of")
-        across = self.pairs_across(members, of)
-        third = materialise(across.join(checked, ["a", "b"], "left_anti"), "ngram-third")
-        of = components(links.unionByName(self.links(third, classes)))
+        found = _Links(self, classes)
+        found.check(self.best(pairs))
+        # what the first pairs have not connected
+        found.check(self.apart(pairs, found.components()))
+        for best in (True, False):
+            found.check(self.pairs_across(members, found.components(), best))
+        of = found.components()
         # the smallest id of every component of several classes, then of every class
         named = classes.select("cls", "id").join(of, F.col("cls") == F.col("node"), "left")
         named = named.withColumn("component", F.coalesce("component", "cls")).drop("node")
