@@ -19,7 +19,7 @@ from shoplens.params import TaskParams
 from shoplens.plans import ad_job, page_job, product_job, session_job
 from shoplens.sinks.writers import JdbcSink, ParquetSink
 from shoplens.sources.tables import load_table, prepare_actions
-from shoplens.spark import build_session
+from shoplens.spark import build_session, ensure_checkpoint_dir
 from shoplens.streaming import ad_stream
 
 
@@ -52,7 +52,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--threshold", type=int, default=100, help="blacklist: clicks per user/ad/day above this")
     ap.add_argument("--log", help="ad log: text folder (ad-batch, ad-stream)")
     ap.add_argument("--kafka", help="ad-stream: bootstrap servers; with --topic")
-    ap.add_argument("--topic", default="AdRealTimeLog")
+    ap.add_argument("--topic", help="ad-stream: Kafka topic")
+    ap.add_argument("--filter-trend", action="store_true", help="ad jobs: trend of clicks that pass the blacklist only")
+    ap.add_argument("--state-partitions", type=int, help="ad-stream: partitions of the streaming state")
     ap.add_argument("--checkpoint", help="ad-stream: checkpoint folder (default: spark.checkpoint.dir)")
     ap.add_argument("--available-now", action="store_true")
     args = ap.parse_args(argv)
@@ -75,22 +77,38 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "ad-batch":
         if not args.log:
             raise SystemExit("--log is required")
-        ad_job.run(spark.read.text(args.log), _sink(args), args.threshold)
+        ad_job.run(spark.read.text(args.log), _sink(args), args.threshold, filter_trend=args.filter_trend)
         return 0
     # ad-stream
     if not args.out:
         raise SystemExit("--out is required")
     if args.kafka:
-        lines = ad_stream.kafka_source(spark, args.kafka, args.topic)
+        if not args.topic:
+            raise SystemExit("--kafka needs --topic")
+
+        def lines(session):
+            return ad_stream.kafka_source(session, args.kafka, args.topic)
     elif args.log:
-        lines = ad_stream.file_source(spark, args.log)
+
+        def lines(session):
+            return ad_stream.file_source(session, args.log)
     else:
         raise SystemExit("--kafka or --log is required")
     trigger = {"availableNow": True} if args.available_now else None
+    names = ad_stream.QUERY_NAMES + (ad_stream.REJECTS,)
+    if args.available_now:
+        checkpoint = args.checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ad-stream"
+        if not args.log:
+            raise SystemExit("--available-now needs --log")
+        ad_stream.run_available(
+            spark, args.log, args.out, checkpoint, args.threshold, names=names, filter_trend=args.filter_trend,
+            state_partitions=args.state_partitions,
+        )
+        return 0
     queries = ad_stream.start_ad_queries(
-        spark, lines, args.out, args.checkpoint, args.threshold, trigger,
-        names=ad_stream.QUERY_NAMES + (ad_stream.REJECTS,),
-    )
+        spark, lines, args.out, args.checkpoint, args.threshold, names=names, filter_trend=args.filter_trend,
+        state_partitions=args.state_partitions,
+    )
     for q in queries.values():
         q.awaitTermination()
     return 0

@@ -1,7 +1,7 @@
 """Merge operations of the reference's MySQL DAOs, as DataFrame algebra.
 
 Each takes the current table and the incoming rows and returns the new
-table; writing it is the job of :mod:`shoplens.sinks.versioned`.
+table; writing it is the job of :mod:`shoplens.sinks.folders`.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ def merge_overwrite(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFram
 def merge_add(old: DataFrame, delta: DataFrame, keys: list[str], value: str) -> DataFrame:
     """K9: add ``delta``'s ``value`` to the stored one (insert when new).
 
-    Not idempotent by itself: callers guard it with the batch id
-    (:meth:`VersionedTable.commit` skips a batch it has already seen).
+    Not idempotent by itself: a streaming batch stores its rows under its own
+    batch id instead (:class:`shoplens.sinks.folders.BatchFolder`).
     """
     return (
         old.unionByName(delta.select(*keys, value))

@@ -26,14 +26,26 @@ class ParquetSink:
 
 
 class TableSink:
-    """K8: managed tables; ``overwrite`` replaces the table (drop + save)."""
+    """K8: catalog tables; ``overwrite`` replaces the table (drop + save).
 
-    def __init__(self, mode: str = "append", prefix: str = ""):
+    ``partition_by`` names partition columns per table; ``location`` is a
+    folder for external tables (default: the catalog's warehouse).
+    """
+
+    def __init__(self, mode: str = "append", prefix: str = "", partition_by: dict[str, list[str]] | None = None,
+                 location: str | None = None):
         self.mode = mode
         self.prefix = prefix
+        self.partition_by = partition_by or {}
+        self.location = location.rstrip("/") if location else None
 
     def write(self, name: str, df: DataFrame) -> None:
-        df.write.mode(self.mode).saveAsTable(self.prefix + name)
+        writer = df.write.mode(self.mode)
+        if self.partition_by.get(name):
+            writer = writer.partitionBy(*self.partition_by[name])
+        if self.location:
+            writer = writer.option("path", f"{self.location}/{self.prefix}{name}")
+        writer.saveAsTable(self.prefix + name)
 
 
 class JdbcSink:

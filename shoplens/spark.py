@@ -91,8 +91,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Used where one intermediate feeds several outputs: a lost executor then
     re-reads the checkpoint instead of recomputing the whole lineage.
-    Falls back to ``persist`` when no checkpoint folder is configured.
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df.persist()
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

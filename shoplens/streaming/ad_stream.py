@@ -1,42 +1,54 @@
 """Real-time ad analytics with Structured Streaming.
 
-Three named queries share one source definition, each with its own
-checkpoint (offsets and state survive restarts and lost executors, Q18):
+Named queries, each with its own checkpoint (offsets and state survive restarts
+and lost executors, Q18); outputs are plain partitioned folders
+(:mod:`shoplens.sinks.folders`):
 
 ``ad_blacklist``
-    Stateful count per (day, user, ad) in ``update`` mode.  The state holds
-    the running total, so ``foreachBatch`` *overwrites* stored counts
-    (replay-safe, Q16) and appends users over the threshold that are not
-    listed yet (Q15).  The day window plus a watermark lets Spark drop the
-    state of finished days (Q17).
-``ad_stat``
-    Per micro-batch: drop clicks of blacklisted users (a real anti join
-    against the current blacklist, Q14), count per (date, province, city,
-    ad), add into the stored totals (guarded by batch id), then recompute
-    the province top-3 of every (date, province) the batch touched and
-    replace those groups (Q13).  Ranking runs on the merged table, never on
-    the delta, so an unchanged ad keeps its place.
+    Running clicks per (day, user, ad) as state.  Users over the threshold that
+    are not listed yet are appended (Q15).
+``ad_filter``
+    Drops clicks of blacklisted users: a real anti join (Q14) with the list as
+    it stands when the micro-batch begins, so a list that grows between batches
+    takes effect (R3).  What a batch keeps is decided once and stored.
+``ad_stat``, ``ad_province``
+    Running clicks per (date, province, city, ad) and per (date, province, ad)
+    of the kept clicks, as state (R5).  ``ad_province`` also keeps the top-3 of
+    every (date, province) it touches: totals only grow, so the new top-3 is
+    among the old one and the updated totals, and unchanged ads keep their
+    place; those partitions are overwritten (K12, Q13).
 ``ad_trend``
-    Event-time one-minute windows per ad with a watermark (Q12), final
-    counts upserted by (date, hour, minute, ad).  Not blacklist-filtered,
-    as in the reference.
+    Event-time one-minute windows per ad (Q12).  Not blacklist-filtered, as in
+    the reference, unless asked.
+``ad_trailing_hour``
+    Event-time windows of 60 minutes, one every minute, per ad (R7).
+
+Clicks behind a watermark are added to every output (see
+:mod:`shoplens.streaming.running`), so outputs agree however late a click is.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from shoplens.operators import ads as A
-from shoplens.schemas import AD_BLACKLIST, AD_CLICK_TREND, AD_PROVINCE_TOP3, AD_STAT, AD_USER_CLICK_COUNT
-from shoplens.sinks.merge import append_new, merge_add, merge_overwrite, replace_groups
-from shoplens.sinks.versioned import VersionedTable
+from shoplens.schemas import AD_BLACKLIST, AD_CLICK, AD_PROVINCE_TOP3
+from shoplens.sinks.folders import BatchFolder, make_folder, overwrite_partitions, read_folder
+from shoplens.sinks.merge import replace_groups
 from shoplens.spark import ensure_checkpoint_dir
+from shoplens.streaming.running import RunningCount, RunningTable
+
+DAY, HOUR, MINUTE = 86_400, 3_600, 60
+#: A decoded, valid click as the queries see it.
+CLICK = StructType([*AD_CLICK.fields, StructField("ts", TimestampType()), StructField("date", StringType())])
 
 
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -70,230 +82,263 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str, starti
     return stream.selectExpr("CAST(value AS STRING) AS value")
 
 
-def write_log_slices(lines: DataFrame, folder: str, slice_seconds: int = 86400) -> list[str]:
-    """Write ad log lines as time slices ``<folder>/<n>``, oldest first.
+def write_log(lines: DataFrame, folder: str) -> None:
+    """Add log lines to a folder that a file source reads: one write, as many files as ``lines`` has partitions."""
+    lines.select("value").write.mode("append").text(folder)
 
-    Each slice is its own write, so file modification times follow event
-    time and a file source with ``maxFilesPerTrigger`` replays the log in
-    order.  Lines without a readable time come first, as a slice of their
-    own.  Only the list of slice numbers reaches the driver.
-    """
-    ms = F.split(F.trim(F.col("value")), " +").getItem(0).try_cast("bigint")
-    # computed once, then cut into slices (one write per slice)
-    sliced = lines.withColumn("_slice", F.floor(ms / F.lit(slice_seconds * 1000)).cast("bigint")).persist()
-    try:
-        found = [r[0] for r in sliced.select("_slice").distinct().collect()]
-        slices = [None] * (None in found) + sorted(n for n in found if n is not None)
-        paths = []
-        for n in slices:
-            path = f"{folder.rstrip('/')}/{'untimed' if n is None else format(n, '012d')}"
-            sliced.where(F.col("_slice").eqNullSafe(F.lit(n))).select("value").coalesce(1).write.mode("overwrite").text(path)
-            paths.append(path)
-    finally:
-        sliced.unpersist()
-    return paths
+
+COUNTS = {
+    "ad_blacklist": RunningCount(("date", "userid", "adid"), DAY, "25 hours"),
+    "ad_stat": RunningCount(("date", "province", "city", "adid"), DAY, "25 hours"),
+    "ad_province": RunningCount(("date", "province", "adid"), DAY, "25 hours"),
+    "ad_trend": RunningCount(("adid",), MINUTE, "1 hour"),
+    "ad_trailing_hour": RunningCount(("adid",), HOUR, "1 hour", MINUTE),
+}
 
 
 @dataclass
 class AdTables:
-    """The stored outputs of the ad stream, as versioned parquet tables."""
+    """The stored outputs of the ad stream: folders, and what they add up to."""
 
-    user_click_count: VersionedTable
-    blacklist: VersionedTable
-    stat: VersionedTable
-    province_top3: VersionedTable
-    click_trend: VersionedTable
+    spark: SparkSession
+    root: str
 
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "AdTables":
-        root = root.rstrip("/")
-        # Day-keyed tables are partitioned by date: a micro-batch rewrites
-        # the days it touches (normally today), not the history.
-        return cls(
-            VersionedTable(spark, f"{root}/ad_user_click_count", AD_USER_CLICK_COUNT, "date"),
-            VersionedTable(spark, f"{root}/ad_blacklist", AD_BLACKLIST),
-            VersionedTable(spark, f"{root}/ad_stat", AD_STAT, "date"),
-            VersionedTable(spark, f"{root}/ad_province_top3", AD_PROVINCE_TOP3, "date"),
-            VersionedTable(spark, f"{root}/ad_click_trend", AD_CLICK_TREND, "date"),
-        )
+        return cls(spark, root.rstrip("/"))
 
+    def running(self, name: str) -> RunningTable:
+        return RunningTable(self.spark, f"{self.root}/{name}_counts", COUNTS[name], CLICK)
 
-    def tables(self) -> list[VersionedTable]:
-        return [self.user_click_count, self.blacklist, self.stat, self.province_top3, self.click_trend]
+    @property
+    def listed(self) -> BatchFolder:
+        return BatchFolder(self.spark, f"{self.root}/ad_blacklist", AD_BLACKLIST)
 
+    @property
+    def kept(self) -> BatchFolder:
+        return BatchFolder(self.spark, f"{self.root}/ad_kept", CLICK)
 
-# Every this many micro-batches a handler deletes the versions of its tables
-# that no partition reads any more (retention of the versioned parquet).
-EXPIRE_EVERY = 100
+    @property
+    def top3_path(self) -> str:
+        return f"{self.root}/ad_province_top3"
 
+    def user_click_count(self) -> DataFrame:
+        return self.running("ad_blacklist").totals().select("date", "userid", "adid", "clickCount")
 
-def _expire(tables: list[VersionedTable], batch_id: int) -> None:
-    if batch_id % EXPIRE_EVERY == EXPIRE_EVERY - 1:
-        for t in tables:
-            t.expire_versions()
+    def blacklist(self) -> DataFrame:
+        return self.listed.read().select("userid").distinct()
 
+    def stat(self) -> DataFrame:
+        return self.running("ad_stat").totals().select("date", "province", "city", "adid", "clickCount")
 
-# ---- foreachBatch handlers (plain DataFrame functions, testable alone) ----
+    def province_top3(self) -> DataFrame:
+        return read_folder(self.spark, self.top3_path, AD_PROVINCE_TOP3)
 
+    def click_trend(self) -> DataFrame:
+        rows = self.running("ad_trend").totals()
+        return A.trend_rows(rows.withColumn("minute_ts", F.timestamp_seconds("start")))
 
-def _dates(df: DataFrame) -> list[str]:
-    """Dates present in a micro-batch (a handful; only these reach the driver)."""
-    return sorted(str(r[0]) for r in df.select("date").distinct().collect() if r[0] is not None)
+    def trailing_hour(self) -> DataFrame:
+        """Clicks of the 60 minutes that end with each minute in which an ad was clicked."""
+        rows = self.running("ad_trailing_hour").totals()
+        newest = F.col("start") + F.lit(HOUR - MINUTE)
+        return rows.where(F.col("last") >= newest).select(
+            F.date_format(F.timestamp_seconds(newest), "yyyy-MM-dd HH:mm").alias("minute"),
+            "adid",
+            F.col("clickCount").alias("windowCount"),
+        )
 
 
-def _persisted(handler):
-    """Keep the micro-batch cached while the handler runs several actions on it.
+# ---- foreachBatch handlers ----
+
+Handler = Callable[[DataFrame, int, str], None]
 
-    The handler also gets the id of its streaming query, which lives in the
-    query's checkpoint: batch ids count per query.
-    """
+
+def _with_query_id(handler: Handler):
+    """The handler also gets the id of its streaming query, which lives in the
+    query's checkpoint: batch ids count per query."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            handler(batch, batch_id, query or "")
-        finally:
-            batch.unpersist()
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        handler(batch, batch_id, query or "none")
 
     return run
 
 
-def handle_user_counts(tables: AdTables, threshold: int):
-    @_persisted
+def store_counts(tables: AdTables, name: str) -> Handler:
+    """Store the totals and late clicks of a micro-batch."""
+
     def handler(batch: DataFrame, batch_id: int, query: str) -> None:
-        totals = batch.select("date", "userid", "adid", F.col("count").alias("clickCount"))
-        dates = _dates(totals)
-        tables.user_click_count.update(
-            lambda old: merge_overwrite(old, totals, ["date", "userid", "adid"]), batch_id, dates, query
-        )
-        # append_new is idempotent, so a replay cannot list a user twice;
-        # a version is written only when there is somebody new
+        tables.running(name).store(batch, query, batch_id)
+
+    return handler
+
+
+def _others(table: RunningTable, query: str) -> bool:
+    """Have other queries (an earlier checkpoint) written to the same table?"""
+    return any(q != query for q in table.folder.queries())
+
+
+def store_user_counts(tables: AdTables, threshold: int) -> Handler:
+    """Store user counts, then append users over the threshold that are not listed."""
+
+    def handler(batch: DataFrame, batch_id: int, query: str) -> None:
+        table = tables.running("ad_blacklist")
+        table.store(batch, query, batch_id)
+        written = table.folder.batch(query, batch_id)
+        # a total in this batch is the whole total, unless it came late or an earlier query counted too
+        unsure = written if _others(table, query) else written.where("late")
+        totals = written.where("not late").select("userid", "clickCount")
+        if not unsure.isEmpty():
+            totals = totals.unionByName(table.totals(keys=unsure).select("userid", "clickCount"))
         offenders = A.blacklist_users(totals, threshold)
-        fresh = offenders.join(tables.blacklist.read(), "userid", "left_anti")
-        if not fresh.isEmpty():
-            tables.blacklist.update(lambda old: append_new(old, fresh, ["userid"]))
-        _expire([tables.user_click_count, tables.blacklist], batch_id)
+        # users that an earlier try of this batch listed are listed again, in the same partition
+        known = tables.listed.read().where(~((F.col("query") == query) & (F.col("batch") == batch_id)))
+        fresh = offenders.join(known.select("userid"), "userid", "left_anti")
+        if tables.listed.has(query, batch_id) or not fresh.isEmpty():
+            tables.listed.write(fresh, query, batch_id)
 
     return handler
 
 
-def handle_stats(tables: AdTables):
-    @_persisted
+def keep_clicks(tables: AdTables) -> Handler:
+    """Store the clicks of users that are not on the list now.  A replay keeps what was kept before."""
+
     def handler(batch: DataFrame, batch_id: int, query: str) -> None:
-        keys = ["date", "province", "city", "adid"]
-        dates = _dates(batch)
-        if not tables.stat.seen(batch_id, query):
-            clicks = A.exclude_blacklisted(batch, tables.blacklist.read())
-            delta = A.ad_stat(clicks)
-            tables.stat.update(lambda old: merge_add(old, delta, keys, "clickCount"), batch_id, dates, query)
-        # Re-rank every (date, province) the batch touched, from the stored
-        # totals.  Runs again on a replay that crashed between the commits.
-        if not tables.province_top3.seen(batch_id, query):
-            touched = batch.select("date", "province").distinct()
-            top = A.province_top3(tables.stat.read(dates).join(touched, ["date", "province"], "left_semi"))
-            tables.province_top3.update(lambda old: replace_groups(old, top, ["date", "province"]), batch_id, dates, query)
-        _expire([tables.stat, tables.province_top3], batch_id)
+        if not tables.kept.complete(query, batch_id):
+            tables.kept.write(A.exclude_blacklisted(batch, tables.blacklist()).select(*CLICK.names), query, batch_id)
 
     return handler
 
 
-def handle_trend(tables: AdTables):
-    @_persisted
+def store_province_counts(tables: AdTables) -> Handler:
+    """Store province counts, then overwrite the top-3 of the touched (date, province)."""
+
     def handler(batch: DataFrame, batch_id: int, query: str) -> None:
-        per_minute = batch.select(F.col("window.start").alias("minute_ts"), "adid", F.col("count").alias("clickCount"))
-        rows = A.trend_rows(per_minute)
-        dates = _dates(rows)
-        tables.click_trend.update(
-            lambda old: merge_overwrite(old, rows, ["date", "hour", "minute", "adid"]), batch_id, dates, query
-        )
-        _expire([tables.click_trend], batch_id)
+        table = tables.running("ad_province")
+        table.store(batch, query, batch_id)
+        written = table.folder.batch(query, batch_id).select("date", "province", "adid", "clickCount", "late")
+        unsure = written if _others(table, query) else written.where("late")
+        groups = ["date", "province"]
+        sure = written.where("not late").drop("late")
+        # stored winners whose total is not new still hold their old total
+        old = tables.province_top3().join(sure, [*groups, "adid"], "left_anti")
+        old = old.join(sure.select(*groups).distinct(), groups, "left_semi")
+        top = A.province_top3(old.unionByName(sure))
+        again = unsure.select(*groups).distinct()
+        if not again.isEmpty():
+            # late clicks, or totals of an earlier query: those groups anew from the stored totals of their dates
+            dates = sorted(r[0] for r in again.select("date").distinct().collect())
+            stored = table.totals(dates).join(again, groups, "left_semi")
+            top = replace_groups(top, A.province_top3(stored), groups)
+        # the rewrite must not read the partitions it replaces
+        overwrite_partitions(top.select(*AD_PROVINCE_TOP3.names).checkpoint(eager=True), tables.top3_path, groups)
 
     return handler
 
 
-QUERY_NAMES = ("ad_blacklist", "ad_stat", "ad_trend")
+QUERY_NAMES = ("ad_blacklist", "ad_filter", "ad_stat", "ad_province", "ad_trend", "ad_trailing_hour")
+#: Queries that read what ``ad_filter`` keeps.
+OF_KEPT = ("ad_stat", "ad_province")
 # optional: malformed log lines appended to <output_root>/ad_rejects
 REJECTS = "ad_rejects"
 
 
-def _query(clicks: DataFrame, tables: AdTables, name: str, threshold: int, day_watermark: str,
-           minute_watermark: str):
-    """(streaming frame, output mode, foreachBatch handler) of one named query."""
-    if name == "ad_blacklist":
-        per_day = (
-            clicks.withWatermark("ts", day_watermark)
-            .groupBy(F.window("ts", "1 day"), "date", "userid", "adid")
-            .count()
-        )
-        return per_day, "update", handle_user_counts(tables, threshold)
-    if name == "ad_stat":
-        return clicks, "append", handle_stats(tables)
-    if name == "ad_trend":
-        per_minute = clicks.withWatermark("ts", minute_watermark).groupBy(F.window("ts", "1 minute"), "adid").count()
-        return per_minute, "update", handle_trend(tables)
-    raise ValueError(name)
+def _session(spark: SparkSession, state_partitions: int | None) -> SparkSession:
+    """A session of the same context whose streaming queries keep their state in so many partitions.
+
+    The number is fixed when a checkpoint is made; choose it by the expected
+    state, not by a batch.  Batches without data have nothing to do in update
+    mode: what the watermark has closed is dropped with the next data.
+    """
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone",):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
 
 
 def start_ad_queries(
     spark: SparkSession,
-    lines: DataFrame,
+    lines: Callable[[SparkSession], DataFrame],
     output_root: str,
     checkpoint_root: str | None = None,
     threshold: int = 100,
     trigger: dict | None = None,
     names: tuple[str, ...] = QUERY_NAMES,
-    day_watermark: str = "25 hours",
-    minute_watermark: str = "1 hour",
     name_suffix: str = "",
+    filter_trend: bool = False,
+    state_partitions: int | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Start the named queries; ``trigger`` defaults to the reference's 5 s batches.
+    """Start the named queries over ``lines(session)``; ``trigger`` defaults to the reference's 5 s batches.
 
     Checkpoints go under ``checkpoint_root``, by default the cluster's
-    shared checkpoint folder.
+    shared checkpoint folder.  ``filter_trend``: the trend and the trailing
+    hour count kept clicks only (Q12).
     """
     checkpoint_root = (checkpoint_root or os.path.join(ensure_checkpoint_dir(spark), "ad-stream")).rstrip("/")
+    ensure_checkpoint_dir(spark)
     trigger = trigger or {"processingTime": "5 seconds"}
-    tables = AdTables.at(spark, output_root)
-    clicks, rejected = A.split_valid(A.decode_ad_log(lines))
+    session = _session(spark, state_partitions)
+    tables = AdTables.at(session, output_root)
     started = {}
+
+    def start(name: str, df: DataFrame, mode: str, handler: Handler) -> None:
+        started[name] = (
+            df.writeStream.queryName(name + name_suffix)
+            .outputMode(mode)
+            .option("checkpointLocation", f"{checkpoint_root}/{name}")
+            .foreachBatch(_with_query_id(handler))
+            .trigger(**trigger)
+            .start()
+        )
+
+    def valid() -> DataFrame:
+        return A.split_valid(A.decode_ad_log(lines(session)))[0]
+
+    def kept() -> DataFrame:
+        make_folder(session, tables.kept.path)
+        return session.readStream.schema(tables.kept.schema).parquet(tables.kept.path).select(*CLICK.names)
+
     if REJECTS in names:
         # plain file sink: exactly-once appends through its own checkpoint
         started[REJECTS] = (
-            rejected.writeStream.queryName(REJECTS + name_suffix)
+            A.split_valid(A.decode_ad_log(lines(session)))[1]
+            .writeStream.queryName(REJECTS + name_suffix)
             .format("parquet")
             .option("path", f"{output_root.rstrip('/')}/{REJECTS}")
             .option("checkpointLocation", f"{checkpoint_root}/{REJECTS}")
             .trigger(**trigger)
             .start()
         )
+    handlers = {"ad_blacklist": store_user_counts(tables, threshold), "ad_province": store_province_counts(tables)}
     for name in [n for n in names if n != REJECTS]:
-        df, mode, handler = _query(clicks, tables, name, threshold, day_watermark, minute_watermark)
-        started[name] = (
-            df.writeStream.queryName(name + name_suffix)
-            .outputMode(mode)
-            .option("checkpointLocation", f"{checkpoint_root}/{name}")
-            .foreachBatch(handler)
-            .trigger(**trigger)
-            .start()
-        )
+        if name == "ad_filter":
+            start(name, valid(), "append", keep_clicks(tables))
+            continue
+        of_kept = name in OF_KEPT or filter_trend and name in ("ad_trend", "ad_trailing_hour")
+        frame = COUNTS[name].frame(kept() if of_kept else valid())
+        start(name, frame, "update", handlers.get(name) or store_counts(tables, name))
     return started
 
 
 def run_available(spark: SparkSession, source_path: str, output_root: str, checkpoint_root: str,
                   threshold: int = 100, max_files_per_trigger: int | None = None,
-                  names: tuple[str, ...] = QUERY_NAMES) -> AdTables:
+                  names: tuple[str, ...] = QUERY_NAMES, filter_trend: bool = False,
+                  state_partitions: int | None = None) -> AdTables:
     """Process everything in ``source_path`` now, then stop (tests, backfills).
 
-    The blacklist query runs to completion first, so the stats query sees
-    the final blacklist -- the same result as the batch twin.
+    The named queries run one after another: the blacklist to completion
+    first, so the clicks are filtered by the list as it is then -- over a
+    finished log the same result as the batch twin.
     """
     # active query names must be unique in a session: one suffix per run
     suffix = "_" + uuid.uuid4().hex[:8]
     for name in [n for n in QUERY_NAMES + (REJECTS,) if n in names]:
-        lines = file_source(spark, source_path, max_files_per_trigger)
         start_ad_queries(
-            spark, lines, output_root, checkpoint_root, threshold, {"availableNow": True}, (name,),
-            name_suffix=suffix,
-        )[name].awaitTermination()
+            spark, lambda s: file_source(s, source_path, max_files_per_trigger), output_root, checkpoint_root, threshold,
+            {"availableNow": True}, (name,), suffix, filter_trend, state_partitions,
+        )[name].awaitTermination()
     return AdTables.at(spark, output_root)

@@ -43,5 +43,5 @@ def test_cli_ad_stream_available_now(spark, tmp_path):
     from shoplens.streaming.ad_stream import AdTables
 
     tables = AdTables.at(spark, out)
-    assert [r.userid for r in tables.blacklist.read().collect()] == [7]
+    assert [r.userid for r in tables.blacklist().collect()] == [7]
     assert spark.read.parquet(out + "/ad_rejects").count() == 1

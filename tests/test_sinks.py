@@ -1,4 +1,4 @@
-"""Sinks: merges, versioned tables, partition upserts, JDBC, job runners."""
+"""Sinks: merges, folders, catalog tables, JDBC, job runners."""
 
 from __future__ import annotations
 
@@ -10,9 +10,10 @@ from pyspark.errors import AnalysisException
 from shoplens.plans import page_job, product_job, session_job
 from shoplens.params import TaskParams
 from shoplens.sinks.merge import append_new, merge_add, merge_overwrite, replace_groups
-from shoplens.sinks.versioned import VersionedTable, upsert_partitions
-from shoplens.sinks.writers import JdbcSink, MemorySink, ParquetSink, TableSink, read_jdbc
+from shoplens.sinks.folders import BatchFolder, overwrite_partitions, read_folder, stored_rows, upsert_partitions
+from shoplens.sinks.writers import JdbcSink, MemorySink, ParquetSink, TableSink, read_jdbc, with_task_id
 from shoplens.sources.adapters import DriverTables
+from shoplens.sources.tables import actions_in_range
 from tests.conftest import SF_SMALL, sorted_rows
 
 KV = "k string, v long"
@@ -33,19 +34,6 @@ def test_replace_groups(spark):
     assert sorted_rows(replace_groups(old, new, ["g"])) == [("x", "c", 9), ("y", "a", 3)]
 
 
-def test_versioned_table_versions_and_replay(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], KV).schema)
-    assert t.read().count() == 0 and t.version() == 0
-    delta = spark.createDataFrame([("a", 1)], KV)
-    assert t.update(lambda old: merge_add(old, delta, ["k"], "v"), batch_id=0)
-    assert not t.update(lambda old: merge_add(old, delta, ["k"], "v"), batch_id=0)
-    assert t.update(lambda old: merge_add(old, delta, ["k"], "v"), batch_id=1)
-    assert sorted_rows(t.read()) == [("a", 2)]
-    assert t.version() == 2 and t.last_batch_id() == 1
-    # an older version is still intact (never overwritten in place)
-    assert sorted_rows(spark.read.parquet(str(tmp_path / "t" / "shoplens_version=1"))) == [("a", 1)]
-
-
 def test_upsert_partitions_rewrites_touched_only(spark, tmp_path):
     path = str(tmp_path / "p")
     schema = "date string, k string, v long"
@@ -95,46 +83,6 @@ def test_memory_sink_collects_lazy_frames(spark):
     assert set(sink.tables) == {"page_split_convert_rate", "page_split_convert_rate_steps"}
 
 
-def test_partitioned_versioned_table_rewrites_touched_partitions_only(spark, tmp_path):
-    schema = "date string, k string, v long"
-    t = VersionedTable(spark, str(tmp_path / "pt"), spark.createDataFrame([], schema).schema, partition_col="date")
-    first = spark.createDataFrame([("d1", "a", 1), ("d2", "a", 2)], schema)
-    assert t.update(lambda old: merge_add(old, first, ["date", "k"], "v"), batch_id=0, parts=["d1", "d2"])
-    delta = spark.createDataFrame([("d1", "a", 5), ("d1", "b", 1)], schema)
-    assert t.update(lambda old: merge_add(old, delta, ["date", "k"], "v"), batch_id=1, parts=["d1"])
-    assert not t.update(lambda old: merge_add(old, delta, ["date", "k"], "v"), batch_id=1, parts=["d1"])
-    assert sorted_rows(t.read(), "date", "k", "v") == [("d1", "a", 6), ("d1", "b", 1), ("d2", "a", 2)]
-    assert sorted_rows(t.read(["d2"]), "date", "k", "v") == [("d2", "a", 2)]
-    # version 2 holds only d1's rows; d2 is still served from version 1
-    assert sorted_rows(spark.read.parquet(str(tmp_path / "pt" / "shoplens_version=2")), "date") == [("d1",), ("d1",)]
-    # a fresh reader (e.g. after a restart) sees the same state from the log
-    again = VersionedTable(spark, str(tmp_path / "pt"), t.schema, partition_col="date")
-    assert sorted_rows(again.read(), "date", "k", "v") == sorted_rows(t.read(), "date", "k", "v")
-    assert again.last_batch_id() == 1 and again.partitions() == ["d1", "d2"]
-
-
-def test_log_epochs_and_version_expiry(spark, tmp_path):
-    import os
-
-    schema = spark.createDataFrame([], "date string, k string, v long").schema
-    root = str(tmp_path / "ep")
-    t = VersionedTable(spark, root, schema, partition_col="date", epoch_size=2)
-    for i, day in enumerate(["d1", "d2", "d1", "d3", "d1", "d2"]):
-        delta = spark.createDataFrame([(day, "a", 1)], "date string, k string, v long")
-        assert t.update(lambda old: merge_add(old, delta, ["date", "k"], "v"), batch_id=i, parts=[day])
-    want = [("d1", "a", 3), ("d2", "a", 2), ("d3", "a", 1)]
-    assert sorted_rows(t.read(), "date", "k", "v") == want
-    # a fresh reader needs only the newest epoch (it starts with a snapshot)
-    fresh = VersionedTable(spark, root, schema, partition_col="date", epoch_size=2)
-    assert sorted_rows(fresh.read(), "date", "k", "v") == want and fresh.last_batch_id() == 5
-    deleted = fresh.expire_versions(keep_last=0)
-    # live: d1 -> v5, d2 -> v6, d3 -> v4
-    assert deleted == [1, 2, 3]
-    assert sorted(os.listdir(os.path.join(root, "_commits"))) == ["epoch=3"]
-    again = VersionedTable(spark, root, schema, partition_col="date", epoch_size=2)
-    assert sorted_rows(again.read(), "date", "k", "v") == want and again.version() == 6
-
-
 def test_table_sink_replaces_a_managed_table(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], KV)
     sink = TableSink(mode="overwrite", prefix="shoplens_test_")
@@ -143,30 +91,6 @@ def test_table_sink_replaces_a_managed_table(spark):
     assert sorted_rows(spark.table("shoplens_test_kv")) == [("a", 1), ("b", 2)]
 
 
-def test_table_is_read_without_success_markers(spark, tmp_path):
-    schema = spark.createDataFrame([], KV).schema
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        VersionedTable(spark, str(tmp_path / "t"), schema).commit(spark.createDataFrame([("a", 1)], schema), 0)
-    finally:
-        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
-    again = VersionedTable(spark, str(tmp_path / "t"), schema)
-    assert again.version() == 1 and sorted_rows(again.read()) == [("a", 1)]
-
-
-def test_batch_ids_count_per_writer_over_epochs(spark, tmp_path):
-    schema = spark.createDataFrame([], KV).schema
-    t = VersionedTable(spark, str(tmp_path / "t"), schema, epoch_size=2)
-    one = spark.createDataFrame([("a", 1)], schema)
-    for batch_id, writer in [(0, "x"), (1, "x"), (2, "x"), (0, "y")]:
-        assert t.update(lambda old: merge_add(old, one, ["k"], "v"), batch_id, writer=writer)
-        assert not t.update(lambda old: merge_add(old, one, ["k"], "v"), batch_id, writer=writer)
-    again = VersionedTable(spark, str(tmp_path / "t"), schema, epoch_size=2)
-    assert sorted_rows(again.read()) == [("a", 4)]
-    assert (again.last_batch_id("x"), again.last_batch_id("y"), again.last_batch_id("z")) == (2, 0, None)
-
-
 def test_upsert_of_other_columns_raises_and_keeps_the_stored_rows(spark, tmp_path):
     path = str(tmp_path / "p")
     old = spark.createDataFrame([("d1", "a", 1)], "date string, k string, v long")
@@ -175,3 +99,65 @@ def test_upsert_of_other_columns_raises_and_keeps_the_stored_rows(spark, tmp_pat
     with pytest.raises(AnalysisException):
         upsert_partitions(spark, path, other, ["date", "k"], "date")
     assert sorted_rows(spark.read.parquet(path), "date", "k", "v") == [("d1", "a", 1)]
+
+
+DATED = "date string, k string, v long"
+
+
+def _dated(spark, rows):
+    return spark.createDataFrame(rows, DATED)
+
+
+def test_batch_folder_replaces_the_replayed_batch_only(spark, tmp_path):
+    folder = BatchFolder(spark, str(tmp_path / "b"), _dated(spark, []).schema, "date")
+    assert folder.read().isEmpty() and folder.queries() == [] and not folder.has("q", 0)
+    folder.write(_dated(spark, [("d1", "a", 1), ("d2", "a", 1)]), "q", 0)
+    folder.write(_dated(spark, [("d1", "a", 2)]), "q", 1)
+    folder.write(_dated(spark, [("d1", "a", 4)]), "other", 0)
+    # the first batch again, now with fewer dates: nothing of the first try is left
+    folder.write(_dated(spark, [("d1", "b", 8)]), "q", 0)
+    folder.write(_dated(spark, []), "q", 2)
+    rows = sorted_rows(folder.read(), "query", "batch", "date", "k", "v")
+    assert rows == [("other", 0, "d1", "a", 4), ("q", 0, "d1", "b", 8), ("q", 1, "d1", "a", 2)]
+    assert set(folder.queries()) == {"other", "q"}
+    assert folder.complete("q", 2) and not folder.has("q", 3)
+    assert sorted_rows(folder.batch("q", 1), "v") == [(2,)]
+    assert folder.read(["d2"]).isEmpty()
+
+
+def test_overwritten_partitions(spark, tmp_path):
+    """Rounds replace the groups they touch and leave the others."""
+    path = str(tmp_path / "g")
+    schema = "date string, province string, adid long"
+    overwrite_partitions(spark.createDataFrame([("d1", "x", 1), ("d1", "x", 2), ("d1", "y", 3), ("d2", "x", 4)], schema), path, ["date", "province"])
+    for _ in range(2):
+        overwrite_partitions(spark.createDataFrame([("d1", "x", 9), ("d3", "z", 5)], schema), path, ["date", "province"])
+    got = read_folder(spark, path, spark.createDataFrame([], schema).schema)
+    assert sorted_rows(got, "date", "province", "adid") == [("d1", "x", 9), ("d1", "y", 3), ("d2", "x", 4), ("d3", "z", 5)]
+    assert read_folder(spark, path + "-absent", got.schema).isEmpty()
+
+
+def test_stored_rows_scan_the_partitions_of_their_keys(spark, tmp_path):
+    path = str(tmp_path / "s")
+    overwrite_partitions(_dated(spark, [(f"d{i}", k, i) for i in range(9) for k in "ab"]), path, ["date"])
+    keys = _dated(spark, [("d3", "a", 0), ("d3", "a", 0), ("d5", "z", 0), ("d7", "b", 0), (None, "a", 0)])
+    found = stored_rows(read_folder(spark, path, keys.schema), keys, ["date", "k"], "date")
+    assert sorted_rows(found, "date", "k", "v") == [("d3", "a", 3), ("d7", "b", 7)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("\n")[0]
+    assert all(d in filters for d in ("d3", "d5", "d7")) and "d4" not in filters
+
+
+def test_partitioned_catalog_table_is_pruned(spark, tmp_path):
+    """A table saved by date, stamped with the task, scanned by a date range."""
+    sink = TableSink("overwrite", "shoplens_test_", {"dated": ["date"]}, str(tmp_path / "tables"))
+    rows = _dated(spark, [(f"2024-01-0{i}", "a", i) for i in range(1, 9)])
+    sink.write("dated", with_task_id(rows, "t"))
+    sink.write("dated", with_task_id(rows, "t"))  # replaced, not appended
+    table = spark.table("shoplens_test_dated")
+    params = TaskParams(start_date="2024-01-03", end_date="2024-01-05")
+    ranged = actions_in_range(table, params)
+    assert sorted_rows(ranged, "taskid", "date", "k", "v") == [("t", f"2024-01-0{i}", "a", i) for i in (3, 4, 5)]
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "2024-01-03" in filters and "2024-01-05" in filters
