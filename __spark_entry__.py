@@ -12,7 +12,9 @@ except where sampling/top-k is the feature itself.
 
 from __future__ import annotations
 
+import importlib.util
 import os
+import re
 import sys
 import uuid
 from collections.abc import Callable
@@ -31,6 +33,13 @@ from query_params import (  # noqa: E402
     PAGE_BANDS,
     SAMPLE_SEED,
     SAMPLE_TOTAL,
+    STREAM_LATE_DIGIT,
+    STREAM_ROUNDS,
+    STREAM_SLICE_MS,
+    STREAM_START_MS,
+    STREAM_STATE_PARTITIONS,
+    TABLE_PARAMS,
+    TABLE_TASK,
 )
 from shoplens.functions import columns as K  # noqa: E402
 from shoplens.operators import ads as A  # noqa: E402
@@ -40,6 +49,10 @@ from shoplens.operators import products as P  # noqa: E402
 from shoplens.operators import sampling as SM  # noqa: E402
 from shoplens.operators import sessions as S  # noqa: E402
 from shoplens.params import TaskParams  # noqa: E402
+from shoplens.schemas import AD_PROVINCE_TOP3, AD_USER_CLICK_COUNT  # noqa: E402
+from shoplens.sinks.folders import overwrite_partitions, read_folder, stored_rows  # noqa: E402
+from shoplens.sinks.merge import append_new, merge_add, merge_overwrite, replace_groups  # noqa: E402
+from shoplens.sinks.writers import TableSink, with_task_id  # noqa: E402
 from shoplens.sources.adapters import DriverTables  # noqa: E402
 from shoplens.sources.tables import (  # noqa: E402
     actions_in_range,
@@ -47,15 +60,19 @@ from shoplens.sources.tables import (  # noqa: E402
     click_product_pairs,
     prepare_actions,
 )
-from shoplens.sinks.merge import append_new, merge_add, merge_overwrite, replace_groups  # noqa: E402
 from shoplens.spark import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from shoplens.streaming import ad_stream as ST  # noqa: E402
 
-try:  # the training-data operators are an optional part
-    import corpus_pipeline
-    from shoplens.llm import queries as LLM
-except ImportError:
-    corpus_pipeline = LLM = None
+# the training-data operators are an optional part: where they are absent they are left out, but if they
+# are there, an error in importing them is an error
+if importlib.util.find_spec("shoplens.llm.queries") if importlib.util.find_spec("shoplens.llm") else None:
+    from shoplens.llm import queries as LLM  # noqa: E402
+else:
+    LLM = None
+if LLM and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline  # noqa: E402
+else:
+    corpus_pipeline = None
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -85,6 +102,13 @@ def q_session_rollup(spark, sf_dir):
     return S.session_output(rolled)
 
 
+def q_session_rollup_distinct(spark, sf_dir):
+    """A1 as the reference's comment promises it: every keyword and category once."""
+    _prep(spark)
+    actions = actions_in_range(DriverTables(spark, sf_dir).actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
+    return S.session_output(S.session_rollup(actions, distinct_lists=True))
+
+
 def q_session_user_profile(spark, sf_dir):
     t, rolled = _rolled(spark, sf_dir, DEFAULT_PARAMS)
     return S.session_output(S.session_profile(rolled, t.users()), PROFILE_COLS)
@@ -178,14 +202,10 @@ def q_top10_category(spark, sf_dir):
 
 def _top_sessions(spark, sf_dir):
     t, filt = _lean_filtered(spark, sf_dir, DEFAULT_PARAMS)
-    # the filtered sessions feed two branches: materialise them once, as the
-    # session job does (shared checkpoint folder; set only where unset)
-    ensure_checkpoint_dir(spark)
-    filt = cut_lineage(filt)
     ranged = actions_in_range(t.actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
-    top10 = C.top_categories(C.category_counts(S.actions_of_sessions(ranged, filt)))
-    # category filter (10 rows, broadcast) before the semi join with sessions
-    return ranged, C.top_sessions_per_category(ranged, top10, sessions=filt)
+    # one semi join of the actions; its aggregate feeds both rankings
+    counted = cut_lineage(C.category_session_counts(S.actions_of_sessions(ranged, filt)))
+    return ranged, C.rank_sessions(counted, C.top_categories(C.category_totals(counted)))
 
 
 def q_top10_session(spark, sf_dir):
@@ -366,43 +386,133 @@ def q_append_new(spark, sf_dir):
     return append_new(old, A.blacklist_users(A.user_ad_counts(new), AD_THRESHOLD), ["userid"])
 
 
-def _stream_tables(spark, sf_dir, names):
-    """Run the ad stream over the log Spark derives from ``events``.
+def _stream_rounds(spark, sf_dir):
+    """The ad log that Spark derives from ``events``, as three rounds of lines.
 
-    The log is written into a fresh folder under the shared checkpoint
-    folder as slices of somewhat less than a week, oldest first (a live ad
-    stream arrives in time order), and consumed with ``availableNow`` one
-    slice per micro-batch.  Slices end inside days and minutes, so stored
-    totals and states of a key are updated by several micro-batches; no event
-    arrives behind the watermarks.
+    A live stream arrives in time order: rounds are slices of time that end
+    inside days, hours and minutes, so keys go on over rounds.  Clicks of one
+    user in ten come in the last round, up to weeks late; untimed lines come
+    in the first.
     """
-    _prep(spark)
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens-stream-{uuid.uuid4().hex}"
-    ST.write_log_slices(DriverTables(spark, sf_dir).ad_log(), root + "/in", slice_seconds=590_123)
-    return ST.run_available(
-        spark, root + "/in/*", root + "/out", root + "/ckpt", threshold=AD_THRESHOLD, max_files_per_trigger=1,
-        names=names,
-    )
+    fields = F.split(F.trim(F.col("value")), " +")
+    ms, user = F.get(fields, 0).try_cast("bigint"), F.get(fields, 3).try_cast("bigint")
+    number = F.floor((ms - F.lit(STREAM_START_MS)) / F.lit(STREAM_SLICE_MS))
+    number = F.greatest(F.lit(0), F.least(F.lit(STREAM_ROUNDS - 1), number))
+    number = F.when(user % 10 == STREAM_LATE_DIGIT, STREAM_ROUNDS - 1).otherwise(number)
+    lines = DriverTables(spark, sf_dir).ad_log()
+    return [lines.where(F.coalesce(number, F.lit(0)) == r) for r in range(STREAM_ROUNDS)]
+
+
+class _Stream:
+    """Folders of one run of the ad stream; queries end and start again from their checkpoints in every round."""
+
+    def __init__(self, spark, sf_dir):
+        _prep(spark)
+        self.spark, self.rounds = spark, _stream_rounds(spark, sf_dir)
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens-stream-{uuid.uuid4().hex}"
+        self.out = self.root + "/out"
+
+    def run(self, log: str, *names: str, **options) -> ST.AdTables:
+        return ST.run_available(
+            self.spark, f"{self.root}/{log}", self.out, self.root + "/ckpt", AD_THRESHOLD, names=names,
+            state_partitions=STREAM_STATE_PARTITIONS, **options,
+        )
+
+    def all_rounds(self, log: str, *names: str, **options) -> ST.AdTables:
+        for lines in self.rounds:
+            ST.write_log(lines, f"{self.root}/{log}")
+            tables = self.run(log, *names, **options)
+        return tables
 
 
 def q_stream_ad_stat(spark, sf_dir):
-    return _stream_tables(spark, sf_dir, ("ad_blacklist", "ad_stat")).stat.read()
+    """Running totals as state, after the list is complete."""
+    stream = _Stream(spark, sf_dir)
+    stream.all_rounds("listing", "ad_blacklist")
+    return stream.all_rounds("counting", "ad_filter", "ad_stat").stat()
+
+
+def q_stream_ad_stat_refreshed(spark, sf_dir):
+    """Every round is filtered by the list as the rounds before have left it."""
+    stream = _Stream(spark, sf_dir)
+    for lines in stream.rounds:
+        ST.write_log(lines, stream.root + "/log")
+        stream.run("log", "ad_filter")
+        stream.run("log", "ad_blacklist")
+    return stream.run("log", "ad_stat").stat()
 
 
 def q_stream_province_top3(spark, sf_dir):
-    return _stream_tables(spark, sf_dir, ("ad_blacklist", "ad_stat")).province_top3.read()
+    """Partitions of (date, province) overwritten in every round."""
+    stream = _Stream(spark, sf_dir)
+    stream.all_rounds("listing", "ad_blacklist")
+    return stream.all_rounds("counting", "ad_filter", "ad_province").province_top3()
 
 
 def q_stream_user_click_count(spark, sf_dir):
-    return _stream_tables(spark, sf_dir, ("ad_blacklist",)).user_click_count.read()
+    return _Stream(spark, sf_dir).all_rounds("log", "ad_blacklist").user_click_count()
 
 
 def q_stream_ad_trend(spark, sf_dir):
-    return _stream_tables(spark, sf_dir, ("ad_trend",)).click_trend.read()
+    return _Stream(spark, sf_dir).all_rounds("log", "ad_trend").click_trend()
+
+
+def q_stream_ad_trend_filtered(spark, sf_dir):
+    """Q12 with the filter on: the trend of the kept clicks."""
+    stream = _Stream(spark, sf_dir)
+    stream.all_rounds("listing", "ad_blacklist")
+    return stream.all_rounds("counting", "ad_filter", "ad_trend", filter_trend=True).click_trend()
+
+
+def q_stream_ad_trailing_hour(spark, sf_dir):
+    """Windows of an hour, one every minute, as state."""
+    return _Stream(spark, sf_dir).all_rounds("log", "ad_trailing_hour").trailing_hour()
 
 
 def q_stream_blacklist(spark, sf_dir):
-    return _stream_tables(spark, sf_dir, ("ad_blacklist",)).blacklist.read()
+    return _Stream(spark, sf_dir).all_rounds("log", "ad_blacklist").blacklist()
+
+
+def _folder(spark, label: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens-{label}-{uuid.uuid4().hex}"
+
+
+def q_replace_groups_written(spark, sf_dir):
+    """K12 written and read back: the top-3 of the morning clicks, then the groups that the rest touches anew.
+
+    Two rounds of dynamic overwrites of (date, province) partitions.
+    """
+    clicks, path, groups = _ad_clicks(spark, sf_dir), _folder(spark, "top3"), ["date", "province"]
+    morning = clicks.where(F.hour("ts") < 12)
+    overwrite_partitions(A.province_top3(A.ad_stat(morning)), path, groups)
+    touched = clicks.where(F.hour("ts") >= 12).select(*groups).distinct()
+    overwrite_partitions(A.province_top3(A.ad_stat(clicks.join(touched, groups, "left_semi"))), path, groups)
+    return read_folder(spark, path, AD_PROVINCE_TOP3)
+
+
+def q_stored_count_lookup(spark, sf_dir):
+    """The new clicks' counts beside the stored counts of their keys (stored by date)."""
+    clicks, path = _ad_clicks(spark, sf_dir), _folder(spark, "stored-counts")
+    overwrite_partitions(A.user_ad_counts(clicks.where(F.hour("ts") < 12)), path, ["date"])
+    new = A.user_ad_counts(clicks.where(F.hour("ts") >= 12)).withColumnRenamed("clickCount", "newCount")
+    keys = ["date", "userid", "adid"]
+    stored = stored_rows(read_folder(spark, path, AD_USER_CLICK_COUNT), new, keys, "date")
+    stored = stored.withColumnRenamed("clickCount", "storedCount")
+    found = new.join(stored, keys, "left")
+    count = F.coalesce("storedCount", F.lit(0)).cast("bigint")
+    return found.select(*keys, "newCount", count.alias("storedCount"), (F.col("newCount") + count).alias("clickCount"))
+
+
+def q_table_round_trip(spark, sf_dir):
+    """Actions stamped with a task id, saved as a catalog table by date, and scanned by a date range."""
+    _prep(spark)
+    name = f"shoplens_actions_{re.sub('[^A-Za-z0-9]', '_', spark.sparkContext.applicationId)}"
+    sink = TableSink("overwrite", partition_by={name: ["date"]}, location=_folder(spark, "tables"))
+    actions = DriverTables(spark, sf_dir).actions(DEFAULT_PARAMS).drop("action_ts")
+    sink.write(name, with_task_id(actions, TABLE_TASK))
+    ranged = actions_in_range(spark.table(name), TABLE_PARAMS)
+    return ranged.select("taskid", "tie", "date", "user_id", "session_id", "page_id", "action_time", "click_category_id")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -413,6 +523,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "session_rollup": q_session_rollup,
+        "session_rollup_distinct": q_session_rollup_distinct,
         "session_user_profile": q_session_user_profile,
         "session_task_filter": q_session_task_filter,
         "session_aggr_stat": q_session_aggr_stat,
@@ -452,8 +563,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_user_click_count": q_stream_user_click_count,
         "stream_ad_trend": q_stream_ad_trend,
         "stream_blacklist": q_stream_blacklist,
+        "stream_ad_stat_refreshed": q_stream_ad_stat_refreshed,
+        "stream_ad_trend_filtered": q_stream_ad_trend_filtered,
+        "stream_ad_trailing_hour": q_stream_ad_trailing_hour,
+        "replace_groups_written": q_replace_groups_written,
+        "stored_count_lookup": q_stored_count_lookup,
+        "table_round_trip": q_table_round_trip,
         **(LLM.queries() if LLM else {}),
-        **({"pipeline": corpus_pipeline.run} if LLM else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
@@ -463,6 +580,6 @@ def oracle_sql() -> dict[str, str]:
     own = oracle_queries()
     if LLM:
         own |= LLM.oracle_sql()
-        if corpus_pipeline.ORACLE_SQL:
+        if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
             own["pipeline"] = corpus_pipeline.ORACLE_SQL
     return own

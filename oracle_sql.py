@@ -16,6 +16,12 @@ from query_params import (
     LEVEL_OF_AREA,
     SAMPLE_SEED,
     SAMPLE_TOTAL,
+    STREAM_LATE_DIGIT,
+    STREAM_ROUNDS,
+    STREAM_SLICE_MS,
+    STREAM_START_MS,
+    TABLE_PARAMS,
+    TABLE_TASK,
 )
 
 
@@ -79,8 +85,9 @@ def _range(p, col="date") -> str:
     return f"{col} BETWEEN {_lit(p.start_date)} AND {_lit(p.end_date)}"
 
 
-def _rollup(p) -> str:
-    """Session roll-up over the date-ranged actions (A1)."""
+def _rollup(p, distinct: bool = False) -> str:
+    """Session roll-up over the date-ranged actions (A1); lists with repeats unless ``distinct``."""
+    which = "rn = 1" if distinct else "TRUE"
     return f"""
 ranged AS (SELECT * FROM actions WHERE {_range(p)}),
 sess AS (
@@ -96,7 +103,7 @@ kw_first AS (
 kws AS (
   SELECT session_id, string_agg(kw, ',' ORDER BY action_ts, tie) AS search_keywords,
          list(kw ORDER BY action_ts, tie) AS kw_list
-  FROM kw_first WHERE rn = 1 GROUP BY session_id
+  FROM kw_first WHERE {which} GROUP BY session_id
 ),
 cat_first AS (
   SELECT session_id, click_category_id AS cat, action_ts, tie,
@@ -106,7 +113,7 @@ cat_first AS (
 cats AS (
   SELECT session_id, string_agg(CAST(cat AS VARCHAR), ',' ORDER BY action_ts, tie) AS click_category_ids,
          list(cat ORDER BY action_ts, tie) AS cat_list
-  FROM cat_first WHERE rn = 1 GROUP BY session_id
+  FROM cat_first WHERE {which} GROUP BY session_id
 ),
 rollup AS (
   SELECT s.session_id, s.user_id, s.start_ts, s.end_ts,
@@ -361,6 +368,7 @@ def oracle_queries() -> dict[str, str]:
     d, f = DEFAULT_PARAMS, FILTER_PARAMS
     q: dict[str, str] = {}
     q["session_rollup"] = _with(ACTIONS, _rollup(d)) + f"\nSELECT {ROLLUP_COLS} FROM rollup"
+    q["session_rollup_distinct"] = _with(ACTIONS, _rollup(d, distinct=True)) + f"\nSELECT {ROLLUP_COLS} FROM rollup"
     q["session_user_profile"] = (
         _with(ACTIONS, USERS, _rollup(d), _filter(d.__class__(start_date=d.start_date, end_date=d.end_date)))
         + f"\nSELECT {ROLLUP_COLS}, age, professional, city, sex FROM profile"
@@ -480,4 +488,30 @@ SELECT date, province, adid, clickCount FROM (
     q["stream_user_click_count"] = q["ad_user_click_count"]
     q["stream_ad_trend"] = q["ad_click_trend"]
     q["stream_blacklist"] = q["ad_blacklist"]
+    q["stream_ad_trailing_hour"] = q["ad_trailing_hour"]
+    q["stream_ad_trend_filtered"] = ads + (
+        "\nSELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute, adid, "
+        "count(*) AS clickCount FROM fclicks GROUP BY ALL"
+    )
+    # the list as of each round: users over the threshold in the rounds before
+    q["stream_ad_stat_refreshed"] = ads + f"""
+, rounds AS (
+  SELECT *, CASE WHEN userid % 10 = {STREAM_LATE_DIGIT} THEN {STREAM_ROUNDS - 1} ELSE greatest(0, least({STREAM_ROUNDS - 1},
+         CAST(floor((timestamp_ms - {STREAM_START_MS}) / {STREAM_SLICE_MS}) AS BIGINT))) END AS round
+  FROM clicks
+),
+listed AS (
+  SELECT DISTINCT r.range AS round, c.userid FROM range({STREAM_ROUNDS}) r JOIN rounds c ON c.round < r.range
+  GROUP BY r.range, c.date, c.userid, c.adid HAVING count(*) > {AD_THRESHOLD}
+)
+SELECT date, province, city, adid, count(*) AS clickCount FROM rounds
+WHERE NOT EXISTS (SELECT 1 FROM listed l WHERE l.round = rounds.round AND l.userid = rounds.userid) GROUP BY ALL"""
+    q["replace_groups_written"] = q["replace_groups"]
+    q["stored_count_lookup"] = ads + """
+, halves AS (SELECT date, userid, adid, count(*) FILTER (WHERE hour(ts) >= 12) AS newCount,
+                    count(*) FILTER (WHERE hour(ts) < 12) AS storedCount, count(*) AS clickCount FROM clicks GROUP BY ALL)
+SELECT * FROM halves WHERE newCount > 0"""
+    q["table_round_trip"] = _with(ACTIONS) + f"""
+SELECT {_lit(TABLE_TASK)} AS taskid, tie, date, user_id, session_id, page_id, action_time, click_category_id
+FROM actions WHERE {_range(TABLE_PARAMS)}"""
     return q

@@ -42,3 +42,16 @@ LEVEL_OF_AREA = {"A": ["AMERICA", "EUROPE"], "B": ["ASIA"], "C": ["MIDDLE EAST"]
 # Time of day (unpadded hour) and page bands of the row on scalar functions.
 CUT_TIME = "0:18:00"
 PAGE_BANDS = [("low", 0, 3), ("mid", 4, 6), ("high", 7, None)]
+
+# Rounds of the streaming rows: slices of ten days and some hours, minutes and
+# seconds from the first day on; users with this last digit come in the last
+# round.  The state of the small test data needs few partitions.
+STREAM_ROUNDS = 3
+STREAM_START_MS = 1_704_067_200_000
+STREAM_SLICE_MS = 876_345_678
+STREAM_LATE_DIGIT = 7
+STREAM_STATE_PARTITIONS = 4
+
+# Date range that reads the saved table back, and the task id it is stamped with.
+TABLE_PARAMS = TaskParams(start_date="2024-01-05", end_date="2024-01-20")
+TABLE_TASK = "task-table"

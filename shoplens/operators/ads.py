@@ -115,15 +115,20 @@ def click_trend(clicks: DataFrame) -> DataFrame:
 
 
 def trailing_hour(per_minute: DataFrame, minutes: int = 60) -> DataFrame:
-    """Per ad and minute, clicks in the trailing ``minutes`` (inclusive).
+    """Per ad and minute, clicks in the trailing ``minutes`` (inclusive; a day at most).
 
-    A range frame over the per-minute counts of one ad: at most one row per
-    minute and ad enters the window, however many clicks there were.
+    A range frame over the per-minute counts of one ad and day, which are
+    ``minutes`` rows of the day before and 1,440 at most, however long the
+    history and however many clicks there were: the last minutes of a day
+    are carried over into the next day's group and leave it with the frame.
     """
-    secs = F.unix_seconds(F.col("minute_ts"))
-    w = Window.partitionBy("adid").orderBy(secs).rangeBetween(-(minutes - 1) * 60, 0)
-    return per_minute.select(
-        F.date_format("minute_ts", "yyyy-MM-dd HH:mm").alias("minute"),
-        "adid",
-        F.sum("clickCount").over(w).cast("bigint").alias("windowCount"),
+    minute = F.col("minute_ts")
+    day, next_day = F.to_date(minute), F.date_add(F.to_date(minute), 1)
+    reaches = F.to_date(minute + F.make_dt_interval(mins=F.lit(minutes - 1))) > day
+    days = F.when(reaches, F.array(day, next_day)).otherwise(F.array(day))
+    rows = per_minute.select("minute_ts", "adid", "clickCount", F.explode(days).alias("day"))
+    w = Window.partitionBy("adid", "day").orderBy(F.unix_seconds(minute)).rangeBetween(-(minutes - 1) * 60, 0)
+    counted = rows.withColumn("windowCount", F.sum("clickCount").over(w).cast("bigint"))
+    return counted.where(F.col("day") == day).select(
+        F.date_format("minute_ts", "yyyy-MM-dd HH:mm").alias("minute"), "adid", "windowCount"
     )

@@ -20,11 +20,52 @@ from shoplens.params import TaskParams
 from shoplens.sources.tables import present_id, user_dimension
 
 
+#: Seconds of a session that are sorted together.
+LIST_BUCKET = 600
+
+
+def _with_length(rolled: DataFrame) -> DataFrame:
+    return rolled.withColumn("visit_length", seconds_between(F.col("end_ts"), F.col("start_ts"))).withColumn(
+        "start_time", format_time(F.col("start_ts"))
+    )
+
+
+def _listed(actions: DataFrame) -> DataFrame:
+    """Sessions with their lists, repeats included, put together from time buckets."""
+    kw, cat = F.col("search_keyword"), F.col("click_category_id")
+
+    def collected(present, value):
+        return F.array_sort(F.collect_list(F.when(present, F.struct("action_ts", "tie", value.alias("v")))))
+
+    pieces = actions.groupBy("session_id", F.floor(F.unix_seconds("action_ts") / LIST_BUCKET).alias("bucket")).agg(
+        F.min("user_id").alias("user_id"),
+        F.min("action_ts").alias("t_min"),
+        F.max("action_ts").alias("t_max"),
+        F.count(F.lit(1)).alias("steps"),
+        collected(kw.isNotNull() & (kw != ""), kw).alias("kws"),
+        collected(present_id(cat), cat).alias("cats"),
+    )
+
+    def joined(field: str):
+        in_order = F.array_sort(F.collect_list(F.struct("bucket", F.transform(field, lambda e: e["v"]).alias("vs"))))
+        return F.flatten(F.transform(in_order, lambda p: p["vs"]))
+
+    return pieces.groupBy("session_id").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("t_min").alias("start_ts"),
+        F.max("t_max").alias("end_ts"),
+        F.sum("steps").alias("step_length"),
+        joined("kws").alias("search_keywords"),
+        joined("cats").alias("click_category_ids"),
+    )
+
+
 def session_rollup(
     actions: DataFrame,
     with_lists: bool = True,
     keywords: list[str] | None = None,
     category_ids: list[int] | None = None,
+    distinct_lists: bool = False,
 ) -> DataFrame:
     """A1: one row per session.
 
@@ -55,18 +96,17 @@ def session_rollup(
             ids = [int(c) for c in category_ids]
             flags.append(F.bool_or(F.coalesce(F.col("click_category_id").isin(ids), F.lit(False)))
                          .alias("category_match"))
-        return (
-            actions.groupBy("session_id")
-            .agg(
+        return _with_length(
+            actions.groupBy("session_id").agg(
                 F.min("user_id").alias("user_id"),
                 F.min("action_ts").alias("start_ts"),
                 F.max("action_ts").alias("end_ts"),
                 F.count(F.lit(1)).alias("step_length"),
                 *flags,
             )
-            .withColumn("visit_length", seconds_between(F.col("end_ts"), F.col("start_ts")))
-            .withColumn("start_time", format_time(F.col("start_ts")))
         )
+    if not distinct_lists:
+        return _with_length(_listed(actions))
     kw = F.col("search_keyword")
     cat = F.col("click_category_id")
     kw_item = F.when(kw.isNotNull() & (kw != ""), F.struct(kw.alias("kw"), F.lit(None).cast("bigint").alias("cat")))
@@ -98,9 +138,8 @@ def session_rollup(
         )
         return F.transform(F.array_sort(entries), lambda e: e["v"])
 
-    return (
-        per_item.groupBy("session_id")
-        .agg(
+    return _with_length(
+        per_item.groupBy("session_id").agg(
             F.min("user_id").alias("user_id"),
             F.min("t_min").alias("start_ts"),
             F.max("t_max").alias("end_ts"),
@@ -108,8 +147,6 @@ def session_rollup(
             ordered("kw").alias("search_keywords"),
             ordered("cat").alias("click_category_ids"),
         )
-        .withColumn("visit_length", seconds_between(F.col("end_ts"), F.col("start_ts")))
-        .withColumn("start_time", format_time(F.col("start_ts")))
     )
 
 

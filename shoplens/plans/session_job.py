@@ -2,7 +2,8 @@
 
 Plan shape: actions are scanned with only the needed columns and the date
 predicate pushed into the scan; the session roll-up is two combinable
-aggregations; the filtered session table (which feeds four outputs) is
+aggregations; the filtered session table (which feeds four outputs) and the
+aggregate by (category, session) (which feeds both rankings) are each
 materialised once in the shared checkpoint folder.  The rest are one global
 aggregate, one windowed sample, one top-k and one per-group top-k.
 """
@@ -42,8 +43,8 @@ def build(
     seed: str = "shoplens",
     strict_reference: bool = False,
     dedupe_detail: bool = False,
-) -> tuple[SessionJobResult, DataFrame]:
-    """Lazy outputs plus the materialised filtered-session table (to release).
+) -> SessionJobResult:
+    """Lazy outputs over the materialised sessions and category counts.
 
     The session table carries no lists: the keyword / category filters are
     boolean aggregates, and lists are built only for the sampled sessions.
@@ -51,7 +52,7 @@ def build(
     ranged = actions_in_range(actions, params)
     rolled = S.session_rollup(ranged, with_lists=False, keywords=params.keywords, category_ids=params.category_ids)
     filtered = cut_lineage(S.filter_sessions(S.session_profile(rolled, users), params))
-    filtered_actions = S.actions_of_sessions(ranged, filtered)
+    counted = cut_lineage(C.category_session_counts(S.actions_of_sessions(ranged, filtered)))
 
     sample = SM.stratified_sample(filtered, sample_total, seed)
     # at most sample_total sessions: a bounded broadcast
@@ -62,9 +63,9 @@ def build(
         F.coalesce("search_keywords", F.array().cast("array<string>")).alias("search_keywords"),
         F.coalesce("click_category_ids", F.array().cast("array<bigint>")).alias("click_category_ids"),
     )
-    top10 = C.top_categories(C.category_counts(filtered_actions, strict_reference))
-    top_sessions = C.top_sessions_per_category(ranged, top10, sessions=filtered)
-    result = SessionJobResult(
+    top10 = C.top_categories(C.category_totals(counted, strict_reference))
+    top_sessions = C.rank_sessions(counted, top10)
+    return SessionJobResult(
         aggr_stat=S.session_aggr_stat(filtered),
         random_extract=SM.sample_output(sample),
         sample_detail=S.detail_rows(sample_actions),
@@ -72,21 +73,17 @@ def build(
         top10_session=top_sessions,
         top10_detail=S.detail_rows(C.top_session_actions(ranged, top_sessions, dedupe_detail)),
     )
-    return result, filtered
 
 
 def run(spark, actions: DataFrame, users: DataFrame, params: TaskParams, sink, task_id: str | None = None,
         **options) -> str:
     """Compute and write the six outputs under the reference's table names."""
     task_id = task_id or str(uuid.uuid4())
-    result, filtered = build(actions, users, params, **options)
-    try:
-        sink.write("session_aggr_stat", with_task_id(result.aggr_stat, task_id))
-        sink.write("session_random_extract", with_task_id(result.random_extract, task_id))
-        sink.write("session_detail", with_task_id(result.sample_detail, task_id))
-        sink.write("top10_category", with_task_id(result.top10_category, task_id))
-        sink.write("top10_session", with_task_id(result.top10_session, task_id))
-        sink.write("session_detail", with_task_id(result.top10_detail, task_id))
-    finally:
-        filtered.unpersist()
+    result = build(actions, users, params, **options)
+    sink.write("session_aggr_stat", with_task_id(result.aggr_stat, task_id))
+    sink.write("session_random_extract", with_task_id(result.random_extract, task_id))
+    sink.write("session_detail", with_task_id(result.sample_detail, task_id))
+    sink.write("top10_category", with_task_id(result.top10_category, task_id))
+    sink.write("top10_session", with_task_id(result.top10_session, task_id))
+    sink.write("session_detail", with_task_id(result.top10_detail, task_id))
     return task_id

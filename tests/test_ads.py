@@ -87,3 +87,20 @@ def test_trend_and_trailing_hour(spark):
 def test_dates_are_utc_days(spark):
     clicks = _clicks(spark, [f"{DAY2 - 1} 1 1 1 1"])
     assert clicks.select(F.col("date")).collect()[0][0] == "2024-01-01"
+
+
+def test_trailing_hour_crosses_midnight(spark):
+    """The last minutes of a day reach into the next one; groups hold one day of one ad."""
+    minutes = ["2024-01-01 22:59", "2024-01-01 23:00", "2024-01-01 23:01", "2024-01-01 23:59", "2024-01-02 00:00", "2024-01-02 00:59", "2024-01-03 00:10"]
+    rows = spark.createDataFrame([(m, 1, 1) for m in minutes] + [("2024-01-02 00:00", 2, 5)], "m string, adid long, clickCount long")
+    got = A.trailing_hour(rows.selectExpr("to_timestamp(m) AS minute_ts", "adid", "clickCount"))
+    want = {(m, 1): sum(0 <= _minutes(m) - _minutes(x) <= 59 for x in minutes) for m in minutes} | {("2024-01-02 00:00", 2): 5}
+    assert {(r.minute, r.adid): r.windowCount for r in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(adid" in plan and "day" in plan.split("windowspecdefinition(adid")[1][:40]
+
+
+def _minutes(text):
+    from datetime import datetime
+
+    return int((datetime.strptime(text, "%Y-%m-%d %H:%M") - datetime(2024, 1, 1)).total_seconds() // 60)

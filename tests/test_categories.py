@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from shoplens.functions.columns import csv_to_ids
 from shoplens.operators import categories as C
-from tests.conftest import make_actions, sorted_rows
+from shoplens.sources.adapters import DriverTables
+from shoplens.spark import cut_lineage
+from tests.conftest import SF_SMALL, make_actions, sorted_rows
 
 
 def test_csv_ids_tolerate_trailing_comma_and_junk(spark):
@@ -83,3 +85,23 @@ def test_top_sessions_limit_with_many_sessions(spark):
     acts = make_actions(spark, rows)
     ts = C.top_sessions_per_category(acts, C.top_categories(C.category_counts(acts)))
     assert sorted(r.sessionid for r in ts.collect()) == [f"s{i:02d}" for i in range(10)]
+
+
+def test_one_aggregate_feeds_both_rankings(spark):
+    t = DriverTables(spark, SF_SMALL)
+    acts = t.actions()
+    counted = C.category_session_counts(acts)
+    cols = ("categoryid", "clickCount", "orderCount", "payCount")
+    for strict in (False, True):
+        assert sorted_rows(C.category_totals(counted, strict), *cols) == sorted_rows(C.category_counts(acts, strict), *cols)
+    top = C.top_categories(C.category_totals(counted))
+    assert sorted_rows(C.rank_sessions(counted, top)) == sorted_rows(C.top_sessions_per_category(acts, top))
+
+
+def test_top_sessions_join_the_actions_once(spark, tmp_path):
+    """Both rankings read the materialised aggregate: neither plan has the actions or a second semi join of them."""
+    t = DriverTables(spark, SF_SMALL)
+    acts = t.actions()
+    counted = cut_lineage(C.category_session_counts(acts.join(acts.select("session_id").distinct(), "session_id", "left_semi")))
+    plan = C.rank_sessions(counted, C.top_categories(C.category_totals(counted)))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and plan.count("Scan ExistingRDD") == 2

@@ -14,7 +14,7 @@ PARAMS = TaskParams(start_date="1970-01-01", end_date="2099-12-31", start_age=20
 
 
 def _outputs(actions, users):
-    res, filtered = session_job.build(actions, users, PARAMS, sample_total=100, seed="m")
+    res = session_job.build(actions, users, PARAMS, sample_total=100, seed="m")
     out = {
         "stat": sorted_rows(res.aggr_stat),
         "sample": sorted_rows(res.random_extract),
@@ -23,7 +23,6 @@ def _outputs(actions, users):
         "detail": sorted_rows(res.top10_detail),
         "pairs": sorted_rows(FN.page_pair_counts(actions)),
     }
-    filtered.unpersist()
     return out
 
 

@@ -88,7 +88,7 @@ def test_lists_are_distinct_in_first_seen_order(spark):
         {"action_time": "2024-01-01 0:00:04", "click_category_id": 7},
         {"action_time": "2024-01-01 0:00:06", "search_keyword": ""},
     ]
-    out = S.session_output(S.session_rollup(make_actions(spark, rows))).collect()[0]
+    out = S.session_output(S.session_rollup(make_actions(spark, rows), distinct_lists=True)).collect()[0]
     assert out.search_keywords == "a,b"
     # category 0 is a real category; -1 is "no click"
     assert out.click_category_ids == "7,0"
@@ -205,3 +205,25 @@ def test_flag_filters_equal_list_filters(spark):
         lean = S.session_rollup(acts, with_lists=False, keywords=p.keywords, category_ids=p.category_ids)
         with_flags = S.filter_sessions(S.session_profile(lean, users), p)
         assert sorted(r.session_id for r in with_lists.collect()) == sorted(r.session_id for r in with_flags.collect())
+
+
+def test_lists_keep_repeats_in_time_order(spark, monkeypatch):
+    """Q1: repeats stay; pieces of a session (here of two seconds) are put together in order."""
+    rows = [
+        {"action_time": f"2024-01-01 0:00:{i:02d}", "search_keyword": "abc"[i % 3] if i % 2 else None, "click_category_id": i % 4 if i % 2 == 0 else -1}
+        for i in (7, 3, 11, 0, 5, 1, 9, 2, 10, 4, 8, 6)
+    ]
+    want = None
+    for bucket in (600, 2, 1):
+        monkeypatch.setattr(S, "LIST_BUCKET", bucket)
+        out = S.session_output(S.session_rollup(make_actions(spark, rows).repartition(3))).collect()[0]
+        got = (out.search_keywords, out.click_category_ids, out.step_length, out.visit_length)
+        assert want is None or got == want
+        want = got
+    assert want == ("b,a,c,b,a,c", "0,2,0,2,0,2", 12, 11)
+
+
+def test_no_session_is_sorted_whole(spark):
+    plan = S.session_rollup(make_actions(spark, [{"search_keyword": "a"}]))._jdf.queryExecution().optimizedPlan().toString()
+    lowest = [line for line in plan.split("\n") if "Aggregate" in line][-1]
+    assert "bucket" in lowest or "FLOOR" in lowest
