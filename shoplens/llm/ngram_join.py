@@ -14,8 +14,9 @@ have little else.
    surplus.  N-grams are ordered by (level, hash).  Levels decide speed alone:
    any order gives the same links.
 2. Documents with equal sets form a class; classes are joined, not copies.
-3. A second pass emits the prefixes.  N-grams in the prefixes of one class only
-   are dropped, and of n-grams with the same classes one is kept.
+3. A second pass emits the prefixes, which are dealt out by n-gram, once.
+   N-grams in the prefixes of one class only are dropped, and of n-grams with
+   the same classes one is kept.
 4. The classes of an n-gram are dealt into blocks.  A pair passes if its sizes
    agree (length filter), if the n-grams before and after the shared one can
    still make up ``need`` (positional filter), and if the rest leaves room for
@@ -23,8 +24,7 @@ have little else.
    part that is odd in one and even in the other holds an n-gram that is not
    shared).  Small blocks send all such pairs; large ones the pairs of a
    maximum spanning forest over the bound that the last filter gives.
-5. Pairs are checked on full sets: first the best of each class, then those
-   whose classes are not connected yet.
+5. These pairs are checked on full sets, and links make components.
 6. N-grams with many classes that are not connected by then: classes outside
    the largest component meet all classes of other components, block by block.
    First the best pair of a class with each component is checked, then every
@@ -59,9 +59,9 @@ NGRAM_WORDS = 5
 THRESHOLD = 80  # per cent
 COUNTER_BITS, PARTS = 22, 1024
 #: Partial counters are summed in so many groups, then over the groups.
-SUM_GROUPS = 32
+SUM_GROUPS = 8
 #: Bits of a parity vector: for each n-gram this many, rounded up to a power of two between the limits.
-BITS_EACH, LEAST_BITS, MOST_BITS = 4, 512, 1 << 17
+BITS_EACH, LEAST_BITS, MOST_BITS = 2, 256, 1 << 17
 #: Up to so many classes all pairs that pass the filters are sent at once.
 SMALL = 16
 BLOCK = 1024
@@ -141,7 +141,7 @@ def unpacked(raw: bytes) -> np.ndarray:
 
 
 def _measure(size: int):
-    names = ["id", "print", "n_shingles", "cls", "parity", "part", "counts"]
+    names = ["id", "print", "n_shingles", "cls", "key", "parity", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_state()
@@ -155,13 +155,14 @@ def _measure(size: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         column(part, "id"), column(part, "print"), pa.array(np.diff(ptr), pa.int64()), pa.array(own, pa.binary()),
+                        pa.array([class_key(c) if c else None for c in own], pa.int64()),
                         pa.array(parities(elements, ptr), pa.binary()), pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary()),
                     ],
                     names,
                 )
         for part, counts in counters.parts():
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, kind), *(pa.nulls(1, k) for k in (pa.int64(), pa.int64(), pa.binary(), pa.binary())), pa.array([part], pa.int32()), pa.array([counts], pa.binary())],
+                [pa.nulls(1, kind), *(pa.nulls(1, k) for k in (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())), pa.array([part], pa.int32()), pa.array([counts], pa.binary())],
                 names,
             )
 
@@ -224,19 +225,56 @@ def _prefixes(size: int, threshold: int, levels: Broadcast):
                 if len(seen) > SEEN_CLASSES:
                     seen.clear()
                 grams, of, place = prefixes(elements, ptr, levels.value, threshold)
+                keys = np.array([class_key(c) if c else 0 for c in own], np.int64)
                 kept = fresh[of]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(grams[kept].view(np.int64)),
-                        pa.array(own, pa.binary()).take(pa.array(of[kept])),
-                        pa.array(place[kept], pa.int32()),
-                    ],
-                    ["gram", "cls", "place"],
+                    [pa.array(grams[kept].view(np.int64)), pa.array(keys[of[kept]]), pa.array(place[kept], pa.int32())],
+                    ["gram", "key", "place"],
                 )
 
     return run
 
 
+def class_key(cls: bytes) -> int:
+    """64 bits of a class's digest."""
+    return int.from_bytes(cls[:8], "little", signed=True)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a partition sorted by (gram, key), the distinct rows of n-grams with several keys.
+
+    A row waits until the next key of its n-gram comes, or the next n-gram; nothing else is held.
+    """
+    release_state()
+    names = ["gram", "key", "place"]
+    waiting = np.zeros((0, 3), np.int64)  # the last row so far, if it is the only one of its n-gram
+    last = None  # the last (gram, key) so far
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([column(batch, c).to_numpy().astype(np.int64) for c in names], 1)
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
+        new[0] = last is None or tuple(rows[0, :2]) != last
+        rows, before = rows[new], last
+        if not len(rows):
+            continue
+        last = tuple(rows[-1, :2])
+        # the last row of the batch before takes part as its neighbour's twin, and is sent if it still waits
+        same = np.zeros(len(rows) + 1, bool)
+        same[1:-1] = rows[1:, 0] == rows[:-1, 0]
+        same[0] = before is not None and rows[0, 0] == before[0]
+        shared = same[:-1] | same[1:]
+        out = [waiting] if same[0] else []
+        if shared[-1]:
+            waiting = waiting[:0]
+        else:
+            waiting = rows[-1:]
+        out.append(rows[shared])
+        sent = np.concatenate(out)
+        yield pa.RecordBatch.from_arrays([pa.array(sent[:, 0]), pa.array(sent[:, 1]), pa.array(sent[:, 2].astype(np.int32))], names)
+
+
 class Members:
     """Classes that share an n-gram: sizes, places of the n-gram, parity vectors."""
 
@@ -281,13 +319,12 @@ def bounds(m: Members, i: np.ndarray, j: np.ndarray, threshold: int) -> np.ndarr
     return out
 
 
-def _pairs(rows: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
-    kinds = {"a": pa.binary(), "b": pa.binary(), "bound": pa.int64()}
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds.values())], list(kinds))
+def _pairs(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary()) for i in range(2)], ["a", "b"])
 
 
-def _ordered_pair(x: bytes, y: bytes, bound: int) -> tuple[bytes, bytes, int]:
-    return (max(x, y), min(x, y), bound)
+def _ordered_pair(x: bytes, y: bytes) -> tuple[bytes, bytes]:
+    return max(x, y), min(x, y)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -334,7 +371,7 @@ def _blocks(threshold: int):
         for step in range(1, min(SMALL, int(sizes.max()))):
             i = np.flatnonzero((of[:-step] == of[step:]) & fits[:-step])
             bound = bounds(m, i, i + step, threshold)
-            out += [_ordered_pair(m.cls[a], m.cls[a + step], b) for a, b in zip(i[bound > 0].tolist(), bound[bound > 0].tolist())]
+            out += [_ordered_pair(m.cls[a], m.cls[a + step]) for a in i[bound > 0].tolist()]
         return out
 
     def large(m: Members, lo: int, hi: int) -> list[tuple]:
@@ -345,7 +382,7 @@ def _blocks(threshold: int):
             v = int(np.argmax(np.where(open_, best, -1)))
             open_[v] = False
             if best[v] > 0:
-                out.append(_ordered_pair(m.cls[lo + v], m.cls[lo + parent[v]], int(best[v])))
+                out.append(_ordered_pair(m.cls[lo + v], m.cls[lo + parent[v]]))
             bound = bounds(m, np.full(n, lo + v), rows, threshold)
             closer = (bound > best) & open_
             best[closer], parent[closer] = bound[closer], v
@@ -370,7 +407,7 @@ def _across(threshold: int, best: bool):
     ``best``: of an outsider and a component only the pair with the highest bound.
     """
 
-    def pairs(m: Members, group: pa.Table) -> Iterator[tuple[bytes, bytes, int]]:
+    def pairs(m: Members, group: pa.Table) -> Iterator[tuple[bytes, bytes]]:
         outsider = np.array(group.column("outsider").to_pylist(), bool)
         guest = np.array(group.column("as_outsider").to_pylist(), bool)
         number = {c: i for i, c in enumerate(dict.fromkeys(group.column("component").to_pylist()))}
@@ -383,10 +420,10 @@ def _across(threshold: int, best: bool):
             order = order[bound[order] > 0]
             if best:
                 order = order[np.sort(np.unique(component[j[order]], return_index=True)[1])]
-            for k, b in zip(j[order].tolist(), bound[order].tolist()):
+            for k in j[order].tolist():
                 # two outsiders meet twice; one meeting is enough
                 if best or not outsider[k] or m.cls[k] < m.cls[o]:
-                    yield _ordered_pair(m.cls[k], m.cls[o], b)
+                    yield _ordered_pair(m.cls[k], m.cls[o])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_state()
@@ -429,7 +466,6 @@ class _Links:
         self.of: DataFrame | None = None
 
     def check(self, pairs: DataFrame) -> None:
-        pairs = pairs.select("a", "b")
         if self.checked is not None:
             pairs = pairs.join(self.checked, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "ngram-to-check")
@@ -457,7 +493,7 @@ class NgramJoin:
         self.rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"))
 
     def measured(self) -> DataFrame:
-        schema = f"id {self.kind}, print long, n_shingles long, cls binary, parity binary, part int, counts binary"
+        schema = f"id {self.kind}, print long, n_shingles long, cls binary, key long, parity binary, part int, counts binary"
         return materialise(self.rows.mapInArrow(_measure(self.size), schema), "ngram-measured")
 
     @staticmethod
@@ -478,24 +514,21 @@ class NgramJoin:
         """One row per distinct set: its size, histogram and first document."""
         first = F.struct(F.col("id").isNull().alias("no_id"), "id", "print")
         own = measured.where("cls is not null").groupBy("cls")
-        own = own.agg(F.any_value("n_shingles").alias("n"), F.any_value("parity").alias("parity"), F.min(first).alias("first"))
-        return materialise(own.select("cls", "n", "parity", "first.id", "first.print"), "ngram-classes")
+        own = own.agg(F.any_value("key").alias("key"), F.any_value("n_shingles").alias("n"), F.any_value("parity").alias("parity"), F.min(first).alias("first"))
+        return materialise(own.select("cls", "key", "n", "parity", "first.id", "first.print"), "ngram-classes")
 
     def members(self, classes: DataFrame, levels: np.ndarray) -> DataFrame:
         """(gram, count, cls, place, n, parity) of n-grams in the prefixes of several classes."""
         table = self.spark.sparkContext.broadcast(levels)
-        found = self.rows.select("text").mapInArrow(_prefixes(self.size, self.threshold, table), "gram long, cls binary, place int")
-        found = materialise(found, "ngram-prefixes")
-        several = found.groupBy("gram").count().where("count > 1")
-        several = materialise(several.select(F.col("gram").alias("s_gram")), "ngram-several")
-        rows = found.join(sized(several, 16), F.col("gram") == F.col("s_gram")).select("gram", "cls", "place")
-        rows = materialise(rows.dropDuplicates(["gram", "cls"]), "ngram-shared")
-        # n-grams that only copies share are out now; of those with the same classes one is enough
-        sets = rows.groupBy("gram").agg(F.count("*").alias("count"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sum"))
-        sets = sets.where("count > 1").groupBy("count", "sum").agg(F.min("gram").alias("k_gram"))
+        found = self.rows.select("text").mapInArrow(_prefixes(self.size, self.threshold, table), "gram long, key long, place int")
+        rows = found.repartition("gram").sortWithinPartitions("gram", "key").mapInArrow(_shared, found.schema)
+        rows = materialise(rows, "ngram-shared")
+        # of n-grams with the same classes one is enough
+        sets = rows.groupBy("gram").agg(F.count("*").alias("count"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("sum"))
+        sets = sets.groupBy("count", "sum").agg(F.min("gram").alias("k_gram"))
         sets = materialise(sets.select("k_gram", "count"), "ngram-kept")
-        rows = rows.join(sized(sets, 24), F.col("gram") == F.col("k_gram")).select("gram", "count", "cls", "place")
-        return materialise(rows.join(classes.select("cls", "n", "parity"), "cls"), "ngram-members")
+        rows = rows.join(sized(sets, 24), F.col("gram") == F.col("k_gram")).select("gram", "count", "key", "place")
+        return materialise(rows.join(classes.select("key", "cls", "n", "parity"), "key").drop("key"), "ngram-members")
 
     @staticmethod
     def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
@@ -504,8 +537,8 @@ class NgramJoin:
     def block_pairs(self, members: DataFrame) -> DataFrame:
         blocks = F.ceil(F.col("count") / BLOCK).cast("int")
         rows = members.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-        pairs = self._dealt(rows.drop("count"), "gram", "block").mapInArrow(_blocks(self.threshold), "a binary, b binary, bound long")
-        return materialise(pairs.groupBy("a", "b").agg(F.max("bound").alias("bound")), "ngram-pairs")
+        pairs = self._dealt(rows.drop("count"), "gram", "block").mapInArrow(_blocks(self.threshold), "a binary, b binary")
+        return pairs.distinct()
 
     def links(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs that are links; texts travel only for classes that are in a pair."""
@@ -520,21 +553,6 @@ class NgramJoin:
         both = both.select("a", "b", "text_a", "text_b")
         return materialise(both.mapInArrow(_check(self.size, self.threshold), "a binary, b binary"), "ngram-links")
 
-    @staticmethod
-    def best(pairs: DataFrame) -> DataFrame:
-        """Of each class the pair with the highest bound."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("cls"), "a", "b", "bound")
-        return ends.groupBy("cls").agg(F.max(F.struct("bound", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-
-    @staticmethod
-    def apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
-        """The pairs whose classes are not in one component."""
-        for side in ("a", "b"):
-            here = of.select(F.col("node").alias(f"n_{side}"), F.col("component").alias(f"c_{side}"))
-            pairs = pairs.join(sized(here, 48), F.col(side) == F.col(f"n_{side}"), "left")
-        where = F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
-        return pairs.where(where).select("a", "b")
-
     def pairs_across(self, members: DataFrame, of: DataFrame, best: bool) -> DataFrame:
         """Pairs across components that large blocks have left."""
         large = members.where(F.col("count") > SMALL)
@@ -560,18 +578,15 @@ class NgramJoin:
         at_home = rows.withColumn("block", own("blocks")).withColumn("out_block", each("out_blocks")).withColumn("as_outsider", F.lit(False))
         guests = rows.where("outsider").withColumn("out_block", own("out_blocks")).withColumn("block", each("blocks")).withColumn("as_outsider", F.lit(True))
         dealt = self._dealt(at_home.select(*columns).unionByName(guests.select(*columns)), "gram", "block", "out_block")
-        return dealt.mapInArrow(_across(self.threshold, best), "a binary, b binary, bound long").select("a", "b").distinct()
+        return dealt.mapInArrow(_across(self.threshold, best), "a binary, b binary").distinct()
 
     def find(self) -> DataFrame:
         """(id, n_shingles, component_id): one row per document."""
         measured = self.measured()
         classes = self.classes(measured)
         members = self.members(classes, self.levels(measured))
-        pairs = self.block_pairs(members)
         found = _Links(self, classes)
-        found.check(self.best(pairs))
-        # what the first pairs have not connected
-        found.check(self.apart(pairs, found.components()))
+        found.check(self.block_pairs(members))
         for best in (True, False):
             found.check(self.pairs_across(members, found.components(), best))
         of = found.components()
