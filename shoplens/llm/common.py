@@ -17,6 +17,7 @@ import uuid
 import weakref
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -83,14 +84,40 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_scratch: list[list[str]] = []
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession
     path = shared_folder(spark, label)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialised inside are deleted at the end.
+
+    What is needed later has to be written elsewhere by then; until then a
+    lost executor finds everything it may have to read again.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours below the shared folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def sized(df: DataFrame, row_bytes: int, limit: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if its rows fit the limit, else unchanged.
 

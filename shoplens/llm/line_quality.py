@@ -160,7 +160,7 @@ def line_quality(
     min_documents: int = MIN_DOCUMENTS,
     max_share: float | None = None,
 ) -> DataFrame:
-    """One row per document: id, measures, base_failed, words_left, kept."""
+    """One row per document: id, measures, base_failed, kept, words_left."""
     measured = measure(docs, id_col, text_col, host_col)
     frequent = frequent_lines(measured, min_documents, max_share)
     lines = measured.select("row", "host", F.inline("lines"))
@@ -177,8 +177,8 @@ def line_quality(
         "n_dup_lines",
         "n_repeat_words",
         failed.alias("base_failed"),
-        left.alias("words_left"),
         (~failed & ~depleted).alias("kept"),
+        left.alias("words_left"),
     )
 
 

@@ -1,4 +1,4 @@
-"""Mixing sources to target weights, cut at each source's exact budget.
+"""Mixing sources to target weights, cut where each source meets its budget.
 
 Every document gets a hash-random key.  Within a source the documents are
 dealt out by key range (keys are uniform, so equal ranges are even and need no
@@ -15,12 +15,15 @@ Defined results
 * the size of a document is its number of ``[^\\x20\\x09-\\x0D]+`` (null text: 0);
 * sources by code point, null last, weigh 1, 2, 3, repeating; a target stops at
   three times its source's size and the excess is shared again by weight;
-* the budget is the target rounded to whole words; the document that holds
-  the cut gives its first words only, so a source gives its budget exactly;
-  rows with the same id and text share the words at the cut evenly (less than
-  one word per such row is lost);
-* documents without words take part with size 0; null ids are allowed; an
-  empty table gives an empty table; other columns are carried through.
+* the budget is the target rounded to whole words; documents are taken whole:
+  the one that holds the cut is taken if that brings its source nearer to the
+  budget, else left, so a source is off by half a document at most (rows with
+  the same id and text count as one document there);
+* documents without words take part with size 0: one stays for every whole
+  epoch of its source, and for the last one if it comes before the cut; a source
+  without any word keeps its documents once;
+* null ids are allowed; an empty table gives an empty table; other columns are
+  carried through.
 """
 
 from __future__ import annotations
@@ -101,7 +104,7 @@ def plan_mix(keyed: DataFrame) -> DataFrame:
     sources = sources.withColumns(
         {
             "epochs": F.when(F.col("source_size") > 0, F.expr("cast(floor(target + 0.5) as bigint) div source_size"))
-            .otherwise(0)
+            .otherwise(1)
             .cast("long"),
             "rest": F.when(F.col("source_size") > 0, budget % F.col("source_size")).otherwise(0).cast("long"),
             "ranges": F.ceil(F.col("rows") / ROWS_PER_RANGE).cast("long"),
@@ -131,21 +134,19 @@ def plan_mix(keyed: DataFrame) -> DataFrame:
     cut = cut.select(
         F.col("src").alias("c_src"),
         F.struct(*[F.col(c) for c in _ORDER]).alias("cut"),
-        F.floor((F.col("rest") - (F.col("end") - F.col("words"))) / F.col("copies")).cast("long").alias("cut_words"),
+        (2 * (F.col("rest") - (F.col("end") - F.col("words"))) >= F.col("words")).alias("cut_taken"),
     )
     plan = sources.join(cut, F.col("src").eqNullSafe(F.col("c_src")), "left").drop("c_src")
     return materialise(plan, "mix-plan")
 
 
 def _taken(keyed: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows with ``epochs`` whole copies and ``part`` words of a further one."""
+    """Rows with ``epochs`` copies, and whether a further one is taken (``more``)."""
     here = F.struct(*[F.col(c) for c in _ORDER])
-    plan = plan.select(F.col("src").alias("p_src"), "source_size", "target", "epochs", "cut", "cut_words")
+    plan = plan.select(F.col("src").alias("p_src"), "source_size", "target", "epochs", "cut", "cut_taken")
     rows = keyed.join(sized(plan, 256), F.col("src").eqNullSafe(F.col("p_src")), "left")
-    part = (
-        F.when(here < F.col("cut"), F.col("size")).when(here.eqNullSafe(F.col("cut")), F.col("cut_words")).otherwise(0)
-    )
-    return rows.withColumn("part", part.cast("long"))
+    more = (here < F.col("cut")) | here.eqNullSafe(F.col("cut")) & F.col("cut_taken")
+    return rows.withColumn("more", F.when(F.col("cut").isNull(), False).otherwise(F.coalesce(more, F.lit(False))))
 
 
 def mixed_sizes(
@@ -159,20 +160,13 @@ def mixed_sizes(
         "size",
         "source_size",
         "target",
-        (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"),
+        ((F.col("epochs") + F.col("more").cast("long")) * F.col("size")).alias("taken"),
     )
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mixed documents: a row for each epoch, the last one cut at its words."""
+    """The mixed documents: a row, whole, for each epoch that takes it."""
     keyed = materialise(_keyed(docs, id_col, text_col, source_col), "mix-keys")
-    plan = plan_mix(keyed)
-    rows = _taken(_keyed(docs, id_col, text_col, source_col, F.struct("*").alias("row")), plan)
-    rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("epochs") + 1)))
-    extra = F.col("epoch") > F.col("epochs")
-    rows = rows.where(~extra & (F.col("size") > 0) | extra & (F.col("part") > 0))
-    # pieces: white space before a word, and the word
-    pieces = F.split(F.col(f"row.{text_col}"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    cut = F.array_join(F.slice(pieces, 1, F.greatest(F.col("part"), F.lit(1)).cast("int")), "")
-    text = F.when(extra & (F.col("part") < F.col("size")), cut).otherwise(F.col(f"row.{text_col}"))
-    return rows.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    rows = _taken(_keyed(docs, id_col, text_col, source_col, F.struct("*").alias("row")), plan_mix(keyed))
+    copies = (F.col("epochs") + F.col("more").cast("long")).cast("int")
+    return rows.select("row", F.explode(F.array_repeat(F.lit(1), copies))).select("row.*")

@@ -11,8 +11,9 @@
 Only statistics and rules' truth values enter training; id, language, source
 and labels are never inputs of a score.
 
-Defined results: null text counts as empty; every document gets a score, empty
-ones too (all statistics 0); labels without document, null labels and labels
+Defined results: null text counts as empty; every document gets a score; words
+are runs of anything but ASCII white space, and a text without words has all
+statistics 0 but for its lines, of which every text has one at least; labels without document, null labels and labels
 of null ids are ignored, a document labelled repeatedly has its smallest
 label; without labelled rows of both classes every score is the smoothed share
 of label 1, (n1 + 1) / (n + 2); repeated rows each give a row; an empty table
@@ -53,8 +54,9 @@ def with_statistics(rows: DataFrame, *carried: str) -> DataFrame:
     pushes no filter: a filter on a score would otherwise repeat every scan of
     the text for every rule that uses its result.
     """
-    def sizes(pieces: Column) -> Column:
-        # bound by a lambda, so that the text is split once
+    def sizes(pieces: Column, empty: bool) -> Column:
+        # bound by a lambda, so that the text is split once; white space at the ends leaves empty pieces
+        pieces = pieces if empty else F.array_remove(pieces, "")
         found = F.transform(F.array(pieces), lambda p: F.struct(F.size(p).alias("n"), F.size(F.array_distinct(p)).alias("kinds")))
         return F.element_at(found, 1)
 
@@ -62,8 +64,8 @@ def with_statistics(rows: DataFrame, *carried: str) -> DataFrame:
         return F.regexp_count("text", F.lit(pattern))
 
     counts = {
-        "words": sizes(F.split("text", r"[\x20\x09-\x0D]+")),
-        "lines": sizes(F.split("text", "\n")),
+        "words": sizes(F.split("text", r"[\x20\x09-\x0D]+"), empty=False),
+        "lines": sizes(F.split("text", "\n"), empty=True),
         "chars": F.length("text"),
         "symbols": count(r"[#*$%&|<>]"),
         "digits": count(r"[0-9]"),
@@ -72,10 +74,11 @@ def with_statistics(rows: DataFrame, *carried: str) -> DataFrame:
         "stops": count(r"[.,;:]"),
     }
     counted = rows.select(*carried, F.inline(F.array(F.struct(F.struct(*[e.alias(k) for k, e in counts.items()]).alias("s")))))
-    n, n_lines = F.col("s.words.n"), F.col("s.lines.n")
+    words, n_lines = F.col("s.words.n"), F.col("s.lines.n")
+    n = F.greatest(words, F.lit(1))
     values = (
-        n,
-        F.col("s.chars") / n,
+        words,
+        F.when(words > 0, F.col("s.chars") / n).otherwise(0),
         F.col("s.symbols") / n,
         F.col("s.digits") / n,
         F.col("s.shouts") / n,
@@ -83,7 +86,7 @@ def with_statistics(rows: DataFrame, *carried: str) -> DataFrame:
         F.col("s.stops") / n,
         F.col("s.words.kinds") / n,
         F.col("s.lines.kinds") / n_lines,
-        n / n_lines,
+        words / n_lines,
     )
     return counted.select(*carried, *[e.cast("double").alias(name) for name, e in zip(STATISTICS, values, strict=True)])
 

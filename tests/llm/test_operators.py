@@ -210,13 +210,26 @@ def test_mix(docs):
         s = source_of[r.doc_id, r["size"]]
         assert r.source_size == by_source[s] and abs(r.target - target[s]) < 1e-6 and r.taken <= 3 * r["size"]
         taken[s] += r.taken
-    assert all(abs(taken[s] - target[s]) <= 2 for s in names)
+    # a source is off by half of one document (and its repeats) at most
+    largest = {s: max(2 * n for (_, _, x), n in zip(TEXTS, sizes) if x == s) for s in names}
+    assert all(2 * abs(taken[s] - target[s]) <= largest[s] + 2 for s in names)
     mixed = mix(docs)
     assert mixed.columns == docs.columns
-    words = Counter()
+    words, texts, rounds = Counter(), {(i, t or "") for i, t, _ in TEXTS}, Counter()
     for r in mixed.collect():
-        words[r.source] += len(SPACES.findall(r.text))
+        assert (r.doc_id, r.text or "") in texts, "a text that was cut"
+        words[r.source] += len(SPACES.findall(r.text or ""))
+        rounds[r.doc_id, r.text] += 1
     assert all(words[s] == taken[s] for s in names)
+    # documents without words come as often as the whole epochs of their source, or once more
+    whole = {s: round(target[s]) // by_source[s] for s in names}
+    assert all(whole[s] <= rounds[i, t] <= whole[s] + 1 for i, t, s in TEXTS if not SPACES.search(t or ""))
+
+
+def test_a_source_without_words_keeps_its_documents(spark):
+    docs = spark.createDataFrame([(1, "", "e"), (2, None, "e"), (3, "a b c", "f")], "doc_id long, text string, source string")
+    assert sorted(r.doc_id for r in mix(docs).collect()) == [1, 2, 3]
+    assert {r.doc_id: r.taken for r in mixed_sizes(docs).collect()} == {1: 0, 2: 0, 3: 3}
 
 
 def test_license_digest(docs):
