@@ -2,7 +2,7 @@
 
 Every stage works on all rows its predecessor kept; its result is written as
 Parquet to the shared folder and read again, so a lost executor costs only the
-running stage.  All stages but the last return the columns of documents.
+running stage; earlier results are then deleted.  All stages but the last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.llm.bpe_trie import encode_documents
-from shoplens.llm.common import load, materialise, prepare
+from shoplens.llm.common import discard, load, prepare, scratch, shared_folder
 from shoplens.llm.exact_dedup import drop_duplicates
 from shoplens.llm.mixing import mix
 from shoplens.llm.near_dedup import drop_near_duplicates
@@ -65,7 +65,15 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over the documents of ``sf_dir``."""
-    docs = load(spark, sf_dir, "documents")
+    docs, before = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = shared_folder(spark, name.replace(" ", "-"))
+        # what a stage needs on its way goes when its result is written, and then what it read
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
