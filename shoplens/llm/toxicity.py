@@ -5,19 +5,25 @@ more of its first bytes, the whole word.  Each step is predicted from the one
 before it, so a word that was never seen still shows the stem it shares with
 words that were.  For class c, step u and the step h before it
 
-    P_c(u | h) = max(N_c(u) - D, 0) / N_c(h) + D * T_c(h) / N_c(h) * N(u) / N(h)
+    P_c(u | h) = (N_c(u) - D(u) * (N_c(u) - N(u) * S_c(h))) / N_c(h)
 
 where N counts documents that contain a step (Kneser-Ney counts in how many
-contexts something occurs; the context here is the document), T the kinds of
-steps that follow h, and the last factor backs off to counts that both classes
-share.  Where the two classes differ by no more than chance would, the class
-counts are discounted whole and only the shared counts remain: the step says
-nothing.  That keeps rare expressions, and languages with a slightly higher
-share of toxic documents, from adding up to a verdict.
+contexts something occurs; the context here is the document), of one class or
+of both.  S_c(h), the smoothed share of class c among the documents with h, is
+what the numerator of the step before is of N(h).  D is the discount: what it
+takes from a class's count goes back to both classes through the shared count
+N(u), in proportion to S_c(h).  As in modified Kneser-Ney the discount depends
+on the count: D = K / (K + z^2), with z the number of standard deviations by
+which N_c(u) differs from N(u) * S_c(h).  A rare expression keeps a small part
+of its count, a frequent one that both classes hold alike nearly none, one
+that only toxic documents hold, often, nearly all; no step is left out for
+being rare.
 
 The difference of the log-likelihoods is a sum over steps, divided by the
-number of words; a logistic curve fitted on labelled documents that the counts
-have not seen turns it into the score.
+number of words.  The sum is kept in parts, by z^2 and by sign, because rare
+expressions (small z) deserve a belief of their own: a logistic curve over the
+parts turns them into the score.  It is fitted on the labelled documents
+themselves, each by counts that leave this document out.
 
 Counts cover all labelled training rows and grow with them.  The model is a
 table (step, weight); it is broadcast up to a bounded number of steps, beyond it
@@ -40,27 +46,34 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import column, materialise, sized, slices, text_of, utf8_buffers
 from shoplens.llm.words import ALNUM, Words, mix
 
 STEMS = (4, 6)
-DISCOUNT = 0.75
-#: A step counts if its class counts are so many standard deviations from the shared ones.
-DEVIATIONS = 3.5
+#: K: a count so many squared deviations from the shared one keeps half of the difference.
+DISCOUNT = 60.0
+#: Shares are kept this far from 0 and 1.
+LEAST_SHARE = 1e-3
+#: Weights below this say nothing: a thousand of them weigh less than one expression.
+LEAST_WEIGHT = 1e-3
 #: Added to the number of words: a single word is weak evidence.
 SMALL = 5
-#: One labelled document in so many (by text) fits the curve instead of the counts.
-CURVE_PARTS = 5
-#: Weights are broadcast up to so many steps.
-BLOCK_STEPS = 1_000_000
+#: Bounds of z^2 between the parts of a difference, for either sign.
+BANDS = (1.0, 4.0, 16.0, 64.0)
+PARTS = 2 * (len(BANDS) + 1)
+#: Weights are broadcast up to so many steps, of 23 bytes each.
+BLOCK_STEPS = 2_000_000
 FLUSH_STEPS = 1_500_000
 #: Rows of a batch of documents' steps.
 STEP_ROWS = 20_000
 THRESHOLD = 0.3
-_ROOT = np.uint64(0)
+#: Which weight applies: counts without one ordinary document, without one toxic document, all counts.
+WITHOUT_ORDINARY, WITHOUT_TOXIC, ALL = range(3)
+WEIGHTS = ("without_ordinary", "without_toxic", "weight")
+IN_PART = tuple(f"part_{c}" for c in WEIGHTS)
 _TAGS = [np.uint64(0x51ED270B3F4A9C2D), np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)]
 
 
@@ -130,31 +143,67 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(_merged(held))
 
 
-def step_weights(counts: DataFrame) -> DataFrame:
-    """(step, weight): log P_toxic - log P_ordinary of the steps that tell the classes apart."""
-    before = counts.groupBy(F.col("before").alias("h")).agg(
-        F.sum("toxic").alias("h_toxic"),
-        F.sum("n").alias("h_n"),
-        F.sum((F.col("toxic") > 0).cast("long")).alias("kinds_toxic"),
-        F.sum((F.col("n") > F.col("toxic")).cast("long")).alias("kinds_ordinary"),
-    )
-    before = materialise(before, "toxicity-before")
-    rows = counts.join(sized(before, 40), F.col("before") == F.col("h"))
-    expected = F.col("n") * F.col("h_toxic") / F.col("h_n")
-    rows = rows.where(F.abs(F.col("toxic") - expected) >= DEVIATIONS * F.sqrt(expected + 1))
-
-    def log_p(n, total, kinds):
-        shared = F.col("n") / F.col("h_n")
-        own = F.greatest(n - DISCOUNT, F.lit(0.0)) / total + DISCOUNT * kinds / total * shared
-        return F.log(F.when(total > 0, own).otherwise(shared))
-
-    toxic = log_p(F.col("toxic"), F.col("h_toxic"), F.col("kinds_toxic"))
-    ordinary = log_p(F.col("n") - F.col("toxic"), F.col("h_n") - F.col("h_toxic"), F.col("kinds_ordinary"))
-    return materialise(rows.select("step", (toxic - ordinary).alias("weight")), "toxicity-weights")
+def _squares(toxic: Column, n: Column, before: Column) -> Column:
+    off = toxic - n * before
+    return off * off / (n * before * (1 - before) + 1)
+
+
+def _smoothed(toxic: Column, n: Column, before: Column) -> Column:
+    """Smoothed toxic share of a step, from that of the step before it."""
+    squares = _squares(toxic, n, before)
+    share = before + squares / (squares + DISCOUNT) * (toxic / n - before)
+    return F.when(n > 0, F.least(F.greatest(share, F.lit(LEAST_SHARE)), F.lit(1 - LEAST_SHARE))).otherwise(before)
+
+
+def _part(toxic: Column, n: Column, before: Column) -> Column:
+    """The part of a difference that a step belongs to."""
+    band = sum((F.when(_squares(toxic, n, before) > b, 1).otherwise(0) for b in BANDS), F.lit(0))
+    return F.when(toxic < n * before, band + PARTS // 2).otherwise(band).cast("int")
+
+
+def step_weights(counts: DataFrame, base: float) -> DataFrame:
+    """(step, weights, parts): log P_toxic - log P_ordinary less that of the step before, by :data:`WEIGHTS`.
+
+    ``counts``: (step, before, toxic, n); ``base``: the toxic share of all rows.
+    """
+    left_out = ((F.col("toxic"), F.col("n") - 1), (F.col("toxic") - 1, F.col("n") - 1), (F.col("toxic"), F.col("n")))
+
+    def shares(rows: DataFrame, before: list[Column]) -> DataFrame:
+        own = [
+            # a document can be left out only of a count that holds it
+            F.when((t >= 0) & (n - t >= 0), _smoothed(t, n, b)).otherwise(b)
+            for (t, n), b in zip(left_out, before)
+        ]
+        log_odds = [F.log(o / (1 - o)) - F.log(b / (1 - b)) for o, b in zip(own, before)]
+        parts = [_part(t, n, b) for (t, n), b in zip(left_out, before)]
+        return rows.select(
+            "step", *[o.alias(f"s{i}") for i, o in enumerate(own)], *[w.alias(c) for w, c in zip(log_odds, WEIGHTS)],
+            *[x.alias(c) for x, c in zip(parts, IN_PART)],
+        )
+
+    counts = materialise(counts, "toxicity-counts")
+    level = shares(counts.where(F.col("before") == 0), [F.lit(base)] * 3)
+    found = []
+    for depth in range(len(STEMS) + 1):
+        level = materialise(level, "toxicity-shares")
+        found.append(level.select("step", *WEIGHTS, *IN_PART))
+        if depth < len(STEMS):
+            parents = level.select(F.col("step").alias("h"), *[F.col(f"s{i}").alias(f"b{i}") for i in range(3)])
+            rows = counts.join(parents, F.col("before") == F.col("h"))
+            level = shares(rows, [F.col(f"b{i}") for i in range(3)])
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    weighty = F.greatest(*[F.abs(c) for c in WEIGHTS]) >= LEAST_WEIGHT
+    narrow = [*[F.col(c).cast("float").alias(c) for c in WEIGHTS], *[F.col(c).cast("tinyint").alias(c) for c in IN_PART]]
+    return materialise(out.where(weighty).select("step", *narrow), "toxicity-weights")
 
 
 def _differences(rows: DataFrame, weights: DataFrame, block_steps: int) -> DataFrame:
-    """``rows`` (id, print, text, extra) -> (id, extra, n_words, difference): one row each."""
+    """``rows`` (id, print, text, extra) -> (id, extra, n_words, parts): the parts of each row's difference.
+
+    ``extra`` says which of the weights count.
+    """
     if weights.count() > block_steps:
         return _joined_differences(rows, weights)
     spark = rows.sparkSession
@@ -162,30 +211,42 @@ def _differences(rows: DataFrame, weights: DataFrame, block_steps: int) -> DataF
     own = weights.toPandas()
     keys = own["step"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    table = spark.sparkContext.broadcast((keys[order], own["weight"].to_numpy(np.float64)[order]))
+    values = own[list(WEIGHTS)].to_numpy(np.float32).T[:, order].copy()
+    parts = own[list(IN_PART)].to_numpy(np.int8).T[:, order].copy()
+    table = spark.sparkContext.broadcast((keys[order], values, parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values = table.value
-        low = np.uint64((1 << 18) - 1)
-        present = np.zeros(1 << 18, bool)
-        present[keys & low] = True
+        keys, values, in_part = table.value
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(*utf8_buffers(column(part, "text")), ALNUM, lower=True)
+                # every word of a slice is looked up once
+                _, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
                 docs = words.docs()
-                out = np.zeros(part.num_rows)
-                for own, step, _ in steps(words):
-                    maybe = np.flatnonzero(present[step & low])
-                    at = np.searchsorted(keys, step[maybe])
+                kinds = column(part, "extra").to_numpy()[docs]
+                out = np.zeros(part.num_rows * PARTS)
+                for own, step, _ in steps(words.only(first)):
+                    at = np.searchsorted(keys, step)
                     at[at == len(keys)] = 0
-                    hit = keys[at] == step[maybe] if len(keys) else np.zeros(0, bool)
-                    out += np.bincount(docs[own[maybe[hit]]], values[at[hit]], part.num_rows)
+                    hit = np.flatnonzero(keys[at] == step) if len(keys) else np.zeros(0, np.int64)
+                    # of each distinct word its place in the table at this level, or none
+                    place = np.full(len(first), -1)
+                    place[own[hit]] = at[hit]
+                    place = place[which]
+                    known = np.flatnonzero(place >= 0)
+                    entry = kinds[known], place[known]
+                    out += np.bincount(docs[known] * PARTS + in_part[entry], values[entry], len(out))
                 yield pa.RecordBatch.from_arrays(
-                    [column(part, "id"), column(part, "extra"), pa.array(words.counts), pa.array(out)],
-                    ["id", "extra", "n_words", "difference"],
+                    [
+                        column(part, "id"),
+                        column(part, "extra"),
+                        pa.array(words.counts, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * PARTS, pa.int32()), pa.array(out, pa.float64())),
+                    ],
+                    ["id", "extra", "n_words", "parts"],
                 )
 
-    return rows.mapInArrow(run, f"id {kind}, extra int, n_words long, difference double")
+    return rows.mapInArrow(run, f"id {kind}, extra int, n_words long, parts array<double>")
 
 
 def _document_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,16 +286,18 @@ def _joined_differences(rows: DataFrame, weights: DataFrame) -> DataFrame:
     found = rows.mapInArrow(_document_steps, f"id {kind}, print long, extra int, n_words long, step long, times long")
     found = found.join(weights.hint("merge"), "step", "left")
     # a row that occurs again has its twin's sum: they are summed together and parted by their number
-    summed = found.groupBy("id", "print", "extra", "n_words").agg(
-        F.sum(F.col("times") * F.coalesce("weight", F.lit(0.0))).alias("part"), F.count_if(F.col("times") == 0).cast("int").alias("copies")
-    )
+    own = F.element_at(F.array(*WEIGHTS), F.col("extra") + 1).cast("double")
+    of = F.element_at(F.array(*IN_PART), F.col("extra") + 1)
+    sums = [F.sum(F.when(of == i, F.col("times") * own).otherwise(0.0)) for i in range(PARTS)]
+    copies = F.count_if(F.col("times") == 0).cast("int")
+    summed = found.groupBy("id", "print", "extra", "n_words").agg(F.array(*sums).alias("sums"), copies.alias("copies"))
     return summed.select(
-        "id", "extra", "n_words", (F.col("part") / F.col("copies")).alias("difference"), F.explode(F.sequence(F.lit(1), "copies")).alias("c")
+        "id", "extra", "n_words", F.transform("sums", lambda x: x / F.col("copies")).alias("parts"), F.explode(F.sequence(F.lit(1), "copies")).alias("c")
     ).drop("c")
 
 
-def _normalised():
-    return F.col("difference") / (F.col("n_words") + SMALL)
+def _normalised() -> list[Column]:
+    return [F.col("parts")[i] / (F.col("n_words") + SMALL) for i in range(PARTS)]
 
 
 def score_toxicity(
@@ -256,24 +319,24 @@ def score_toxicity(
     own = own.groupBy(F.col(id_col).alias("l_id")).agg(F.max(label).cast("int").alias("label"))
     own = own.where(F.crc32(F.col("l_id").cast("string")) % parts != held_out)
     known = rows.join(sized(materialise(own, "toxicity-labels"), 16), F.col("id") == F.col("l_id")).drop("l_id")
-    curve = F.pmod(F.col("print"), F.lit(CURVE_PARTS)) == 0
+    classes = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+    n1, n0 = classes.get(1, 0), classes.get(0, 0)
+    base = (n1 + 1) / (n1 + n0 + 2)
 
-    counts = known.where(~curve).select("text", "label").mapInArrow(_counts, "step long, before long, toxic long, n long")
+    counts = known.select("text", "label").mapInArrow(_counts, "step long, before long, toxic long, n long")
     counts = counts.groupBy("step").agg(F.any_value("before").alias("before"), F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-    weights = step_weights(materialise(counts, "toxicity-counts"))
+    weights = step_weights(counts, base)
 
-    fitting = known.where(curve).select("id", "print", "text", F.col("label").alias("extra"))
-    fitting = materialise(_differences(fitting, weights, block_steps), "toxicity-curve")
-    classes = {r.extra: r["count"] for r in fitting.groupBy("extra").count().collect()}
-    n1, n0 = classes.get(1, 0), classes.get(0, 0)
+    slopes, level = [0.0] * PARTS, math.log(base / (1 - base))
     if n1 and n0:
-        vectors = fitting.select(F.col("extra").alias("label"), array_to_vector(F.array(_normalised())).alias("features"))
-        fitted = LogisticRegression(regParam=1e-4, maxIter=50, standardization=True).fit(vectors)
-        slope, level = float(fitted.coefficients[0]), float(fitted.intercept)
-    else:
-        slope, level = 0.0, math.log((n1 + 1) / (n0 + 1))
-    scored = _differences(rows.withColumn("extra", F.lit(0)), weights, block_steps)
-    score = 1 / (1 + F.exp(-(F.lit(slope) * _normalised() + F.lit(level))))
+        fitting = known.select("id", "print", "text", F.col("label").alias("extra"))
+        fitting = materialise(_differences(fitting, weights, block_steps), "toxicity-curve")
+        vectors = fitting.select(F.col("extra").alias("label"), array_to_vector(F.array(*_normalised())).alias("features"))
+        fitted = LogisticRegression(regParam=1e-3, maxIter=100, standardization=True).fit(vectors)
+        slopes, level = fitted.coefficients.toArray().tolist(), float(fitted.intercept)
+    scored = _differences(rows.withColumn("extra", F.lit(ALL)), weights, block_steps)
+    total = sum((F.lit(a) * x for a, x in zip(slopes, _normalised())), F.lit(level))
+    score = 1 / (1 + F.exp(-total))
     scored = scored.select("id", out.alias("held_out"), score.alias("score"))
     return scored.select(
         F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted")

@@ -94,6 +94,13 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.ptr)
 
+    def only(self, which: np.ndarray) -> Words:
+        """Some of the words, without their documents."""
+        out = Words.__new__(Words)
+        out.data, out.starts, out.ends = self.data, self.starts[which], self.ends[which]
+        out.ptr, out._hashes = np.array([0, len(which)]), self.hashes()[which]
+        return out
+
     def docs(self) -> np.ndarray:
         """The document of each word."""
         return np.repeat(np.arange(len(self.ptr) - 1), self.counts)

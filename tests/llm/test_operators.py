@@ -403,3 +403,105 @@ def test_empty_tables(spark, nothing, tokenizer_path):
         remove_frequent_lines(nothing), score_quality(nothing, labels), score_toxicity(nothing, labels),
     ):
         assert out.count() == 0
+
+
+def _toxicity_by_hand(rows, labels, words_of, left_out):
+    """Length-normalised parts of the differences from the formulas, document by document, counts anew for each."""
+    train = {i: labels[i] for i, _ in rows if i in labels and zlib.crc32(str(i).encode()) % 4 != 2}
+    base = (sum(train.values()) + 1) / (len(train) + 2)
+    holds = {i: {w[:k] + ("" if len(w) > k else "|") for w in words_of[i] for k in (4, 6, 10**9)} for i, _ in rows}
+
+    def share(step, before, skip):
+        n = [train[i] for i in train if i != skip and step in holds[i]]
+        if not n:
+            return before, 0
+        off = sum(n) - len(n) * before
+        z2 = off**2 / (len(n) * before * (1 - before) + 1)
+        part = sum(z2 > b for b in (1, 4, 16, 64)) + 5 * (off < 0)
+        return min(max(before + z2 / (z2 + 60) * (sum(n) / len(n) - before), 1e-3), 1 - 1e-3), part
+
+    out = {}
+    for i, _ in rows:
+        skip, total = i if left_out and i in train else None, np.zeros(10)
+        for w in words_of[i]:
+            now = base
+            for k in (4, 6, 10**9):
+                step = w[:k] + ("" if len(w) > k else "|")
+                then, part = share(step, now, skip)
+                total[part] += math.log(then / (1 - then)) - math.log(now / (1 - now))
+                now = then
+                if len(w) <= k:
+                    break
+        out[i] = total / (len(words_of[i]) + 5)
+    return out
+
+
+def _toxic_rows(n, seed):
+    rng = np.random.default_rng(seed)
+    rows, labels = [], {}
+    for i in range(n):
+        words = [f"{'bcdfgk'[k % 6]}ord{k}" for k in rng.integers(0, 80, 12)]
+        toxic = rng.random() < 0.2
+        if toxic:
+            words.insert(3, f"vile{rng.integers(0, 9)}mark")
+        if rng.random() < 0.1:
+            words.append("viledge")
+        rows.append((i, " ".join(words)))
+        if rng.random() < 0.9:
+            labels[i] = int(toxic)
+    return rows, labels
+
+
+@pytest.mark.parametrize("block_steps", [2_000_000, 10])
+def test_toxicity_by_hand(spark, monkeypatch, block_steps):
+    """Scores are one logistic curve over the differences that the formulas give."""
+    monkeypatch.setattr("shoplens.llm.toxicity.LEAST_WEIGHT", 0.0)
+    rows, labels = _toxic_rows(160, 3)
+    want = _toxicity_by_hand(rows, labels, {i: t.split() for i, t in rows}, False)
+    got = score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"), block_steps=block_steps)
+    got = {r.doc_id: math.log(r.score / (1 - r.score)) for r in got.collect()}
+    parts = np.array([[*want[i], 1.0] for i in want])
+    logits = np.array([got[i] for i in want])
+    fitted = parts @ np.linalg.lstsq(parts, logits, rcond=None)[0]
+    assert np.abs(fitted - logits).max() < 1e-3 * np.abs(logits).max()
+    toxic = [got[i] for i in want if labels.get(i) == 1]
+    assert min(toxic) > np.median(logits)
+
+
+def test_counts_leave_the_document_out(spark, monkeypatch):
+    from shoplens.llm import toxicity as X
+
+    monkeypatch.setattr(X, "LEAST_WEIGHT", 0.0)
+    rows, labels = _toxic_rows(80, 4)
+    seen = []
+    differences = X._differences
+
+    def noted(table, weights, block_steps):
+        out = differences(table, weights, block_steps)
+        seen.append({r.id: np.array(r.parts) / (r.n_words + 5) for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(X, "_differences", noted)
+    score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"))
+    by_hand = _toxicity_by_hand(rows, labels, {i: t.split() for i, t in rows}, True)
+    assert seen[0] and all(np.abs(by_hand[i] - d).max() < 1e-5 for i, d in seen[0].items())
+
+
+def test_rare_toxic_expressions_are_found(spark):
+    """2,000 rows, one in nine toxic by one of 60 words that no ordinary row has."""
+    rng = np.random.default_rng(1)
+    rows, labels, marks = [], [], {}
+    for i in range(2000):
+        words = [f"{'bcdfgklm'[k % 8]}{'aeiou'[k % 5]}n{k}" for k in rng.integers(0, 600, 30)]
+        toxic = i % 9 == 0
+        if toxic:
+            marks[i] = f"zq{rng.integers(0, 60)}vile"
+            words.insert(int(rng.integers(0, 30)), marks[i])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    got = {r.doc_id: r for r in score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    known = {marks[i] for i in marks if not got[i].held_out}
+    known = [i for i in marks if got[i].held_out and marks[i] in known]
+    wrong = [i for i in got if got[i].held_out and i not in marks and got[i].predicted]
+    assert len(known) > 30 and sum(got[i].predicted for i in known) >= 0.8 * len(known)
+    assert len(wrong) <= 0.03 * len(rows) / 4
