@@ -1,7 +1,8 @@
 """License scan with ordered signature rules.
 
-Rules (see ``license_rules``) are tried only on texts that contain their
-keyword, found by plain search.  Of overlapping detections one that lies within
+Rules (see ``license_rules``) are tried only on texts that have all their
+keywords among their words: the words of a whole slice are looked up at once by
+hash, and the rules for a set of keywords are remembered.  Of overlapping detections one that lies within
 another of the same or a higher priority is suppressed: the longer signature
 explains it.  At the same place the higher priority, then the earlier rule wins.
 
@@ -16,6 +17,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +39,55 @@ def rules() -> list[Rule]:
     return _rules
 
 
-def matches(low: bytes) -> list[tuple[int, int, int]]:
-    """(start, end, rule) of every signature in a lower-cased text."""
-    present: dict[bytes, bool] = {}
-    found = []
-    for k, rule in enumerate(rules()):
-        if rule.keyword not in present:
-            present[rule.keyword] = rule.keyword in low
-        if present[rule.keyword]:
-            found += [(*m.span(), k) for m in rule.pattern.finditer(low)]
-    return found
+class Gate:
+    """Which rules are worth a try, by the keywords among a text's words."""
+
+    def __init__(self, own: list[Rule]):
+        self.need = [frozenset(r.keywords) for r in own]
+        self.keywords = sorted(set().union(*self.need))
+        raw = Words(*utf8_buffers(pa.array([k.decode() for k in self.keywords], pa.string())), ALNUM, lower=False)
+        order = np.argsort(raw.hashes())
+        self.hashes, self.at = raw.hashes()[order], order
+        # a rule is looked up by the keyword that fewest rules need
+        uses = Counter(k for n in self.need for k in n)
+        self.by_rarest: dict[bytes, list[int]] = {}
+        for i, n in enumerate(self.need):
+            self.by_rarest.setdefault(min(n, key=lambda k: (uses[k], k)), []).append(i)
+        self.known: dict[bytes, list[int]] = {}
+
+    def present(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(document, keyword) of every keyword that occurs, sorted, each once."""
+        hashes = words.hashes()
+        at = np.searchsorted(self.hashes, hashes)
+        at[at == len(self.hashes)] = 0
+        hit = np.flatnonzero(self.hashes[at] == hashes)
+        pairs = np.unique(words.docs()[hit] * len(self.keywords) + self.at[at[hit]])
+        return pairs // len(self.keywords), pairs % len(self.keywords)
+
+    def rules(self, present: np.ndarray) -> list[int]:
+        """The rules all of whose keywords are among these, in order."""
+        key = present.tobytes()
+        if key not in self.known:
+            if len(self.known) > 50_000:
+                self.known.clear()
+            have = {self.keywords[k] for k in present.tolist()}
+            self.known[key] = sorted(i for k in have for i in self.by_rarest.get(k, ()) if self.need[i] <= have)
+        return self.known[key]
+
+
+_gates: list[Gate] = []
+
+
+def gate() -> Gate:
+    if not _gates:
+        _gates.append(Gate(rules()))
+    return _gates[0]
+
+
+def matches(low: bytes, tried: list[int]) -> list[tuple[int, int, int]]:
+    """(start, end, rule) of every signature in a lower-cased text, of the rules that are tried."""
+    own = rules()
+    return [(*m.span(), k) for k in tried for m in own[k].pattern.finditer(low)]
 
 
 def suppressed(found: list[tuple[int, int, int]]) -> list[bool]:
@@ -89,9 +130,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text"):
             offsets, data = utf8_buffers(column(part, "text"))
             words = Words(offsets, data, ALNUM, lower=True)
+            docs, keywords = gate().present(words)
+            at = np.searchsorted(docs, np.arange(part.num_rows + 1))
             detections, scores = [], []
             for d in range(part.num_rows):
-                found = matches(words.data[offsets[d] : offsets[d + 1]].tobytes())
+                tried = gate().rules(keywords[at[d] : at[d + 1]])
+                found = matches(words.data[offsets[d] : offsets[d + 1]].tobytes(), tried) if tried else []
                 if not found:
                     detections.append([])
                     scores.append(0.0)

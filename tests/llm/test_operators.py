@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.bpe_trie import decode_documents, encode_digests, encode_documents
 from shoplens.llm.exact_dedup import drop_duplicates, exact_duplicates
-from shoplens.llm.license_rules import build_rules, compile_phrase
+from shoplens.llm.license_rules import CLAUSES, CONFIDENCE, FAMILIES, build_rules, compile_phrase
 from shoplens.llm.license_scan import license_digest, scan_licenses
 from shoplens.llm.line_quality import line_quality, remove_frequent_lines
 from shoplens.llm.mixing import mix, mixed_sizes
@@ -505,3 +505,65 @@ def test_rare_toxic_expressions_are_found(spark):
     wrong = [i for i in got if got[i].held_out and i not in marks and got[i].predicted]
     assert len(known) > 30 and sum(got[i].predicted for i in known) >= 0.8 * len(known)
     assert len(wrong) <= 0.03 * len(rows) / 4
+
+
+def test_license_spellings(spark):
+    texts = {
+        "SPDX-License-Identifier: Apache-2.0": "apache",
+        "// SPDX-License-Identifier: GPL-2.0-or-later": "gpl",
+        "SPDX-License-Identifier: LGPL-2.1-only": "lgpl",
+        "Apache-2.0": "apache",
+        "under GPLv2+ or so": "gpl",
+        "GPLv3": "gpl",
+        "license: MIT": "mit",
+        "License = BSD-3-Clause": "bsd",
+        "the band has all rights reserved for two seats": "",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted. All rights reserved.": "bsd",
+        "mitten licensed apachean": "",
+    }
+    for label, names, versions in FAMILIES:
+        for short in [n for n in names if " " not in n]:
+            texts |= {f"SPDX-License-Identifier: {short.upper()}-{v.replace(' ', '.')}": label for v in versions}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_digest(scan_licenses(docs)).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
+def test_license_rules_without_gate(spark):
+    """Labels, suppression and score against every rule tried on every text and all pairs of detections."""
+    rules = build_rules()
+    assert len({r.name for r in rules}) == len(rules) and len(CLAUSES) > 200
+    rng = np.random.default_rng(2)
+
+    def spelled(phrase):
+        words = []
+        for w in phrase.split():
+            if w.endswith("?") and rng.random() < 0.5:
+                continue
+            words.append(str(rng.choice(w.rstrip("?").split("|"))))
+        return str(rng.choice([" ", "-", ".\n"])).join(words)
+
+    names = [r.name.removeprefix("base ") for r in rules]
+    texts = [spelled(n) for n in names]  # every rule once
+    for _ in range(120):
+        parts = [spelled(names[k]) for k in rng.integers(0, len(names), 4)] + ["some words", "the license of the program"]
+        texts.append(" ".join(parts[k] for k in rng.permutation(len(parts))).title())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in scan_licenses(docs).collect():
+        low = texts[row.doc_id].encode().lower()
+        found = [(m.start(), m.end(), k) for k, r in enumerate(rules) for m in r.pattern.finditer(low)]
+        assert found
+        kept = [
+            (a, b, k) for a, b, k in found
+            if not any(
+                (x, y, j) != (a, b, k) and x <= a and b <= y and rules[j].priority >= rules[k].priority
+                and ((x, y) != (a, b) or rules[j].priority > rules[k].priority or j < k)
+                for x, y, j in found
+            )
+        ]
+        assert sorted((d.start, d.end, d.rule) for d in row.detections) == sorted((a, b, rules[k].name) for a, b, k in found)
+        assert sorted((d.start, d.end, d.rule) for d in row.detections if d.kept) == sorted((a, b, rules[k].name) for a, b, k in kept)
+        sure = {}
+        for _, _, k in kept:
+            sure[rules[k].label] = max(sure.get(rules[k].label, 0), CONFIDENCE[rules[k].priority])
+        assert abs(row.score - (1 - math.prod(1 - x for x in sure.values()))) < 1e-9
