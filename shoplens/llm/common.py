@@ -125,8 +125,12 @@ def sized(df: DataFrame, row_bytes: int, limit: int | None = None) -> DataFrame:
     Beyond the limit the planner shuffles both sides and AQE splits skewed
     partitions.
     """
-    limit = BROADCAST_BYTES if limit is None else limit
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    return F.broadcast(df) if fits(df, row_bytes, limit) else df
+
+
+def fits(df: DataFrame, row_bytes: int, limit: int | None = None) -> bool:
+    """Does a materialised table fit a broadcast?"""
+    return df.count() * row_bytes <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def slices(batch: pa.RecordBatch, text: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

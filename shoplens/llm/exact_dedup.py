@@ -4,9 +4,10 @@
    short prefix.  Lengths that occur once are settled.
 2. Among the rest, pairs (length, prefix hash) that occur once are settled.
 3. Only documents of surviving groups have their full content hashed
-   (SHA-256) and grouped by it.  Texts never enter a shuffle while the
-   surviving keys fit a broadcast of checked size; beyond it the planner
-   joins by shuffle and AQE splits skewed partitions.
+   (SHA-256) and grouped by it.  While the surviving keys fit a broadcast of
+   checked size, they pick these documents where they are read; beyond it every
+   text is hashed there instead, and narrow rows meet the keys in a shuffle.
+   No text enters a shuffle to find or to report groups.
 
 Groups are pre-aggregated before every shuffle, so a group that holds a third
 of all rows sends one row per task.
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import materialise, sized, text_of
+from shoplens.llm.common import fits, materialise, sized, text_of
 
 PREFIX_CHARS = 64
 
@@ -50,6 +51,22 @@ def surviving_prefixes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return materialise(by_prefix.where("count > 1").select("n_bytes", "prefix_hash"), "dedup-prefixes")
 
 
+def _hashed(rows: DataFrame, prefixes: DataFrame, how: str, *more: str) -> DataFrame:
+    """(id, n_bytes, prefix_hash, full_hash, more...) of documents of surviving groups (``left``: of all documents)."""
+    columns = ["id", "n_bytes", "prefix_hash", *more]
+    full = F.sha2("text", 256)
+    if not fits(prefixes, 32):
+        # the hash is taken before the shuffle, so that the text stays behind
+        rows = rows.select(*columns, full.alias("full_hash"))
+        return rows if how == "left" else rows.join(prefixes, ["n_bytes", "prefix_hash"], how)
+    if how == "left":
+        rows = rows.join(F.broadcast(prefixes.withColumn("survives", F.lit(True))), ["n_bytes", "prefix_hash"], how)
+        full = F.when(F.col("survives"), full)
+    else:
+        rows = rows.join(F.broadcast(prefixes), ["n_bytes", "prefix_hash"], how)
+    return rows.select(*columns, full.alias("full_hash"))
+
+
 def duplicate_groups(
     docs: DataFrame, prefixes: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -57,11 +74,7 @@ def duplicate_groups(
 
     ``repeats``: how many of the group's rows carry ``keep_id``.
     """
-    hashed = (
-        _narrow(docs, id_col, text_col)
-        .join(sized(prefixes, 32), ["n_bytes", "prefix_hash"], "left_semi")
-        .select("id", "n_bytes", "prefix_hash", F.sha2("text", 256).alias("full_hash"))
-    )
+    hashed = _hashed(_narrow(docs, id_col, text_col), prefixes, "left_semi")
     key = ["n_bytes", "prefix_hash", "full_hash"]
     groups = (
         hashed.groupBy(*key, "id")
@@ -77,37 +90,39 @@ def duplicate_groups(
     return materialise(groups, "dedup-groups")
 
 
-def _with_groups(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
-    """Every row with its group, if it has one; no row is lost or multiplied."""
+def _with_groups(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+    """Every one of ``rows`` with its group, if it has one; no row is lost or multiplied."""
     prefixes = surviving_prefixes(docs, id_col, text_col)
     groups = duplicate_groups(docs, prefixes, id_col, text_col)
-    rows = _narrow(docs, id_col, text_col, *more).join(
-        sized(prefixes.withColumn("survives", F.lit(True)), 32), ["n_bytes", "prefix_hash"], "left"
-    )
-    rows = rows.withColumn("full_hash", F.when(F.col("survives"), F.sha2("text", 256)))
+    rows = _hashed(rows, prefixes, "left", *more)
     return rows.join(sized(groups, 160), ["n_bytes", "prefix_hash", "full_hash"], "left")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256.
 
-    The digest of the documents that were settled early is added here only
-    because the report asks for it; no decision uses it.
+    The digest of the documents that were settled early is taken only because
+    the report asks for it; no decision uses it.
     """
-    rows = _with_groups(docs, id_col, text_col)
+    narrow = _narrow(docs, id_col, text_col).withColumn("text_sha256", F.sha2("text", 256))
+    rows = _with_groups(docs, narrow, id_col, text_col, "text_sha256")
     grouped = F.col("group_size").isNotNull()
     return rows.select(
         F.col("id").alias(id_col),
         F.when(grouped, F.col("keep_id")).otherwise(F.col("id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (~grouped | F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
-        F.coalesce("full_hash", F.sha2("text", 256)).alias("text_sha256"),
+        "text_sha256",
     )
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text a row with a larger id also has."""
-    rows = _with_groups(docs, id_col, text_col, F.struct("*").alias("row"))
+    """``docs`` without the rows whose text a row with a larger id also has.
+
+    While the groups fit a broadcast no whole row is shuffled; beyond it each
+    is, once.
+    """
+    rows = _with_groups(docs, _narrow(docs, id_col, text_col, F.struct("*").alias("row")), id_col, text_col, "row")
     grouped = F.col("group_size").isNotNull()
     kept = rows.where(~grouped | F.col("id").eqNullSafe(F.col("keep_id")))
     single = kept.where(~grouped | (F.col("repeats") == 1)).select("row.*")
