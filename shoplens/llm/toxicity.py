@@ -44,6 +44,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -199,21 +200,26 @@ def step_weights(counts: DataFrame, base: float) -> DataFrame:
     return materialise(out.where(weighty).select("step", *narrow), "toxicity-weights")
 
 
-def _differences(rows: DataFrame, weights: DataFrame, block_steps: int) -> DataFrame:
+def _table(weights: DataFrame, block_steps: int) -> Broadcast | None:
+    """The weights as sorted arrays, if they are few enough to broadcast."""
+    if weights.count() > block_steps:
+        return None
+    own = weights.toArrow()
+    keys = own["step"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    values = np.stack([own[c].to_numpy()[order] for c in WEIGHTS]).astype(np.float32)
+    parts = np.stack([own[c].to_numpy()[order] for c in IN_PART]).astype(np.int8)
+    return weights.sparkSession.sparkContext.broadcast((keys[order], values, parts))
+
+
+def _differences(rows: DataFrame, weights: DataFrame, table: Broadcast | None) -> DataFrame:
     """``rows`` (id, print, text, extra) -> (id, extra, n_words, parts): the parts of each row's difference.
 
     ``extra`` says which of the weights count.
     """
-    if weights.count() > block_steps:
+    if table is None:
         return _joined_differences(rows, weights)
-    spark = rows.sparkSession
     kind = rows.schema["id"].dataType.simpleString()
-    own = weights.toPandas()
-    keys = own["step"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    values = own[list(WEIGHTS)].to_numpy(np.float32).T[:, order].copy()
-    parts = own[list(IN_PART)].to_numpy(np.int8).T[:, order].copy()
-    table = spark.sparkContext.broadcast((keys[order], values, parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values, in_part = table.value
@@ -327,14 +333,15 @@ def score_toxicity(
     counts = counts.groupBy("step").agg(F.any_value("before").alias("before"), F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     weights = step_weights(counts, base)
 
+    table = _table(weights, block_steps)
     slopes, level = [0.0] * PARTS, math.log(base / (1 - base))
     if n1 and n0:
         fitting = known.select("id", "print", "text", F.col("label").alias("extra"))
-        fitting = materialise(_differences(fitting, weights, block_steps), "toxicity-curve")
+        fitting = materialise(_differences(fitting, weights, table), "toxicity-curve")
         vectors = fitting.select(F.col("extra").alias("label"), array_to_vector(F.array(*_normalised())).alias("features"))
         fitted = LogisticRegression(regParam=1e-3, maxIter=100, standardization=True).fit(vectors)
         slopes, level = fitted.coefficients.toArray().tolist(), float(fitted.intercept)
-    scored = _differences(rows.withColumn("extra", F.lit(ALL)), weights, block_steps)
+    scored = _differences(rows.withColumn("extra", F.lit(ALL)), weights, table)
     total = sum((F.lit(a) * x for a, x in zip(slopes, _normalised())), F.lit(level))
     score = 1 / (1 + F.exp(-total))
     scored = scored.select("id", out.alias("held_out"), score.alias("score"))
