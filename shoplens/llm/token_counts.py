@@ -1,15 +1,16 @@
 """Token counts by a map-side two-tier lookup.
 
-Tier 1 is a compact hash table, unit hash -> number of tokens, of the most
-frequent units of the whole corpus; it has a fixed number of entries and is
-broadcast.  Tier 2 is a cache in each worker process: units that miss the
+Tier 1 is a compact hash table, unit hash -> number of tokens, of frequent
+units; it has a fixed number of entries and is broadcast.  Tier 2 is a cache in each worker process: units that miss the
 table are encoded by the library once and remembered, up to a fixed number of
 entries.  Documents are counted where they are read, a slice at a time with
 array operations; no document's units are shuffled.
 
-The table is found by one pass in which every task keeps a bounded summary of
-its frequent units and sends only its top entries.  The table decides speed
-alone: counts come out the same with any table.
+The table's units are those of a sample of about ``SAMPLE_ROWS`` documents,
+chosen at random over the whole table: their texts go to a few tasks, each keeps
+a bounded summary of its frequent units, and the summaries' top entries are
+merged.  No unit is shuffled there either.  The table decides speed alone:
+counts come out the same with any table.
 
 Defined results: null text counts as empty (0 bytes, 0 tokens); null and
 repeated ids each give their own row; a unit of any length is counted whole;
@@ -33,6 +34,8 @@ from shoplens.llm.tokenizing import LibraryEncoder, Units, broadcast_tokenizer,
 
 TABLE_ENTRIES = 65_536
 SLOTS = 1 << 18
+#: Documents, and tasks, from which the table's units are taken.
+SAMPLE_ROWS, SAMPLE_TASKS = 20_000, 8
 SUMMARY_ENTRIES = 100_000
 SUMMARY_SENT = 8_192
 CACHE_ENTRIES = 1_500_000
@@ -96,10 +99,17 @@ class HashTable:
 
 
 def frequent_units(docs: DataFrame, text_col: str = "text", entries: int = TABLE_ENTRIES) -> list[bytes]:
-    """The most frequent units of all documents, at most ``entries``."""
-    summaries = docs.select(text_of(text_col).alias("text")).mapInArrow(_summaries, "unit binary, n long")
-    top = summaries.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(entries)
-    return [bytes(r.unit) for r in top.collect()]
+    """Frequent units of a sample of documents, at most ``entries``."""
+    texts = docs.select(text_of(text_col).alias("text"))
+    rows = docs.count()
+    if rows > SAMPLE_ROWS:
+        texts = texts.sample(SAMPLE_ROWS / rows, seed=1)
+    sent = texts.repartition(SAMPLE_TASKS).mapInArrow(_summaries, "unit binary, n long")
+    # at most SAMPLE_TASKS * SUMMARY_SENT rows
+    counts: Counter = Counter()
+    for r in sent.collect():
+        counts[bytes(r.unit)] += r.n
+    return heapq.nlargest(entries, counts, key=lambda u: (counts[u], u))
 
 
 def count_tokens(
