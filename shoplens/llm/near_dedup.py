@@ -15,8 +15,11 @@ concentrated about their similarity as T independent samples would be.
 4. In buckets that still hold several components, every member outside the
    bucket's largest component is compared with all members of other
    components, block by block, so no pair inside a component is ever looked
-   at.  The blocks carry the texts: pairs whose estimate could reach the
-   threshold are confirmed on full sets in place, and only links leave.
+   at.  The blocks hold sketches and parity vectors (which of many small parts
+   of a set are odd: what two sets differ by in them can't be shared, an exact
+   bound); texts travel only for the pairs that pass both, once per text.
+   First the best pair of an outsider with each component is confirmed on full
+   sets, then all pairs that are not connected yet.
 5. Components of all confirmed links.
 
 A pair at the threshold shares no bucket with probability below 4e-6, and is
@@ -44,6 +47,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.common import column, materialise, release_state, sized, slices, text_of, utf8_buffers
 from shoplens.llm.components import components
+from shoplens.llm.parity import Vectors, needed, parities
 from shoplens.llm.words import NON_SPACE, Words, mix, windows
 
 SHINGLE_WORDS = 5
@@ -54,8 +58,6 @@ BINS = BANDS * ROWS
 #: loses fewer pairs than the bands do.
 CUT = 100
 BLOCK_ROWS = 1024
-#: Blocks that carry texts are smaller.
-TEXT_BLOCK_ROWS = 256
 _SEEDS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 2 * BINS, dtype=np.uint64)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _FRACTION = np.uint64((1 << 48) - 1)
@@ -108,6 +110,7 @@ def _signatures(size: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 elements, ptr = shingle_sets(column(part, "text"), size)
+                odd = parities(elements, ptr)
                 short = (sketches(elements, ptr) & np.uint64(0xFFFF)).astype("<u2")
                 sets = [elements[a:b] for a, b in zip(ptr[:-1], ptr[1:])]
                 yield pa.RecordBatch.from_arrays(
@@ -117,8 +120,9 @@ def _signatures(size: int):
                         pa.array(np.diff(ptr), pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                         pa.array([row.tobytes() if len(s) else None for row, s in zip(short, sets)], pa.binary()),
+                        pa.array(odd, pa.binary()),
                     ],
-                    ["id", "print", "n_shingles", "cls", "sketch"],
+                    ["id", "print", "n_shingles", "cls", "sketch", "parity"],
                 )
 
     return run
@@ -177,64 +181,54 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _pairs(first, second)
 
 
-def _across(size: int, threshold: int):
-    """Links of different components between a block of members and a block of outsiders.
+def _across(threshold: int, best: bool):
+    """Pairs of different components between a block of members and a block of outsiders that may be links.
 
-    A pair is looked at in the first band it agrees on, and only there; one
-    link of an outsider to a component settles the others of that component.
+    A pair is looked at in the first band it agrees on, and only there.
+    ``best``: of an outsider and a component only the pair with the highest estimate.
     """
 
-    def links(group: pa.Table) -> pa.RecordBatch:
+    def pairs(group: pa.Table) -> Iterator[tuple[bytes, bytes]]:
         band = group.column("band")[0].as_py()
         side = np.array(group.column("as_outsider").to_pylist())
         outsider = np.array(group.column("outsider").to_pylist())
         cls, comp = group.column("cls").to_pylist(), group.column("component").to_pylist()
         number = {c: i for i, c in enumerate(dict.fromkeys(comp))}
         own = np.array([number[c] for c in comp])
-        sketch = _matrix(group.column("sketch"))
-        texts = group.column("text").combine_chunks()
+        sketch, n = _matrix(group.column("sketch")), group.column("n").to_numpy()
+        vectors = Vectors(group.column("parity").to_pylist())
         members = np.flatnonzero(~side)
-        sets = _Sets(texts, size)
-        first, second = [], []
-        for o in np.flatnonzero(side):
-            equal = (sketch[members] == sketch[o]).sum(1)
-            near = np.flatnonzero((equal >= CUT) & (own[members] != own[o]))
-            linked: set[int] = set()
-            for x in members[near[np.argsort(-equal[near], kind="stable")]]:
+        for o in np.flatnonzero(side).tolist():
+            x = members[own[members] != own[o]]
+            equal = (sketch[x] == sketch[o]).sum(1)
+            x, equal = x[equal >= CUT], equal[equal >= CUT]
+            here = (sketch[x] == sketch[o]).reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
+            x, equal = x[here], equal[here]
+            most = (n[x] + n[o] - vectors.apart(x, np.full(len(x), o))) // 2
+            fit = most >= needed(n[x], np.full(len(x), n[o]), threshold)
+            x, equal = x[fit], equal[fit]
+            x = x[np.argsort(-equal, kind="stable")]
+            if best:
+                x = x[np.sort(np.unique(own[x], return_index=True)[1])]
+            for y in x.tolist():
                 # two outsiders meet twice; one meeting is enough
-                if own[x] in linked or outsider[x] and cls[x] > cls[o]:
-                    continue
-                agree = (sketch[x] == sketch[o]).reshape(BANDS, ROWS).all(1)
-                if int(np.argmax(agree)) == band and similar(sets[x], sets[o], threshold):
-                    linked.add(own[x])
-                    first.append(max(cls[x], cls[o]))
-                    second.append(min(cls[x], cls[o]))
-        return _pairs(first, second)
+                if best or not outsider[y] or cls[y] < cls[o]:
+                    yield max(cls[y], cls[o]), min(cls[y], cls[o])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_state()
+        out: set[tuple[bytes, bytes]] = set()
         for group in _groups(batches, ["bucket", "block", "out_block"]):
-            yield links(group)
+            for pair in pairs(group):
+                out.add(pair)
+                if len(out) > 20_000:
+                    yield _pairs(*zip(*out))
+                    out.clear()
+        yield _pairs(*(zip(*out) if out else ((), ())))
 
     return run
 
 
-class _Sets:
-    """Sets of a block's texts, made when asked for; a bounded number of shingles is held."""
-
-    def __init__(self, texts: pa.Array, size: int, most: int = 4_000_000):
-        self.texts, self.size, self.most, self.held, self.n = texts, size, most, {}, 0
-
-    def __getitem__(self, i: int) -> np.ndarray:
-        if i not in self.held:
-            found, _ = shingle_sets(self.texts.slice(i, 1), self.size)
-            if self.n + len(found) > self.most:
-                self.held, self.n = {}, 0
-            self.held[i] = found
-            self.n += len(found)
-        return self.held[i]
-
-
 def similar(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     """Does the similarity of two sorted sets reach ``threshold`` per cent?"""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -269,7 +263,7 @@ class NearDuplicates:
         self.rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"))
 
     def signatures(self) -> DataFrame:
-        schema = f"id {self.kind}, print long, n_shingles long, cls binary, sketch binary"
+        schema = f"id {self.kind}, print long, n_shingles long, cls binary, sketch binary, parity binary"
         return materialise(self.rows.mapInArrow(_signatures(self.size), schema), "near-signatures")
 
     @staticmethod
@@ -277,8 +271,11 @@ class NearDuplicates:
         """One row per distinct set: its sketch and its first document."""
         first = F.struct(F.col("id").isNull().alias("no_id"), "id", "print")
         own = signatures.where(F.col("cls").isNotNull()).groupBy("cls")
-        own = own.agg(F.any_value("sketch").alias("sketch"), F.min(first).alias("first"))
-        return materialise(own.select("cls", "sketch", "first.id", "first.print"), "near-classes")
+        own = own.agg(
+            F.any_value("sketch").alias("sketch"), F.any_value("parity").alias("parity"), F.any_value("n_shingles").alias("n"),
+            F.min(first).alias("first"),
+        )
+        return materialise(own.select("cls", "sketch", "parity", "n", "first.id", "first.print"), "near-classes")
 
     @staticmethod
     def members(classes: DataFrame) -> DataFrame:
@@ -326,8 +323,8 @@ class NearDuplicates:
         pairs = self._dealt(rows, "bucket", "block").mapInArrow(_forest, "a binary, b binary")
         return materialise(pairs.distinct(), "near-pairs")
 
-    def remaining_links(self, members: DataFrame, classes: DataFrame, of: DataFrame) -> DataFrame:
-        """Links across components that share a bucket, confirmed in blocks."""
+    def remaining_pairs(self, members: DataFrame, classes: DataFrame, of: DataFrame, best: bool) -> DataFrame:
+        """Pairs across components that share a bucket and may be links."""
         placed = members.drop("block", "blocks").join(of, F.col("cls") == F.col("node"), "left").drop("node")
         placed = materialise(placed.withColumn("component", F.coalesce("component", "cls")), "near-placed")
         sizes = placed.groupBy("bucket", "component").count().groupBy("bucket")
@@ -338,7 +335,7 @@ class NearDuplicates:
         )
 
         def parts(n: str):
-            return F.ceil(F.col(n) / TEXT_BLOCK_ROWS).cast("int")
+            return F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
 
         # the only pair of a bucket of two has been confirmed or lies below the cut
         unresolved = sizes.where("outside > 0 and all > 2").select(
@@ -347,8 +344,7 @@ class NearDuplicates:
         unresolved = materialise(unresolved, "near-unresolved")
         rows = placed.join(sized(unresolved, 64), "bucket")
         rows = materialise(rows.withColumn("outsider", F.col("component") != F.col("largest")), "near-unplaced")
-        texts = self.texts(rows.select("cls").distinct(), classes)
-        rows = rows.join(classes.select("cls", "sketch").join(texts, "cls"), "cls")
+        rows = rows.join(classes.select("cls", "sketch", "parity", "n"), "cls")
 
         def own(n: str):
             return F.pmod(F.xxhash64("cls", F.lit(n)), n).cast("int")
@@ -356,22 +352,32 @@ class NearDuplicates:
         def each(n: str):
             return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-        columns = ["bucket", "block", "out_block", "band", "cls", "component", "sketch", "text", "outsider", "as_outsider"]
+        columns = ["bucket", "block", "out_block", "band", "cls", "component", "sketch", "parity", "n", "outsider", "as_outsider"]
         as_member = rows.withColumn("block", own("blocks")).withColumn("out_block", each("out_blocks"))
         as_outsider = rows.where("outsider").withColumn("out_block", own("out_blocks")).withColumn("block", each("blocks"))
         both = as_member.withColumn("as_outsider", F.lit(False)).select(*columns)
         both = both.unionByName(as_outsider.withColumn("as_outsider", F.lit(True)).select(*columns))
         dealt = self._dealt(both, "bucket", "block", "out_block")
-        return materialise(dealt.mapInArrow(_across(self.size, self.threshold), "a binary, b binary"), "near-links")
+        return dealt.mapInArrow(_across(self.threshold, best), "a binary, b binary").distinct()
 
     def find(self) -> DataFrame:
         """(id, print, n_shingles, component_id): one row per document."""
         signatures = self.signatures()
         classes = self.classes(signatures)
         members = self.members(classes)
-        links = self.confirmed(self.forest_pairs(members, classes), classes)
-        rest = self.remaining_links(members, classes, materialise(components(links), "near-of"))
-        of = components(links.unionByName(rest))
+        checked = self.forest_pairs(members, classes)
+        links = self.confirmed(checked, classes)
+        of = materialise(components(links), "near-of")
+        for best in (True, False):
+            pairs = self.remaining_pairs(members, classes, of, best).join(checked, ["a", "b"], "left_anti")
+            pairs = materialise(pairs, "near-more-pairs")
+            if pairs.isEmpty():
+                continue
+            found = self.confirmed(pairs, classes)
+            checked = checked.unionByName(pairs)
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                of = materialise(components(links), "near-of")
         # the smallest id of every component of several classes, then of every class
         named = classes.select("cls", "id").join(of, F.col("cls") == F.col("node"), "left")
         named = named.withColumn("component", F.coalesce("component", "cls")).drop("node")

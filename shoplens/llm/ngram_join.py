@@ -54,14 +54,13 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import column, materialise, release_state, sized, slices, text_of
 from shoplens.llm.components import components
 from shoplens.llm.near_dedup import shingle_sets, similar
+from shoplens.llm.parity import Vectors, needed, parities
 
 NGRAM_WORDS = 5
 THRESHOLD = 80  # per cent
 COUNTER_BITS, PARTS = 22, 1024
 #: Partial counters are summed in so many groups, then over the groups.
 SUM_GROUPS = 8
-#: Bits of a parity vector: for each n-gram this many, rounded up to a power of two between the limits.
-BITS_EACH, LEAST_BITS, MOST_BITS = 2, 256, 1 << 17
 #: Up to so many classes all pairs that pass the filters are sent at once.
 SMALL = 16
 BLOCK = 1024
@@ -75,36 +74,10 @@ def prefix_lengths(n: np.ndarray, threshold: int) -> np.ndarray:
     return np.where(n > 0, n + (-threshold * n // 100) + 1, 0)
 
 
-def needed(x: np.ndarray, y: np.ndarray, threshold: int) -> np.ndarray:
-    """Smallest intersection of linked sets of sizes ``x`` and ``y``."""
-    return -(-threshold * (x + y) // (100 + threshold))
-
-
 def classes_of(elements: np.ndarray, ptr: np.ndarray) -> list[bytes | None]:
     return [hashlib.blake2b(elements[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(ptr[:-1], ptr[1:])]
 
 
-def parities(elements: np.ndarray, ptr: np.ndarray) -> list[bytes | None]:
-    """For each set, which of its parts hold an odd number of n-grams, a bit for each part.
-
-    Parts are by the lowest bits of the hash, so a longer vector folds into a shorter one.
-    """
-    out: list[bytes | None] = []
-    for lo, hi in zip(ptr[:-1].tolist(), ptr[1:].tolist()):
-        if lo == hi:
-            out.append(None)
-            continue
-        bits = min(max(1 << (BITS_EACH * (hi - lo) - 1).bit_length(), LEAST_BITS), MOST_BITS)
-        at = (elements[lo:hi] & np.uint64(bits - 1)).astype(np.int64)
-        out.append(np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes())
-    return out
-
-
-def folded(rows: np.ndarray, width: int) -> np.ndarray:
-    """Parity vectors (rows of 64-bit numbers) of fewer parts."""
-    return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, width), 1)
-
-
 class Counters:
     """How often n-grams occur, in a fixed number of counters; sent on in parts."""
 
@@ -282,20 +255,7 @@ class Members:
         self.cls = table.column("cls").to_pylist()
         self.n = table.column("n").to_numpy()
         self.place = table.column("place").to_numpy().astype(np.int64)
-        raw = table.column("parity").to_pylist()
-        self.width = np.array([len(r) // 8 for r in raw], np.int64)
-        # vectors of one length lie together; ``row``: where a class's vector is among them
-        self.row = np.zeros(len(raw), np.int64)
-        self.vectors: dict[tuple[int, int], np.ndarray] = {}
-        for width in set(self.width.tolist()):
-            own = np.flatnonzero(self.width == width)
-            self.row[own] = np.arange(len(own))
-            self.vectors[width, width] = np.frombuffer(b"".join(raw[i] for i in own), "<u8").reshape(len(own), width)
-
-    def parity(self, which: np.ndarray, width: int, to: int) -> np.ndarray:
-        if (width, to) not in self.vectors:
-            self.vectors[width, to] = folded(self.vectors[width, width], to)
-        return self.vectors[width, to][self.row[which]]
+        self.vectors = Vectors(table.column("parity").to_pylist())
 
 
 def bounds(m: Members, i: np.ndarray, j: np.ndarray, threshold: int) -> np.ndarray:
@@ -305,17 +265,8 @@ def bounds(m: Members, i: np.ndarray, j: np.ndarray, threshold: int) -> np.ndarr
     out = np.zeros(len(x), np.int64)
     # length and positional filters: at most min(p, q) shared before, the rest behind
     left = np.flatnonzero((np.minimum(x, y) >= need) & (np.minimum(p, q) + 1 + np.minimum(x - p - 1, y - q - 1) >= need))
-    widths = m.width[i[left]] << 32 | m.width[j[left]]
-    for both in set(widths.tolist()):
-        mine, yours = both >> 32, both & 0xFFFFFFFF
-        to = min(mine, yours)
-        same = left[widths == both]
-        step = max(1, (1 << 20) // to)
-        for lo in range(0, len(same), step):
-            own = same[lo : lo + step]
-            apart = np.bitwise_count(m.parity(i[own], mine, to) ^ m.parity(j[own], yours, to)).sum(1, dtype=np.int64)
-            most = (x[own] + y[own] - apart) // 2
-            out[own] = np.where(most >= need[own], 1000 * most // need[own], 0)
+    most = (x[left] + y[left] - m.vectors.apart(i[left], j[left])) // 2
+    out[left] = np.where(most >= need[left], 1000 * most // need[left], 0)
     return out
 
 

@@ -152,7 +152,6 @@ def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     from shoplens.llm import near_dedup as N
 
     monkeypatch.setattr(N, "BLOCK_ROWS", 2)
-    monkeypatch.setattr(N, "TEXT_BLOCK_ROWS", 2)
     words = [f"w{i}" for i in range(200)]
     texts = []
     for k in range(12):
@@ -178,9 +177,31 @@ def test_the_estimate_loses_fewer_pairs_than_the_bands():
     fixed = {"bucket": [1, 1], "block": [0, 0], "cls": ids, "sketch": [one.tobytes(), two.tobytes()]}
     (found,) = N._forest(iter([pa.RecordBatch.from_pydict(fixed)]))
     assert found.to_pylist() == [{"a": b"b", "b": b"a"}]
-    more = {"out_block": [0, 0], "band": [0, 0], "component": ids, "text": texts, "outsider": [False, True], "as_outsider": [False, True]}
-    (found,) = N._across(5, N.THRESHOLD)(iter([pa.RecordBatch.from_pydict(fixed | more)]))
-    assert found.to_pylist() == [{"a": b"b", "b": b"a"}]
+    elements, ptr = N.shingle_sets(pa.array(texts), 5)
+    more = {"out_block": [0, 0], "band": [0, 0], "component": ids, "outsider": [False, True], "as_outsider": [False, True]}
+    more |= {"n": np.diff(ptr), "parity": N.parities(elements, ptr)}
+    for best in (True, False):
+        (found,) = N._across(N.THRESHOLD, best)(iter([pa.RecordBatch.from_pydict(fixed | more)]))
+        assert found.to_pylist() == [{"a": b"b", "b": b"a"}]
+
+
+def test_a_template_family_moves_few_texts(spark, monkeypatch):
+    """Pages of one template share buckets without being links: few of their texts are fetched."""
+    from shoplens.llm import near_dedup as N
+
+    template = [f"t{i}" for i in range(140)]
+    pages = [(k, " ".join([*template, *(f"p{k}_{i}" for i in range(60))])) for k in range(400)]
+    fetched = []
+    confirmed = N.NearDuplicates.confirmed
+
+    def counting(self, pairs, classes):
+        fetched.append(pairs.count())
+        return confirmed(self, pairs, classes)
+
+    monkeypatch.setattr(N.NearDuplicates, "confirmed", counting)
+    got = near_duplicates(spark.createDataFrame(pages, "doc_id long, text string")).collect()
+    assert len(got) == 400 and all(r.kept for r in got)
+    assert sum(fetched[1:]) <= len(pages), fetched
 
 
 def test_drop_near_duplicates(docs):
@@ -373,7 +394,8 @@ def test_large_toxicity_weights_stay_off_the_driver(labelled, monkeypatch):
     def refuse(self):
         raise AssertionError("the weights came to the driver")
 
-    monkeypatch.setattr(type(docs), "toPandas", refuse)
+    for collect in ("toPandas", "toArrow"):
+        monkeypatch.setattr(type(docs), collect, refuse)
     many = Counter((r.doc_id, round(r.score, 9)) for r in score_toxicity(docs, labels, block_steps=1).collect())
     assert one == many and sum(one.values()) == 405
 
@@ -476,8 +498,8 @@ def test_counts_leave_the_document_out(spark, monkeypatch):
     seen = []
     differences = X._differences
 
-    def noted(table, weights, block_steps):
-        out = differences(table, weights, block_steps)
+    def noted(rows, weights, table):
+        out = differences(rows, weights, table)
         seen.append({r.id: np.array(r.parts) / (r.n_words + 5) for r in out.collect()})
         return out
 
@@ -567,3 +589,18 @@ def test_license_rules_without_gate(spark):
         for _, _, k in kept:
             sure[rules[k].label] = max(sure.get(rules[k].label, 0), CONFIDENCE[rules[k].priority])
         assert abs(row.score - (1 - math.prod(1 - x for x in sure.values()))) < 1e-9
+
+
+def test_dedup_shuffles_no_texts(docs, monkeypatch):
+    """Beyond a broadcast the same rows come out, and no exchange of the report carries a text."""
+    want = Counter(map(str, exact_duplicates(docs).collect()))
+    kept = Counter(map(str, drop_duplicates(docs).collect()))
+    monkeypatch.setattr("shoplens.llm.common.BROADCAST_BYTES", 0)
+    report = exact_duplicates(docs)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join" in line]
+    assert joins and "broadcast" not in plan
+    for side in (report._jdf.queryExecution().executedPlan().toString()).split("Exchange")[1:]:
+        assert " text#" not in side.split("\n")[1], side[:300]
+    assert Counter(map(str, report.collect())) == want
+    assert Counter(map(str, drop_duplicates(docs).collect())) == kept
