@@ -60,7 +60,7 @@ from shoplens.sources.tables import (  # noqa: E402
     click_product_pairs,
     prepare_actions,
 )
-from shoplens.spark import cut_lineage, ensure_checkpoint_dir  # noqa: E402
+from shoplens.spark import broadcast_rows, cut_lineage, ensure_checkpoint_dir  # noqa: E402
 from shoplens.streaming import ad_stream as ST  # noqa: E402
 
 # the training-data operators are an optional part: where they are absent they are left out, but if they
@@ -148,18 +148,17 @@ def _sample(spark, sf_dir):
 
 
 def q_session_random_extract(spark, sf_dir):
-    # lists only for the sampled sessions (at most SAMPLE_TOTAL: a bounded broadcast)
+    # lists only for the sampled sessions, SAMPLE_TOTAL at most
     t, sample = _sample(spark, sf_dir)
     acts = actions_in_range(t.actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
-    lists = S.session_lists(acts.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi"))
+    lists = S.session_lists(acts.join(broadcast_rows(sample.select("session_id"), SAMPLE_TOTAL), "session_id", "left_semi"))
     return SM.sample_output(sample.join(lists, "session_id"))
 
 
 def q_session_sample_detail(spark, sf_dir):
     t, sample = _sample(spark, sf_dir)
     acts = actions_in_range(t.actions(DEFAULT_PARAMS), DEFAULT_PARAMS)
-    # the sample has at most SAMPLE_TOTAL rows: a bounded broadcast
-    return S.detail_rows(acts.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi"))
+    return S.detail_rows(acts.join(broadcast_rows(sample.select("session_id"), SAMPLE_TOTAL), "session_id", "left_semi"))
 
 
 def _day_sample(spark, sf_dir):

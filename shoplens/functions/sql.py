@@ -1,12 +1,15 @@
-"""SQL surface: the reference's SQL helper functions as Spark SQL functions.
+"""SQL surface: helper functions as Spark SQL functions.
 
 ``CREATE TEMPORARY FUNCTION ... RETURN <expr>`` defines a SQL function that
-Spark inlines into the plan (no Python, stays inside whole-stage codegen),
-so SQL written against the reference keeps working.
+Spark inlines into the plan (no Python, stays inside whole-stage codegen).
+Two statements have to be written differently than before:
 
-The reference's distinct-concatenation aggregate has no SQL-function form;
-in SQL write ``array_join(array_sort(collect_set(x)), ',')`` (exact distinct,
-sorted; see :func:`shoplens.functions.columns.distinct_joined`).
+* a field of a JSON object by its name is ``json_field(json, field)``: the
+  two-argument ``get_json_object`` is Spark's own and takes a path;
+* SQL functions cannot be aggregates, so the distinct concatenation is Spark's
+  own ``listagg(DISTINCT x, ',') WITHIN GROUP (ORDER BY x)``, or
+  ``array_join(array_sort(collect_set(x)), ',')`` (see
+  :func:`shoplens.functions.columns.distinct_joined`).
 """
 
 from __future__ import annotations
@@ -16,12 +19,11 @@ from pyspark.sql import SparkSession
 SQL_FUNCTIONS = {
     # Id + separator + name
     "concat_cid_cname": (
-        "v1 BIGINT, v2 STRING, split STRING",
+        "id BIGINT, name STRING, separator STRING",
         "STRING",
-        "concat_ws(split, CAST(v1 AS STRING), v2)",
+        "concat_ws(separator, CAST(id AS STRING), name)",
     ),
-    # One field of a JSON object by name (the reference's two-argument
-    # variant of get_json_object; the built-in needs a '$.' path)
+    # One field of a JSON object by name (the built-in needs a '$.' path)
     "json_field": (
         "json STRING, field STRING",
         "STRING",

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.columns import csv_to_ids
 from shoplens.sources.tables import present_id
+from shoplens.spark import broadcast_rows
 
 CLICK, ORDER, PAY = 1, 2, 3
 
@@ -111,7 +112,7 @@ def rank_sessions(counted: DataFrame, top10: DataFrame, n: int = 10) -> DataFram
     ``row_number() <= n`` filter with a literal bound lets Spark insert a
     partial per-group limit before the window's shuffle.
     """
-    cats = F.broadcast(top10.select(F.col("categoryid").alias("category_id")))
+    cats = broadcast_rows(top10.select(F.col("categoryid").alias("category_id")), n)
     per_session = counted.where("clicks > 0").join(cats, "category_id", "left_semi")
     w = Window.partitionBy("category_id").orderBy(F.desc("clicks"), F.asc("session_id"))
     return (
@@ -133,21 +134,21 @@ def top_sessions_per_category(
     The clicks are first cut down to the top categories, so only those reach
     the (large) semi join with ``sessions``.
     """
-    cats = F.broadcast(top10.select(F.col("categoryid").alias("category_id")))
+    cats = broadcast_rows(top10.select(F.col("categoryid").alias("category_id")), n)
     clicks = actions.select("session_id", F.col("click_category_id").alias("category_id")).join(cats, "category_id", "left_semi")
     if sessions is not None:
         clicks = clicks.join(sessions.select("session_id"), "session_id", "left_semi")
     return rank_sessions(clicks.groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("clicks")), top10, n)
 
 
-def top_session_actions(actions: DataFrame, top_sessions: DataFrame, dedupe: bool = False) -> DataFrame:
+def top_session_actions(actions: DataFrame, top_sessions: DataFrame, dedupe: bool = False, n: int = 10) -> DataFrame:
     """Actions of the top sessions.
 
     A session in several categories' lists yields its actions once per
     membership, as in the reference (Q8); ``dedupe=True`` yields them once.
-    The session list has at most 10 x 10 rows: a bounded broadcast.
+    The session list has at most ``n`` x ``n`` rows.
     """
     keys = top_sessions.select(F.col("sessionid").alias("session_id"))
     if dedupe:
         keys = keys.distinct()
-    return actions.join(F.broadcast(keys), "session_id", "inner")
+    return actions.join(broadcast_rows(keys, n * n), "session_id", "inner")

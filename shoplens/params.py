@@ -120,10 +120,6 @@ class TaskParams:
             lambda a, b: a & b, [F.coalesce(p, F.lit(False)) for p in preds], F.lit(True)
         )
 
-    def uses_session_lists(self) -> bool:
-        """True when the session filter reads the keyword / category lists."""
-        return bool(self.keywords or self.category_ids)
-
     def page_pairs(self) -> list[tuple[int, int, int]]:
         """(step, from_page, to_page) for consecutive pages of the target flow."""
         flow = self.target_page_flow

@@ -22,7 +22,7 @@ from shoplens.operators import sessions as S
 from shoplens.params import TaskParams
 from shoplens.sinks.writers import with_task_id
 from shoplens.sources.tables import actions_in_range
-from shoplens.spark import cut_lineage
+from shoplens.spark import broadcast_rows, cut_lineage
 
 
 @dataclass
@@ -55,8 +55,8 @@ def build(
     counted = cut_lineage(C.category_session_counts(S.actions_of_sessions(ranged, filtered)))
 
     sample = SM.stratified_sample(filtered, sample_total, seed)
-    # at most sample_total sessions: a bounded broadcast
-    sample_actions = ranged.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi")
+    # sample_total sessions at most
+    sample_actions = ranged.join(broadcast_rows(sample.select("session_id"), sample_total), "session_id", "left_semi")
     sample = sample.join(S.session_lists(sample_actions), "session_id", "left").select(
         "session_id",
         "start_time",

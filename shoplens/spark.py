@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on.  AQE re-plans joins and partition counts at
 # runtime from real shuffle statistics; skew-join splitting handles a hot
@@ -94,3 +95,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Most rows of a side that is broadcast because its number of rows is known.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_rows(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has ``rows`` rows at most, broadcast if that is few; beyond it the planner decides."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

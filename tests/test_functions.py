@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from shoplens.functions import columns as C
@@ -60,3 +62,15 @@ def test_sql_functions(spark):
         "SELECT concat_cid_cname(11, 'X', '=') AS c, json_field('{\"product_status\": 0}', 'product_status') AS j"
     ).collect()[0]
     assert (r.c, r.j) == ("11=X", "0")
+
+
+def test_today_and_yesterday(spark):
+    """F4, by the session's own clock and time zone."""
+    row = spark.range(1).select(C.today().alias("t"), C.yesterday().alias("y"), F.current_date().alias("d")).first()
+    assert row.t == row.d.isoformat() and row.y == (row.d - timedelta(days=1)).isoformat()
+
+
+def test_distinct_concatenation_in_sql(spark):
+    spark.createDataFrame([("g", "b"), ("g", "a"), ("g", "b"), ("h", None)], "k string, x string").createOrReplaceTempView("shoplens_listagg")
+    got = spark.sql("SELECT k, listagg(DISTINCT x, ',') WITHIN GROUP (ORDER BY x) AS xs FROM shoplens_listagg GROUP BY k").collect()
+    assert {r.k: r.xs for r in got} == {"g": "a,b", "h": None}

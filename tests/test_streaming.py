@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -215,3 +217,23 @@ def test_rejected_lines_are_kept(spark, tmp_path):
     stream.add(_lines(), (ST.REJECTS,))
     kept = sorted(r.raw for r in spark.read.parquet(stream.root + "/out/ad_rejects").collect())
     assert kept == [f"{DAY1} p c x 1", "garbage", "not a click"]
+
+
+def test_default_trigger_is_every_five_seconds(spark, tmp_path):
+    """Without a trigger a batch begins every five seconds, and new files are taken up by the next one."""
+    stream = Stream(spark, tmp_path)
+    ST.write_log(spark.createDataFrame([(x,) for x in _lines()], "value string"), stream.root + "/in")
+    (query,) = ST.start_ad_queries(
+        spark, lambda s: ST.file_source(s, stream.root + "/in"), stream.root + "/out", stream.root + "/ckpt", names=("ad_trend",), state_partitions=2,
+        name_suffix="_every_five",
+    ).values()
+    try:
+        query.processAllAvailable()
+        ST.write_log(spark.createDataFrame([(f"{DAY1} p c 1 19",)], "value string"), stream.root + "/in")
+        query.processAllAvailable()
+        began = [datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")) for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    assert len(began) == 2
+    # batches begin on the five seconds
+    assert began[1] - began[0] >= timedelta(seconds=4.5) and began[1].second % 5 == 0 and began[1].microsecond < 500_000
