@@ -12,6 +12,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from shoplens.llm.bpe_trie import decode_documents, encode_digests, encode_documents
@@ -604,3 +605,90 @@ def test_dedup_shuffles_no_texts(docs, monkeypatch):
         assert " text#" not in side.split("\n")[1], side[:300]
     assert Counter(map(str, report.collect())) == want
     assert Counter(map(str, drop_duplicates(docs).collect())) == kept
+
+
+def _statistics_by_hand(text):
+    words = SPACES.findall(text)
+    lines = text.split("\n")
+    n = max(len(words), 1)
+    uppers = re.findall(r"[A-ZÀ-ÖØ-Þİ]{2,}", text)
+    return (
+        len(words),
+        len(text) / n if words else 0,
+        sum(c in "#*$%&|<>" for c in text) / n,
+        sum(c in "0123456789" for c in text) / n,
+        len(uppers) / n,
+        sum(c in "!?" for c in text) / n,
+        sum(c in ".,;:" for c in text) / n,
+        len(set(words)) / n,
+        len(set(lines)) / len(lines),
+        len(words) / len(lines),
+    )
+
+
+def test_quality_by_hand(spark, docs, labelled):
+    """Statistics, rules and scores recomputed; printed trees agree with what the forest predicts."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    from shoplens.llm import quality_classifier as X
+
+    rows = X.with_statistics(docs.select(F.coalesce("text", F.lit("")).alias("text"), F.col("text").alias("t")), "t").collect()
+    assert len(rows) == len(TEXTS)
+    for r in rows:
+        want = _statistics_by_hand(r.t or "")
+        assert all(abs(r[name] - w) < 1e-9 for name, w in zip(X.STATISTICS, want)), (r, want)
+
+    own, labels = labelled
+    table = X.with_statistics(X.labelled(own.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")), labels, "quality"), "id", "label").cache()
+    model = X.fit(table)
+    assert model.rules
+    scored = table.select("*", model.score().alias("score")).collect()
+    for r in scored:
+        total = model.intercept
+        for rule, weight in model.rules:
+            total += weight * all(r[name] <= v if side == "<=" else r[name] > v for name, side, v in rule.bounds)
+        assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-9
+
+    vectors = table.select("label", array_to_vector(F.array(*X.STATISTICS)).alias("features"))
+    forest = RandomForestClassifier(labelCol="label", numTrees=5, maxDepth=3, seed=3).fit(vectors)
+    for tree in forest.trees:
+        rules = X.tree_rules(tree.toDebugString)
+        # of the paths that hold for a row the longest is its leaf's; rows of one leaf are predicted alike
+        predicted = {}
+        for r in table.collect():
+            hold = [k for k, rule in enumerate(rules) if all(r[n] <= v if s == "<=" else r[n] > v for n, s, v in rule.bounds)]
+            values = [r[n] for n in X.STATISTICS]
+            predicted.setdefault(tuple(hold), set()).add(tree.predict(Vectors.dense(values)))
+        assert all(len(p) == 1 for p in predicted.values())
+        assert len(rules) <= 14
+
+
+def test_line_quality_kept_by_hand(spark):
+    """The verdict from counts of distinct texts per host and line."""
+    rng = np.random.default_rng(4)
+    footers = [f"Footer {k} of  the HOST {k}" for k in range(6)]
+    rows = []
+    for i in range(160):
+        host = ["h", "g", None][int(rng.integers(0, 3))]
+        body = [" ".join(f"{host}{i}w{rng.integers(0, 60)}" for _ in range(int(rng.integers(3, 14)))) for _ in range(int(rng.integers(0, 4)))]
+        lines = body + [footers[int(k)] for k in rng.integers(0, 6, int(rng.integers(0, 8)))]
+        rows.append((i, "\n".join(lines), host))
+    rows += [(200, rows[0][1], rows[0][2]), (None, None, "h"), (201, rows[1][1], rows[1][2])]
+    seen = Counter()
+    for text, host in {(t or "", h) for _, t, h in rows}:
+        for line in {" ".join(SPACES.findall(x.translate(LOW))) for x in text.split("\n")} - {""}:
+            seen[host, line] += 1
+    want = Counter()
+    for i, text, host in rows:
+        text = text or ""
+        words = SPACES.findall(text)
+        left = sum(len(SPACES.findall(x)) for x in text.split("\n") if seen[host, " ".join(SPACES.findall(x.translate(LOW)))] <= 5)
+        windows = Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+        cover = {k + j for k in range(len(words) - 4) if windows[tuple(words[k : k + 5])] > 1 for j in range(5)}
+        failed = len(words) < 10 or 100 * len(cover) > 20 * len(words)
+        want[i, failed, not failed and left >= 10 and left >= 0.3 * len(words), left] += 1
+    got = line_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert Counter((r.doc_id, r.base_failed, r.kept, r.words_left) for r in got) == want
+    assert 10 < sum(n for (_, _, kept, _), n in want.items() if kept) < len(rows) - 10
+    assert list(got[0].asDict())[:8] == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
