@@ -252,7 +252,7 @@ def _session(spark: SparkSession, state_partitions: int | None) -> SparkSession:
     mode: what the watermark has closed is dropped with the next data.
     """
     own = spark.newSession()
-    for key in ("spark.sql.session.timeZone",):
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     if state_partitions:
