@@ -133,6 +133,12 @@ def fits(df: DataFrame, row_bytes: int, limit: int | None = None) -> bool:
     return df.count() * row_bytes <= (BROADCAST_BYTES if limit is None else limit)
 
 
+def measured(df: DataFrame, row_bytes: Column, limit: int | None = None) -> DataFrame:
+    """As :func:`sized`, for rows whose width varies: ``row_bytes`` is summed over the materialised table."""
+    total = df.agg(F.sum(row_bytes.cast("long")).alias("b")).first().b or 0
+    return F.broadcast(df) if total <= (BROADCAST_BYTES if limit is None else limit) else df
+
+
 def slices(batch: pa.RecordBatch, text: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in consecutive slices of about ``max_bytes`` of text (one row at least)."""
     if batch.num_rows == 0:

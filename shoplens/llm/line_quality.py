@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from shoplens.llm.common import column, materialise, sized, slices, text_of, utf8_buffers
+from shoplens.llm.common import column, materialise, measured, sized, slices, text_of, utf8_buffers
 from shoplens.llm.words import NON_SPACE, Words, mix, windows
 
 #: A line is frequent in more documents of its host than this.
@@ -122,12 +122,12 @@ def measure(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataF
         text.alias("text"),
     )
     kind = docs.schema[id_col].dataType.simpleString()
-    measured = rows.mapInArrow(
+    found = rows.mapInArrow(
         _measure,
         f"id {kind}, host string, print long, lines array<struct<line long, words int>>, n_words long, word_chars long, "
         "n_symbols long, n_dup_lines long, n_repeat_words long",
     )
-    return materialise(measured.withColumn("row", F.monotonically_increasing_id()), "line-measures")
+    return materialise(found.withColumn("row", F.monotonically_increasing_id()), "line-measures")
 
 
 def _host(host_col: str) -> Column:
@@ -135,20 +135,25 @@ def _host(host_col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit(""))
 
 
-def _distinct_lines(measured: DataFrame) -> DataFrame:
+def _host_bytes() -> Column:
+    """Bytes of a narrow row with a host."""
+    return F.octet_length("host") + 32
+
+
+def _distinct_lines(measures: DataFrame) -> DataFrame:
     """(host, print, line), each once."""
-    lines = measured.select("host", "print", F.explode(F.array_distinct(F.transform("lines", lambda x: x.line))).alias("line"))
+    lines = measures.select("host", "print", F.explode(F.array_distinct(F.transform("lines", lambda x: x.line))).alias("line"))
     return lines.distinct()
 
 
-def frequent_lines(measured: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float | None = None) -> DataFrame:
+def frequent_lines(measures: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float | None = None) -> DataFrame:
     """(host, line) above the limit; ``max_share`` also asks for more than this share of the host's documents."""
-    lines = _distinct_lines(measured)
+    lines = _distinct_lines(measures)
     above = lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > min_documents)
     if max_share is not None:
-        contents = measured.select("host", "print").distinct().groupBy("host").agg(F.count("*").alias("documents"))
+        contents = measures.select("host", "print").distinct().groupBy("host").agg(F.count("*").alias("documents"))
         contents = materialise(contents, "line-hosts")
-        above = above.join(sized(contents, 64), "host").where(F.col("n") > max_share * F.col("documents"))
+        above = above.join(measured(contents, _host_bytes()), "host").where(F.col("n") > max_share * F.col("documents"))
     return materialise(above.select("host", "line"), "line-frequent")
 
 
@@ -161,11 +166,11 @@ def line_quality(
     max_share: float | None = None,
 ) -> DataFrame:
     """One row per document: id, measures, base_failed, kept, words_left."""
-    measured = measure(docs, id_col, text_col, host_col)
-    frequent = frequent_lines(measured, min_documents, max_share)
-    lines = measured.select("row", "host", F.inline("lines"))
-    removed = lines.join(sized(frequent, 64), ["host", "line"], "left_semi").groupBy("row").agg(F.sum("words").alias("removed"))
-    rows = measured.drop("lines").join(sized(materialise(removed, "line-removed"), 32), "row", "left")
+    measures = measure(docs, id_col, text_col, host_col)
+    frequent = frequent_lines(measures, min_documents, max_share)
+    lines = measures.select("row", "host", F.inline("lines"))
+    removed = lines.join(measured(frequent, _host_bytes()), ["host", "line"], "left_semi").groupBy("row").agg(F.sum("words").alias("removed"))
+    rows = measures.drop("lines").join(sized(materialise(removed, "line-removed"), 32), "row", "left")
     left = F.col("n_words") - F.coalesce("removed", F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     depleted = (left < MIN_LEFT_WORDS) | (left < MIN_LEFT_SHARE * F.col("n_words"))
@@ -194,15 +199,16 @@ def remove_frequent_lines(
 
     A host's frequent lines grow with the host, so every text meets only its own.
     """
-    measured = measure(docs, id_col, text_col, host_col)
-    frequent = frequent_lines(measured, min_documents, max_share)
-    found = _distinct_lines(measured).join(sized(frequent, 64), ["host", "line"], "left_semi")
+    rows_of = measure(docs, id_col, text_col, host_col)
+    frequent = frequent_lines(rows_of, min_documents, max_share)
+    found = _distinct_lines(rows_of).join(measured(frequent, _host_bytes()), ["host", "line"], "left_semi")
     by_text = found.groupBy(F.col("host").alias("f_host"), F.col("print").alias("f_print")).agg(F.collect_set("line").alias("bad"))
     by_text = materialise(by_text, "line-lists")
     text = text_of(text_col)
     rows = docs.select(F.struct("*").alias("row"), text.alias("text"), _host(host_col).alias("host"), F.xxhash64(text).alias("print"))
     own = (F.col("host") == F.col("f_host")) & (F.col("print") == F.col("f_print"))
-    rows = rows.join(sized(by_text, 4096), own, "left").select("row", "text", "bad")
+    lists = measured(by_text, F.octet_length("f_host") + 8 * F.size("bad") + 32)
+    rows = rows.join(lists, own, "left").select("row", "text", "bad")
     schema = StructType(
         [StructField("row", docs.select(F.struct("*").alias("row")).schema["row"].dataType), StructField("clean", StringType()), StructField("depleted", BooleanType())]
     )
