@@ -52,7 +52,7 @@ class Ragged:
 
 
 class PieceTable:
-    """Payloads of units; starts anew when full, results never depend on what it holds.
+    """Payloads of units; when full the half that is looked up least goes, results never depend on what it holds.
 
     ``compute(texts, odd)`` gets new units, plain ones first, and returns for
     each of ``dtypes`` the payloads end to end and their lengths.
@@ -63,9 +63,23 @@ class PieceTable:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.keys, self.rows, self.uses = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.payloads = [Ragged(d) for d in self.dtypes]
 
+    def _shrink(self) -> None:
+        """Keep the half of the units with most uses, whose uses count half from now on."""
+        if not len(self.keys):
+            return
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: self.max_entries // 2])
+        while kept.size and max(int(p.lengths[self.rows[kept]].sum()) for p in self.payloads) > self.max_items // 2:
+            kept = kept[: kept.size // 2]
+        payloads = [Ragged(d) for d in self.dtypes]
+        for new, old in zip(payloads, self.payloads):
+            values, _ = old.gather(self.rows[kept])
+            new.extend(values, old.lengths[self.rows[kept]])
+        self.keys, self.uses, self.payloads = self.keys[kept], self.uses[kept] // 2, payloads
+        self.rows = np.arange(len(kept), dtype=np.int32)
+
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.keys, hashes)
         at[at == len(self.keys)] = 0
@@ -75,7 +89,7 @@ class PieceTable:
     def lookup(self, units: Units, which: np.ndarray | None = None) -> np.ndarray:
         """The row of each unit's payloads (of the units at ``which``, if given)."""
         own = units.hashes() if which is None else units.hashes()[which]
-        distinct, first, inverse = np.unique(own, return_index=True, return_inverse=True)
+        distinct, first, inverse, n = np.unique(own, return_index=True, return_inverse=True, return_counts=True)
         if not len(distinct):
             return np.zeros(0, np.int32)
         if which is not None:
@@ -84,8 +98,8 @@ class PieceTable:
         if not known.all():
             full = len(self.keys) + int((~known).sum()) > self.max_entries
             if full or max(p.used for p in self.payloads) > self.max_items:
-                self._clear()
-                known = np.zeros(len(distinct), bool)
+                self._shrink()
+                at, known = self._find(distinct)
             new = np.flatnonzero(~known)
             row = np.argsort(units.odd[first[new]], kind="stable")
             values = self.compute([units.text(i) for i in first[new[row]]], units.odd[first[new[row]]])
@@ -96,5 +110,7 @@ class PieceTable:
             rows[row] = np.arange(base, base + len(new), dtype=np.int32)
             place = np.searchsorted(self.keys, distinct[new])
             self.keys, self.rows = np.insert(self.keys, place, distinct[new]), np.insert(self.rows, place, rows)
+            self.uses = np.insert(self.uses, place, 0)
             at, _ = self._find(distinct)
+        self.uses[at] += n.astype(np.int32)
         return self.rows[at][inverse]

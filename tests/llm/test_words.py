@@ -97,3 +97,30 @@ def test_very_long_words(tokenizer_path, library, letters):
         encoder = UnitEncoder(f.read())
     word = "".join(random.Random(3).choices(letters, k=1_000_000))
     assert list(next(encoder.encode([word], [False]))) == library(word)
+
+
+def test_a_full_table_keeps_what_is_used_most():
+    """Payloads are right whatever the table has let go, and frequent units are computed once."""
+    from collections import Counter
+
+    from shoplens.llm.piece_table import PieceTable
+    from shoplens.llm.tokenizing import Units
+
+    computed = Counter()
+
+    def compute(texts, odd):
+        computed.update(texts)
+        raw = [t.encode() for t in texts]
+        return [(np.frombuffer(b"".join(raw), np.uint8), np.array(list(map(len, raw)), np.int64))]
+
+    table = PieceTable(compute, [np.dtype(np.uint8)], max_entries=40)
+    rng = random.Random(9)
+    for step in range(60):
+        words = ["the", "of", "and"] * 20 + ["".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(15)]
+        rng.shuffle(words)
+        units = Units(*utf8_buffers(pa.array([" ".join(words)])))
+        rows = table.lookup(units)
+        flat, _ = table.payloads[0].gather(rows)
+        assert bytes(flat).decode() == "".join(words)
+        assert len(table.keys) <= 40 + 18
+    assert computed["the"] == computed["of"] == computed["and"] == 1
