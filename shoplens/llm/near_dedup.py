@@ -8,7 +8,8 @@ concentrated about their similarity as T independent samples would be.
 
 1. Documents with equal shingle sets form a class; one row per class goes on
    (a group of copies of any size shrinks to one row, pre-aggregated).
-2. Classes that agree on all rows of a band share a bucket.
+2. Classes that agree on all rows of a band share a bucket; of buckets with the
+   same classes one is kept.
 3. Buckets are dealt out in blocks of bounded size.  Within a block a maximum
    spanning forest over the estimated similarities names at most one pair per
    member; those pairs are confirmed on full sets, and links are contracted.
@@ -184,12 +185,10 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _across(threshold: int, best: bool):
     """Pairs of different components between a block of members and a block of outsiders that may be links.
 
-    A pair is looked at in the first band it agrees on, and only there.
     ``best``: of an outsider and a component only the pair with the highest estimate.
     """
 
     def pairs(group: pa.Table) -> Iterator[tuple[bytes, bytes]]:
-        band = group.column("band")[0].as_py()
         side = np.array(group.column("as_outsider").to_pylist())
         outsider = np.array(group.column("outsider").to_pylist())
         cls, comp = group.column("cls").to_pylist(), group.column("component").to_pylist()
@@ -202,8 +201,6 @@ def _across(threshold: int, best: bool):
             x = members[own[members] != own[o]]
             equal = (sketch[x] == sketch[o]).sum(1)
             x, equal = x[equal >= CUT], equal[equal >= CUT]
-            here = (sketch[x] == sketch[o]).reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
-            x, equal = x[here], equal[here]
             most = (n[x] + n[o] - vectors.apart(x, np.full(len(x), o))) // 2
             fit = most >= needed(n[x], np.full(len(x), n[o]), threshold)
             x, equal = x[fit], equal[fit]
@@ -279,22 +276,19 @@ class NearDuplicates:
 
     @staticmethod
     def members(classes: DataFrame) -> DataFrame:
-        """(bucket, band, block, blocks, cls) of buckets with several classes."""
-        keys = [
-            F.struct(
-                F.xxhash64(F.lit(b), F.substring("sketch", 2 * ROWS * b + 1, 2 * ROWS)).alias("bucket"),
-                F.lit(b).alias("band"),
-            )
-            for b in range(BANDS)
-        ]
-        banded = classes.select("cls", F.inline(F.array(*keys)))
-        shared = materialise(banded.groupBy("bucket").count().where("count > 1"), "near-buckets")
+        """(bucket, block, cls) of buckets with several classes, each set of classes once."""
+        buckets = [F.xxhash64(F.lit(b), F.substring("sketch", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)]
+        banded = classes.select("cls", F.explode(F.array(*buckets)).alias("bucket"))
+        several = banded.groupBy("bucket").count().where("count > 1")
+        several = materialise(several.select(F.col("bucket").alias("s_bucket")), "near-shared")
+        rows = banded.join(sized(several, 16), F.col("bucket") == F.col("s_bucket")).select("bucket", "cls")
+        rows = materialise(rows, "near-shared-rows")
+        sets = rows.groupBy("bucket").agg(F.count("*").alias("count"), F.bit_xor(F.xxhash64("cls")).alias("all"))
+        sets = sets.groupBy("count", "all").agg(F.min("bucket").alias("k_bucket"))
+        sets = materialise(sets.select("k_bucket", "count"), "near-buckets")
         blocks = F.ceil(F.col("count") / BLOCK_ROWS).cast("int")
-        rows = banded.join(sized(shared, 24), "bucket").withColumn("blocks", blocks)
-        return materialise(
-            rows.select("bucket", "band", "blocks", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"), "cls"),
-            "near-members",
-        )
+        rows = rows.join(sized(sets, 24), F.col("bucket") == F.col("k_bucket"))
+        return materialise(rows.select("bucket", F.pmod(F.xxhash64("cls"), blocks).cast("int").alias("block"), "cls"), "near-members")
 
     def texts(self, named: DataFrame, classes: DataFrame) -> DataFrame:
         """(cls, text) of the classes in ``named`` (distinct)."""
@@ -325,7 +319,7 @@ class NearDuplicates:
 
     def remaining_pairs(self, members: DataFrame, classes: DataFrame, of: DataFrame, best: bool) -> DataFrame:
         """Pairs across components that share a bucket and may be links."""
-        placed = members.drop("block", "blocks").join(of, F.col("cls") == F.col("node"), "left").drop("node")
+        placed = members.drop("block").join(of, F.col("cls") == F.col("node"), "left").drop("node")
         placed = materialise(placed.withColumn("component", F.coalesce("component", "cls")), "near-placed")
         sizes = placed.groupBy("bucket", "component").count().groupBy("bucket")
         sizes = sizes.agg(
@@ -352,7 +346,7 @@ class NearDuplicates:
         def each(n: str):
             return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-        columns = ["bucket", "block", "out_block", "band", "cls", "component", "sketch", "parity", "n", "outsider", "as_outsider"]
+        columns = ["bucket", "block", "out_block", "cls", "component", "sketch", "parity", "n", "outsider", "as_outsider"]
         as_member = rows.withColumn("block", own("blocks")).withColumn("out_block", each("out_blocks"))
         as_outsider = rows.where("outsider").withColumn("out_block", own("out_blocks")).withColumn("block", each("blocks"))
         both = as_member.withColumn("as_outsider", F.lit(False)).select(*columns)
