@@ -289,7 +289,8 @@ def test_optional_words_present_and_absent():
             text = " ".join(w.rstrip("?").split("|")[0] for k, w in enumerate(words) if k not in out).encode()
             for around in (b"%s", b"the %s of", b"(%s)", b"a\n%s."):
                 low = around % text
-                assert rule.pattern.search(low).group() == text and rule.keyword in low, (rule.name, low)
+                words_of = set(re.findall(rb"[0-9a-z\x80-\xff]+", low))
+                assert rule.pattern.search(low).group() == text and set(rule.keywords) <= words_of, (rule.name, low)
     assert not compile_phrase("gnu? general public license").search(b"gnugeneral public license")
 
 
